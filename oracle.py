@@ -1,0 +1,97 @@
+"""DuckDB oracle SQL for every registered query (see __spark_entry__.py).
+
+Each string is independent ANSI-ish SQL over the pre-registered views. The
+fixture definitions (positions, ways, trips, route lines derived from
+``events``) are shared text; everything downstream is written from the
+operator semantics, not from the Spark code.
+"""
+
+from __future__ import annotations
+
+# ---------------------------------------------------------------- fixtures
+EV = "select user_id, event_id, cast(floor(epoch_us(ts)/1000000.0) as bigint) as epoch_s from events"
+
+POS = f"""
+pos as (
+ select user_id, event_id, copy,
+  cast(1711404000 + (user_id % 10)*86400 + k as bigint) as vehicle_ts,
+  cast(1711404000 + (user_id % 10)*86400 + k + copy*30 + case when event_id % 50 = 0 then 500 else 10 end as bigint) as feed_ts,
+  concat('V', cast(user_id as varchar)) as vehicle_id,
+  case when event_id % 41 = 0 then null else concat('T', cast(user_id as varchar), '_', cast(cast(floor(k/1500.0) as int) as varchar)) end as trip_id,
+  concat('R', cast(user_id % 8 as varchar)) as route_id,
+  case when event_id % 97 = 0 then 45.0e0 else 41.89e0 + (user_id % 8)*0.001e0 + ((event_id % 7) - 3)*0.00004e0 end as lat,
+  12.45e0 + 0.00005e0*k + (((event_id*37) % 11) - 5)*0.0002e0 as lon,
+  lpad(cast(event_id as varchar), 12, '0') as entity_id,
+  concat('fixture/', cast(cast(1711404000 + (user_id % 10)*86400 + k + copy*30 + case when event_id % 50 = 0 then 500 else 10 end as bigint) as varchar), '.json') as source_file
+ from (select user_id, event_id, unnest(generate_series(0, event_id % 3)) as copy,
+              cast(floor((epoch_s - 1704067200)/600.0) as bigint) as k from ({EV}) e) q
+)"""
+
+CLEAN = """
+clean as (
+ select * from pos
+ where vehicle_ts is not null and vehicle_id is not null
+   and lat between 41.68e0 and 42.10e0 and lon between 12.20e0 and 12.75e0
+   and feed_ts - vehicle_ts <= 120
+)"""
+
+DEDUP = """
+dedup as (
+ select * from clean
+ qualify row_number() over (partition by vehicle_id, vehicle_ts order by feed_ts, entity_id, source_file) = 1
+)"""
+
+
+def haversine(lat1, lon1, lat2, lon2):
+    h1 = f"(radians({lat2} - {lat1}) / 2)"
+    h2 = f"(radians({lon2} - {lon1}) / 2)"
+    return (f"(2 * 6371000.0e0 * asin(sqrt(sin({h1}) * sin({h1}) + "
+            f"cos(radians({lat1})) * cos(radians({lat2})) * sin({h2}) * sin({h2}))))")
+
+
+SEG = f"""
+paired as (
+ select *, lag(lat) over w as plat, lag(lon) over w as plon, lag(vehicle_ts) over w as pts, lag(trip_id) over w as ptrip
+ from dedup window w as (partition by vehicle_id order by vehicle_ts)
+),
+seg0 as (
+ select vehicle_id, trip_id, route_id, pts as from_epoch, vehicle_ts as to_epoch, vehicle_ts - pts as duration_s,
+   plat as from_lat, plon as from_lon, lat as to_lat, lon as to_lon, {haversine('plat', 'plon', 'lat', 'lon')} as distance_m
+ from paired where pts is not null and trip_id = ptrip and vehicle_ts - pts between 5 and 90
+),
+seg as (
+ select *, distance_m / duration_s * 3.6e0 as speed_kmh,
+   cast(timezone('Europe/Rome', to_timestamp(to_epoch)) as date) as date_rome,
+   cast(hour(timezone('Europe/Rome', to_timestamp(to_epoch))) as integer) as hour_rome
+ from seg0 where distance_m / duration_s * 3.6e0 <= 100
+)"""
+
+
+def with_(*ctes: str) -> str:
+    return "with " + ",".join(ctes)
+
+
+SEG_COLS = ("vehicle_id, trip_id, route_id, from_epoch, to_epoch, duration_s, distance_m, speed_kmh, "
+            "from_lat, from_lon, to_lat, to_lon")
+
+Q: dict[str, str] = {}
+
+Q["positions_clean"] = with_(POS, CLEAN) + """
+select entity_id, vehicle_id, trip_id, route_id, feed_ts as feed_epoch, vehicle_ts as vehicle_epoch,
+  lat as latitude, lon as longitude, cast(to_timestamp(feed_ts) as date) as date
+from clean"""
+
+Q["positions_dedup"] = with_(POS, CLEAN, DEDUP) + """
+select entity_id, vehicle_id, trip_id, feed_ts as feed_epoch, vehicle_ts as vehicle_epoch, lat as latitude, lon as longitude
+from dedup"""
+
+Q["segments"] = with_(POS, CLEAN, DEDUP, SEG) + f"select {SEG_COLS} from seg"
+
+Q["segments_local_time"] = with_(POS, CLEAN, DEDUP, SEG) + """
+select vehicle_id, to_epoch, date_rome, hour_rome, cast(isodow(date_rome) - 1 as integer) as dow
+from seg where date_rome between date '2024-03-26' and date '2024-04-03'"""
+
+Q["route_hour_speed"] = with_(POS, CLEAN, DEDUP, SEG) + """
+select route_id, cast(isodow(date_rome) - 1 as integer) as dow, hour_rome,
+  count(*) as segments, round(quantile_disc(speed_kmh, 0.5), 1) as median_speed_kmh
+from seg group by all"""
