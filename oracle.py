@@ -95,3 +95,299 @@ Q["route_hour_speed"] = with_(POS, CLEAN, DEDUP, SEG) + """
 select route_id, cast(isodow(date_rome) - 1 as integer) as dow, hour_rome,
   count(*) as segments, round(quantile_disc(speed_kmh, 0.5), 1) as median_speed_kmh
 from seg group by all"""
+
+# ------------------------------------------------------------------- ways
+# vertex rows of every way: (way_id, vseq, lat, lon, name, highway, bus_ok, present)
+VERT = f"""
+grid_v as (
+ select 1000*kind + 10*r + j as way_id, s as vseq,
+   41.89e0 + r*0.001e0 + (kind-1)*0.0001e0 as lat, 12.445e0 + j*0.04e0 + s*0.005e0 as lon
+ from (select kind, r, j, unnest(generate_series(0, 8)) as s from
+   (select kind, r, unnest(generate_series(0, 5)) as j from
+     (select kind, unnest(generate_series(0, 7)) as r from (select unnest(generate_series(1, 2)) as kind) a) b) c) d
+ union all
+ select 3000 + j, 0, 41.8895e0 + j*0.0e0, 12.4475e0 + j*0.02e0 from (select unnest(generate_series(0, 10)) as j) x
+ union all
+ select 3000 + j, 1, 41.8975e0 + j*0.0e0, 12.4475e0 + j*0.02e0 from (select unnest(generate_series(0, 10)) as j) x
+),
+grid_w as (
+ select distinct way_id, concat('Street ', cast(way_id as varchar)) as name,
+   case when way_id < 2000 then 'primary' when way_id < 3000 then 'residential' else 'tertiary' end as highway
+ from grid_v
+),
+blk as (select event_id // 8 as b, cast(event_id % 8 as integer) as pos from events),
+blk_v as (
+ select b + 100000 as way_id, pos as vseq,
+   case when b % 19 = 0 then 45.0e0 else 41.95e0 + (b % 120)*0.001e0 + pos*0.00001e0 end as lat,
+   12.25e0 + ((b // 120) % 40)*0.01e0 + pos*0.0002e0 as lon
+ from blk where not (b % 13 = 0 and pos > 0) and b % 17 <> 0
+),
+blk_w as (
+ select distinct b + 100000 as way_id,
+   case when b % 9 = 0 then null else concat('Via ', cast(b as varchar)) end as name,
+   ['primary','residential','service','service','footway','living_street','busway'][b % 7 + 1] as highway,
+   b % 7 = 2 as bus_ok
+ from blk
+),
+way_v as (select * from grid_v union all select * from blk_v),
+way_t as (select way_id, name, highway, false as bus_ok from grid_w union all select * from blk_w),
+sel as (
+ select t.way_id, t.name as street, t.highway, count(*) as vertices
+ from way_t t join way_v v using (way_id)
+ where t.highway in ('motorway','trunk','primary','secondary','tertiary','unclassified','residential','living_street',
+                     'motorway_link','trunk_link','primary_link','secondary_link','tertiary_link','busway')
+    or (t.highway = 'service' and t.bus_ok)
+ group by all
+ having bool_or(v.lat between 41.68e0 and 42.10e0 and v.lon between 12.20e0 and 12.75e0)
+),
+edge0 as (
+ select v.way_id, s.street, s.highway,
+   cast(row_number() over w - 1 as bigint) as seq, v.lat as from_lat, v.lon as from_lon,
+   lead(v.lat) over w as to_lat, lead(v.lon) over w as to_lon
+ from way_v v join sel s using (way_id) window w as (partition by v.way_id order by v.vseq)
+),
+edges as (
+ select way_id, street, highway, seq, from_lat, from_lon, to_lat, to_lon,
+   {haversine('from_lat', 'from_lon', 'to_lat', 'to_lon')} as length_m
+ from edge0 where to_lat is not null
+),
+street_len as (select way_id, sum(length_m) as street_m from edges group by way_id)"""
+
+CELL = "cast(floor(({x}) / 0.00025e0) as integer)"
+
+
+def cell(x):
+    return CELL.format(x=x)
+
+
+ECELLS = f"""
+ecells as (
+ select distinct way_id, seq, {cell('from_lat + (cast(st as double) / steps) * (to_lat - from_lat)')} as cell_lat,
+   {cell('from_lon + (cast(st as double) / steps) * (to_lon - from_lon)')} as cell_lon
+ from (select *, unnest(generate_series(0, steps)) as st from
+   (select *, greatest(cast(ceil(length_m / 10.0e0) as integer), 1) as steps from edges) a) b
+)"""
+
+
+def snap(lat, lon):
+    x, y = f"({lon} * 82800.0e0)", f"({lat} * 111320.0e0)"
+    x1, y1, x2, y2 = "(e.from_lon * 82800.0e0)", "(e.from_lat * 111320.0e0)", "(e.to_lon * 82800.0e0)", "(e.to_lat * 111320.0e0)"
+    dx, dy = f"({x2} - {x1})", f"({y2} - {y1})"
+    l2 = f"({dx} * {dx} + {dy} * {dy})"
+    t = f"least(greatest(case when {l2} > 0 then (({x} - {x1}) * {dx} + ({y} - {y1}) * {dy}) / {l2} else 0.0e0 end, 0.0e0), 1.0e0)"
+    ex, ey = f"({x} - ({x1} + {t} * {dx}))", f"({y} - ({y1} + {t} * {dy}))"
+    return f"sqrt({ex} * {ex} + {ey} * {ey})"
+
+
+# --------------------------------------------------------------- schedule
+RELS = """(select date '2024-03-27' as static_date, 0 as n union all select date '2024-03-28', 1
+  union all select date '2024-03-30', 2 union all select date '2024-04-02', 3 union all select date '2024-04-05', 4)"""
+
+SCHED = f"""
+trips as (
+ select v.static_date, concat('T', cast(u.user_id as varchar), '_', cast(u.i as varchar)) as trip_id,
+   concat('S', cast(u.user_id % 8 as varchar)) as shape_id
+ from (select user_id, unnest(generate_series(0, 2)) as i from (select distinct user_id from events) z) u
+ cross join {RELS} v
+ where (u.user_id + u.i + v.n) % 6 <> 0
+),
+shapes as (
+ select v.static_date, concat('S', cast(r as varchar)) as shape_id, cast(seq as integer) as seq,
+   41.89002e0 + r*0.001e0 + case when r = 2 and v.n >= 3 then 0.00001e0 else 0e0 end as lat, 12.44e0 + seq*0.01e0 as lon
+ from (select r, unnest(generate_series(0, 24)) as seq from (select unnest(generate_series(0, 7)) as r) a) s
+ cross join {RELS} v
+),
+used as (
+ select * from shapes p
+ where exists (select 1 from trips t where t.static_date = p.static_date and t.shape_id = p.shape_id and t.shape_id <> '')
+),
+geom as (select static_date, shape_id, list((seq, lat, lon) order by seq) as g from used group by all),
+geom_rep as (
+ select g, static_date as rep_date, shape_id as rep_shape from geom
+ qualify row_number() over (partition by g order by static_date, shape_id) = 1
+),
+line_rep as (select l.static_date, l.shape_id, r.rep_date, r.rep_shape from geom l join geom_rep r using (g)),
+trip_shape as (
+ select t.static_date, t.trip_id, t.shape_id, l.rep_date, l.rep_shape
+ from trips t join line_rep l using (static_date, shape_id) where t.shape_id <> ''
+),
+rep_pts as (
+ select r.rep_date, r.rep_shape, p.seq, p.lat, p.lon
+ from geom_rep r join shapes p on p.static_date = r.rep_date and p.shape_id = r.rep_shape
+),
+nxt as (
+ select *, lead(lat) over w as next_lat, lead(lon) over w as next_lon
+ from rep_pts window w as (partition by rep_date, rep_shape order by seq)
+),
+gaps as (
+ select *, sqrt(((next_lon - lon) * 82800.0e0) * ((next_lon - lon) * 82800.0e0)
+              + ((next_lat - lat) * 111320.0e0) * ((next_lat - lat) * 111320.0e0)) as gap_m
+ from nxt where next_lat is not null
+),
+samples as (
+ select rep_date, rep_shape, seq, step, lat + (cast(step as double) / steps) * (next_lat - lat) as lat,
+   lon + (cast(step as double) / steps) * (next_lon - lon) as lon, gap_m / steps as piece_m
+ from (select *, unnest(generate_series(0, steps - 1)) as step from
+   (select *, greatest(cast(ceil(gap_m / 5.0e0) as integer), 1) as steps from gaps) a) b
+)
+"""
+
+LINES = f"""
+ecand as (
+ select distinct e.way_id, e.seq as edge_seq, e.street, e.highway, e.from_lat, e.from_lon, e.to_lat, e.to_lon, c.cell_lat, c.cell_lon
+ from ecells c join edges e using (way_id, seq)
+),
+sample_cells as (
+ select s.*, {cell('s.lat')} + dlat as cl, {cell('s.lon')} + dlon as cn
+ from samples s, (select unnest([-1, 0, 1]) as dlat) a, (select unnest([-1, 0, 1]) as dlon) b
+),
+sample_cand as (
+ select distinct s.rep_date, s.rep_shape, s.seq, s.step, s.piece_m, e.way_id, e.edge_seq, {snap('s.lat', 's.lon')} as snap_m
+ from sample_cells s join ecand e on e.cell_lat = s.cl and e.cell_lon = s.cn
+),
+sample_near as (
+ select * from sample_cand where snap_m <= 25
+ qualify row_number() over (partition by rep_date, rep_shape, seq, step order by snap_m, way_id) = 1
+),
+shape_streets as (
+ select m.rep_date, m.rep_shape, m.way_id, count(*) as points, round(avg(snap_m), 1) as snap_m,
+   round(sum(piece_m), 1) as span_m, any_value(l.street_m) as street_m
+ from sample_near m join street_len l using (way_id)
+ group by m.rep_date, m.rep_shape, m.way_id
+ having round(sum(piece_m), 1) >= least(30.0e0, any_value(l.street_m))
+)"""
+
+Q["ways_selected"] = with_(VERT) + " select way_id, street, highway, cast(vertices as integer) as vertices from sel"
+Q["street_edges"] = with_(VERT) + """
+select way_id, street, highway, seq, from_lat, from_lon, to_lat, to_lon, round(length_m, 6) as length_m from edges"""
+Q["street_length"] = with_(VERT) + " select way_id, round(street_m, 6) as street_m from street_len"
+Q["edge_cells"] = with_(VERT, ECELLS) + " select way_id, seq, cell_lat, cell_lon from ecells"
+
+Q["trips_with_shape"] = with_(SCHED) + " select * from trips where shape_id is not null and shape_id <> ''"
+Q["shape_groups"] = with_(SCHED) + """
+select s.static_date, s.shape_id, r.rep_date, r.rep_shape
+from (select static_date, shape_id, list((seq, lat, lon) order by seq) as g from shapes group by all) s
+join (select g, static_date as rep_date, shape_id as rep_shape from
+        (select static_date, shape_id, list((seq, lat, lon) order by seq) as g from shapes group by all)
+      qualify row_number() over (partition by g order by static_date, shape_id) = 1) r using (g)"""
+Q["representative_shape"] = with_(SCHED) + " select rep_date as static_date, rep_shape as shape_id from geom_rep"
+Q["used_shapes"] = with_(SCHED) + " select * from used"
+Q["unmatched_lines"] = with_(SCHED) + """
+select static_date, shape_id from (
+ select static_date, shape_id, g from geom where static_date > date '2024-03-30'
+ qualify row_number() over (partition by g order by static_date, shape_id) = 1) n
+where g not in (select g from geom where static_date <= date '2024-03-30')"""
+Q["line_resample"] = with_(SCHED) + " select rep_date, rep_shape, seq, step, lat, lon, piece_m from samples"
+Q["neighbour_cells"] = with_(SCHED) + f"""
+select rep_date, rep_shape, seq, step, {cell('lat')} + dlat as cell_lat, {cell('lon')} + dlon as cell_lon
+from samples, (select unnest([-1, 0, 1]) as dlat) a, (select unnest([-1, 0, 1]) as dlon) b"""
+
+Q["line_nearest_way"] = with_(VERT, ECELLS, SCHED, LINES) + " select rep_date, rep_shape, seq, step, way_id, snap_m from sample_near"
+Q["shape_streets"] = with_(VERT, ECELLS, SCHED, LINES) + """
+select rep_date, rep_shape, way_id, points, snap_m, round(street_m, 6) as street_m, span_m from shape_streets"""
+Q["trip_shape"] = with_(SCHED) + " select * from trip_shape"
+
+# ------------------------------------------------ releases, version lookup
+REL_FILES = """
+rel_files as (select static_date, cast(count(*) * 64 + 6400 as bigint) as length from trips group by static_date),
+acc as (
+ select static_date, length,
+   coalesce(static_date in (select cast(x as date) from (values ('2024-03-27')) v(x)) and {loaded}, false)
+   or lag(length) over (order by static_date) is null or lag(length) over (order by static_date) = 0
+   or length >= 0.8e0 * lag(length) over (order by static_date) as accepted
+ from rel_files
+)"""
+
+Q["release_acceptance"] = with_(SCHED, REL_FILES.format(loaded="false")) + " select * from acc"
+Q["version_cutoff"] = with_(SCHED, REL_FILES.format(loaded="false")) + """
+select coalesce(max(static_date) filter (where static_date <= date '2024-06-27' - interval 90 day), min(static_date)) :: date as cutoff
+from acc where accepted"""
+Q["new_releases"] = with_(SCHED, REL_FILES.format(loaded="true")) + """
+select static_date from acc
+where accepted and static_date >= (select coalesce(max(static_date) filter (where static_date <= date '2024-06-27' - interval 90 day),
+                                               min(static_date)) from acc where accepted)
+  and static_date not in (date '2024-03-27')"""
+
+VERSIONS = """
+days as (select distinct date_rome from seg),
+rels as (select distinct static_date from trip_shape),
+day_rel as (
+ select d.date_rome,
+   coalesce((select max(static_date) from rels r where r.static_date <= d.date_rome), (select min(static_date) from rels)) as in_force,
+   (select min(static_date) from rels r where r.static_date > d.date_rome) as next_rel
+ from days d
+),
+day_versions as (
+ select date_rome, in_force as static_date, 1 as priority from day_rel where in_force is not null
+ union all select date_rome, next_rel, 2 from day_rel where next_rel is not null
+),
+trip_lookup as (
+ select * from (select v.date_rome, t.trip_id, t.rep_date, t.rep_shape, v.priority
+                from day_versions v join trip_shape t using (static_date))
+ qualify row_number() over (partition by date_rome, trip_id order by priority) = 1
+),
+route_edges as (
+ select distinct s.rep_date, s.rep_shape, e.way_id, e.seq as edge_seq, e.street, e.highway,
+   e.from_lat, e.from_lon, e.to_lat, e.to_lon, c.cell_lat, c.cell_lon
+ from shape_streets s join edges e using (way_id) join ecells c on c.way_id = e.way_id and c.seq = e.seq
+ where (s.rep_date, s.rep_shape) in (select (rep_date, rep_shape) from trip_lookup)
+),
+seg_pts as (
+ select s.*, l.rep_date, l.rep_shape, cast(isodow(s.date_rome) - 1 as integer) as dow,
+   (s.from_lat + s.to_lat) / 2 as mid_lat, (s.from_lon + s.to_lon) / 2 as mid_lon
+ from seg s join trip_lookup l using (date_rome, trip_id)
+),
+seg_cells as (
+ select p.*, {c_lat} + dlat as cl, {c_lon} + dlon as cn
+ from seg_pts p, (select unnest([-1, 0, 1]) as dlat) a, (select unnest([-1, 0, 1]) as dlon) b
+),
+seg_cand as (
+ select distinct p.date_rome, p.dow, p.hour_rome, p.vehicle_id, p.route_id, p.to_epoch, p.speed_kmh,
+   e.way_id, e.edge_seq, e.street, e.highway, {snap_m} as snap_m
+ from seg_cells p join route_edges e
+   on e.rep_date = p.rep_date and e.rep_shape = p.rep_shape and e.cell_lat = p.cl and e.cell_lon = p.cn
+),
+seg_streets as (
+ select * from seg_cand where snap_m <= 25
+ qualify row_number() over (partition by vehicle_id, to_epoch order by snap_m, way_id) = 1
+)""".format(c_lat=cell("p.mid_lat"), c_lon=cell("p.mid_lon"), snap_m=snap("p.mid_lat", "p.mid_lon"))
+
+ALL = (POS, CLEAN, DEDUP, SEG, VERT, ECELLS, SCHED, LINES, VERSIONS)
+
+Q["release_in_force"] = with_(*ALL) + " select date_rome, static_date from day_versions where priority = 1"
+Q["next_release"] = with_(*ALL) + " select date_rome, static_date from day_versions where priority = 2"
+Q["trip_lookup"] = with_(*ALL) + " select date_rome, trip_id, cast(priority as integer) as priority, rep_date, rep_shape from trip_lookup"
+Q["route_edges"] = with_(*ALL) + " select distinct rep_date, rep_shape, way_id, edge_seq as seq from route_edges"
+Q["segment_nearest_way"] = with_(*ALL) + """
+select date_rome, dow, hour_rome, vehicle_id, route_id, way_id, street, highway, speed_kmh, snap_m from seg_streets"""
+
+SPEED = """
+street_speed as (
+ select way_id, street, highway, dow, hour_rome, count(*) as segments,
+   count(distinct vehicle_id) as vehicles, count(distinct route_id) as routes, count(distinct date_rome) as days,
+   round(avg(speed_kmh), 1) as avg_speed_kmh, round(quantile_disc(speed_kmh, 0.5), 1) as median_speed_kmh,
+   cast((200 * count(*) filter (where speed_kmh > 1) + count(*)) // (2 * count(*)) as double) / 100.0e0 as moving_share,
+   round(avg(snap_m), 1) as snap_m
+ from seg_streets group by way_id, street, highway, dow, hour_rome
+ having count(*) >= 20
+)"""
+Q["street_speed"] = with_(*ALL, SPEED) + " select * from street_speed"
+Q["street_geometry"] = with_(*ALL, SPEED) + """
+select way_id, cast(seq as integer) as vertex, from_lon as lon, from_lat as lat
+from edges where way_id in (select way_id from street_speed)
+union all
+select way_id, cast(seq + 1 as integer), to_lon, to_lat from edges
+where way_id in (select way_id from street_speed)
+qualify seq = max(seq) over (partition by way_id)"""
+
+Q["point_edge_distance"] = with_(POS, CLEAN, DEDUP, SEG, VERT, ECELLS) + """,
+ecand as (
+ select distinct e.way_id, e.seq as edge_seq, e.from_lat, e.from_lon, e.to_lat, e.to_lon, c.cell_lat, c.cell_lon
+ from ecells c join edges e using (way_id, seq)
+),
+pts as (select vehicle_id, to_epoch, (from_lat + to_lat) / 2 as lat, (from_lon + to_lon) / 2 as lon from seg),
+pc as (select p.*, {c_lat} + dlat as cl, {c_lon} + dlon as cn from pts p,
+       (select unnest([-1, 0, 1]) as dlat) a, (select unnest([-1, 0, 1]) as dlon) b)
+select distinct p.vehicle_id, p.to_epoch, e.way_id, e.edge_seq as seq, {snap_m} as snap_m
+from pc p join ecand e on e.cell_lat = p.cl and e.cell_lon = p.cn""".format(
+    c_lat=cell("p.lat"), c_lon=cell("p.lon"), snap_m=snap("p.lat", "p.lon"))

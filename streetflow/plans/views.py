@@ -64,3 +64,223 @@ def segments_local_time(spark: SparkSession, sf_dir: str) -> DataFrame:
 def route_hour_speed(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     return SP.route_hour_speed(_segments(spark, sf_dir))
+
+
+# ----------------------------------------------------------------- streets
+from streetflow.config import DEFAULT  # noqa: E402
+from streetflow.operators import grid as G  # noqa: E402
+from streetflow.operators import match as M  # noqa: E402
+from streetflow.operators import schedule as SCH  # noqa: E402
+from streetflow.operators import streets as ST  # noqa: E402
+from streetflow.plans import stages  # noqa: E402
+
+
+def _edges(spark, sf_dir):
+    return stages.edges_stage(fx.ways(spark, sf_dir))
+
+
+def ways_selected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return ST.select_ways(fx.ways(spark, sf_dir)).select(
+        "way_id", F.col("tags")["name"].alias("street"), F.col("tags")["highway"].alias("highway"),
+        F.size("geometry").alias("vertices"),
+    )
+
+
+def street_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JVM and C-library sine/cosine may differ in the last bit, so the view
+    shows haversine lengths to the micrometre."""
+    prepare(spark)
+    return _edges(spark, sf_dir).withColumn("length_m", F.round("length_m", 6))
+
+
+def street_length(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sums of doubles depend on the engine's addition order, so the view shows
+    them to the micrometre."""
+    prepare(spark)
+    return ST.street_length(_edges(spark, sf_dir)).select("way_id", F.round("street_m", 6).alias("street_m"))
+
+
+def edge_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    e = _edges(spark, sf_dir).select("way_id", "seq", *G.EDGE_GEOM, "length_m")
+    return G.edge_cells(e).select("way_id", "seq", "cell_lat", "cell_lon")
+
+
+# ---------------------------------------------------------------- schedule
+
+def _reps_named(reps: DataFrame) -> DataFrame:
+    return reps.select("shape_hash", F.col("static_date").alias("rep_date"), F.col("shape_id").alias("rep_shape"))
+
+
+def _lines(spark, sf_dir):
+    return stages.lines_stage(fx.shapes(spark, sf_dir), fx.trips(spark, sf_dir), _edges(spark, sf_dir))
+
+
+def _release_files(spark, sf_dir):
+    """Release metadata (static_date, length) standing in for the schedule
+    files: the size grows with the trips the release lists."""
+    t = fx.trips(spark, sf_dir).groupBy("static_date").count()
+    return t.select("static_date", (F.col("count") * 64 + 6400).cast("long").alias("length"))
+
+
+LOADED = ("2024-03-27",)
+TODAY = dt.date(2024, 6, 27)
+
+
+def release_acceptance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return SCH.release_acceptance(_release_files(spark, sf_dir))
+
+
+def version_cutoff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return SCH.version_cutoff(SCH.release_acceptance(_release_files(spark, sf_dir)), TODAY)
+
+
+def new_releases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    loaded = spark.createDataFrame([(dt.date.fromisoformat(d),) for d in LOADED], "static_date date")
+    acc = SCH.release_acceptance(_release_files(spark, sf_dir), loaded)
+    return SCH.new_releases(acc, TODAY, loaded)
+
+
+def trips_with_shape(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return SCH.trips_with_shape(fx.trips(spark, sf_dir))
+
+
+def shape_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines sharing one geometry, shown by their representative (hash text is engine-specific)."""
+    prepare(spark)
+    h = SCH.shape_hashes(fx.shapes(spark, sf_dir))
+    reps = _reps_named(SCH.representatives(h))
+    return h.join(reps, "shape_hash").select("static_date", "shape_id", "rep_date", "rep_shape")
+
+
+def representative_shape(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    lines = _lines(spark, sf_dir)
+    return lines.new_shapes.select("static_date", "shape_id")
+
+
+def used_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return SCH.used_points(fx.shapes(spark, sf_dir), fx.trips(spark, sf_dir))
+
+
+def unmatched_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Geometries of releases after 2024-03-30 not seen in the earlier ones."""
+    prepare(spark)
+    h = SCH.shape_hashes(SCH.used_points(fx.shapes(spark, sf_dir), fx.trips(spark, sf_dir)))
+    cut = F.lit(dt.date(2024, 3, 30))
+    known = h.where(F.col("static_date") <= cut)
+    new = SCH.representatives(h.where(F.col("static_date") > cut))
+    return SCH.unmatched(new, known).select("static_date", "shape_id")
+
+
+def _with_rep(df: DataFrame, lines) -> DataFrame:
+    return df.join(_reps_named(lines.new_shapes), "shape_hash").drop("shape_hash")
+
+
+def line_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    lines = _lines(spark, sf_dir)
+    return _with_rep(lines.samples, lines)
+
+
+def neighbour_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    lines = _lines(spark, sf_dir)
+    s = lines.samples.withColumn("cell_lat", G.grid_cell("lat")).withColumn("cell_lon", G.grid_cell("lon"))
+    return _with_rep(G.neighbour_cells(s), lines).select("rep_date", "rep_shape", "seq", "step", "cell_lat", "cell_lon")
+
+
+def line_nearest_way(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    lines = _lines(spark, sf_dir)
+    return _with_rep(lines.matched.select("shape_hash", "seq", "step", "way_id", "snap_m"), lines)
+
+
+def shape_streets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    lines = _lines(spark, sf_dir)
+    return _with_rep(lines.shape_streets, lines).withColumn("street_m", F.round("street_m", 6))
+
+
+def trip_shape(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    lines = _lines(spark, sf_dir)
+    return _with_rep(lines.trip_shape, lines)
+
+
+# ------------------------------------------------------ version lookup, snap
+
+def _day_versions(spark, sf_dir, lines=None):
+    lines = lines or _lines(spark, sf_dir)
+    days = _segments(spark, sf_dir).select("date_rome").distinct()
+    return M.day_versions(days, lines.trip_shape.select("static_date").distinct())
+
+
+def release_in_force(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return _day_versions(spark, sf_dir).where("priority = 1").select("date_rome", "static_date")
+
+
+def next_release(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return _day_versions(spark, sf_dir).where("priority = 2").select("date_rome", "static_date")
+
+
+def trip_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    lines = _lines(spark, sf_dir)
+    th = M.trip_lookup(_day_versions(spark, sf_dir, lines), lines.trip_shape)
+    return _with_rep(th, lines)
+
+
+def route_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    lines = _lines(spark, sf_dir)
+    th = M.trip_lookup(_day_versions(spark, sf_dir, lines), lines.trip_shape)
+    re = M.route_edges(lines.shape_streets, th.select("shape_hash").distinct(), _edges(spark, sf_dir))
+    return _with_rep(re.select("shape_hash", "way_id", "seq"), lines)
+
+
+def point_edge_distance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every (segment midpoint, edge) pair sharing a grid neighbourhood with
+    the exact point-to-edge distance, over the whole street network."""
+    prepare(spark)
+    segs = _segments(spark, sf_dir).select(
+        "vehicle_id", epoch_s("to_ts").alias("to_epoch"),
+        ((F.col("from_lat") + F.col("to_lat")) / 2).alias("lat"),
+        ((F.col("from_lon") + F.col("to_lon")) / 2).alias("lon"),
+    )
+    search = G.searchable_edges(_edges(spark, sf_dir))
+    return G.candidates(segs, search).select("vehicle_id", "to_epoch", "way_id", F.col("edge_seq").alias("seq"), "snap_m")
+
+
+def _segment_streets(spark, sf_dir, with_key=False):
+    lines = _lines(spark, sf_dir)
+    segs = _segments(spark, sf_dir)
+    ss = stages.segment_streets_stage(segs, lines.trip_shape, lines.shape_streets, _edges(spark, sf_dir))
+    return ss
+
+
+def segment_nearest_way(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return _segment_streets(spark, sf_dir)
+
+
+def street_speed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return SP.street_speed(_segment_streets(spark, sf_dir), DEFAULT)
+
+
+def street_geometry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Published polylines flattened to one row per vertex."""
+    prepare(spark)
+    geo = SP.street_geometry(_edges(spark, sf_dir), street_speed(spark, sf_dir))
+    return geo.select("way_id", F.posexplode("path").alias("vertex", "xy")).select(
+        "way_id", "vertex", F.col("xy")[0].alias("lon"), F.col("xy")[1].alias("lat")
+    )
