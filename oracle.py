@@ -391,3 +391,103 @@ pc as (select p.*, {c_lat} + dlat as cl, {c_lon} + dlon as cn from pts p,
 select distinct p.vehicle_id, p.to_epoch, e.way_id, e.edge_seq as seq, {snap_m} as snap_m
 from pc p join ecand e on e.cell_lat = p.cl and e.cell_lon = p.cn""".format(
     c_lat=cell("p.lat"), c_lon=cell("p.lon"), snap_m=snap("p.lat", "p.lon"))
+
+# ------------------------------------------------------------ quality gates
+CHECK_COLS = "check_name, passed, skipped, value, threshold"
+
+FRESH = """
+fresh as (
+ select 'freshness' as check_name, coalesce(lag_s <= 3600.0e0, false) as passed, false as skipped,
+   cast(lag_s as double) as value, 3600.0e0 as threshold
+ from (select epoch(timestamp '2024-04-04 00:30:00') - max(feed_ts) as lag_s
+       from pos where cast(to_timestamp(feed_ts) as date) >= date '2024-04-03') a
+)"""
+COMPLETE = """
+complete as (
+ select 'day_completeness' as check_name, usual is null or latest >= 0.5e0 * usual as passed, usual is null as skipped,
+   cast(latest as double) as value, 0.5e0 * usual as threshold
+ from (select median(cnt) filter (where date_rome < date '2024-04-01') as usual,
+              coalesce(sum(cnt) filter (where date_rome = date '2024-04-01'), 0) as latest
+       from (select date_rome, count(*) as cnt from seg_streets
+             where date_rome between date '2024-03-25' and date '2024-04-01' group by date_rome) d) a
+)"""
+RETAIN = """
+retain as (
+ select 'street_retention' as check_name, streets >= 0.9e0 * published as passed, false as skipped,
+   cast(streets as double) as value, 0.9e0 * published as threshold
+ from (select (select count(distinct way_id) from street_speed where hour_rome >= 2) as streets,
+              (select count(distinct way_id) from street_speed where hour_rome >= 1) as published) a
+)"""
+Q["freshness"] = with_(POS, FRESH) + f" select {CHECK_COLS} from fresh"
+Q["day_completeness"] = with_(*ALL, COMPLETE) + f" select {CHECK_COLS} from complete"
+Q["street_retention"] = with_(*ALL, SPEED, RETAIN) + f" select {CHECK_COLS} from retain"
+Q["checks"] = with_(*ALL, SPEED, FRESH, COMPLETE, RETAIN) + f"""
+select {CHECK_COLS} from fresh union all select {CHECK_COLS} from complete union all select {CHECK_COLS} from retain"""
+
+Q["days_to_process"] = with_(POS, CLEAN, DEDUP, SEG) + """
+select start_date, end_date from (
+ select greatest(coalesce(cast(max(date_rome) + interval 1 day as date), date '2024-01-06'), date '2024-01-06') as start_date,
+        date '2024-04-04' as end_date
+ from seg where date_rome <= date '2024-03-30') a
+where start_date <= end_date"""
+Q["days_to_process_gated"] = with_(*ALL) + """
+select start_date, end_date from (
+ select greatest(coalesce(cast(max(date_rome) + interval 1 day as date), date '2024-01-08'), date '2024-01-08') as start_date,
+        least(date '2024-04-06', cast((select max(static_date) from trip_shape) - interval 1 day as date)) as end_date
+ from seg where date_rome <= date '2024-03-30') a
+where start_date <= end_date"""
+
+# ----------------------------------------------------------------- serving
+GEOM = """
+geo as (
+ select way_id, count(*) + 1 as vertices,
+   arg_min(from_lon, seq) as lon0, arg_min(from_lat, seq) as lat0
+ from edges where way_id in (select way_id from street_speed) group by way_id
+),
+map_view as (
+ select s.*, ['Monday','Tuesday','Wednesday','Thursday','Friday','Saturday','Sunday'][s.dow + 1] as dow_name,
+   g.vertices, g.lon0, g.lat0
+ from street_speed s join geo g using (way_id)
+),
+slots as (
+ select distinct dow * 24 + hour_rome as slot from street_speed
+),
+best as (
+ select slot // 24 as dow, slot % 24 as hour_rome from (
+   select slot, ((slot - 34) % 168 + 168) % 168 as ahead from slots) a
+ order by least(ahead, 168 - ahead), ahead < 168 - ahead, slot limit 1
+),
+slot_view as (select m.* from map_view m join best b using (dow, hour_rome))"""
+
+Q["map_load"] = with_(*ALL, SPEED, GEOM) + """
+select way_id, dow, dow_name, hour_rome, median_speed_kmh, cast(vertices as integer) as vertices, lon0, lat0 from map_view"""
+Q["nearest_slot"] = with_(*ALL, SPEED, GEOM) + " select cast(dow as integer) as dow, cast(hour_rome as integer) as hour_rome from best"
+Q["map_slot"] = with_(*ALL, SPEED, GEOM) + """
+select way_id, dow, hour_rome, median_speed_kmh, speed_class,
+  concat('rgb(', p[1], ',', p[2], ',', p[3], ')') as swatch, moving_pct
+from (
+ select *, [[252,206,37],[252,166,54],[242,132,75],[225,100,98],[204,71,120],[177,42,144],[143,13,164]][speed_class + 1] as p
+ from (
+  select *, cast(case when median_speed_kmh is null or isnan(median_speed_kmh) or median_speed_kmh <= 0 then 0
+         else 1 + (median_speed_kmh > 5)::int + (median_speed_kmh > 10)::int + (median_speed_kmh > 15)::int
+                + (median_speed_kmh > 20)::int + (median_speed_kmh > 30)::int end as integer) as speed_class,
+    cast(round_even(moving_share * 100, 0) as integer) as moving_pct
+  from slot_view) a) b"""
+Q["legend_totals"] = with_(*ALL, SPEED, GEOM) + """
+select cast(sum(segments) as bigint) as segments, max(days) as days, count(*) as streets from slot_view having count(*) > 0"""
+Q["street_table"] = with_(*ALL, SPEED, GEOM) + """
+select street, median_speed_kmh, avg_speed_kmh, moving_share, routes, vehicles, segments from slot_view"""
+
+# ------------------------------------------------- snapshots, landing, report
+Q["snapshot_time"] = with_(POS) + """
+select source_file, max(feed_ts) as snapshot_epoch, count(*) as entities, true as valid from pos group by source_file"""
+Q["land_if_absent"] = with_(POS) + """
+select distinct feed_ts as feed_epoch, entity_id, vehicle_id, vehicle_ts as vehicle_epoch from pos
+where cast(to_timestamp(feed_ts) as date) > date '2024-03-29'"""
+Q["run_report"] = with_(*ALL) + """
+select 'edges' as metric, cast(count(*) as double) as value from edges
+union all select 'street_km', round(sum(length_m) / 1000, 3) from edges
+union all select 'ways', cast(count(distinct way_id) as double) from edges
+union all select 'geometries', cast(count(distinct (rep_date, rep_shape)) as double) from line_rep
+union all select 'releases', cast(count(distinct static_date) as double) from trip_shape
+union all select 'segments', cast(count(*) as double) from seg"""

@@ -284,3 +284,148 @@ def street_geometry(spark: SparkSession, sf_dir: str) -> DataFrame:
     return geo.select("way_id", F.posexplode("path").alias("vertex", "xy")).select(
         "way_id", "vertex", F.col("xy")[0].alias("lon"), F.col("xy")[1].alias("lat")
     )
+
+
+# ------------------------------------------------------------ quality gates
+from streetflow.operators import incremental as INC  # noqa: E402
+from streetflow.operators import quality as QC  # noqa: E402
+from streetflow.operators import serving as SV  # noqa: E402
+
+NOW = dt.datetime(2024, 4, 4, 0, 30, 0)        # UTC
+YESTERDAY = dt.date(2024, 4, 1)
+CHECK_VIEW = ["check_name", "passed", "skipped", "value", "threshold"]
+
+
+def freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return QC.freshness(fx.positions(spark, sf_dir), NOW).select(*CHECK_VIEW)
+
+
+def day_completeness(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return QC.day_completeness(_segment_streets(spark, sf_dir), YESTERDAY).select(*CHECK_VIEW)
+
+
+def _published(speed: DataFrame) -> DataFrame:
+    """A previous publication standing in for the published table: the same
+    streets on two more hours of the week."""
+    return speed.where(F.col("hour_rome") >= 1)
+
+
+def street_retention(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    speed = street_speed(spark, sf_dir)
+    return QC.street_retention(speed.where(F.col("hour_rome") >= 2), _published(speed)).select(*CHECK_VIEW)
+
+
+def checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    speed = street_speed(spark, sf_dir)
+    return QC.checks(
+        QC.freshness(fx.positions(spark, sf_dir), NOW),
+        QC.day_completeness(_segment_streets(spark, sf_dir), YESTERDAY),
+        QC.street_retention(speed.where(F.col("hour_rome") >= 2), _published(speed)),
+    ).select(*CHECK_VIEW)
+
+
+def days_to_process(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Loaded through 2024-03-30, today 2024-04-05."""
+    prepare(spark)
+    loaded = _segments(spark, sf_dir).where(F.col("date_rome") <= F.lit(dt.date(2024, 3, 30)))
+    return INC.day_range_df(loaded, dt.date(2024, 4, 5))
+
+
+def days_to_process_gated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As above, today 2024-04-07, waiting for the next day's schedule."""
+    prepare(spark)
+    loaded = _segments(spark, sf_dir).where(F.col("date_rome") <= F.lit(dt.date(2024, 3, 30)))
+    releases = _lines(spark, sf_dir).trip_shape.select("static_date")
+    return INC.day_range_df(loaded, dt.date(2024, 4, 7), releases=releases)
+
+
+# ----------------------------------------------------------------- serving
+NOW_LOCAL = dt.datetime(2024, 4, 2, 10, 0, 0)  # a Tuesday, 10:00 in Rome
+
+
+def _map(spark, sf_dir):
+    speed = street_speed(spark, sf_dir)
+    geo = SP.street_geometry(_edges(spark, sf_dir), speed)
+    return speed, SV.load(speed, geo)
+
+
+def map_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    _, view = _map(spark, sf_dir)
+    return view.select("way_id", "dow", "dow_name", "hour_rome", "median_speed_kmh",
+                       F.size("path").alias("vertices"), F.col("path")[0][0].alias("lon0"),
+                       F.col("path")[0][1].alias("lat0"))
+
+
+def nearest_slot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return SV.nearest_slot(street_speed(spark, sf_dir), NOW_LOCAL)
+
+
+def _slot_view(spark, sf_dir):
+    speed, view = _map(spark, sf_dir)
+    slot = SV.nearest_slot(speed, NOW_LOCAL).select(
+        F.col("dow").alias("_dow"), F.col("hour_rome").alias("_hour"))
+    # one-row slot, broadcast; keeps the chosen weekday and hour
+    v = view.join(F.broadcast(slot), (F.col("dow") == F.col("_dow")) & (F.col("hour_rome") == F.col("_hour")), "left_semi")
+    return v
+
+
+def map_slot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    v = _slot_view(spark, sf_dir)
+    sel = SV.select_slot(v, F.col("dow_name"), F.col("hour_rome"))
+    return sel.select("way_id", "dow", "hour_rome", "median_speed_kmh", "speed_class", "swatch", "moving_pct")
+
+
+def legend_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return SV.legend_totals(_slot_view(spark, sf_dir))
+
+
+def street_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return SV.street_table(_slot_view(spark, sf_dir))
+
+
+# ------------------------------------------------- snapshots, landing, report
+
+def snapshot_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    st = P.snapshot_time(fx.positions(spark, sf_dir), on_missing_header="max")
+    return st.select("source_file", epoch_s("snapshot_ts").alias("snapshot_epoch"), "entities", "valid")
+
+
+def land_if_absent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every snapshot delivered twice; days through 2024-03-29 already landed."""
+    prepare(spark)
+    pos = fx.positions(spark, sf_dir)
+    landed = pos.where(F.col("date") <= F.lit(dt.date(2024, 3, 29)))
+    out = P.land_if_absent(pos.unionByName(pos), landed)
+    return out.select(epoch_s("feed_timestamp").alias("feed_epoch"), "entity_id", "vehicle_id",
+                      epoch_s("vehicle_timestamp").alias("vehicle_epoch"))
+
+
+def run_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Row counts, distinct geometries and street kilometres of a run (AG17, AG13)."""
+    prepare(spark)
+    e = _edges(spark, sf_dir)
+    lines = _lines(spark, sf_dir)
+    parts = [
+        e.agg(F.lit("edges").alias("metric"), F.count(F.lit(1)).cast("double").alias("value")),
+        e.agg(F.lit("street_km").alias("metric"), F.round(F.sum("length_m") / 1000, 3).alias("value")),
+        e.agg(F.lit("ways").alias("metric"), F.count_distinct("way_id").cast("double").alias("value")),
+        lines.hashes.agg(F.lit("geometries").alias("metric"),
+                         F.count_distinct("shape_hash").cast("double").alias("value")),
+        lines.trip_shape.agg(F.lit("releases").alias("metric"),
+                             F.count_distinct("static_date").cast("double").alias("value")),
+        _segments(spark, sf_dir).agg(F.lit("segments").alias("metric"), F.count(F.lit(1)).cast("double").alias("value")),
+    ]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
