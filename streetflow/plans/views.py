@@ -20,8 +20,44 @@ from streetflow.session import prepare
 from streetflow.sources import fixtures as fx
 
 
+# The fixture as a finished daily run: every stage table written once per
+# (session, sf_dir) under the shared checkpoint folder. Views apply the operator
+# under test to the tables it reads in the pipeline.
+_WORLDS: dict = {}
+TODAY_LOCAL = dt.date(2024, 4, 6)
+
+
+def release_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Release metadata (static_date, length) standing in for the schedule
+    files: the size grows with the trips the release lists."""
+    t = fx.trips(spark, sf_dir).groupBy("static_date").count()
+    return t.select("static_date", (F.col("count") * 64 + 6400).cast("long").alias("length"))
+
+
+def world(spark: SparkSession, sf_dir: str):
+    from streetflow.plans import daily
+    from streetflow.plans.tables import TableStore
+    from streetflow.session import scratch_dir
+
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _WORLDS:
+        prepare(spark)
+        store = TableStore(spark, scratch_dir(spark, "fixture-run"))
+        store.create_schema()
+        store.overwrite(daily.BRONZE, fx.positions(spark, sf_dir), ["date"])
+        daily.load_streets(store, fx.ways(spark, sf_dir))
+        daily.run_daily(spark, store, TODAY_LOCAL, release_files(spark, sf_dir), fx.shapes(spark, sf_dir),
+                        fx.trips(spark, sf_dir), enforce_checks=False)
+        _WORLDS[key] = store
+    return _WORLDS[key]
+
+
+def _table(spark, sf_dir, name):
+    return world(spark, sf_dir).read(name)
+
+
 def _segments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return S.with_local_time(S.segments(P.dedupe(P.clean(fx.positions(spark, sf_dir)))))
+    return _table(spark, sf_dir, "vehicle_segments")
 
 
 def positions_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -76,6 +112,10 @@ from streetflow.plans import stages  # noqa: E402
 
 
 def _edges(spark, sf_dir):
+    return _table(spark, sf_dir, "street_edges")
+
+
+def _fresh_edges(spark, sf_dir):
     return stages.edges_stage(fx.ways(spark, sf_dir))
 
 
@@ -91,7 +131,7 @@ def street_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     """JVM and C-library sine/cosine may differ in the last bit, so the view
     shows haversine lengths to the micrometre."""
     prepare(spark)
-    return _edges(spark, sf_dir).withColumn("length_m", F.round("length_m", 6))
+    return _fresh_edges(spark, sf_dir).withColumn("length_m", F.round("length_m", 6))
 
 
 def street_length(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -118,10 +158,7 @@ def _lines(spark, sf_dir):
 
 
 def _release_files(spark, sf_dir):
-    """Release metadata (static_date, length) standing in for the schedule
-    files: the size grows with the trips the release lists."""
-    t = fx.trips(spark, sf_dir).groupBy("static_date").count()
-    return t.select("static_date", (F.col("count") * 64 + 6400).cast("long").alias("length"))
+    return release_files(spark, sf_dir)
 
 
 LOADED = ("2024-03-27",)
@@ -217,9 +254,18 @@ def trip_shape(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ------------------------------------------------------ version lookup, snap
 
 def _day_versions(spark, sf_dir, lines=None):
-    lines = lines or _lines(spark, sf_dir)
     days = _segments(spark, sf_dir).select("date_rome").distinct()
-    return M.day_versions(days, lines.trip_shape.select("static_date").distinct())
+    return M.day_versions(days, _table(spark, sf_dir, "trip_shape").select("static_date").distinct())
+
+
+class _Stored:
+    """Stage tables of the line matching, as written by the daily run."""
+
+    def __init__(self, spark, sf_dir):
+        self.trip_shape = _table(spark, sf_dir, "trip_shape")
+        self.shape_streets = _table(spark, sf_dir, "shape_streets")
+        h = self.trip_shape.select("static_date", "shape_id", "shape_hash").distinct()
+        self.new_shapes = SCH.representatives(h)
 
 
 def release_in_force(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -234,14 +280,14 @@ def next_release(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def trip_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
-    lines = _lines(spark, sf_dir)
+    lines = _Stored(spark, sf_dir)
     th = M.trip_lookup(_day_versions(spark, sf_dir, lines), lines.trip_shape)
     return _with_rep(th, lines)
 
 
 def route_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
-    lines = _lines(spark, sf_dir)
+    lines = _Stored(spark, sf_dir)
     th = M.trip_lookup(_day_versions(spark, sf_dir, lines), lines.trip_shape)
     re = M.route_edges(lines.shape_streets, th.select("shape_hash").distinct(), _edges(spark, sf_dir))
     return _with_rep(re.select("shape_hash", "way_id", "seq"), lines)
@@ -260,27 +306,32 @@ def point_edge_distance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return G.candidates(segs, search).select("vehicle_id", "to_epoch", "way_id", F.col("edge_seq").alias("seq"), "snap_m")
 
 
-def _segment_streets(spark, sf_dir, with_key=False):
-    lines = _lines(spark, sf_dir)
-    segs = _segments(spark, sf_dir)
-    ss = stages.segment_streets_stage(segs, lines.trip_shape, lines.shape_streets, _edges(spark, sf_dir))
-    return ss
+def _segment_streets(spark, sf_dir):
+    return _table(spark, sf_dir, "segment_streets")
 
 
 def segment_nearest_way(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
-    return _segment_streets(spark, sf_dir)
+    lines = _Stored(spark, sf_dir)
+    return stages.segment_streets_stage(_segments(spark, sf_dir), lines.trip_shape, lines.shape_streets,
+                                        _edges(spark, sf_dir))
 
 
 def street_speed(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
-    return SP.street_speed(_segment_streets(spark, sf_dir), DEFAULT)
+    return SP.street_speed(_segment_streets(spark, sf_dir), DEFAULT).select(
+        "way_id", "street", "highway", "dow", "hour_rome", "segments", "vehicles", "routes", "days",
+        "avg_speed_kmh", "median_speed_kmh", "moving_share", "snap_m")
+
+
+def _published(spark, sf_dir):
+    return _table(spark, sf_dir, "street_speed")
 
 
 def street_geometry(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Published polylines flattened to one row per vertex."""
     prepare(spark)
-    geo = SP.street_geometry(_edges(spark, sf_dir), street_speed(spark, sf_dir))
+    geo = SP.street_geometry(_edges(spark, sf_dir), _published(spark, sf_dir))
     return geo.select("way_id", F.posexplode("path").alias("vertex", "xy")).select(
         "way_id", "vertex", F.col("xy")[0].alias("lon"), F.col("xy")[1].alias("lat")
     )
@@ -306,7 +357,7 @@ def day_completeness(spark: SparkSession, sf_dir: str) -> DataFrame:
     return QC.day_completeness(_segment_streets(spark, sf_dir), YESTERDAY).select(*CHECK_VIEW)
 
 
-def _published(speed: DataFrame) -> DataFrame:
+def _previous(speed: DataFrame) -> DataFrame:
     """A previous publication standing in for the published table: the same
     streets on two more hours of the week."""
     return speed.where(F.col("hour_rome") >= 1)
@@ -314,17 +365,17 @@ def _published(speed: DataFrame) -> DataFrame:
 
 def street_retention(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
-    speed = street_speed(spark, sf_dir)
-    return QC.street_retention(speed.where(F.col("hour_rome") >= 2), _published(speed)).select(*CHECK_VIEW)
+    speed = _published(spark, sf_dir)
+    return QC.street_retention(speed.where(F.col("hour_rome") >= 2), _previous(speed)).select(*CHECK_VIEW)
 
 
 def checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
-    speed = street_speed(spark, sf_dir)
+    speed = _published(spark, sf_dir)
     return QC.checks(
         QC.freshness(fx.positions(spark, sf_dir), NOW),
         QC.day_completeness(_segment_streets(spark, sf_dir), YESTERDAY),
-        QC.street_retention(speed.where(F.col("hour_rome") >= 2), _published(speed)),
+        QC.street_retention(speed.where(F.col("hour_rome") >= 2), _previous(speed)),
     ).select(*CHECK_VIEW)
 
 
@@ -339,7 +390,7 @@ def days_to_process_gated(spark: SparkSession, sf_dir: str) -> DataFrame:
     """As above, today 2024-04-07, waiting for the next day's schedule."""
     prepare(spark)
     loaded = _segments(spark, sf_dir).where(F.col("date_rome") <= F.lit(dt.date(2024, 3, 30)))
-    releases = _lines(spark, sf_dir).trip_shape.select("static_date")
+    releases = _table(spark, sf_dir, "trip_shape").select("static_date")
     return INC.day_range_df(loaded, dt.date(2024, 4, 7), releases=releases)
 
 
@@ -348,9 +399,8 @@ NOW_LOCAL = dt.datetime(2024, 4, 2, 10, 0, 0)  # a Tuesday, 10:00 in Rome
 
 
 def _map(spark, sf_dir):
-    speed = street_speed(spark, sf_dir)
-    geo = SP.street_geometry(_edges(spark, sf_dir), speed)
-    return speed, SV.load(speed, geo)
+    speed = _published(spark, sf_dir)
+    return speed, SV.load(speed, _table(spark, sf_dir, "street_geometry"))
 
 
 def map_load(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -363,7 +413,7 @@ def map_load(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def nearest_slot(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
-    return SV.nearest_slot(street_speed(spark, sf_dir), NOW_LOCAL)
+    return SV.nearest_slot(_published(spark, sf_dir), NOW_LOCAL)
 
 
 def _slot_view(spark, sf_dir):
@@ -414,12 +464,12 @@ def run_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Row counts, distinct geometries and street kilometres of a run (AG17, AG13)."""
     prepare(spark)
     e = _edges(spark, sf_dir)
-    lines = _lines(spark, sf_dir)
+    lines = _Stored(spark, sf_dir)
     parts = [
         e.agg(F.lit("edges").alias("metric"), F.count(F.lit(1)).cast("double").alias("value")),
         e.agg(F.lit("street_km").alias("metric"), F.round(F.sum("length_m") / 1000, 3).alias("value")),
         e.agg(F.lit("ways").alias("metric"), F.count_distinct("way_id").cast("double").alias("value")),
-        lines.hashes.agg(F.lit("geometries").alias("metric"),
+        lines.trip_shape.agg(F.lit("geometries").alias("metric"),
                          F.count_distinct("shape_hash").cast("double").alias("value")),
         lines.trip_shape.agg(F.lit("releases").alias("metric"),
                              F.count_distinct("static_date").cast("double").alias("value")),
