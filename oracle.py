@@ -491,3 +491,37 @@ union all select 'ways', cast(count(distinct way_id) as double) from edges
 union all select 'geometries', cast(count(distinct (rep_date, rep_shape)) as double) from line_rep
 union all select 'releases', cast(count(distinct static_date) as double) from trip_shape
 union all select 'segments', cast(count(*) as double) from seg"""
+
+# ------------------------------------------------ streaming, decode, sinks
+Q["stream_ingest"] = with_(POS) + """
+select feed_ts as feed_epoch, entity_id, vehicle_id, trip_id, route_id, lat as latitude, lon as longitude,
+  vehicle_ts as vehicle_epoch, cast(to_timestamp(feed_ts) as date) as date
+from pos"""
+Q["decode_schedule"] = with_(SCHED) + " select * from trips where shape_id <> ''"
+Q["range_replace"] = with_(POS, CLEAN, DEDUP, SEG) + """,
+paired30 as (select * from paired),
+seg30 as (
+ select vehicle_id, vehicle_ts as to_epoch, vehicle_ts - pts as duration_s,
+   cast(timezone('Europe/Rome', to_timestamp(vehicle_ts)) as date) as date_rome,
+   """ + haversine('plat', 'plon', 'lat', 'lon') + """ / (vehicle_ts - pts) * 3.6e0 as speed_kmh
+ from paired where pts is not null and trip_id = ptrip and vehicle_ts - pts between 5 and 30
+)
+select vehicle_id, to_epoch, duration_s, date_rome from seg30
+where speed_kmh <= 100 and date_rome not between date '2024-03-28' and date '2024-03-31'
+union all
+select vehicle_id, to_epoch, duration_s, date_rome from seg where date_rome between date '2024-03-28' and date '2024-03-31'"""
+Q["retention_days"] = with_(POS, CLEAN, DEDUP, SEG) + """
+select vehicle_id, to_epoch, date_rome from seg where date_rome >= date '2024-03-30'"""
+Q["keyed_replace"] = Q["shape_streets"]
+Q["partition_replace"] = Q["trip_shape"]
+Q["orphan_lines"] = with_(VERT, ECELLS, SCHED, LINES) + """,
+late_rep as (
+ select g, static_date as rep2_date, shape_id as rep2_shape from geom where static_date >= date '2024-04-02'
+ qualify row_number() over (partition by g order by static_date, shape_id) = 1
+)
+select l.rep2_date as rep_date, l.rep2_shape as rep_shape, s.way_id, s.points, s.span_m
+from shape_streets s join geom_rep r using (rep_date, rep_shape) join late_rep l using (g)"""
+Q["staged_publish"] = with_(*ALL, SPEED) + " select * from street_speed"
+Q["export"] = with_(*ALL, SPEED) + """
+select s.*, cast(g.n + 1 as integer) as vertices from street_speed s
+join (select way_id, count(*) as n from edges group by way_id) g using (way_id)"""

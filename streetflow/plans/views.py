@@ -479,3 +479,156 @@ def run_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
+
+
+# ------------------------------------------------ streaming, decode, sinks
+def _store(spark, name):
+    from streetflow.plans.tables import TableStore
+    from streetflow.session import scratch_dir
+
+    store = TableStore(spark, scratch_dir(spark, name))
+    store.create_schema()
+    return store
+
+
+def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Snapshots written as JSON feed files under date=/hour= directories,
+    landed by one availableNow streaming pass, read back from bronze."""
+    from streetflow.sources import snapshots as SN
+    from streetflow.streaming.ingest import ingest
+
+    prepare(spark)
+    store = _store(spark, "ingest")
+    raw = store.path("raw")
+    SN.snapshot_messages(fx.positions(spark, sf_dir)).write.partitionBy("date", "hour").text(raw)
+    ingest(spark, raw, store, store.path("_checkpoint"), glob="*.txt")
+    b = store.read("bronze_positions")
+    return b.select(epoch_s("feed_timestamp").alias("feed_epoch"), "entity_id", "vehicle_id", "trip_id", "route_id",
+                    "latitude", "longitude", epoch_s("vehicle_timestamp").alias("vehicle_epoch"), "date")
+
+
+def decode_schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Releases packed as zips (one per day), decoded back to trips."""
+    from streetflow.sources import schedule_files as SF
+
+    prepare(spark)
+    packed = SF.pack_releases(fx.shapes(spark, sf_dir), fx.trips(spark, sf_dir))
+    return SF.decode_trips(packed)
+
+
+def range_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Segments first built with a 30 s gap limit, then days 2024-03-28..31
+    rebuilt with the defaults: the table mixes both, by day."""
+    import dataclasses
+
+    from streetflow.plans import daily
+
+    prepare(spark)
+    store = _store(spark, "range-replace")
+    bronze = _table(spark, sf_dir, daily.BRONZE)
+    old = S.vehicle_segments(bronze, dataclasses.replace(DEFAULT, max_gap_s=30, track_bucket_s=3600))
+    store.overwrite(daily.SEGMENTS, old, ["date_rome"])
+    start, end = dt.date(2024, 3, 28), dt.date(2024, 3, 31)
+    store.replace_range(daily.SEGMENTS, S.vehicle_segments(bronze, DEFAULT, start, end), "date_rome", start, end)
+    t = store.read(daily.SEGMENTS)
+    return t.select("vehicle_id", epoch_s("to_ts").alias("to_epoch"), "duration_s", "date_rome")
+
+
+def retention_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from streetflow.plans import daily
+
+    prepare(spark)
+    store = _store(spark, "retention")
+    store.overwrite(daily.SEGMENTS, _segments(spark, sf_dir), ["date_rome"])
+    store.drop_before(daily.SEGMENTS, "date_rome", dt.date(2024, 3, 30))
+    return store.read(daily.SEGMENTS).select("vehicle_id", epoch_s("to_ts").alias("to_epoch"), "date_rome")
+
+
+def _two_runs(spark, sf_dir, name):
+    """Route lines loaded in two runs: releases through 2024-03-30, then all."""
+    from streetflow.plans import daily
+
+    store = _store(spark, name)
+    store.overwrite(daily.EDGES, _edges(spark, sf_dir))
+    rel = release_files(spark, sf_dir)
+    pts, trp = fx.shapes(spark, sf_dir), fx.trips(spark, sf_dir)
+    first = rel.where(F.col("static_date") <= F.lit(dt.date(2024, 3, 30)))
+    daily.lines_job(store, first, pts, trp, TODAY_LOCAL)
+    daily.lines_job(store, rel, pts, trp, TODAY_LOCAL)
+    return store
+
+
+def _stored_reps(trip_shape_df):
+    return _reps_named(SCH.representatives(trip_shape_df.select("static_date", "shape_id", "shape_hash").distinct()))
+
+
+def keyed_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from streetflow.plans import daily
+
+    prepare(spark)
+    store = _two_runs(spark, sf_dir, "keyed-replace")
+    ss = store.read(daily.SHAPE_STREETS).join(_stored_reps(store.read(daily.TRIP_SHAPE)), "shape_hash")
+    return ss.select("rep_date", "rep_shape", "way_id", "points", "snap_m", F.round("street_m", 6).alias("street_m"),
+                     "span_m")
+
+
+def partition_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from streetflow.plans import daily
+
+    prepare(spark)
+    store = _two_runs(spark, sf_dir, "partition-replace")
+    ts = store.read(daily.TRIP_SHAPE)
+    return ts.join(_stored_reps(ts), "shape_hash").select("static_date", "trip_id", "shape_id", "rep_date",
+                                                           "rep_shape")
+
+
+def orphan_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Releases before 2024-04-02 retired; line matches nobody uses removed."""
+    from streetflow.plans import daily
+
+    prepare(spark)
+    store = _two_runs(spark, sf_dir, "orphans")
+    store.drop_before(daily.TRIP_SHAPE, "static_date", dt.date(2024, 4, 2))
+    store.keep_referenced(daily.SHAPE_STREETS, "shape_hash", store.read(daily.TRIP_SHAPE),
+                          f"{store.root}/_staging/shape_streets")
+    ss = store.read(daily.SHAPE_STREETS).join(_stored_reps(store.read(daily.TRIP_SHAPE)), "shape_hash")
+    return ss.select("rep_date", "rep_shape", "way_id", "points", "span_m")
+
+
+def _gold_store(spark, sf_dir, name):
+    from streetflow.plans import daily
+
+    store = _store(spark, name)
+    store.overwrite(daily.SEGMENT_STREETS, _segment_streets(spark, sf_dir), ["date_rome"])
+    store.overwrite(daily.EDGES, _edges(spark, sf_dir))
+    return store
+
+
+def staged_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gold staged, checked (yesterday 2024-04-02 against its week; first
+    publish) and published; the published table read back."""
+    from streetflow.plans import daily
+
+    prepare(spark)
+    store = _gold_store(spark, sf_dir, "publish")
+    daily.gold_job(store, dt.date(2024, 4, 3))
+    return store.read(daily.SPEED).select(*SPEED_COLS)
+
+
+SPEED_COLS = ["way_id", "street", "highway", "dow", "hour_rome", "segments", "vehicles", "routes", "days",
+              "avg_speed_kmh", "median_speed_kmh", "moving_share", "snap_m"]
+
+
+def export(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Published speed and geometry exported as Parquet, read back as the map
+    reads them (SNK9, SRC15): one row per street, weekday and hour with its
+    vertex count."""
+    from streetflow.plans import daily
+
+    prepare(spark)
+    store = _gold_store(spark, sf_dir, "export")
+    out = f"{store.root}/export"
+    daily.gold_job(store, dt.date(2024, 4, 3), export_to=out)
+    speed = spark.read.parquet(f"{out}/street_speed")
+    geo = spark.read.parquet(f"{out}/street_geometry")
+    return speed.join(geo.select("way_id", F.size("path").alias("vertices")), "way_id").select(*SPEED_COLS, "vertices")
