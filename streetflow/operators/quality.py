@@ -106,8 +106,14 @@ def checks(*results: DataFrame) -> DataFrame:
     return out
 
 
+def failures(check_rows: DataFrame) -> list[str]:
+    """Failed checks as text; only the few check rows reach the driver."""
+    failed = check_rows.where(~F.col("passed")).select("check_name", "detail").collect()
+    return [f"{r['check_name']}: {r['detail']}" for r in failed]
+
+
 def raise_if_failed(check_rows: DataFrame) -> None:
     """One error naming every failed check; nothing is published (DQ4)."""
-    failed = check_rows.where(~F.col("passed")).select("check_name", "detail").collect()  # a handful of rows
+    failed = failures(check_rows)
     if failed:
-        raise AssertionError("failed checks: " + "; ".join(f"{r['check_name']}: {r['detail']}" for r in failed))
+        raise AssertionError("failed checks: " + "; ".join(failed))

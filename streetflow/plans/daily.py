@@ -170,8 +170,11 @@ def gold_job(store: TableStore, today_local: dt.date, now_utc: dt.datetime | Non
              QC.street_retention(staging, store.read(SPEED) if store.exists(SPEED) else None, cfg)]
     if now_utc is not None and store.exists(BRONZE):
         found.insert(0, QC.freshness(store.read(BRONZE), now_utc, cfg))
-    if enforce_checks:
-        QC.raise_if_failed(QC.checks(*found))
+    failed = QC.failures(QC.checks(*found))
+    if log:
+        log.add("failed checks", failed)
+    if failed and enforce_checks:
+        raise AssertionError("failed checks: " + "; ".join(failed))
     store.publish(STAGING, SPEED)
     published = store.read(SPEED)
     geometry = SP.street_geometry(store.read(EDGES), published)

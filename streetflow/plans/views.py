@@ -91,15 +91,21 @@ def segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _seg_view(S.segments(P.dedupe(P.clean(fx.positions(spark, sf_dir))))).select(*SEG_COLS)
 
 
+def _fresh_segments(spark: SparkSession, positions: DataFrame) -> DataFrame:
+    return S.with_local_time(S.segments(P.dedupe(P.clean(positions))))
+
+
 def segments_local_time(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
-    segs = S.local_days(_segments(spark, sf_dir), dt.date(2024, 3, 26), dt.date(2024, 4, 3))
+    segs = S.local_days(_fresh_segments(spark, _table(spark, sf_dir, "bronze_positions")),
+                        dt.date(2024, 3, 26), dt.date(2024, 4, 3))
     return _seg_view(segs).select("vehicle_id", "to_epoch", "date_rome", "hour_rome", weekday("date_rome").alias("dow"))
 
 
 def route_hour_speed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first end-to-end slice, straight from the positions."""
     prepare(spark)
-    return SP.route_hour_speed(_segments(spark, sf_dir))
+    return SP.route_hour_speed(_fresh_segments(spark, fx.positions(spark, sf_dir)))
 
 
 # ----------------------------------------------------------------- streets
