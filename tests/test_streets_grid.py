@@ -1,0 +1,104 @@
+import dataclasses
+
+from pyspark.sql import functions as F
+
+from streetflow import schemas
+from streetflow.config import DEFAULT
+from streetflow.operators import grid as G
+from streetflow.operators import match as M
+from streetflow.operators import streets as ST
+
+
+def ways(spark, rows):
+    return spark.createDataFrame(rows, schemas.WAYS)
+
+
+def pt(lat, lon):
+    return {"lat": lat, "lon": lon}
+
+
+def test_split_and_tags(spark):
+    w = ways(spark, [
+        (1, None, [pt(41.9, 12.5), pt(41.9, 12.501)]),
+        (2, {"highway": "primary"}, [pt(41.9, 12.5)]),
+        (3, {"highway": "primary", "name": "Via A"}, [pt(41.9, 12.5), pt(41.9, 12.501), pt(41.9, 12.502)]),
+    ])
+    e = ST.edges(w).orderBy("way_id", "seq").collect()
+    assert [(r.way_id, r.seq) for r in e] == [(1, 0), (3, 0), (3, 1)]
+    assert e[0].street is None and e[1].street == "Via A"
+
+
+def test_way_selection(spark):
+    g = [pt(41.9, 12.5), pt(41.9, 12.501)]
+    w = ways(spark, [
+        (1, {"highway": "service"}, g),
+        (2, {"highway": "service", "psv": "yes"}, g),
+        (3, {"highway": "service", "psv": "yes", "bus": "designated"}, g),
+        (3, {"highway": "service", "psv": "yes", "bus": "designated"}, g),
+        (4, {"highway": "footway"}, g),
+        (5, {"highway": "primary"}, [pt(45.0, 12.5)]),
+        (6, {"highway": "primary"}, []),
+        (7, {"highway": "residential"}, g),
+    ])
+    assert sorted(r.way_id for r in ST.select_ways(w).collect()) == [2, 3, 7]
+
+
+def _edge_df(spark, rows):
+    df = spark.createDataFrame(rows, "way_id long, seq long, from_lat double, from_lon double, to_lat double, "
+                                     "to_lon double")
+    return df.select("*", F.lit(None).cast("string").alias("street"), F.lit("primary").alias("highway")).withColumn(
+        "length_m", F.sqrt(((F.col("to_lon") - F.col("from_lon")) * 82800) ** 2
+                           + ((F.col("to_lat") - F.col("from_lat")) * 111320) ** 2))
+
+
+def test_edge_cell_samples(spark):
+    lat, lon = 41.9, 12.5
+    edges = _edge_df(spark, [(1, 0, lat, lon, lat, lon),               # 0 m: samples 0..1
+                             (2, 0, lat, lon, lat, lon + 10 / 82800),  # 10 m: samples 0..1
+                             (3, 0, lat, lon, lat, lon + 10.1 / 82800)])
+    steps = edges.select("way_id", F.greatest(F.ceil(F.col("length_m") / 10), F.lit(1)).alias("s")).collect()
+    assert {r.way_id: r.s for r in steps} == {1: 1, 2: 1, 3: 2}
+    cells = G.edge_cells(edges)
+    assert cells.where("way_id = 1").count() == 1
+
+
+def test_line_resample_counts(spark):
+    lines = spark.createDataFrame([
+        ("a", 0, 41.9, 12.5), ("a", 1, 41.9, 12.5),                        # gap 0 m -> 1 sample
+        ("b", 0, 41.9, 12.5), ("b", 1, 41.9 + 5 / 111320, 12.5),           # 5 m -> 1
+        ("c", 0, 41.9, 12.5), ("c", 1, 41.9 + 5.1 / 111320, 12.5),         # 5.1 m -> 2
+    ], "shape_hash string, seq int, lat double, lon double")
+    out = {r.shape_hash: r["count"] for r in M.resample(lines).groupBy("shape_hash").count().collect()}
+    assert out == {"a": 1, "b": 1, "c": 2}
+
+
+def test_nearest_tie_lower_way_and_snap_limit(spark):
+    lat, lon = 41.9, 12.5
+    d = 10 / 111320
+    edges = _edge_df(spark, [(7, 0, lat + d, lon - 0.001, lat + d, lon + 0.001),
+                             (5, 0, lat - d, lon - 0.001, lat - d, lon + 0.001)])
+    pts = spark.createDataFrame([("p", lat, lon)], "pid string, lat double, lon double")
+    out = G.nearest_within(pts, edges, ["pid"]).collect()
+    assert [(r.way_id, round(r.snap_m, 6)) for r in out] == [(5, 10.0)]
+    # 25.0 m kept, 25.1 m dropped (a 5x5 ring so the grid reaches that far)
+    wide = dataclasses.replace(DEFAULT, grid_ring=2)
+    for dist, expect in ((25.0, 1), (25.1, 0)):
+        e = _edge_df(spark, [(9, 0, lat + dist / 111320, lon - 0.001, lat + dist / 111320, lon + 0.001)])
+        assert G.nearest_within(pts, e, ["pid"], cfg=wide).count() == expect
+
+
+def test_far_edges_change_nothing(spark):
+    lat, lon = 41.9, 12.5
+    near = _edge_df(spark, [(1, 0, lat + 1e-5, lon - 0.001, lat + 1e-5, lon + 0.001)])
+    far = _edge_df(spark, [(2, 0, lat + 0.01, lon - 0.001, lat + 0.01, lon + 0.001)])
+    pts = spark.createDataFrame([("p", lat, lon)], "pid string, lat double, lon double")
+    a = G.nearest_within(pts, near, ["pid"]).select("way_id", "snap_m").collect()
+    b = G.nearest_within(pts, near.unionByName(far), ["pid"]).select("way_id", "snap_m").collect()
+    assert a == b
+
+
+def test_span_rule(spark):
+    matched = spark.createDataFrame([("h", 1, 5.0, 12.0), ("h", 2, 5.0, 29.9), ("h", 3, 5.0, 30.0)],
+                                    "shape_hash string, way_id long, snap_m double, piece_m double")
+    lengths = spark.createDataFrame([(1, 12.0), (2, 500.0), (3, 500.0)], "way_id long, street_m double")
+    assert sorted(r.way_id for r in M.shape_streets(matched, lengths).collect()) == [1, 3]
