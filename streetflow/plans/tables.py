@@ -80,16 +80,20 @@ class TableStore:
 
     def replace_range(self, name: str, df: DataFrame, col: str, start: dt.date, end: dt.date) -> None:
         """SNK3: rows of days start..end are replaced; a day in the range that
-        receives no rows ends up empty (its old partition is removed)."""
+        receives no rows ends up empty.
+
+        The range's partition directories are removed, then the new rows are
+        appended in one distributed write, so the input is computed once. If
+        the write fails, the range is missing rather than stale: the day-range
+        rule (latest loaded day + 1) recomputes it on the next run."""
         df = df.where(F.col(col).between(F.lit(start), F.lit(end)))
         if not self.exists(name):
             self.overwrite(name, df, [col])
             return
-        self.overwrite_partitions(name, df, [col])
-        written = {str(r[0]) for r in df.select(col).distinct().collect()}  # <= days in the range
         for v in self.partitions(name, col):
-            if start.isoformat() <= v <= end.isoformat() and v not in written:
+            if start.isoformat() <= v <= end.isoformat():
                 self.drop_partition(name, col, v)
+        df.write.mode("append").partitionBy(col).parquet(self.path(name))
 
     def drop_before(self, name: str, col: str, earliest: dt.date) -> list[str]:
         """SNK6: retention by date, one partition directory at a time."""

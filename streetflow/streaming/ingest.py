@@ -37,7 +37,9 @@ def snapshot_stream(spark: SparkSession, raw_dir: str, glob: str = "*.json", max
 
 def _lander(store: TableStore, table: str, rejects: str | None, decoded_to_rows):
     def land(batch: DataFrame, batch_id: int) -> None:
-        rows = decoded_to_rows(batch)
+        # decoded once, used for the day lookup and the write; lost blocks are
+        # recomputed from the batch's files
+        rows = decoded_to_rows(batch).persist()
         if store.exists(table):
             dates = [r[0] for r in rows.select("date").distinct().collect()]  # days in this batch
             landed = store.read(table).where(F.col("date").isin(dates)).select(*KEYS)
@@ -45,6 +47,7 @@ def _lander(store: TableStore, table: str, rejects: str | None, decoded_to_rows)
             landed = None
         fresh = land_if_absent(rows, landed, KEYS)
         fresh.write.mode("append").partitionBy("date").parquet(store.path(table))
+        rows.unpersist()
         if rejects is not None:
             bad = SN.rejects_json(batch).withColumn("batch_id", F.lit(batch_id))
             bad.write.mode("append").parquet(store.path(rejects))
