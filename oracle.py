@@ -225,7 +225,7 @@ gaps as (
  from nxt where next_lat is not null
 ),
 samples as (
- select rep_date, rep_shape, seq, step, lat + (cast(step as double) / steps) * (next_lat - lat) as lat,
+ select rep_date, rep_shape, seq, cast(step as integer) as step, lat + (cast(step as double) / steps) * (next_lat - lat) as lat,
    lon + (cast(step as double) / steps) * (next_lon - lon) as lon, gap_m / steps as piece_m
  from (select *, unnest(generate_series(0, steps - 1)) as step from
    (select *, greatest(cast(ceil(gap_m / 5.0e0) as integer), 1) as steps from gaps) a) b
