@@ -56,8 +56,9 @@ def load_streets(store: TableStore, ways: DataFrame, cfg: Config = DEFAULT) -> N
     table untouched (DQ5). Run on demand; a full refresh of the line matches
     should follow."""
     edges = ST.edges(ST.select_ways(ways, cfg), cfg)
-    ST.require_rows(edges, "street ways")
-    store.overwrite(EDGES, edges)
+    staged = store.stage(EDGES, edges)
+    ST.require_rows(store.spark.read.parquet(staged), "street ways")  # checks the written copy
+    store.swap_in(staged, EDGES)
 
 
 def segments_job(store: TableStore, today_local: dt.date, full_refresh: bool = False, cfg: Config = DEFAULT,
@@ -94,7 +95,8 @@ def lines_job(store: TableStore, releases: DataFrame, points: DataFrame, trips:
     """
     rebuild = full_refresh or not store.exists(TRIP_SHAPE)
     loaded = None if rebuild else store.read(TRIP_SHAPE).select("static_date").distinct()
-    accepted = SCH.release_acceptance(releases, loaded, cfg)
+    # one row per release: kept for the cutoff, the new dates and retention
+    accepted = SCH.release_acceptance(releases, loaded, cfg).persist()
     new = SCH.new_releases(accepted, today, loaded, cfg)
     new_dates = [r[0] for r in new.orderBy("static_date").collect()]  # a few dates
     cutoff = SCH.version_cutoff(accepted, today, cfg).first()[0]
@@ -104,11 +106,13 @@ def lines_job(store: TableStore, releases: DataFrame, points: DataFrame, trips:
         # retention: releases before the cutoff, then geometries nobody uses
         store.drop_before(TRIP_SHAPE, "static_date", cutoff)
         store.keep_referenced(SHAPE_STREETS, "shape_hash", store.read(TRIP_SHAPE), _scratch(store, SHAPE_STREETS))
+    accepted.unpersist()
     if not new_dates:
         return []
     pts = points.where(F.col("static_date").isin(new_dates))
     trp = SCH.trips_with_shape(trips.where(F.col("static_date").isin(new_dates)))
-    hashes = SCH.shape_hashes(SCH.used_points(pts, trp))
+    # one row per (release, line); read by the matching and by trip_shape
+    hashes = SCH.shape_hashes(SCH.used_points(pts, trp)).persist()
     new_shapes = SCH.representatives(hashes)
     if not rebuild:
         new_shapes = SCH.unmatched(new_shapes, store.read(TRIP_SHAPE))
@@ -125,6 +129,7 @@ def lines_job(store: TableStore, releases: DataFrame, points: DataFrame, trips:
         store.overwrite(TRIP_SHAPE, ts, ["static_date"])
     else:
         store.overwrite_partitions(TRIP_SHAPE, ts, ["static_date"])
+    hashes.unpersist()
     return new_dates
 
 

@@ -102,11 +102,32 @@ class TableStore:
             self.drop_partition(name, col, v)
         return gone
 
-    def rewrite(self, name: str, df: DataFrame, scratch: str) -> None:
-        """Replace a table by a frame that reads it: stage to ``scratch`` first
-        (a table being read cannot be overwritten in place), then copy back."""
-        df.write.mode("overwrite").parquet(scratch)
-        self.spark.read.parquet(scratch).write.mode("overwrite").parquet(self.path(name))
+    def stage(self, name: str, df: DataFrame, partition_by: list[str] | None = None) -> str:
+        """Write ``df`` to a fresh staging directory next to the tables."""
+        import uuid
+
+        staged = f"{self.root}/_staging/{name}-{uuid.uuid4().hex[:10]}"
+        w = df.write.mode("overwrite")
+        if partition_by:
+            w = w.partitionBy(*partition_by)
+        w.parquet(staged)
+        return staged
+
+    def swap_in(self, staged: str, name: str) -> None:
+        """Make a staged directory the table: remove the old one, rename the
+        staged one into place (a metadata operation, no data copied)."""
+        fs, dst = self._fs(self.path(name))
+        _, src = self._fs(staged)
+        if fs.exists(dst):
+            fs.delete(dst, True)
+        fs.mkdirs(dst.getParent())
+        if not fs.rename(src, dst):
+            raise IOError(f"could not move {staged} to {self.path(name)}")
+
+    def rewrite(self, name: str, df: DataFrame, scratch: str | None = None) -> None:
+        """Replace a table by a frame that reads it: stage first (a table being
+        read cannot be overwritten in place), then swap the staged copy in."""
+        self.swap_in(self.stage(name, df), name)
 
     def replace_keys(self, name: str, new_rows: DataFrame, key: str, scratch: str) -> None:
         """SNK4: rows whose ``key`` is among the new keys are replaced; a

@@ -42,7 +42,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
     Only when the session has none (local tests) is a fresh local folder set.
     """
-    current = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    sc = spark.sparkContext
+    current = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get(
+        "spark.checkpoint.dir", None)
     if current:
         return current
     path = tempfile.mkdtemp(prefix="streetflow-ckpt-")

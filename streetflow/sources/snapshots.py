@@ -55,7 +55,7 @@ FEED_MESSAGE = _s(
 )
 
 
-def _messages(files: DataFrame) -> DataFrame:
+def messages(files: DataFrame) -> DataFrame:
     """(source_file, line, msg) for every non-empty line of every file."""
     lines = files.select(
         F.col("path").alias("source_file"),
@@ -68,7 +68,12 @@ def decode_json(files: DataFrame) -> DataFrame:
     """Binary files (path, content) -> one row per vehicle entity in the
     ``SNAPSHOT_ENTITY`` columns plus ``source_file`` (SRC2). Entities without a
     vehicle are skipped; unset fields stay NULL."""
-    msgs = _messages(files).where(F.col("msg.header").isNotNull() | F.col("msg.entity").isNotNull())
+    return entities(messages(files))
+
+
+def entities(msgs: DataFrame) -> DataFrame:
+    """Parsed messages -> entity rows (see ``decode_json``)."""
+    msgs = msgs.where(F.col("msg.header").isNotNull() | F.col("msg.entity").isNotNull())
     ents = msgs.select("source_file", F.col("msg.header.timestamp").alias("_feed_ts"),
                        F.explode("msg.entity").alias("e")).where(F.col("e.vehicle").isNotNull())
     v = "e.vehicle"
@@ -92,7 +97,11 @@ def decode_json(files: DataFrame) -> DataFrame:
 def rejects_json(files: DataFrame) -> DataFrame:
     """Snapshots that cannot be landed (SRC4): malformed text, or no vehicle
     entity at all. One row per bad message: (source_file, reason)."""
-    msgs = _messages(files)
+    return rejects(messages(files))
+
+
+def rejects(msgs: DataFrame) -> DataFrame:
+    """Parsed messages -> rejected ones (see ``rejects_json``)."""
     bad = F.col("msg.header").isNull() & F.col("msg.entity").isNull()
     empty = ~F.exists(F.coalesce(F.col("msg.entity"), F.array().cast(FEED_MESSAGE["entity"].dataType)),
                       lambda e: e["vehicle"].isNotNull())

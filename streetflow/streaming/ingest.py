@@ -35,11 +35,16 @@ def snapshot_stream(spark: SparkSession, raw_dir: str, glob: str = "*.json", max
     )
 
 
-def _lander(store: TableStore, table: str, rejects: str | None, decoded_to_rows):
+def _lander(store: TableStore, table: str, rejects: str | None, decode):
     def land(batch: DataFrame, batch_id: int) -> None:
-        # decoded once, used for the day lookup and the write; lost blocks are
-        # recomputed from the batch's files
-        rows = decoded_to_rows(batch).persist()
+        # parsed once, used for the rows, the day lookup and the rejects; lost
+        # blocks are recomputed from the batch's files
+        if decode is None:
+            parsed = SN.messages(batch).persist()
+            rows = SN.to_bronze(SN.entities(parsed))
+        else:
+            parsed = SN.to_bronze(decode(batch)).persist()
+            rows = parsed
         if store.exists(table):
             dates = [r[0] for r in rows.select("date").distinct().collect()]  # days in this batch
             landed = store.read(table).where(F.col("date").isin(dates)).select(*KEYS)
@@ -47,10 +52,10 @@ def _lander(store: TableStore, table: str, rejects: str | None, decoded_to_rows)
             landed = None
         fresh = land_if_absent(rows, landed, KEYS)
         fresh.write.mode("append").partitionBy("date").parquet(store.path(table))
-        rows.unpersist()
-        if rejects is not None:
-            bad = SN.rejects_json(batch).withColumn("batch_id", F.lit(batch_id))
+        if rejects is not None and decode is None:
+            bad = SN.rejects(parsed).withColumn("batch_id", F.lit(batch_id))
             bad.write.mode("append").parquet(store.path(rejects))
+        parsed.unpersist()
 
     return land
 
@@ -62,14 +67,9 @@ def ingest(spark: SparkSession, raw_dir: str, store: TableStore, checkpoint: str
 
     ``decoder(files) -> decoded entities``; JSON by default. Blocks until the
     pass ends (or ``timeout_s``)."""
-    decode = decoder or SN.decode_json
     files = snapshot_stream(spark, raw_dir, glob)
-
-    def to_rows(batch: DataFrame) -> DataFrame:
-        return SN.to_bronze(decode(batch))
-
     q = (
-        files.writeStream.foreachBatch(_lander(store, table, rejects if decoder is None else None, to_rows))
+        files.writeStream.foreachBatch(_lander(store, table, rejects, decoder))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
