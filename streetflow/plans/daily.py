@@ -51,6 +51,20 @@ class RunLog:
         self.steps.append((step, detail))
 
 
+def bronze_job(spark: SparkSession, store: TableStore, raw_dir: str, now_utc: dt.datetime,
+               glob: str = "*.json", cfg: Config = DEFAULT, log: RunLog | None = None) -> None:
+    """Land new snapshot files (one availableNow pass), then require the
+    newest snapshot to be fresh (SRC1-SRC6, SNK1, DQ1). Raises when stale."""
+    from streetflow.streaming.ingest import ingest
+
+    ingest(spark, raw_dir, store, f"{store.root}/_checkpoints/{BRONZE}", table=BRONZE, glob=glob)
+    failed = QC.failures(QC.freshness(store.read(BRONZE), now_utc, cfg))
+    if log:
+        log.add("freshness", failed or "fresh")
+    if failed:
+        raise AssertionError("; ".join(failed))
+
+
 def load_streets(store: TableStore, ways: DataFrame, cfg: Config = DEFAULT) -> None:
     """Street ways -> street_edges, full rebuild; an empty source leaves the
     table untouched (DQ5). Run on demand; a full refresh of the line matches
