@@ -24,12 +24,12 @@ from pyspark.sql import functions as F
 
 from streetflow.config import DEFAULT, Config
 from streetflow.operators import incremental as INC
-from streetflow.operators import match as M
 from streetflow.operators import quality as QC
 from streetflow.operators import schedule as SCH
 from streetflow.operators import segments as S
 from streetflow.operators import speed as SP
 from streetflow.operators import streets as ST
+from streetflow.plans import stages
 from streetflow.plans.tables import TableStore
 
 BRONZE = "bronze_positions"
@@ -124,26 +124,18 @@ def lines_job(store: TableStore, releases: DataFrame, points: DataFrame, trips:
     if not new_dates:
         return []
     pts = points.where(F.col("static_date").isin(new_dates))
-    trp = SCH.trips_with_shape(trips.where(F.col("static_date").isin(new_dates)))
-    # one row per (release, line); read by the matching and by trip_shape
-    hashes = SCH.shape_hashes(SCH.used_points(pts, trp)).persist()
-    new_shapes = SCH.representatives(hashes)
-    if not rebuild:
-        new_shapes = SCH.unmatched(new_shapes, store.read(TRIP_SHAPE))
-    edges = store.read(EDGES)
-    samples = M.resample(M.line_points(pts, new_shapes), cfg)
-    matched = M.line_nearest_way(samples, edges, cfg)
-    shape_streets = M.shape_streets(matched, ST.street_length(edges), cfg)
+    trp = trips.where(F.col("static_date").isin(new_dates))
+    known = None if rebuild else store.read(TRIP_SHAPE)
+    lines = stages.lines_stage(pts, trp, store.read(EDGES), known, cfg, persist=True)
     if rebuild:
-        store.overwrite(SHAPE_STREETS, shape_streets)
+        store.overwrite(SHAPE_STREETS, lines.shape_streets)
     else:
-        store.replace_keys(SHAPE_STREETS, shape_streets, "shape_hash", _scratch(store, SHAPE_STREETS))
-    ts = SCH.trip_shape(trp, hashes)
+        store.replace_keys(SHAPE_STREETS, lines.shape_streets, "shape_hash", _scratch(store, SHAPE_STREETS))
     if rebuild:
-        store.overwrite(TRIP_SHAPE, ts, ["static_date"])
+        store.overwrite(TRIP_SHAPE, lines.trip_shape, ["static_date"])
     else:
-        store.overwrite_partitions(TRIP_SHAPE, ts, ["static_date"])
-    hashes.unpersist()
+        store.overwrite_partitions(TRIP_SHAPE, lines.trip_shape, ["static_date"])
+    lines.hashes.unpersist()
     return new_dates
 
 
@@ -163,12 +155,8 @@ def segment_streets_job(store: TableStore, today_local: dt.date, full_refresh: b
         return None
     start, end = days
     segs = store.read(SEGMENTS).where(F.col("date_rome").between(F.lit(start), F.lit(end)))
-    trip_shape = store.read(TRIP_SHAPE)
-    dv = M.day_versions(segs.select("date_rome").distinct(), trip_shape.select("static_date").distinct())
-    trip_hashes = M.trip_lookup(dv, trip_shape)
-    redges = M.route_edges(store.read(SHAPE_STREETS), trip_hashes.select("shape_hash").distinct(),
-                           store.read(EDGES))
-    out = M.segment_streets(segs, trip_hashes, redges, cfg)
+    out = stages.segment_streets_stage(segs, store.read(TRIP_SHAPE), store.read(SHAPE_STREETS), store.read(EDGES),
+                                       cfg)
     if rebuild:
         store.overwrite(SEGMENT_STREETS, out, ["date_rome"])
     else:

@@ -34,10 +34,15 @@ class Lines:
 
 
 def lines_stage(points: DataFrame, trips: DataFrame, edges: DataFrame, known_trip_shape: DataFrame | None = None,
-                cfg: Config = DEFAULT) -> Lines:
-    """Hash every used line, match only geometries not matched before (INC6)."""
+                cfg: Config = DEFAULT, persist: bool = False) -> Lines:
+    """Hash every used line, match only geometries not matched before (INC6).
+
+    ``persist`` keeps the hashes (one row per release and line), which both
+    outputs read, instead of computing them twice."""
     trips = SCH.trips_with_shape(trips)
     hashes = SCH.shape_hashes(SCH.used_points(points, trips))
+    if persist:
+        hashes = hashes.persist()
     new_shapes = SCH.representatives(hashes)
     if known_trip_shape is not None:
         new_shapes = SCH.unmatched(new_shapes, known_trip_shape)
