@@ -88,13 +88,20 @@ def main() -> None:
     total = round(sum(times[k] for k in job), 3)
     segs = store.read(daily.SEGMENTS).count()
     snapped = store.read(daily.SEGMENT_STREETS).count()
+    positions = store.read(daily.BRONZE).count()
+    try:
+        sf = float(sf_dir.rstrip("/").split("sf")[-1])
+    except ValueError:
+        sf = sf_dir
     print(json.dumps({
         "metric": "daily_job_seconds",
         "value": total,
         "unit": "sec",
         "queries": times,
-        "sf": sf_dir.rstrip("/").split("sf")[-1],
-        "positions": n_pos and store.read(daily.BRONZE).count(),
+        "sf": sf,
+        "positions": positions,
+        "snapshot_lines": n_pos,
+        "positions_per_s": round(positions / total, 1) if total else None,
         "segments": segs,
         "snapped_segments": snapped,
         "cpus": cpus,

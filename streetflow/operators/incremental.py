@@ -18,7 +18,7 @@ from streetflow.config import DEFAULT, Config
 def day_range(today: dt.date, latest: dt.date | None, rebuild: bool = False,
               newest_release: dt.date | None = None, gated: bool = False,
               cfg: Config = DEFAULT) -> tuple[dt.date, dt.date] | None:
-    """(start, end) of complete days still to compute, or None when up to date.
+    """(start, end) of complete days still to compute, or None when up to date (SC10).
 
     start = max(latest + 1, today - history_days), or today - history_days on a
     rebuild or an empty table; end = yesterday. When ``gated`` a day also waits

@@ -63,7 +63,7 @@ def pair_fixes(fixes: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
 
 def segments(fixes: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
     """Segments of consecutive fixes on the same trip with a 5..90 s gap and a
-    speed up to 100 km/h (FIL4-FIL7, SC1, SC6). ``fixes`` are cleaned and
+    speed up to 100 km/h (FIL4-FIL7, SC1, SC6, PRJ1). ``fixes`` are cleaned and
     de-duplicated positions. Output has the ``vehicle_segments`` columns
     except the local date and hour."""
     paired = pair_fixes(fixes, cfg)

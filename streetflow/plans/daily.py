@@ -82,7 +82,7 @@ def segments_job(store: TableStore, today_local: dt.date, full_refresh: bool = F
     rebuild = full_refresh or not store.exists(SEGMENTS)
     latest = None
     if not rebuild:
-        latest = store.read(SEGMENTS).agg(F.max("date_rome")).first()[0]  # partition column
+        latest = store.read(SEGMENTS).agg(F.max("date_rome")).first()[0]  # one-row aggregate (SO4, AG2)
     days = INC.day_range(today_local, latest, rebuild, cfg=cfg)
     if log:
         log.add("segments days", days)

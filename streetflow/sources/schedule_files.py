@@ -39,7 +39,7 @@ def _rows(member: str, content: bytes):
 
 
 def decode_shapes(releases: DataFrame) -> DataFrame:
-    """Route-line points of every release (SRC9): static_date, shape_id, seq, lat, lon."""
+    """Route-line points of every release (SRC9, UDF2): static_date, shape_id, seq, lat, lon."""
 
     def run(batches):
         import pandas as pd
@@ -56,7 +56,7 @@ def decode_shapes(releases: DataFrame) -> DataFrame:
 
 
 def decode_trips(releases: DataFrame) -> DataFrame:
-    """Trips with their route line (SRC10); a trip without one is dropped."""
+    """Trips with their route line (SRC10, UDF3); a trip without one is dropped."""
 
     def run(batches):
         import pandas as pd

@@ -111,7 +111,7 @@ def rejects(msgs: DataFrame) -> DataFrame:
 
 
 def decode_with(files: DataFrame, decode: Callable[[bytes], Iterable[dict]]) -> DataFrame:
-    """Run a per-file Python decoder (e.g. a protocol-buffer codec) over the
+    """(UDF1) Run a per-file Python decoder (e.g. a protocol-buffer codec) over the
     files in Arrow batches. ``decode(content)`` yields dicts keyed by the
     ``SNAPSHOT_ENTITY`` field names; missing keys become NULL."""
     names = [f.name for f in schemas.SNAPSHOT_ENTITY.fields]
