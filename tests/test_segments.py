@@ -74,3 +74,15 @@ def test_local_days_filter(spark):
     segs = S.with_local_time(_segs(spark, rows))
     assert segs.select("date_rome", "hour_rome").first()["hour_rome"] == 17
     assert segs.where(F.col("date_rome").isNull()).count() == 0
+
+
+def test_input_order_changes_nothing(spark):
+    """Tie-breaks are explicit, so shuffling the input rows gives the same segments."""
+    rows = [dict(vts=T0 + t, fts=T0 + t + c * 30, entity=f"e{t}-{c}", lon=12.5 + t * 1e-5, vehicle_id=f"V{t % 3}")
+            for t in range(0, 900, 4) for c in range(3)]
+    rows += [dict(vts=T0 + 8, fts=T0 + 8, entity="tie-b", lon=12.6, vehicle_id="V2"),
+             dict(vts=T0 + 8, fts=T0 + 8, entity="tie-a", lon=12.7, vehicle_id="V2")]
+    df = positions(spark, rows)
+    base = sorted(tuple(r) for r in S.segments(P.dedupe(P.clean(df))).collect())
+    shuffled = df.orderBy(F.rand(7)).repartition(5)
+    assert sorted(tuple(r) for r in S.segments(P.dedupe(P.clean(shuffled))).collect()) == base
