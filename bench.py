@@ -36,9 +36,8 @@ def main() -> None:
     from streetflow.sources import fixtures as fx
     from streetflow.sources import snapshots as SN
     from streetflow.streaming.ingest import ingest
-    from streetflow.plans.tables import TableStore
 
-    store = TableStore(spark, scratch_dir(spark, "bench"))
+    store = daily.open_store(spark, scratch_dir(spark, "bench"))
     store.create_schema()
     today = dt.date(2024, 4, 6)
     times: dict[str, float] = {}

@@ -43,6 +43,34 @@ SPEED = "street_speed"
 GEOMETRY = "street_geometry"
 
 
+def table_schemas() -> dict:
+    """Declared schemas of the job's tables (partition columns last, as read back)."""
+    from pyspark.sql.types import StructType
+
+    from streetflow import schemas as SC
+
+    def last(schema, col):
+        fields = [f for f in schema.fields if f.name != col] + [schema[col]]
+        return StructType(fields)
+
+    return {
+        BRONZE: last(SC.VEHICLE_POSITIONS, "date"),
+        SEGMENTS: last(SC.VEHICLE_SEGMENTS, "date_rome"),
+        EDGES: SC.STREET_EDGES,
+        TRIP_SHAPE: last(SC.TRIP_SHAPE, "static_date"),
+        SHAPE_STREETS: SC.SHAPE_STREETS,
+        SEGMENT_STREETS: last(SC.SEGMENT_STREETS, "date_rome"),
+        STAGING: SC.STREET_SPEED,
+        SPEED: SC.STREET_SPEED,
+        GEOMETRY: SC.STREET_GEOMETRY,
+    }
+
+
+def open_store(spark: SparkSession, root: str) -> TableStore:
+    """The job's table store at ``root`` (a folder on shared storage)."""
+    return TableStore(spark, root, table_schemas())
+
+
 @dataclass
 class RunLog:
     steps: list = field(default_factory=list)

@@ -45,13 +45,12 @@ def release_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def world(spark: SparkSession, sf_dir: str):
     from streetflow.plans import daily
-    from streetflow.plans.tables import TableStore
     from streetflow.session import scratch_dir
 
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _WORLDS:
         prepare(spark)
-        store = TableStore(spark, scratch_dir(spark, "fixture-run"))
+        store = daily.open_store(spark, scratch_dir(spark, "fixture-run"))
         store.create_schema()
         store.overwrite(daily.BRONZE, fx.positions(spark, sf_dir), ["date"])
         daily.load_streets(store, fx.ways(spark, sf_dir))
@@ -489,10 +488,10 @@ def run_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ------------------------------------------------ streaming, decode, sinks
 def _store(spark, name):
-    from streetflow.plans.tables import TableStore
+    from streetflow.plans import daily
     from streetflow.session import scratch_dir
 
-    store = TableStore(spark, scratch_dir(spark, name))
+    store = daily.open_store(spark, scratch_dir(spark, name))
     store.create_schema()
     return store
 

@@ -108,3 +108,18 @@ def test_pluggable_decoder_runs_in_arrow_batches(spark, tmp_path):
     rows = SN.to_bronze(SN.decode_with(files, codec)).orderBy("entity_id").collect()
     assert [(r.vehicle_id, r.latitude) for r in rows] == [("V1", 41.9), ("V2", 41.91)]
     assert rows[0].date == dt.date(2024, 4, 1)
+
+
+def test_all_partitions_retired_reads_empty(spark, tmp_path):
+    from streetflow.plans import daily
+
+    store = daily.open_store(spark, str(tmp_path / "t"))
+    assert not store.exists(daily.SEGMENTS)
+    one = spark.createDataFrame([("V1", d("2024-01-01"))], "vehicle_id string, date_rome date")
+    seg = spark.createDataFrame([], daily.table_schemas()[daily.SEGMENTS]).unionByName(one, allowMissingColumns=True)
+    store.overwrite(daily.SEGMENTS, seg, ["date_rome"])
+    assert store.read(daily.SEGMENTS).count() == 1
+    store.drop_before(daily.SEGMENTS, "date_rome", d("2024-02-01"))
+    assert store.exists(daily.SEGMENTS)
+    empty = store.read(daily.SEGMENTS)
+    assert empty.count() == 0 and "date_rome" in empty.columns
