@@ -31,7 +31,12 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", os.environ.get("STREETFLOW_DRIVER_MEMORY", "8g"))
         .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
-        .getOrCreate()
+    )
+    if os.environ.get("STREETFLOW_EVENT_LOG"):  # stage timings for profiling, no UI
+        spark = spark.config("spark.eventLog.enabled", "true").config("spark.eventLog.dir",
+                                                                       os.environ["STREETFLOW_EVENT_LOG"])
+    spark = (
+        spark.getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
     return prepare(spark)

@@ -25,8 +25,9 @@ def scan_releases(spark: SparkSession, path: str, glob: str = "*.zip") -> DataFr
 
 
 def release_sizes(releases: DataFrame) -> DataFrame:
-    """Metadata only: (static_date, length); the content column is pruned."""
-    return releases.select("static_date", "length")
+    """Metadata only: (static_date, length) summed over a release's files; the
+    content column is pruned."""
+    return releases.groupBy("static_date").agg(F.sum("length").alias("length"))
 
 
 def _rows(member: str, content: bytes):
@@ -73,8 +74,10 @@ def decode_trips(releases: DataFrame) -> DataFrame:
 
 
 def pack_releases(points: DataFrame, trips: DataFrame) -> DataFrame:
-    """Build one zip per release from decoded tables (the publisher's side, used
-    to make fixtures): (static_date, length, content). CSVs carry a BOM."""
+    """Build release zips from decoded tables (the publisher's side, used to
+    make fixtures): (static_date, part, length, content). A release is written
+    as one zip per input partition, so no group exceeds one partition's rows;
+    decoding reads every part. CSVs carry a BOM."""
     from pyspark.sql.types import BinaryType, DateType, LongType, StringType, StructField, StructType
 
     rows = points.select("static_date", F.lit("s").alias("kind"),
@@ -82,9 +85,10 @@ def pack_releases(points: DataFrame, trips: DataFrame) -> DataFrame:
                                          F.col("lon").cast("string")).alias("line")).unionByName(
         trips.select("static_date", F.lit("t").alias("kind"),
                      F.concat_ws(",", "trip_id", F.coalesce("shape_id", F.lit(""))).alias("line")))
-    out_schema = StructType([StructField("static_date", DateType()), StructField("length", LongType()),
-                             StructField("content", BinaryType())])
+    out_schema = StructType([StructField("static_date", DateType()), StructField("part", LongType()),
+                             StructField("length", LongType()), StructField("content", BinaryType())])
     del StringType
+    rows = rows.withColumn("part", F.spark_partition_id().cast("long"))
 
     def pack(pdf):
         import io
@@ -100,7 +104,7 @@ def pack_releases(points: DataFrame, trips: DataFrame) -> DataFrame:
                                        + "\n".join(s) + "\n").encode("utf-8"))
             z.writestr(TRIPS_MEMBER, ("﻿trip_id,shape_id\n" + "\n".join(t) + "\n").encode("utf-8"))
         data = buf.getvalue()
-        return pd.DataFrame({"static_date": [pdf["static_date"].iloc[0]], "length": [len(data)],
-                             "content": [data]})
+        return pd.DataFrame({"static_date": [pdf["static_date"].iloc[0]], "part": [pdf["part"].iloc[0]],
+                             "length": [len(data)], "content": [data]})
 
-    return rows.groupBy("static_date").applyInPandas(pack, out_schema)
+    return rows.groupBy("static_date", "part").applyInPandas(pack, out_schema)

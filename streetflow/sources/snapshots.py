@@ -143,9 +143,8 @@ def to_bronze(decoded: DataFrame) -> DataFrame:
 
 
 def snapshot_messages(positions: DataFrame) -> DataFrame:
-    """Bronze-shaped rows -> one JSON feed message per snapshot (the collector's
-    output), with ``date``/``hour`` of the feed time for the landing layout
-    (SRC6). A snapshot holds one fleet's vehicles, so groups are bounded."""
+    """Bronze-shaped rows -> JSON feed messages (the collector's output), with
+    ``date``/``hour`` of the feed time for the landing layout (SRC6)."""
     ent = F.struct(
         F.col("entity_id").alias("id"),
         F.col("is_deleted").alias("is_deleted"),
@@ -159,7 +158,13 @@ def snapshot_messages(positions: DataFrame) -> DataFrame:
             F.unix_seconds("vehicle_timestamp").alias("timestamp"),
         ).alias("vehicle"),
     )
-    snap = positions.groupBy("source_file", "feed_timestamp").agg(F.collect_list(ent).alias("entity"))
+    # one message per snapshot and input partition: a group never exceeds one
+    # partition's rows, however many vehicles share a feed time
+    snap = (
+        positions.withColumn("_part", F.spark_partition_id())
+        .groupBy("source_file", "feed_timestamp", "_part")
+        .agg(F.collect_list(ent).alias("entity"))
+    )
     msg = F.struct(F.struct(F.unix_seconds("feed_timestamp").alias("timestamp")).alias("header"), "entity")
     return snap.select(
         F.to_json(msg).alias("value"),
