@@ -30,8 +30,9 @@ def _row(check: str, passed, skipped, value, limit, detail) -> list:
 def freshness(positions: DataFrame, now: dt.datetime, cfg: Config = DEFAULT) -> DataFrame:
     """Newest snapshot since yesterday must be at most ``freshness_max_lag_s``
     old (DQ1, AG1). No rows since yesterday fails. ``now`` is a UTC datetime."""
-    since = now.date() - dt.timedelta(days=1)
-    lag = F.unix_timestamp(F.lit(now).cast("timestamp")) - F.unix_timestamp(F.max("feed_timestamp"))
+    utc = now if now.tzinfo else now.replace(tzinfo=dt.timezone.utc)  # naive means UTC
+    since = utc.astimezone(dt.timezone.utc).date() - dt.timedelta(days=1)
+    lag = F.lit(int(utc.timestamp())) - F.unix_seconds(F.max("feed_timestamp"))
     agg = positions.where(F.col("date") >= F.lit(since)).agg(lag.alias("lag_s"))
     lim = float(cfg.freshness_max_lag_s)
     return agg.select(*_row(

@@ -44,3 +44,13 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.count() > 0
     assert set(E.oracle_sql()) <= set(E.queries())
+
+
+def test_segments_and_gold_stay_in_the_jvm(spark):
+    from streetflow.operators import segments as S
+
+    store = V.world(spark, SF)
+    for df in (S.vehicle_segments(store.read(daily.BRONZE)), V.street_speed(spark, SF), V.map_slot(spark, SF)):
+        p = _plan(df)
+        for bad in ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "FlatMapGroupsInPandas", "CartesianProduct"):
+            assert bad not in p, bad
