@@ -59,7 +59,7 @@ def main() -> None:
 
     timed("ingest", lambda: ingest(spark, raw, store, store.path("_checkpoint"), glob="*.txt"))
     timed("route_hour_speed", lambda: SP.route_hour_speed(
-        V._fresh_segments(spark, store.read(daily.BRONZE))).collect())
+        V._fresh_segments(store.read(daily.BRONZE))).collect())
     timed("segments", lambda: daily.segments_job(store, today))
     timed("streets", lambda: daily.load_streets(store, fx.ways(spark, sf_dir)))
     timed("lines", lambda: daily.lines_job(store, V.release_files(spark, sf_dir), fx.shapes(spark, sf_dir),

@@ -99,13 +99,13 @@ def segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _seg_view(S.segments(P.dedupe(P.clean(fx.positions(spark, sf_dir))))).select(*SEG_COLS)
 
 
-def _fresh_segments(spark: SparkSession, positions: DataFrame) -> DataFrame:
+def _fresh_segments(positions: DataFrame) -> DataFrame:
     return S.with_local_time(S.segments(P.dedupe(P.clean(positions))))
 
 
 def segments_local_time(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
-    segs = S.local_days(_fresh_segments(spark, _table(spark, sf_dir, "bronze_positions")),
+    segs = S.local_days(_fresh_segments(_table(spark, sf_dir, "bronze_positions")),
                         dt.date(2024, 3, 26), dt.date(2024, 4, 3))
     return _seg_view(segs).select("vehicle_id", "to_epoch", "date_rome", "hour_rome", weekday("date_rome").alias("dow"))
 
@@ -113,7 +113,7 @@ def segments_local_time(spark: SparkSession, sf_dir: str) -> DataFrame:
 def route_hour_speed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first end-to-end slice, straight from the positions."""
     prepare(spark)
-    return SP.route_hour_speed(_fresh_segments(spark, fx.positions(spark, sf_dir)))
+    return SP.route_hour_speed(_fresh_segments(fx.positions(spark, sf_dir)))
 
 
 # ----------------------------------------------------------------- streets
@@ -165,28 +165,24 @@ def _lines(spark, sf_dir):
     return stages.lines_stage(fx.shapes(spark, sf_dir), fx.trips(spark, sf_dir), _edges(spark, sf_dir))
 
 
-def _release_files(spark, sf_dir):
-    return release_files(spark, sf_dir)
-
-
 LOADED = ("2024-03-27",)
 TODAY = dt.date(2024, 6, 27)
 
 
 def release_acceptance(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
-    return SCH.release_acceptance(_release_files(spark, sf_dir))
+    return SCH.release_acceptance(release_files(spark, sf_dir))
 
 
 def version_cutoff(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
-    return SCH.version_cutoff(SCH.release_acceptance(_release_files(spark, sf_dir)), TODAY)
+    return SCH.version_cutoff(SCH.release_acceptance(release_files(spark, sf_dir)), TODAY)
 
 
 def new_releases(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     loaded = spark.createDataFrame([(dt.date.fromisoformat(d),) for d in LOADED], "static_date date")
-    acc = SCH.release_acceptance(_release_files(spark, sf_dir), loaded)
+    acc = SCH.release_acceptance(release_files(spark, sf_dir), loaded)
     return SCH.new_releases(acc, TODAY, loaded)
 
 

@@ -78,7 +78,7 @@ def pack_releases(points: DataFrame, trips: DataFrame) -> DataFrame:
     make fixtures): (static_date, part, length, content). A release is written
     as one zip per input partition, so no group exceeds one partition's rows;
     decoding reads every part. CSVs carry a BOM."""
-    from pyspark.sql.types import BinaryType, DateType, LongType, StringType, StructField, StructType
+    from pyspark.sql.types import BinaryType, DateType, LongType, StructField, StructType
 
     rows = points.select("static_date", F.lit("s").alias("kind"),
                          F.format_string("%s,%d,%s,%s", "shape_id", "seq", F.col("lat").cast("string"),
@@ -87,7 +87,6 @@ def pack_releases(points: DataFrame, trips: DataFrame) -> DataFrame:
                      F.concat_ws(",", "trip_id", F.coalesce("shape_id", F.lit(""))).alias("line")))
     out_schema = StructType([StructField("static_date", DateType()), StructField("part", LongType()),
                              StructField("length", LongType()), StructField("content", BinaryType())])
-    del StringType
     rows = rows.withColumn("part", F.spark_partition_id().cast("long"))
 
     def pack(pdf):
