@@ -131,7 +131,8 @@ def lines_job(store: TableStore, releases: DataFrame, points: DataFrame, trips:
     """Schedule releases -> shape_streets + trip_shape (INC3-INC7, SNK4, SNK5, SNK7).
 
     ``releases`` is the release metadata (static_date, length); ``points`` and
-    ``trips`` the decoded tables of those releases. Geometries are matched once;
+    ``trips`` the decoded tables of those releases, or ``points`` is a function
+    of the new dates returning both. Geometries are matched once;
     shape_streets is written before trip_shape because "done" is read from
     trip_shape (INC7).
     """
@@ -151,8 +152,11 @@ def lines_job(store: TableStore, releases: DataFrame, points: DataFrame, trips:
     accepted.unpersist()
     if not new_dates:
         return []
-    pts = points.where(F.col("static_date").isin(new_dates))
-    trp = trips.where(F.col("static_date").isin(new_dates))
+    if callable(points):  # decode only the new releases (see lines_job_from_files)
+        pts, trp = points(new_dates)
+    else:
+        pts = points.where(F.col("static_date").isin(new_dates))
+        trp = trips.where(F.col("static_date").isin(new_dates))
     known = None if rebuild else store.read(TRIP_SHAPE)
     lines = stages.lines_stage(pts, trp, store.read(EDGES), known, cfg, persist=True)
     if rebuild:
@@ -167,6 +171,25 @@ def lines_job(store: TableStore, releases: DataFrame, points: DataFrame, trips:
     return new_dates
 
 
+def lines_job_from_files(spark: SparkSession, store: TableStore, static_path: str, today: dt.date,
+                         glob: str = "*.zip", full_refresh: bool = False, cfg: Config = DEFAULT,
+                         log: RunLog | None = None) -> list:
+    """``lines_job`` over release zips in ``date=YYYY-MM-DD`` folders (SRC8-SRC10).
+
+    Acceptance reads file sizes only (the content column is pruned); only the
+    new releases' files are then read and decoded (a partition filter on the
+    release date, applied before the decode)."""
+    from streetflow.sources import schedule_files as SF
+
+    files = SF.scan_releases(spark, static_path, glob)
+
+    def decoded(new_dates):
+        sel = files.where(F.col("static_date").isin(new_dates))
+        return SF.decode_shapes(sel), SF.decode_trips(sel)
+
+    return lines_job(store, SF.release_sizes(files), decoded, None, today, full_refresh, cfg, log)
+
+
 def segment_streets_job(store: TableStore, today_local: dt.date, full_refresh: bool = False,
                         cfg: Config = DEFAULT, log: RunLog | None = None) -> tuple[dt.date, dt.date] | None:
     """vehicle_segments -> segment_streets, a day only once the next day's

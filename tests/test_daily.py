@@ -12,6 +12,7 @@ from streetflow.sources import fixtures as fx
 from streetflow.sources import snapshots as SN
 
 SF = "/root/testdata/sf0.001"
+SF_DIR = SF
 
 
 def _rows(df):
@@ -64,3 +65,27 @@ def test_bronze_job_lands_and_checks_freshness(spark, tmp_path):
         daily.bronze_job(spark, store, raw, newest + dt.timedelta(hours=3), glob="*.txt")
     # nothing new on the second pass
     assert store.read(daily.BRONZE).count() == fx.positions(spark, SF).count()
+
+
+def test_lines_from_release_files(spark, tmp_path):
+    """Release zips on disk -> the same line matches and trip geometries as the decoded tables."""
+    from streetflow.sources import schedule_files as SF
+
+    static = tmp_path / "static"
+    for r in SF.pack_releases(fx.shapes(spark, SF_DIR), fx.trips(spark, SF_DIR)).collect():  # test setup only
+        d = static / f"date={r.static_date.isoformat()}"
+        d.mkdir(parents=True, exist_ok=True)
+        (d / f"part-{r.part}.zip").write_bytes(bytes(r.content))
+    a = TableStore(spark, str(tmp_path / "a"))
+    b = TableStore(spark, str(tmp_path / "b"))
+    for st in (a, b):
+        st.create_schema()
+        daily.load_streets(st, fx.ways(spark, SF_DIR))
+    rel, pts, trp = _inputs(spark)
+    daily.lines_job(a, rel, pts, trp, dt.date(2024, 4, 6))
+    new = daily.lines_job_from_files(spark, b, str(static), dt.date(2024, 4, 6))
+    assert len(new) == 5
+    cols = ["static_date", "trip_id", "shape_id", "shape_hash"]
+    assert _rows(a.read(daily.TRIP_SHAPE).select(*cols)) == _rows(b.read(daily.TRIP_SHAPE).select(*cols))
+    cols = ["shape_hash", "way_id", "points", "span_m"]
+    assert _rows(a.read(daily.SHAPE_STREETS).select(*cols)) == _rows(b.read(daily.SHAPE_STREETS).select(*cols))
