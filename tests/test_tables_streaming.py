@@ -123,3 +123,11 @@ def test_all_partitions_retired_reads_empty(spark, tmp_path):
     assert store.exists(daily.SEGMENTS)
     empty = store.read(daily.SEGMENTS)
     assert empty.count() == 0 and "date_rome" in empty.columns
+
+
+def test_scratch_goes_under_the_session_checkpoint_dir(spark):
+    from streetflow.session import checkpoint_dir, scratch_dir
+
+    base = spark.sparkContext.getCheckpointDir()
+    assert base and checkpoint_dir(spark) == base
+    assert scratch_dir(spark, "x").startswith(base.rstrip("/") + "/x-")
