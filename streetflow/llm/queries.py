@@ -39,10 +39,10 @@ cand as (select distinct a.doc_id as a, b.doc_id as b from p a join p b on a.x =
 link as (
   select a, b from cand join s sa on sa.doc_id = a join s sb on sb.doc_id = b
   where 100 * len(list_intersect(sa.s, sb.s)) >= 80 * (len(sa.s) + len(sb.s) - len(list_intersect(sa.s, sb.s)))),
-both as (select a, b from link union select b, a from link),
+two as (select a, b from link union select b, a from link),
 reach as (select doc_id as node, doc_id as least from d
-          union select both.b, reach.least from reach join both on both.a = reach.node
-          where reach.least < both.b),
+          union select two.b, reach.least from reach join two on two.a = reach.node
+          where reach.least < two.b),
 comp as (select node, min(least) as component_id from reach group by node)
 select s.doc_id, cast(len(s.s) as bigint) as n_shingles, component_id, s.doc_id = component_id as kept
 from s join comp on comp.node = s.doc_id
