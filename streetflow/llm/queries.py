@@ -4,21 +4,43 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from streetflow.llm import bottomk
+from streetflow.llm import bottomk, bpe, doubling
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encoding_digests(_table(spark, sf_dir, "documents"))
+
+
+def encoding_digests(docs: DataFrame) -> DataFrame:
+    """Documents encoded and decoded, as counts and digests."""
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return bpe.decode(bpe.encode(docs, path), path).select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def op7_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bottomk.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return doubling.substring_dedup(_table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_byte_bpe": op3_byte_bpe,
     "op7_minhash_dedup": op7_minhash_dedup,
+    "op8_substring_dedup": op8_substring_dedup,
 }
 
 #: DuckDB SQL of the queries that SQL can express.
@@ -29,7 +51,7 @@ with recursive d as (
          'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w from documents),
 s as (
   select doc_id, case when len(w) = 0 then [] when len(w) = 1 then [w[1]]
-         else list_distinct(list_transform(range(1, len(w)), i -> w[i] || ' ' || w[i + 1])) end as s from d),
+         else list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) end as s from d),
 e as (select doc_id, len(s) as n, unnest(s) as x from s),
 rare as (select doc_id, n, x, row_number() over (partition by doc_id order by df, x) as r
          from e join (select x, count(*) as df from e group by x) using (x)),
@@ -46,5 +68,19 @@ reach as (select doc_id as node, doc_id as least from d
 comp as (select node, min(least) as component_id from reach group by node)
 select s.doc_id, cast(len(s.s) as bigint) as n_shingles, component_id, s.doc_id = component_id as kept
 from s join comp on comp.node = s.doc_id
+""",
+    "op8_substring_dedup": r"""
+with d as (select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w from documents),
+g as (select doc_id, i, array_to_string(w[i:i + 12], ' ') as x
+      from (select doc_id, w, unnest(range(1, len(w) - 11)) as i from d)),
+f as (select x, min(doc_id) as low from g group by x),
+c as (select distinct doc_id, i + j as p from (select doc_id, i from g join f using (x) where low < doc_id)
+      cross join (select unnest(range(13)) as j)),
+k as (select doc_id, p, w[p] as t from (select doc_id, w, unnest(range(1, len(w) + 1)) as p from d)),
+r as (select k.doc_id, count(c.p) as n_removed, string_agg(case when c.p is null then k.t end, ' ' order by k.p) as t
+      from k left join c on c.doc_id = k.doc_id and c.p = k.p group by k.doc_id)
+select d.doc_id, cast(len(w) as bigint) as n_words, cast(coalesce(n_removed, 0) as bigint) as n_removed,
+       sha256(coalesce(t, '')) as kept_sha256
+from d left join r on r.doc_id = d.doc_id
 """,
 }
