@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from streetflow.llm import bottomk, bpe, doubling
+from streetflow.llm import bottomk, bpe, doubling, secret_scan, winnow
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,6 +28,27 @@ def encoding_digests(docs: DataFrame) -> DataFrame:
         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return span_digests(secret_scan.scan_secrets(_table(spark, sf_dir, "documents")))
+
+
+def span_digests(found: DataFrame) -> DataFrame:
+    def of(kind: int) -> Column:
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
+
+    return found.select(
+        "doc_id", of(0).alias("n_assign"), of(1).alias("n_access"), of(2).alias("n_hex"),
+        F.sha2(secret_scan.span_text(F.col("base")), 256).alias("base_sha256"),
+        secret_scan.span_text(F.array_sort(F.concat("base", "added"))).alias("spans"))
+
+
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = winnow.decontaminate(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+
+
 def op7_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bottomk.near_duplicates(_table(spark, sf_dir, "documents"))
 
@@ -39,12 +60,37 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_byte_bpe": op3_byte_bpe,
+    "op4_secret_scan": op4_secret_scan,
+    "op6_decontamination": op6_decontamination,
     "op7_minhash_dedup": op7_minhash_dedup,
     "op8_substring_dedup": op8_substring_dedup,
 }
 
 #: DuckDB SQL of the queries that SQL can express.
 SQL: dict[str, str] = {
+    "op6_decontamination": r"""
+with d as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from documents),
+b as (
+  select item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from benchmark),
+bw as (select distinct item_id, l, array_to_string(w[i:i + l - 1], ' ') as x
+       from (select item_id, w, least(len(w), 10) as l, unnest(range(1, len(w) - least(len(w), 10) + 2)) as i
+             from b where len(w) > 0)),
+dw as (select doc_id, l, i, array_to_string(w[i:i + l - 1], ' ') as x
+       from (select doc_id, w, l, unnest(range(1, len(w) - l + 2)) as i
+             from d cross join (select distinct l from bw) where len(w) >= l)),
+hit as (select doc_id, item_id, i, l from dw join bw using (l, x)),
+pos as (select doc_id, count(distinct p) as n_hit
+        from (select doc_id, unnest(range(i, i + l)) as p from (select distinct doc_id, i, l from hit)) group by 1),
+its as (select doc_id, count(*) as n_items, string_agg(x, ',' order by x) as x
+        from (select distinct doc_id, cast(item_id as varchar) as x from hit) group by 1)
+select d.doc_id, cast(len(w) as bigint) as n_words, cast(coalesce(n_hit, 0) as bigint) as n_hit,
+       cast(coalesce(n_items, 0) as bigint) as n_items, sha256(coalesce(x, '')) as items_sha256,
+       coalesce(n_hit, 0) > 0 as contaminated
+from d left join pos on pos.doc_id = d.doc_id left join its on its.doc_id = d.doc_id
+""",
     "op7_minhash_dedup": r"""
 with recursive d as (
   select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
