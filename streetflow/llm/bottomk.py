@@ -10,14 +10,18 @@
    of either; only those are listed. Sets of at most ``k`` shingles are their
    own sketch, and there the bound is exact.
 4. The overlap of two sketches within the bottom-k of their union estimates
-   their Jaccard similarity; pairs 6 standard deviations under the threshold go.
+   their Jaccard similarity; pairs more than 6 standard deviations under the
+   threshold go.
 5. The others are verified by exact Jaccard on the full sets.
 
-Lists are first joined as stars (each member with the list's leader), and the
-verified links contracted to components; then only members of lists that still
-span several components are paired, each with the members of other components.
-A group of thousands of near copies thus costs a few pairs a document, and
-still no link between two components is missed.
+No list is expanded into all its pairs. Each member is paired with the list's
+leader; only members that are unlike their leader are paired with the rest of
+the list (with lists of rare values these are few). Candidates join documents to
+families. Where a family's verified links leave several components, the members
+outside its largest one are held against the whole family, in blocks inside
+tasks that put out verified links alone. A group of thousands of near copies
+thus costs rows in proportion to its size, and no link between two components
+is missed.
 """
 
 from __future__ import annotations
@@ -83,7 +87,7 @@ _SKETCH = StructType([
     StructField("doc_id", LongType()), StructField("n_shingles", LongType()), StructField("key", BinaryType()),
     StructField("sketch", ArrayType(LongType()))])
 _SET = StructType([StructField("key", BinaryType()), StructField("shingles", BinaryType())])
-_PAIR = StructType([StructField("a", BinaryType()), StructField("b", BinaryType())])
+_PAIR = StructType([StructField("a", LongType()), StructField("b", LongType())])
 
 
 def sketches(docs: DataFrame, length: int, k: int) -> DataFrame:
@@ -109,13 +113,12 @@ def full_sets(docs: DataFrame, length: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in range(0, batch.num_rows, 512):
-                sets = [s for _, s in shingle_sets(batch.slice(part, 512).column(1), length)]
+                sets = [s for _, s in shingle_sets(batch.slice(part, 512).column(0), length)]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([_key(s) for s in sets], pa.binary()), pa.array([_pack(s) for s in sets], pa.binary())],
                     names=_SET.names)
 
-    return docs.select("text").mapInArrow(
-        lambda it: run(pa.RecordBatch.from_arrays([b.column(0), b.column(0)], names=["x", "text"]) for b in it), _SET)
+    return docs.select("text").mapInArrow(run, _SET)
 
 
 def need_of(k: int, threshold: float) -> int:
@@ -124,7 +127,15 @@ def need_of(k: int, threshold: float) -> int:
     return max(1, int(k * threshold - 6.5 * sqrt(k * threshold * (1 - threshold))))
 
 
-def _verified(pairs: DataFrame, reps: DataFrame, docs: DataFrame, length: int, percent: int) -> DataFrame:
+def _sets_of(ids: DataFrame, reps: DataFrame, docs: DataFrame, length: int) -> DataFrame:
+    """(id, shingles) of the classes in ``ids``, from their texts."""
+    wanted = reps.join(ids.distinct(), "id", "left_semi").select("id", "key", "rep")
+    texts = docs.join(wanted, docs["doc_id"].eqNullSafe(wanted["rep"]), "left_semi")
+    sets = full_sets(texts, length).dropDuplicates(["key"])
+    return wanted.join(sets, "key").select("id", "shingles")
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose full sets have 100 * intersection >= percent * union."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -136,18 +147,72 @@ def _verified(pairs: DataFrame, reps: DataFrame, docs: DataFrame, length: int, p
                 good.append(100 * both >= percent * (len(p) + len(q) - both))
             yield batch.select([0, 1]).filter(pa.array(good, pa.bool_()))
 
-    keys = pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct()
-    ids = reps.join(keys, "key", "left_semi").select("rep")
-    texts = docs.join(ids, docs["doc_id"].eqNullSafe(ids["rep"]), "left_semi")
-    sets = full_sets(texts, length).dropDuplicates(["key"])
     return (
         pairs.join(sets.toDF("a", "set_a"), "a").join(sets.toDF("b", "set_b"), "b")
         .select("a", "b", "set_a", "set_b").mapInArrow(run, _PAIR)
     )
 
 
+#: Members, and members outside the largest component, of one block of a family.
+_MEMBERS, _REST = 1024, 256
+
+
+def _across(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) between the parts of each family: (id, family, part) rows.
+
+    Rows outside a family's largest part meet all its rows. Families are cut in
+    blocks of members and of the former; small families share blocks.
+    """
+    by_part = members.groupBy("family", "part").agg(F.count("*").alias("c"))
+    shape = by_part.groupBy("family").agg(
+        F.max(F.struct("c", "part")).alias("top"), F.sum("c").alias("g"), F.count("*").alias("parts")
+    ).where("parts > 1 and g > 2").select(
+        "family", F.col("top.part").alias("main"), "g",
+        F.ceil(F.col("g") / _MEMBERS).cast("int").alias("nm"),
+        F.ceil((F.col("g") - F.col("top.c")) / _REST).cast("int").alias("nr"))
+    rows = cut(members.join(shape, "family"))
+    shared = max(1, rows.where("nm = 1 and nr = 1").count() // _MEMBERS)
+    block = F.when((F.col("nm") == 1) & (F.col("nr") == 1),
+                   F.pmod(F.xxhash64("family"), F.lit(shared))).otherwise(F.xxhash64("family", "i", "j"))
+    h = F.xxhash64("id")
+    whole = rows.withColumn("rest", F.lit(False)).withColumn("i", F.pmod(h, "nm").cast("int")).withColumn(
+        "j", F.explode(F.sequence(F.lit(0), F.col("nr") - 1)))
+    rest = rows.where("part <> main").withColumn("rest", F.lit(True)).withColumn(
+        "j", F.pmod(h, "nr").cast("int")).withColumn("i", F.explode(F.sequence(F.lit(0), F.col("nm") - 1)))
+    cells = whole.unionByName(rest).join(sets, "id").select(
+        block.alias("block"), "family", "i", "j", "rest", "id", "part", "shingles")
+
+    def run(table: pa.Table) -> pa.Table:
+        rows = table.select(["family", "i", "j", "rest", "id", "part", "shingles"]).to_pylist()
+        cell: dict[tuple, tuple[list, list]] = {}
+        for r in rows:
+            cell.setdefault((r["family"], r["i"], r["j"]), ([], []))[r["rest"]].append(r)
+        a, b = [], []
+        for members, rest in cell.values():
+            if not members or not rest:
+                continue
+            held = [_unpack(r["shingles"]) for r in members]
+            sizes = np.array([len(x) for x in held])
+            owner = np.repeat(np.arange(len(held)), sizes)
+            flat = np.concatenate(held)
+            for x in rest:
+                mine = _unpack(x["shingles"])
+                at = np.minimum(np.searchsorted(mine, flat), len(mine) - 1)
+                both = np.bincount(owner[mine[at] == flat], minlength=len(held))
+                linked = set()
+                for y in np.flatnonzero(100 * both >= percent * (sizes + len(mine) - both)):
+                    part = members[y]["part"]
+                    if part != x["part"] and part not in linked:
+                        linked.add(part)
+                        a.append(x["id"])
+                        b.append(members[y]["id"])
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return cells.groupBy("block").applyInArrow(run, _PAIR)
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, length: int = 2,
-                    percent: int = 80, k: int = 32) -> DataFrame:
+                    percent: int = 80, k: int = 64) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of each row of ``docs``.
 
     Words are runs of anything but ASCII white space, with A-Z lowered. Rows
@@ -163,60 +228,52 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rows = staged(sketches(docs, length, k), "sketches")
     reps = staged(
         rows.where("n_shingles > 0").groupBy("key").agg(
-            F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch")),
-        "reps")
+            F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch"))
+        .withColumn("id", F.monotonically_increasing_id()), "reps")
 
     # each set's rarest retained values; a value that one set alone has cannot make a pair
-    postings = reps.select("key", "n", F.explode("sketch").alias("v")).repartition("v")
+    postings = reps.select("id", "n", F.explode("sketch").alias("v"))
     often = postings.groupBy("v").agg(F.count("*").alias("df")).where("df > 1")
     sure = F.when(F.col("n") >= k, F.lit(need)).otherwise(F.ceil(F.col("n") * percent / 100))
     listed = staged(
-        postings.join(often, "v").groupBy("key").agg(
+        postings.join(often, "v").groupBy("id").agg(
             F.first("n").alias("n"), F.array_sort(F.collect_list(F.struct("df", "v"))).alias("by_df"))
-        .withColumn("single", F.least("n", F.lit(k)) - F.size("by_df"))
-        .withColumn("prefix", F.least("n", F.lit(k)) - sure + 1 - F.col("single"))
+        # the rarest: those that no other set has come first, then by_df
+        .withColumn("prefix", F.size("by_df") - sure + 1)
         .where("prefix > 0")
-        .select("key", "n", F.explode(F.slice("by_df", 1, F.col("prefix").cast("int"))).alias("x"))
-        .select("key", "n", F.col("x.v").alias("v")),
+        .select("id", "n", F.explode(F.slice("by_df", 1, F.col("prefix").cast("int"))).alias("x"))
+        .select("id", "n", F.col("x.v").alias("v")),
         "postings")
 
     def alike(pairs: DataFrame) -> DataFrame:
         """Pairs whose union sketch does not rule them out."""
-        side = reps.select("key", "n", "sketch")
-        both = pairs.join(side.toDF("a", "n_a", "s_a"), "a").join(side.toDF("b", "n_b", "s_b"), "b")
+        side = reps.select("id", "sketch")
+        both = pairs.join(side.toDF("a", "s_a"), "a").join(side.toDF("b", "s_b"), "b")
         union = F.slice(F.array_sort(F.array_union("s_a", "s_b")), 1, k)
         shared = F.size(F.array_intersect(F.array_intersect(union, "s_a"), "s_b"))
         least = F.when(F.size(union) < k, F.ceil(F.size(union) * percent / 100)).otherwise(F.lit(need))
         return both.where(shared >= least).select("a", "b")
 
     near = f"100 * least(n, m) >= {percent} * greatest(n, m)"
-    lead = listed.groupBy("v").agg(F.min_by(F.struct("key", "n"), F.struct(F.xxhash64("key"), "key")).alias("lead"))
-    stars = (
-        listed.join(lead.select("v", F.col("lead.key").alias("b"), F.col("lead.n").alias("m")), "v")
-        .where(f"key <> b and {near}").select(F.greatest("key", "b").alias("a"), F.least("key", "b").alias("b"))
-        .distinct()
-    )
-    links = staged(_verified(cut(alike(stars)), reps, docs, length, percent), "links")
-    part = cut(components(links, "a", "b"))
-
-    # lists that still span components: members outside the list's largest component with all of another one
-    at = listed.join(part.toDF("key", "part"), "key", "left").withColumn("part", F.coalesce("part", "key"))
-    at = staged(at, "labelled")
-    largest = at.groupBy("v", "part").agg(F.count("*").alias("c")).groupBy("v").agg(
-        F.max(F.struct("c", "part")).alias("top"), F.count("*").alias("parts")).where("parts > 1")
-    rest = at.join(largest.select("v", "top.part"), ["v", "part"], "left_anti").join(
-        largest.select("v", F.col("top.part").alias("main")), "v")
-    others = at.select("v", F.col("key").alias("b"), F.col("n").alias("m"), F.col("part").alias("part_b"))
-    cross = (
-        rest.join(others, "v").where(f"part <> part_b and (part_b = main or key > b) and {near}")
-        .select(F.greatest("key", "b").alias("a"), F.least("key", "b").alias("b")).distinct()
-        .join(stars, ["a", "b"], "left_anti")
-    )
-    more = staged(_verified(cut(alike(cross)), reps, docs, length, percent), "links")
-    part = components(links.union(more), "a", "b")
-
-    named = reps.select("key", "rep").join(part.toDF("key", "part"), "key", "left").withColumn(
-        "part", F.coalesce("part", "key"))
+    pair = [F.greatest("id", "other").alias("a"), F.least("id", "other").alias("b")]
+    lead = listed.groupBy("v").agg(F.min_by(F.struct("id", "n"), F.struct(F.xxhash64("id"), "id")).alias("lead"))
+    stars = listed.join(lead.select("v", F.col("lead.id").alias("other"), F.col("lead.n").alias("m")), "v").where(
+        "id <> other").select("v", "id", "n", *pair, F.expr(near).alias("near"))
+    like = staged(alike(stars.where("near").select("a", "b").distinct()), "pairs")
+    unlike = stars.join(like, ["a", "b"], "left_anti").select("v", "id", "n")
+    others = listed.select("v", F.col("id").alias("other"), F.col("n").alias("m"))
+    more = unlike.join(others, "v").where(f"id <> other and {near}").select(*pair).distinct()
+    like = staged(like.union(alike(more.join(like, ["a", "b"], "left_anti"))), "pairs")
+
+    sets = staged(_sets_of(like.select(F.col("a").alias("id")).union(like.select("b")), reps, docs, length), "sets")
+    links = staged(_verified(like, sets, percent), "links")
+    family = components(like, "a", "b").toDF("id", "family")
+    part = components(links, "a", "b").toDF("id", "part")
+    members = family.join(part, "id", "left").select("id", "family", F.coalesce("part", "id").alias("part"))
+    links = links.union(staged(_across(members, sets, percent), "links"))
+
+    named = reps.select("key", "id", "rep").join(components(links, "a", "b").toDF("id", "part"), "id", "left").withColumn(
+        "part", F.coalesce("part", "id"))
     named = named.join(named.groupBy("part").agg(F.min("rep").alias("component_id")), "part").select(
         "key", "component_id")
     return (
