@@ -35,7 +35,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, LongType, StructField, StructType
 
-from streetflow.llm.graph import components, cut, staged
+from streetflow.llm.graph import components, staged
+from streetflow.llm.similar import across, candidates, verified
 from streetflow.llm.textscan import Words, as_long, mix, slices
 
 _U = np.uint64
@@ -87,7 +88,6 @@ _SKETCH = StructType([
     StructField("doc_id", LongType()), StructField("n_shingles", LongType()), StructField("key", BinaryType()),
     StructField("sketch", ArrayType(LongType()))])
 _SET = StructType([StructField("key", BinaryType()), StructField("shingles", BinaryType())])
-_PAIR = StructType([StructField("a", LongType()), StructField("b", LongType())])
 
 
 def sketches(docs: DataFrame, length: int, k: int) -> DataFrame:
@@ -135,82 +135,6 @@ def _sets_of(ids: DataFrame, reps: DataFrame, docs: DataFrame, length: int) -> D
     return wanted.join(sets, "key").select("id", "shingles")
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full sets have 100 * intersection >= percent * union."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            good = []
-            for x, y in zip(batch.column(2), batch.column(3), strict=True):
-                p, q = _unpack(x.as_py()), _unpack(y.as_py())
-                both = len(np.intersect1d(p, q, assume_unique=True))
-                good.append(100 * both >= percent * (len(p) + len(q) - both))
-            yield batch.select([0, 1]).filter(pa.array(good, pa.bool_()))
-
-    return (
-        pairs.join(sets.toDF("a", "set_a"), "a").join(sets.toDF("b", "set_b"), "b")
-        .select("a", "b", "set_a", "set_b").mapInArrow(run, _PAIR)
-    )
-
-
-#: Members, and members outside the largest component, of one block of a family.
-_MEMBERS, _REST = 1024, 256
-
-
-def _across(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links (a, b) between the parts of each family: (id, family, part) rows.
-
-    Rows outside a family's largest part meet all its rows. Families are cut in
-    blocks of members and of the former; small families share blocks.
-    """
-    by_part = members.groupBy("family", "part").agg(F.count("*").alias("c"))
-    shape = by_part.groupBy("family").agg(
-        F.max(F.struct("c", "part")).alias("top"), F.sum("c").alias("g"), F.count("*").alias("parts")
-    ).where("parts > 1 and g > 2").select(
-        "family", F.col("top.part").alias("main"), "g",
-        F.ceil(F.col("g") / _MEMBERS).cast("int").alias("nm"),
-        F.ceil((F.col("g") - F.col("top.c")) / _REST).cast("int").alias("nr"))
-    rows = cut(members.join(shape, "family"))
-    shared = max(1, rows.where("nm = 1 and nr = 1").count() // _MEMBERS)
-    block = F.when((F.col("nm") == 1) & (F.col("nr") == 1),
-                   F.pmod(F.xxhash64("family"), F.lit(shared))).otherwise(F.xxhash64("family", "i", "j"))
-    h = F.xxhash64("id")
-    whole = rows.withColumn("rest", F.lit(False)).withColumn("i", F.pmod(h, "nm").cast("int")).withColumn(
-        "j", F.explode(F.sequence(F.lit(0), F.col("nr") - 1)))
-    rest = rows.where("part <> main").withColumn("rest", F.lit(True)).withColumn(
-        "j", F.pmod(h, "nr").cast("int")).withColumn("i", F.explode(F.sequence(F.lit(0), F.col("nm") - 1)))
-    cells = whole.unionByName(rest).join(sets, "id").select(
-        block.alias("block"), "family", "i", "j", "rest", "id", "part", "shingles")
-
-    def run(table: pa.Table) -> pa.Table:
-        rows = table.select(["family", "i", "j", "rest", "id", "part", "shingles"]).to_pylist()
-        cell: dict[tuple, tuple[list, list]] = {}
-        for r in rows:
-            cell.setdefault((r["family"], r["i"], r["j"]), ([], []))[r["rest"]].append(r)
-        a, b = [], []
-        for members, rest in cell.values():
-            if not members or not rest:
-                continue
-            held = [_unpack(r["shingles"]) for r in members]
-            sizes = np.array([len(x) for x in held])
-            owner = np.repeat(np.arange(len(held)), sizes)
-            flat = np.concatenate(held)
-            for x in rest:
-                mine = _unpack(x["shingles"])
-                at = np.minimum(np.searchsorted(mine, flat), len(mine) - 1)
-                both = np.bincount(owner[mine[at] == flat], minlength=len(held))
-                linked = set()
-                for y in np.flatnonzero(100 * both >= percent * (sizes + len(mine) - both)):
-                    part = members[y]["part"]
-                    if part != x["part"] and part not in linked:
-                        linked.add(part)
-                        a.append(x["id"])
-                        b.append(members[y]["id"])
-        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
-
-    return cells.groupBy("block").applyInArrow(run, _PAIR)
-
-
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, length: int = 2,
                     percent: int = 80, k: int = 64) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of each row of ``docs``.
@@ -254,23 +178,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         least = F.when(F.size(union) < k, F.ceil(F.size(union) * percent / 100)).otherwise(F.lit(need))
         return both.where(shared >= least).select("a", "b")
 
-    near = f"100 * least(n, m) >= {percent} * greatest(n, m)"
-    pair = [F.greatest("id", "other").alias("a"), F.least("id", "other").alias("b")]
-    lead = listed.groupBy("v").agg(F.min_by(F.struct("id", "n"), F.struct(F.xxhash64("id"), "id")).alias("lead"))
-    stars = listed.join(lead.select("v", F.col("lead.id").alias("other"), F.col("lead.n").alias("m")), "v").where(
-        "id <> other").select("v", "id", "n", *pair, F.expr(near).alias("near"))
-    like = staged(alike(stars.where("near").select("a", "b").distinct()), "pairs")
-    unlike = stars.join(like, ["a", "b"], "left_anti").select("v", "id", "n")
-    others = listed.select("v", F.col("id").alias("other"), F.col("n").alias("m"))
-    more = unlike.join(others, "v").where(f"id <> other and {near}").select(*pair).distinct()
-    like = staged(like.union(alike(more.join(like, ["a", "b"], "left_anti"))), "pairs")
-
+    like = staged(candidates(listed, percent, alike), "pairs")
     sets = staged(_sets_of(like.select(F.col("a").alias("id")).union(like.select("b")), reps, docs, length), "sets")
-    links = staged(_verified(like, sets, percent), "links")
+    links = staged(verified(like, sets, _unpack, percent), "links")
     family = components(like, "a", "b").toDF("id", "family")
     part = components(links, "a", "b").toDF("id", "part")
     members = family.join(part, "id", "left").select("id", "family", F.coalesce("part", "id").alias("part"))
-    links = links.union(staged(_across(members, sets, percent), "links"))
+    links = links.union(staged(across(members, sets, _unpack, percent), "links"))
 
     named = reps.select("key", "id", "rep").join(components(links, "a", "b").toDF("id", "part"), "id", "left").withColumn(
         "part", F.coalesce("part", "id"))

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from streetflow.llm import bottomk, bpe, doubling, secret_scan, winnow
+from streetflow.llm import bottomk, bpe, doubling, fuzzy_lines, secret_scan, winnow
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -58,12 +58,18 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fuzzy_lines.dedup_lines(_table(spark, sf_dir, "documents")).select(
+        "row.doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_byte_bpe": op3_byte_bpe,
     "op4_secret_scan": op4_secret_scan,
     "op6_decontamination": op6_decontamination,
     "op7_minhash_dedup": op7_minhash_dedup,
     "op8_substring_dedup": op8_substring_dedup,
+    "op10_line_dedup": op10_line_dedup,
 }
 
 #: DuckDB SQL of the queries that SQL can express.

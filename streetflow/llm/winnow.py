@@ -13,6 +13,8 @@ knows their size and broadcasts them only if they are small.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -31,24 +33,36 @@ def words_of(text: Column) -> Column:
     return F.array_remove(F.split(F.coalesce(lowered, F.lit("")), SEPARATORS), "")
 
 
+def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` worked out once a row, even inside a lambda."""
+    return F.transform(F.array(value), use)[0]
+
+
+def sliding_min(values: Column, span: int) -> Column:
+    """Smallest of each ``span`` consecutive elements, from each element on (fewer
+    at the end): minima of 2, 4, ... elements, then of two overlapping ones."""
+    reach = 1
+    while reach < span:
+        step = min(reach, span - reach)
+        values = _bound(values, lambda a, step=step: F.transform(a, lambda x, i: F.least(x, F.get(a, i + step))))
+        reach += step
+    return values
+
+
 def fingerprints(hashes: Column, n: Column, length: int) -> Column:
     """Distinct smallest k-gram hashes of every run of ``length`` words, k being
-    ``(length + 1) // 2``; empty for fewer words. ``hashes`` are the words'."""
+    ``(length + 1) // 2``; empty for fewer words. ``hashes`` are the ``n`` words'."""
     k = (length + 1) // 2
-    spans = length - k + 1
-    grams = F.transform(F.sequence(F.lit(0), n - k), lambda i: F.xxhash64(*[hashes[i + j] for j in range(k)]))
-    if spans == 1:
-        mins = grams
-    else:
-        mins = F.transform(F.sequence(F.lit(0), n - length), lambda i: F.array_min(F.slice(grams, i + 1, spans)))
+    grams = _bound(hashes, lambda h: F.transform(
+        F.sequence(F.lit(0), n - k), lambda i: F.xxhash64(*[F.get(h, i + j) for j in range(k)])))
+    mins = F.slice(sliding_min(grams, length - k + 1), F.lit(1), n - length + 1)
     return F.when(n >= length, F.array_distinct(mins)).otherwise(F.array().cast("array<bigint>"))
 
 
 def windows(words: Column, length: Column) -> Column:
     """Every run of ``length`` words, joined by a space."""
-    starts = F.sequence(F.lit(1), F.size(words) - length + 1)
-    return F.when(F.size(words) >= length,
-                  F.transform(starts, lambda i: F.array_join(F.slice(words, i, length), " ")))
+    return _bound(words, lambda ws: F.when(F.size(ws) >= length, F.transform(
+        F.sequence(F.lit(1), F.size(ws) - length + 1), lambda i: F.array_join(F.slice(ws, i, length), " "))))
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", *,
