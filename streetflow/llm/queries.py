@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from streetflow.llm import bottomk, bpe, doubling, fuzzy_lines, secret_scan, winnow
+from streetflow.llm import bottomk, bpe, doubling, fuzzy_lines, secret_scan, site_quality, winnow
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -42,6 +42,12 @@ def span_digests(found: DataFrame) -> DataFrame:
         secret_scan.span_text(F.array_sort(F.concat("base", "added"))).alias("spans"))
 
 
+def op5_site_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return site_quality.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")).select(
+        "doc_id", "host", "path", F.round("evidence", 6).alias("evidence"), F.round("host_rate", 6).alias("host_rate"),
+        F.round("path_rate", 6).alias("path_rate"), F.round("score", 6).alias("score"), "kept")
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = winnow.decontaminate(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
     return found.select(
@@ -66,6 +72,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_byte_bpe": op3_byte_bpe,
     "op4_secret_scan": op4_secret_scan,
+    "op5_site_quality": op5_site_quality,
     "op6_decontamination": op6_decontamination,
     "op7_minhash_dedup": op7_minhash_dedup,
     "op8_substring_dedup": op8_substring_dedup,
