@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from streetflow.llm import bottomk, bpe, doubling, fuzzy_lines, secret_scan, site_quality, winnow
+from streetflow.llm import bottomk, bpe, doubling, fuzzy_lines, secret_scan, site_quality, toxic_neighbours, winnow
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -64,6 +64,11 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxic_neighbours.score_toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")).select(
+        "doc_id", "held_out", "score", "predicted")
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fuzzy_lines.dedup_lines(_table(spark, sf_dir, "documents")).select(
         "row.doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
@@ -76,6 +81,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_decontamination": op6_decontamination,
     "op7_minhash_dedup": op7_minhash_dedup,
     "op8_substring_dedup": op8_substring_dedup,
+    "op9_toxicity": op9_toxicity,
     "op10_line_dedup": op10_line_dedup,
 }
 
