@@ -8,13 +8,17 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from streetflow.llm import bottomk, bpe, doubling, fuzzy_lines, secret_scan, site_quality, toxic_neighbours, winnow
+from streetflow.llm import bottomk, bpe, doubling, fuzzy_lines, projections, secret_scan, site_quality, toxic_neighbours, winnow
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return projections.near_vectors(_table(spark, sf_dir, "embeddings"))
+
+
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoding_digests(_table(spark, sf_dir, "documents"))
 
@@ -75,6 +79,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_embedding_dedup": op2_embedding_dedup,
     "op3_byte_bpe": op3_byte_bpe,
     "op4_secret_scan": op4_secret_scan,
     "op5_site_quality": op5_site_quality,
@@ -87,6 +92,21 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 #: DuckDB SQL of the queries that SQL can express.
 SQL: dict[str, str] = {
+    "op2_embedding_dedup": r"""
+with recursive v as (
+  select vec_id, e from (select vec_id, cast(embedding as double[]) as e from embeddings)
+  where e is not null and len(list_filter(e, lambda x: x is null or isnan(x) or isinf(x))) = 0
+        and list_aggregate(list_transform(e, lambda x: abs(x)), 'max') > 0),
+link as (select a.vec_id as a, b.vec_id as b from v a join v b on a.vec_id < b.vec_id and len(a.e) = len(b.e)
+         where list_cosine_similarity(a.e, b.e) >= 0.9),
+two as (select a, b from link union all select b, a from link),
+reach as (select vec_id as node, vec_id as least from embeddings
+          union select two.b, reach.least from reach join two on two.a = reach.node where reach.least < two.b),
+comp as (select node, min(least) as component_id from reach group by node),
+deg as (select a, count(*) as n from two group by a)
+select vec_id, cast(coalesce(n, 0) as bigint) as n_links, component_id, vec_id = component_id as kept
+from embeddings join comp on comp.node = vec_id left join deg on deg.a = vec_id
+""",
     "op6_decontamination": r"""
 with d as (
   select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
