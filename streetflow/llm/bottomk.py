@@ -15,11 +15,11 @@
 5. The others are verified by exact Jaccard on the full sets.
 
 No list is expanded into all its pairs. Each member is paired with the list's
-leader; only members that are unlike their leader are paired with the rest of
-the list (with lists of rare values these are few). Candidates join documents to
-families. Where a family's verified links leave several components, the members
-outside its largest one are held against the whole family, in blocks inside
-tasks that put out verified links alone. A group of thousands of near copies
+leader; members that are unlike their leader are held against the rest of the
+list inside tasks, by their sketches, and only pairs that pass come out.
+Candidates join documents to families. Where a family's verified links leave
+several components, the members outside its largest one are held against the
+whole family in the same way, by their full sets. A group of thousands of near copies
 thus costs rows in proportion to its size, and no link between two components
 is missed.
 """
@@ -77,6 +77,10 @@ def _unpack(b: bytes) -> np.ndarray:
     return out.view(_U).ravel()
 
 
+def _sketch_set(values: list[int]) -> np.ndarray:
+    return np.array(values, np.int64).view(_U)
+
+
 def _key(s: np.ndarray) -> bytes:
     """128-bit digest of a set."""
     with np.errstate(over="ignore"):
@@ -178,7 +182,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         least = F.when(F.size(union) < k, F.ceil(F.size(union) * percent / 100)).otherwise(F.lit(need))
         return both.where(shared >= least).select("a", "b")
 
-    like = staged(candidates(listed, percent, alike), "pairs")
+    # sketches that share `need` values, or percent of less, have at least this share of their union
+    loose = min(percent, 100 * need // (2 * k - need))
+    like = staged(candidates(listed, percent, alike, reps.select("id", "sketch"), _sketch_set, loose), "pairs")
     sets = staged(_sets_of(like.select(F.col("a").alias("id")).union(like.select("b")), reps, docs, length), "sets")
     links = staged(verified(like, sets, _unpack, percent), "links")
     family = components(like, "a", "b").toDF("id", "family")

@@ -8,13 +8,17 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from streetflow.llm import bottomk, bpe, doubling, fuzzy_lines, projections, secret_scan, site_quality, toxic_neighbours, winnow
+from streetflow.llm import bottomk, bpe, doubling, fuzzy_lines, html_wrapper, projections, secret_scan, site_quality, toxic_neighbours, winnow
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_wrapper.extract(_table(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op2_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return projections.near_vectors(_table(spark, sf_dir, "embeddings"))
 
@@ -79,6 +83,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_html_extraction": op1_html_extraction,
     "op2_embedding_dedup": op2_embedding_dedup,
     "op3_byte_bpe": op3_byte_bpe,
     "op4_secret_scan": op4_secret_scan,

@@ -29,22 +29,29 @@ def small(df: DataFrame, rows: int = SMALL_ROWS) -> DataFrame:
     return F.broadcast(df) if df.count() <= rows else df
 
 
-def candidates(listed: DataFrame, percent: int, alike: Callable[[DataFrame], DataFrame]) -> DataFrame:
+def candidates(listed: DataFrame, percent: int, alike: Callable[[DataFrame], DataFrame], payloads: DataFrame,
+               unpack: Unpack, loose: int) -> DataFrame:
     """Pairs (a, b) from inverted lists (v, id, n), n being the size of a set.
 
-    Every member is paired with its list's leader, and members that are unlike
-    it (by size, or by ``alike``, which filters pairs) with the whole list.
+    Every member is paired with its list's leader, and ``alike`` filters those
+    pairs. Members that are unlike their leader (by that, or by size) meet the
+    whole list in blocks inside tasks, where pairs pass whose payloads' sets
+    have ``loose`` percent in common.
     """
-    near = f"100 * least(n, m) >= {percent} * greatest(n, m)"
-    pair = [F.greatest("id", "other").alias("a"), F.least("id", "other").alias("b")]
-    lead = listed.groupBy("v").agg(F.min_by(F.struct("id", "n"), F.struct(F.xxhash64("id"), "id")).alias("lead"))
-    stars = listed.join(lead.select("v", F.col("lead.id").alias("other"), F.col("lead.n").alias("m")), "v").where(
-        "id <> other").select("v", "id", "n", *pair, F.expr(near).alias("near"))
+    lead = listed.groupBy("v").agg(
+        F.min_by(F.struct("id", "n"), F.struct(F.xxhash64("id"), "id")).alias("lead"), F.count("*").alias("g"))
+    stars = listed.join(lead.select("v", "g", F.col("lead.id").alias("other"), F.col("lead.n").alias("m")), "v").where(
+        "id <> other").select(
+        "v", "id", "g", F.greatest("id", "other").alias("a"), F.least("id", "other").alias("b"),
+        F.expr(f"100 * least(n, m) >= {percent} * greatest(n, m)").alias("near"))
     like = staged(alike(stars.where("near").select("a", "b").distinct()), "pairs")
-    unlike = stars.join(like, ["a", "b"], "left_anti").select("v", "id", "n")
-    others = listed.select("v", F.col("id").alias("other"), F.col("n").alias("m"))
-    more = unlike.join(others, "v").where(f"id <> other and {near}").select(*pair).distinct()
-    return like.union(alike(more.join(like, ["a", "b"], "left_anti")))
+    unlike = staged(stars.where("g > 2").join(like, ["a", "b"], "left_anti").select(
+        F.col("v").alias("family"), "id"), "unlike")
+    lists = unlike.groupBy("family").agg(F.count("*").alias("r"))
+    members = listed.select(F.col("v").alias("family"), "id").join(lists, "family").join(
+        unlike.withColumn("rest", F.lit(True)), ["family", "id"], "left").select(
+        "family", "id", F.col("id").alias("part"), F.coalesce("rest", F.lit(False)).alias("rest"))
+    return like.union(blocks(members, payloads, unpack, loose).distinct()).distinct()
 
 
 def verified(pairs: DataFrame, payloads: DataFrame, unpack: Unpack, percent: int) -> DataFrame:
@@ -67,26 +74,33 @@ def verified(pairs: DataFrame, payloads: DataFrame, unpack: Unpack, percent: int
 
 def across(members: DataFrame, payloads: DataFrame, unpack: Unpack, percent: int) -> DataFrame:
     """Links (a, b) between the parts of each family: (id, family, part) rows.
+    Rows outside a family's largest part meet all its rows."""
+    main = members.groupBy("family", "part").agg(F.count("*").alias("c")).groupBy("family").agg(
+        F.max(F.struct("c", "part")).alias("top"), F.sum("c").alias("g"), F.count("*").alias("parts")
+    ).where("parts > 1 and g > 2").select("family", F.col("top.part").alias("main"))
+    return blocks(members.join(main, "family").withColumn("rest", F.expr("part <> main")), payloads, unpack, percent)
+
 
-    Rows outside a family's largest part meet all its rows. Families are cut in
-    blocks of members and of the former; small families share blocks.
+def blocks(members: DataFrame, payloads: DataFrame, unpack: Unpack, percent: int) -> DataFrame:
+    """Links (a, b) of the members with ``rest`` with all members of their family,
+    one for each part that a member links to: (family, id, part, rest) rows.
+
+    Families are cut in blocks of members and of ``rest``, each pair of which
+    is a group of its own; small families share groups. Rows grow with the
+    number of blocks, not of pairs.
     """
-    by_part = members.groupBy("family", "part").agg(F.count("*").alias("c"))
-    shape = by_part.groupBy("family").agg(
-        F.max(F.struct("c", "part")).alias("top"), F.sum("c").alias("g"), F.count("*").alias("parts")
-    ).where("parts > 1 and g > 2").select(
-        "family", F.col("top.part").alias("main"), "g",
-        F.ceil(F.col("g") / _MEMBERS).cast("int").alias("nm"),
-        F.ceil((F.col("g") - F.col("top.c")) / _REST).cast("int").alias("nr"))
-    rows = cut(members.join(shape, "family"))
+    shape = members.groupBy("family").agg(F.count("*").alias("g"), F.count_if("rest").alias("r")).where(
+        "r > 0").select("family", F.ceil(F.col("g") / _MEMBERS).cast("int").alias("nm"),
+                        F.ceil(F.col("r") / _REST).cast("int").alias("nr"))
+    rows = cut(members.select("family", "id", "part", "rest").join(shape, "family"))
     shared = max(1, rows.where("nm = 1 and nr = 1").count() // _MEMBERS)
     block = F.when((F.col("nm") == 1) & (F.col("nr") == 1),
                    F.pmod(F.xxhash64("family"), F.lit(shared))).otherwise(F.xxhash64("family", "i", "j"))
     h = F.xxhash64("id")
     whole = rows.withColumn("rest", F.lit(False)).withColumn("i", F.pmod(h, "nm").cast("int")).withColumn(
         "j", F.explode(F.sequence(F.lit(0), F.col("nr") - 1)))
-    rest = rows.where("part <> main").withColumn("rest", F.lit(True)).withColumn(
-        "j", F.pmod(h, "nr").cast("int")).withColumn("i", F.explode(F.sequence(F.lit(0), F.col("nm") - 1)))
+    rest = rows.where("rest").withColumn("j", F.pmod(h, "nr").cast("int")).withColumn(
+        "i", F.explode(F.sequence(F.lit(0), F.col("nm") - 1)))
     cells = whole.unionByName(rest).join(payloads.toDF("id", "payload"), "id").select(
         block.alias("block"), "family", "i", "j", "rest", "id", "part", "payload")
 
@@ -111,8 +125,8 @@ def across(members: DataFrame, payloads: DataFrame, unpack: Unpack, percent: int
                     part = members[y]["part"]
                     if part != x["part"] and part not in linked:
                         linked.add(part)
-                        a.append(x["id"])
-                        b.append(members[y]["id"])
+                        a.append(max(x["id"], members[y]["id"]))
+                        b.append(min(x["id"], members[y]["id"]))
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
     return cells.groupBy("block").applyInArrow(run, _PAIR)
