@@ -45,6 +45,11 @@ CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td
           "tfoot": {"tr", "td", "th", "tbody"}}
 SCOPES = frozenset("table ul ol dl select body html article div section".split())
 
+#: Elements nested deeper hold nothing themselves; what follows their tag belongs to their parent.
+_DEPTH = 200
+#: Pairs of children up to which the largest matching is sought; beyond, children are matched in order.
+_PAIRS = 1 << 20
+
 _TAG = re.compile(
     r"<!--(?:.*?-->|.*\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^\"'>]|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S)
 _ATTRIBUTE = re.compile(r"\b(class|id|role|hidden)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
@@ -90,7 +95,7 @@ def parse(page: str) -> Node:
         if tag in RAW:
             end = re.compile(rf"</{tag}\s*>", re.I).search(page, at)
             at = end.end() if end else len(page)
-        elif tag not in VOID and not m[3].endswith("/"):
+        elif tag not in VOID and not m[3].endswith("/") and len(stack) < _DEPTH:
             stack.append(node)
     if at < len(page):
         stack[-1].parts.append(page[at:])
@@ -162,6 +167,14 @@ def match(page: Slot, reference: Slot) -> dict[int, int]:
         if (known := pairs.get((id(a), id(b)))) is not None:
             return known[0]
         x, y = a.children, b.children
+        if len(x) * len(y) > _PAIRS:
+            chosen, rest = [], iter(y)
+            for c in x:
+                if (d := next((d for d in rest if weight(c, d)), None)) is None:
+                    break
+                chosen.append((c, d))
+            pairs[id(a), id(b)] = (1 + sum(weight(c, d) for c, d in chosen), chosen)
+            return pairs[id(a), id(b)][0]
         table = [[0] * (len(y) + 1) for _ in range(len(x) + 1)]
         for i, c in enumerate(x):
             for j, d in enumerate(y):

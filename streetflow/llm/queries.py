@@ -64,7 +64,7 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bottomk.near_duplicates(_table(spark, sf_dir, "documents"))
+    return bottomk.near_duplicates(_table(spark, sf_dir, "documents"), length=2).drop("t")
 
 
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -94,18 +94,18 @@ def features(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 
 def _scan(docs: DataFrame) -> DataFrame:
-    """Adds array<double> ``x`` to (doc_id, site, section, text) and drops the text."""
+    """Adds array<double> ``x`` to (doc_id, host, path, t, text) and drops the text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo, hi, data, offsets in slices(batch.column(3)):
+            for lo, hi, data, offsets in slices(batch.column(4)):
                 x = features(data, offsets)
                 yield pa.RecordBatch.from_arrays(
-                    [c.slice(lo, hi - lo) for c in batch.columns[:3]]
+                    [c.slice(lo, hi - lo) for c in batch.columns[:4]]
                     + [pa.FixedSizeListArray.from_arrays(pa.array(x.ravel()), x.shape[1]).cast(pa.list_(pa.float64()))],
-                    names=["doc_id", "host", "path", "x"])
+                    names=["doc_id", "host", "path", "t", "x"])
 
-    return docs.mapInArrow(run, "doc_id long, host string, path string, x array<double>")
+    return docs.mapInArrow(run, "doc_id long, host string, path string, t long, x array<double>")
 
 
 def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> np.ndarray:
@@ -149,8 +149,9 @@ def site_of(source: Column, lang: Column) -> tuple[Column, Column]:
 def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
              source_col: str = "source", lang_col: str = "lang", *, label_col: str = "quality",
              sample: int = 20_000, threshold: float = 0.5) -> DataFrame:
-    """(doc_id, evidence, host, path, host_rate, path_rate, score, kept) of each
-    row of ``docs``; ``score`` is the posterior probability of label 1.
+    """(doc_id, t, evidence, host, path, host_rate, path_rate, score, kept) of each
+    row of ``docs``; ``score`` is the posterior probability of label 1, ``t`` the
+    text's xxhash64.
 
     The model is fitted on at most ``sample`` labelled rows, chosen by hash of
     the id; all other counts cover all rows. Null and empty texts count as
@@ -162,6 +163,7 @@ def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     """
     host, path = site_of(F.col(source_col), F.col(lang_col))
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), host.alias("host"), path.alias("path"),
+                       F.xxhash64(F.col(text_col).cast("string")).alias("t"),
                        F.col(text_col).cast("string").alias("text"))
     known = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).groupBy(
         F.col(id_col).cast("long").alias("doc_id")).agg(F.avg(F.col(label_col).cast("double")).alias("y"))
@@ -172,7 +174,7 @@ def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     y = fitted["y"].to_numpy(float)
     if len(y) == 0 or y.min() == y.max():
         flat = F.lit(0.5 if len(y) and y.max() < 0.5 else 1.0)
-        return scanned.select("doc_id", flat.alias("evidence"), "host", "path", flat.alias("host_rate"),
+        return scanned.select("doc_id", "t", flat.alias("evidence"), "host", "path", flat.alias("host_rate"),
                               flat.alias("path_rate"), flat.alias("score"), F.lit(True).alias("kept"))
     x = np.array(fitted["x"].tolist())
     mean, spread = x.mean(0), x.std(0) + 1e-9
@@ -182,7 +184,7 @@ def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     for i, c in enumerate(scale):
         logit = logit + F.get("x", F.lit(i)) * float(c)
     evidence = 1 / (1 + F.exp(-F.greatest(F.lit(-30.0), F.least(F.lit(30.0), logit))))
-    judged = scanned.select("doc_id", "host", "path", evidence.alias("evidence"),
+    judged = scanned.select("doc_id", "t", "host", "path", evidence.alias("evidence"),
                             F.coalesce("y", evidence).alias("vote"))
 
     # rates of hosts and paths, each shrunk toward its parent
@@ -200,6 +202,6 @@ def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     rest = inside((F.col("k") - F.col("vote") + m * F.col("host_rate")) / (F.col("n") - 1 + m))
     posterior = odds(inside(F.col("evidence"))) * odds(rest) / float(odds(rate))
     return judged.join(paths.select("path", "host", "n", "k", "host_rate"), ["host", "path"]).select(
-        "doc_id", "evidence", "host", "path", "host_rate",
+        "doc_id", "t", "evidence", "host", "path", "host_rate",
         ((F.col("k") + m * F.col("host_rate")) / (F.col("n") + m)).alias("path_rate"),
         (posterior / (1 + posterior)).alias("score")).withColumn("kept", F.col("score") >= threshold)

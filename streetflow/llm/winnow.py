@@ -67,9 +67,9 @@ def windows(words: Column, length: Column) -> Column:
 
 def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", *,
                   item_id_col: str = "item_id", item_text_col: str = "text", words: int = 10) -> DataFrame:
-    """(doc_id, n_words, n_hit, items) of each row of ``docs``: words that lie
-    inside an occurrence of an item's window, and the sorted ids (as strings) of
-    the items with occurring windows.
+    """(doc_id, t, n_words, n_hit, items) of each row of ``docs``: xxhash64 of the
+    text, its words, those that lie inside an occurrence of an item's window,
+    and the sorted ids (as strings) of the items with occurring windows.
 
     Null texts have no words; items without words have no window; an item with
     fewer than ``words`` words is one window. Rows may repeat or lack an id:
@@ -100,7 +100,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
         candidates = found if candidates is None else candidates.union(found)
     rows = marks.select("doc_id", "t", F.col("n").cast("long").alias("n_words"))
     if candidates is None:
-        return rows.select("doc_id", "n_words", F.lit(0).cast("long").alias("n_hit"),
+        return rows.select("doc_id", "t", "n_words", F.lit(0).cast("long").alias("n_hit"),
                            F.array().cast("array<string>").alias("items"))
 
     candidates = staged(candidates.groupBy("doc_id", "t").agg(F.collect_set("l").alias("ls")), "candidates")
@@ -123,5 +123,5 @@ def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
     )
     same = (rows["doc_id"].eqNullSafe(hits["doc_id"])) & (rows["t"] == hits["t"])
     return rows.join(hits, same, "left").select(
-        rows["doc_id"], "n_words", F.coalesce("n_hit", F.lit(0).cast("long")).alias("n_hit"),
+        rows["doc_id"], rows["t"], "n_words", F.coalesce("n_hit", F.lit(0).cast("long")).alias("n_hit"),
         F.coalesce("items", F.array().cast("array<string>")).alias("items"))
