@@ -43,10 +43,12 @@ dedup as (
 
 
 def haversine(lat1, lon1, lat2, lon2):
-    h1 = f"(radians({lat2} - {lat1}) / 2)"
-    h2 = f"(radians({lon2} - {lon1}) / 2)"
-    return (f"(2 * 6371000.0e0 * asin(sqrt(sin({h1}) * sin({h1}) + "
-            f"cos(radians({lat1})) * cos(radians({lat2})) * sin({h2}) * sin({h2}))))")
+    def hav(d):
+        half = f"sin(radians({d}) / 2)"
+        return f"({half} * {half})"
+
+    return (f"(asin(sqrt({hav(f'({lat2} - {lat1})')} + "
+            f"(cos(radians({lat1})) * cos(radians({lat2}))) * {hav(f'({lon2} - {lon1})')})) * 12742000.0e0)")
 
 
 SEG = f"""
@@ -170,13 +172,12 @@ ecells as (
 
 
 def snap(lat, lon):
-    x, y = f"({lon} * 82800.0e0)", f"({lat} * 111320.0e0)"
-    x1, y1, x2, y2 = "(e.from_lon * 82800.0e0)", "(e.from_lat * 111320.0e0)", "(e.to_lon * 82800.0e0)", "(e.to_lat * 111320.0e0)"
-    dx, dy = f"({x2} - {x1})", f"({y2} - {y1})"
-    l2 = f"({dx} * {dx} + {dy} * {dy})"
-    t = f"least(greatest(case when {l2} > 0 then (({x} - {x1}) * {dx} + ({y} - {y1}) * {dy}) / {l2} else 0.0e0 end, 0.0e0), 1.0e0)"
-    ex, ey = f"({x} - ({x1} + {t} * {dx}))", f"({y} - ({y1} + {t} * {dy}))"
-    return f"sqrt({ex} * {ex} + {ey} * {ey})"
+    px, py = f"(({lon} - e.from_lon) * 82800.0e0)", f"(({lat} - e.from_lat) * 111320.0e0)"
+    ex, ey = "((e.to_lon - e.from_lon) * 82800.0e0)", "((e.to_lat - e.from_lat) * 111320.0e0)"
+    along, whole = f"({px} * {ex} + {py} * {ey})", f"({ex} * {ex} + {ey} * {ey})"
+    return (f"(case when {along} <= 0 then sqrt({px} * {px} + {py} * {py}) "
+            f"when {along} >= {whole} then sqrt(({px} - {ex}) * ({px} - {ex}) + ({py} - {ey}) * ({py} - {ey})) "
+            f"else abs({px} * {ey} - {py} * {ex}) / sqrt({whole}) end)")
 
 
 # --------------------------------------------------------------- schedule

@@ -2,9 +2,9 @@
 
 The release scan keeps the partition date as ``static_date``; selecting only
 ``static_date, length`` never reads the file contents. Members are CSV files
-(shapes.txt, trips.txt) decoded per release by a small Python helper in Arrow
-batches (``mapInPandas``): a zip cannot be split, so one release is one unit
-of work, and releases are decoded in parallel.
+(shapes.txt, trips.txt) read per release file in chunks and put out column by
+column (``mapInArrow``): a zip cannot be split, so one release is one unit of
+work, and releases are decoded in parallel.
 """
 
 from __future__ import annotations
@@ -30,47 +30,56 @@ def release_sizes(releases: DataFrame) -> DataFrame:
     return releases.groupBy("static_date").agg(F.sum("length").alias("length"))
 
 
-def _rows(member: str, content: bytes):
-    import csv
+#: Bytes of CSV that a reader holds at a time.
+CHUNK_BYTES = 4 << 20
+
+
+def _columns(member: str, content: bytes, types: dict):
+    """Record batches of a member's named columns, read in chunks; a column that
+    the file lacks is NULL."""
     import io
     import zipfile
 
+    from pyarrow import csv
+
     with zipfile.ZipFile(io.BytesIO(content)) as z, z.open(member) as f:
-        yield from csv.DictReader(io.TextIOWrapper(f, encoding="utf-8-sig"))
+        yield from csv.open_csv(
+            f, read_options=csv.ReadOptions(block_size=CHUNK_BYTES),
+            convert_options=csv.ConvertOptions(column_types=types, include_columns=list(types),
+                                               include_missing_columns=True, strings_can_be_null=True))
 
 
-def decode_shapes(releases: DataFrame) -> DataFrame:
-    """Route-line points of every release (SRC9, UDF2): static_date, shape_id, seq, lat, lon."""
+def _decode(releases: DataFrame, member: str, types: dict, schema) -> DataFrame:
+    """One member of every release file as rows of ``schema``, whose first column
+    is the release date and the others ``types``, in order."""
 
     def run(batches):
-        import pandas as pd
+        import pyarrow as pa
 
-        for pdf in batches:
-            out = []
-            for day, content in zip(pdf["static_date"], pdf["content"]):
-                for r in _rows(SHAPES_MEMBER, bytes(content)):
-                    out.append((day, r["shape_id"], int(r["shape_pt_sequence"]), float(r["shape_pt_lat"]),
-                                float(r["shape_pt_lon"])))
-            yield pd.DataFrame(out, columns=["static_date", "shape_id", "seq", "lat", "lon"])
+        for batch in batches:
+            for day, content in zip(batch.column(0), batch.column(1)):
+                for part in _columns(member, content.as_py(), types):
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([day.as_py()] * part.num_rows, pa.date32()), *part.columns], names=schema.names)
 
-    return releases.select("static_date", "content").mapInPandas(run, schemas.SHAPE_POINTS)
+    return releases.select("static_date", "content").mapInArrow(run, schema)
 
 
-def decode_trips(releases: DataFrame) -> DataFrame:
-    """Trips with their route line (SRC10, UDF3); a trip without one is dropped."""
+def decode_shapes(releases: DataFrame) -> DataFrame:
+    """Route-line points of every release (SRC9, UDF2): static_date, shape_id, seq, lat, lon."""
+    import pyarrow as pa
 
-    def run(batches):
-        import pandas as pd
+    return _decode(releases, SHAPES_MEMBER, {
+        "shape_id": pa.string(), "shape_pt_sequence": pa.int32(), "shape_pt_lat": pa.float64(),
+        "shape_pt_lon": pa.float64()}, schemas.SHAPE_POINTS)
 
-        for pdf in batches:
-            out = []
-            for day, content in zip(pdf["static_date"], pdf["content"]):
-                for r in _rows(TRIPS_MEMBER, bytes(content)):
-                    if r.get("shape_id"):
-                        out.append((day, r["trip_id"], r["shape_id"]))
-            yield pd.DataFrame(out, columns=["static_date", "trip_id", "shape_id"])
 
-    return releases.select("static_date", "content").mapInPandas(run, schemas.TRIPS)
+def decode_trips(releases: DataFrame) -> DataFrame:
+    """Trips with their route line (SRC10, UDF3); a trip without one is dropped."""
+    import pyarrow as pa
+
+    trips = _decode(releases, TRIPS_MEMBER, {"trip_id": pa.string(), "shape_id": pa.string()}, schemas.TRIPS)
+    return trips.where(F.col("shape_id") != "")
 
 
 def pack_releases(points: DataFrame, trips: DataFrame) -> DataFrame:
