@@ -12,6 +12,10 @@ from streetflow.functions.geo import in_box
 from streetflow.functions.timefns import epoch_s
 
 
+#: Order in which copies of a fix were seen.
+FIRST_SIGHTING = ("feed_timestamp", "entity_id", "source_file")
+
+
 def days_between(positions: DataFrame, start: dt.date, end: dt.date, date_col: str = "date") -> DataFrame:
     """Partition-pruned scan of a date range, starting one day early so the
     first day has its predecessor fixes (SRC14)."""
@@ -37,9 +41,7 @@ def dedupe(positions: DataFrame) -> DataFrame:
     map partition before the shuffle, so a huge group of copies of one fix is
     cut down where it is read.
     """
-    first_seen = Window.partitionBy("vehicle_id", "vehicle_timestamp").orderBy(
-        "feed_timestamp", "entity_id", "source_file"
-    )
+    first_seen = Window.partitionBy("vehicle_id", "vehicle_timestamp").orderBy(*FIRST_SIGHTING)
     return positions.withColumn("_copy", F.row_number().over(first_seen)).where(F.col("_copy") == 1).drop("_copy")
 
 

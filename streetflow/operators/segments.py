@@ -1,13 +1,13 @@
-"""Speed segments between consecutive fixes of a vehicle (WN2, FIL4-FIL8, SC9).
-
-A vehicle's track is split into time buckets of ``cfg.track_bucket_s`` seconds
-so that one vehicle never lands in a single task, however many fixes it has.
-The last fix of each bucket is carried into the next bucket, where it is the
-predecessor of that bucket's first fix. When the previous bucket is empty the
-true predecessor is more than a bucket width earlier, so its segment would
-fail the gap test anyway: the split gives exactly the whole-track result.
-After de-duplication a bucket holds at most one fix per second, so every
-window group is bounded.
+"""Speed segments between consecutive fixes of a vehicle (WN1, WN2, FIL4-FIL8, SC9).
+
+A vehicle's track is cut into time buckets of ``cfg.track_bucket_s`` seconds so
+that one vehicle never lands in a single task, however many fixes it has. A fix
+that lies within ``cfg.max_gap_s`` of its bucket's end also goes to the next
+bucket, as context: whatever is earlier could not make a segment with a fix of
+that bucket anyway, so the cut gives exactly the whole-track result. All copies
+of a fix share its time and so travel together; copies are dropped and fixes
+paired in the one clustering by (vehicle, bucket), after one scan and one
+shuffle. A bucket holds at most one distinct fix per second.
 """
 
 from __future__ import annotations
@@ -20,51 +20,33 @@ from pyspark.sql import functions as F
 from streetflow.config import DEFAULT, Config
 from streetflow.functions.geo import haversine_m, speed_kmh
 from streetflow.functions.timefns import epoch_s, local_date, local_hour
-
-_CARRIED = ("vehicle_timestamp", "latitude", "longitude", "trip_id")
-
+from streetflow.operators.positions import FIRST_SIGHTING
 
 def pair_fixes(fixes: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
-    """Attach the previous fix of the same vehicle, across trips (WN2), and
-    drop the first fix (FIL4). Adds prev_ts, prev_lat, prev_lon, prev_trip_id.
-
-    ``fixes`` must hold one row per (vehicle_id, vehicle_timestamp).
+    """Attach the previous fix of the same vehicle, across trips (WN2), and drop
+    fixes without one (FIL4) or with none in the last ``max_gap_s`` seconds of
+    the bucket before. Of copies of a fix the first sighting counts (WN1). Adds
+    prev_ts, prev_lat, prev_lon, prev_trip_id.
     """
-    bucket = F.floor(epoch_s("vehicle_timestamp") / cfg.track_bucket_s).cast("long")
-    fixes = fixes.withColumn("_bucket", bucket)
-    # Last fix of every (vehicle, bucket): a partial aggregate, so it is
-    # combined map-side before its (small) shuffle.
-    last = fixes.groupBy("vehicle_id", "_bucket").agg(
-        F.max(F.struct(*_CARRIED)).alias("_last")
-    )
-    carry = last.select(
-        "vehicle_id",
-        (F.col("_bucket") + 1).alias("_bucket"),
-        *[F.col("_last")[c].alias(f"_c_{c}") for c in _CARRIED],
-        F.lit(True).alias("_carried"),
-    )
-    own = fixes.select(
-        "*", *[F.col(c).alias(f"_c_{c}") for c in _CARRIED], F.lit(False).alias("_carried")
-    )
-    track = Window.partitionBy("vehicle_id", "_bucket").orderBy("_c_vehicle_timestamp")
-    both = own.unionByName(carry, allowMissingColumns=True)
-    paired = (
-        both.select(
-            "*",
-            F.lag("_c_latitude").over(track).alias("prev_lat"),
-            F.lag("_c_longitude").over(track).alias("prev_lon"),
-            F.lag("_c_vehicle_timestamp").over(track).alias("prev_ts"),
-            F.lag("_c_trip_id").over(track).alias("prev_trip_id"),
-        )
-        .where(~F.col("_carried") & F.col("prev_ts").isNotNull())
-    )
-    return paired.drop("_bucket", "_carried", *[f"_c_{c}" for c in _CARRIED])
+    at = epoch_s("vehicle_timestamp")
+    own = F.floor(at / cfg.track_bucket_s).cast("long")
+    late = (own + 1) * cfg.track_bucket_s - at <= cfg.max_gap_s
+    spread = fixes.select(
+        "*", own.alias("_own"), F.explode(F.when(late, F.array(own, own + 1)).otherwise(F.array(own))).alias("_bucket"))
+    track = Window.partitionBy("vehicle_id", "_bucket").orderBy("vehicle_timestamp", *FIRST_SIGHTING)
+    # the sort of the first window serves the second
+    single = spread.withColumn("_before", F.lag("vehicle_timestamp").over(track)).where(
+        F.col("_before").isNull() | (F.col("_before") < F.col("vehicle_timestamp")))
+    last = F.lag(F.struct("vehicle_timestamp", "latitude", "longitude", "trip_id")).over(track)
+    return single.withColumn("_last", last).where("_last is not null and _own = _bucket").select(
+        *fixes.columns, F.col("_last.vehicle_timestamp").alias("prev_ts"), F.col("_last.latitude").alias("prev_lat"),
+        F.col("_last.longitude").alias("prev_lon"), F.col("_last.trip_id").alias("prev_trip_id"))
 
 
 def segments(fixes: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
     """Segments of consecutive fixes on the same trip with a 5..90 s gap and a
-    speed up to 100 km/h (FIL4-FIL7, SC1, SC6, PRJ1). ``fixes`` are cleaned and
-    de-duplicated positions. Output has the ``vehicle_segments`` columns
+    speed up to 100 km/h (FIL4-FIL7, SC1, SC6, PRJ1). ``fixes`` are cleaned
+    positions, copies included. Output has the ``vehicle_segments`` columns
     except the local date and hour."""
     paired = pair_fixes(fixes, cfg)
     duration = epoch_s("vehicle_timestamp") - epoch_s("prev_ts")
@@ -114,7 +96,7 @@ def vehicle_segments(positions: DataFrame, cfg: Config = DEFAULT, start: dt.date
     src = positions
     if start is not None and end is not None:
         src = P.days_between(src, start, end)
-    segs = with_local_time(segments(P.dedupe(P.clean(src, cfg)), cfg), cfg)
+    segs = with_local_time(segments(P.clean(src, cfg), cfg), cfg)
     if start is not None and end is not None:
         segs = local_days(segs, start, end)
     return segs

@@ -96,11 +96,11 @@ def _seg_view(segs: DataFrame) -> DataFrame:
 
 def segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
-    return _seg_view(S.segments(P.dedupe(P.clean(fx.positions(spark, sf_dir))))).select(*SEG_COLS)
+    return _seg_view(S.segments(P.clean(fx.positions(spark, sf_dir)))).select(*SEG_COLS)
 
 
 def _fresh_segments(positions: DataFrame) -> DataFrame:
-    return S.with_local_time(S.segments(P.dedupe(P.clean(positions))))
+    return S.with_local_time(S.segments(P.clean(positions)))
 
 
 def segments_local_time(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -54,3 +54,16 @@ def test_segments_and_gold_stay_in_the_jvm(spark):
         p = _plan(df)
         for bad in ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "FlatMapGroupsInPandas", "CartesianProduct"):
             assert bad not in p, bad
+
+
+def test_segments_take_one_scan_and_one_shuffle(spark):
+    """De-duplication and pairing share one clustering by vehicle and bucket."""
+    from streetflow.operators import segments as S
+
+    store = V.world(spark, SF)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # the plan as it will run
+    try:
+        p = _plan(S.vehicle_segments(store.read(daily.BRONZE)))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert p.count("FileScan") == 1 and p.count("Exchange ") == 1 and p.count("Sort [") == 1, p

@@ -28,7 +28,7 @@ def test_dedupe_earliest_then_entity(spark):
 
 
 def _segs(spark, rows, cfg=DEFAULT):
-    return S.segments(P.dedupe(P.clean(positions(spark, rows))), cfg)
+    return S.segments(P.clean(positions(spark, rows)), cfg)
 
 
 def test_lag_runs_across_trips(spark):
@@ -83,6 +83,6 @@ def test_input_order_changes_nothing(spark):
     rows += [dict(vts=T0 + 8, fts=T0 + 8, entity="tie-b", lon=12.6, vehicle_id="V2"),
              dict(vts=T0 + 8, fts=T0 + 8, entity="tie-a", lon=12.7, vehicle_id="V2")]
     df = positions(spark, rows)
-    base = sorted(tuple(r) for r in S.segments(P.dedupe(P.clean(df))).collect())
+    base = sorted(tuple(r) for r in S.segments(P.clean(df)).collect())
     shuffled = df.orderBy(F.rand(7)).repartition(5)
-    assert sorted(tuple(r) for r in S.segments(P.dedupe(P.clean(shuffled))).collect()) == base
+    assert sorted(tuple(r) for r in S.segments(P.clean(shuffled)).collect()) == base
