@@ -41,6 +41,7 @@ SEGMENT_STREETS = "segment_streets"
 STAGING = "street_speed_staging"
 SPEED = "street_speed"
 GEOMETRY = "street_geometry"
+DECODED = "decoded_releases"
 
 
 def table_schemas() -> dict:
@@ -98,9 +99,9 @@ def load_streets(store: TableStore, ways: DataFrame, cfg: Config = DEFAULT) -> N
     table untouched (DQ5). Run on demand; a full refresh of the line matches
     should follow."""
     edges = ST.edges(ST.select_ways(ways, cfg), cfg)
-    staged = store.stage(EDGES, edges)
-    ST.require_rows(store.spark.read.parquet(staged), "street ways")  # checks the written copy
-    store.swap_in(staged, EDGES)
+    written = store.write_version(EDGES, edges)
+    ST.require_rows(store.spark.read.parquet(written), "street ways")  # checks the written copy
+    store.commit(EDGES, written)
 
 
 def segments_job(store: TableStore, today_local: dt.date, full_refresh: bool = False, cfg: Config = DEFAULT,
@@ -136,7 +137,7 @@ def lines_job(store: TableStore, releases: DataFrame, points: DataFrame, trips:
     shape_streets is written before trip_shape because "done" is read from
     trip_shape (INC7).
     """
-    rebuild = full_refresh or not store.exists(TRIP_SHAPE)
+    rebuild = full_refresh or not (store.exists(TRIP_SHAPE) and store.exists(SHAPE_STREETS))
     loaded = None if rebuild else store.read(TRIP_SHAPE).select("static_date").distinct()
     # one row per release: kept for the cutoff, the new dates and retention
     accepted = SCH.release_acceptance(releases, loaded, cfg).persist()
@@ -147,8 +148,8 @@ def lines_job(store: TableStore, releases: DataFrame, points: DataFrame, trips:
         log.add("new releases", new_dates)
     if not rebuild and cutoff is not None:
         # retention: releases before the cutoff, then geometries nobody uses
-        store.drop_before(TRIP_SHAPE, "static_date", cutoff)
-        store.keep_referenced(SHAPE_STREETS, "shape_hash", store.read(TRIP_SHAPE), _scratch(store, SHAPE_STREETS))
+        if store.drop_before(TRIP_SHAPE, "static_date", cutoff):
+            store.keep_referenced(SHAPE_STREETS, "shape_hash", store.read(TRIP_SHAPE))
     accepted.unpersist()
     if not new_dates:
         return []
@@ -162,7 +163,7 @@ def lines_job(store: TableStore, releases: DataFrame, points: DataFrame, trips:
     if rebuild:
         store.overwrite(SHAPE_STREETS, lines.shape_streets)
     else:
-        store.replace_keys(SHAPE_STREETS, lines.shape_streets, "shape_hash", _scratch(store, SHAPE_STREETS))
+        store.replace_keys(SHAPE_STREETS, lines.shape_streets, lines.new_shapes, "shape_hash")
     if rebuild:
         store.overwrite(TRIP_SHAPE, lines.trip_shape, ["static_date"])
     else:
@@ -184,8 +185,11 @@ def lines_job_from_files(spark: SparkSession, store: TableStore, static_path: st
     files = SF.scan_releases(spark, static_path, glob)
 
     def decoded(new_dates):
+        # each file is opened once: both members are decoded and written, and read from there
         sel = files.where(F.col("static_date").isin(new_dates))
-        return SF.decode_shapes(sel), SF.decode_trips(sel)
+        store.overwrite(DECODED, SF.decode_releases(sel), ["member"])
+        rows = store.read(DECODED)
+        return SF.shape_rows(rows), SF.trip_rows(rows)
 
     return lines_job(store, SF.release_sizes(files), decoded, None, today, full_refresh, cfg, log)
 
@@ -257,6 +261,3 @@ def run_daily(spark: SparkSession, store: TableStore, today_local: dt.date, rele
     gold_job(store, today_local, now_utc, cfg, log=log, enforce_checks=enforce_checks)
     return log
 
-
-def _scratch(store: TableStore, name: str) -> str:
-    return f"{store.root}/_staging/{name}"

@@ -1,18 +1,25 @@
 """Table sinks and maintenance on plain Parquet directories (SNK2-SNK10, SRC16).
 
-A table is a directory under ``root``; partitioned tables use Hive-style
-``col=value`` sub-directories so that date predicates become PartitionFilters.
-All data movement goes through Spark's writer (task-retry safe under its commit
-protocol); only partition directories are listed or removed on the driver
-through the Hadoop FileSystem API. Without a transactional table format, a
-range replace is two steps (overwrite present partitions, then remove emptied
-ones) and a keyed rewrite stages then swaps; each step is idempotent, so a
-failed run is repaired by running it again.
+A table is a folder of versions, ``<root>/<name>/<version>``, and a small
+pointer file, ``<root>/_current/<name>``, that names the current one. A full
+write goes to a fresh version first and moves the pointer last, in one rename:
+until then readers see the old version, so a failed or killed write loses
+nothing. A table exists once a pointer does, whatever markers the committer
+writes. The version before the current one stays for frames that still read
+it; older ones, and leftovers of failed writes, go at the next full write.
+
+Partitioned tables use Hive-style ``col=value`` sub-directories so that date
+predicates become PartitionFilters. Day and partition replaces work inside the
+current version. All data moves through Spark's writer (task-retry safe under
+its commit protocol); the driver only lists, renames and removes directories
+through the Hadoop FileSystem API.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import time
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,16 +38,33 @@ class TableStore:
 
     # ------------------------------------------------------------ helpers
     def path(self, name: str) -> str:
+        """A folder under the root."""
         return f"{self.root}/{name}"
 
     def _fs(self, path: str):
         p = self._Path(path)
         return p.getFileSystem(self._conf), p
 
+    def _version(self, name: str) -> str | None:
+        fs, p = self._fs(f"{self.root}/_current/{name}")
+        if not fs.exists(p):
+            return None
+        stream = fs.open(p)
+        try:
+            return self.spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8").strip()
+        finally:
+            stream.close()
+
+    def data(self, name: str) -> str:
+        """Folder of a table's current version."""
+        version = self._version(name)
+        if version is None:
+            raise FileNotFoundError(f"no table {name} under {self.root}")
+        return f"{self.path(name)}/{version}"
+
     def exists(self, name: str) -> bool:
-        """SRC16: a table exists once a write has committed (``_SUCCESS``)."""
-        fs, p = self._fs(self.path(name) + "/_SUCCESS")
-        return bool(fs.exists(p))
+        """SRC16: a table exists once a version of it was committed."""
+        return self._version(name) is not None
 
     def create_schema(self) -> None:
         """SNK10: the table root, if absent."""
@@ -48,20 +72,18 @@ class TableStore:
         fs.mkdirs(p)
 
     def read(self, name: str) -> DataFrame:
-        from pyspark.errors import AnalysisException
-
-        try:
-            return self.spark.read.option("basePath", self.path(name)).parquet(self.path(name))
-        except AnalysisException as e:
-            if name in self.schemas and "UNABLE_TO_INFER_SCHEMA" in str(e):
-                return self.spark.createDataFrame([], self.schemas[name])
-            raise
+        """The current version, by its declared schema where there is one."""
+        data = self.data(name)
+        reader = self.spark.read.option("basePath", data)
+        if name in self.schemas:
+            reader = reader.schema(self.schemas[name])
+        return reader.parquet(data)
 
     def partitions(self, name: str, col: str) -> list[str]:
         """Values of the partition directories of a table (metadata only)."""
-        fs, p = self._fs(self.path(name))
-        if not fs.exists(p):
+        if not self.exists(name):
             return []
+        fs, p = self._fs(self.data(name))
         out = []
         for st in fs.listStatus(p):
             n = st.getPath().getName()
@@ -70,23 +92,62 @@ class TableStore:
         return sorted(out)
 
     def drop_partition(self, name: str, col: str, value) -> None:
-        fs, p = self._fs(f"{self.path(name)}/{col}={value}")
+        fs, p = self._fs(f"{self.data(name)}/{col}={value}")
         if fs.exists(p):
             fs.delete(p, True)
 
+    # ----------------------------------------------------------- versions
+    def write_version(self, name: str, df: DataFrame, partition_by: list[str] | None = None) -> str:
+        """Write ``df`` as a new version, not yet current; returns its folder."""
+        version = f"v-{time.time_ns()}-{uuid.uuid4().hex[:8]}"
+        self._writer(df, partition_by).parquet(f"{self.path(name)}/{version}")
+        return f"{self.path(name)}/{version}"
+
+    def commit(self, name: str, folder: str) -> None:
+        """Make a written version the current one, then remove what is older
+        than the one before it."""
+        before, version = self._version(name), folder.rsplit("/", 1)[1]
+        fs, pointer = self._fs(f"{self.root}/_current/{name}")
+        _, fresh = self._fs(f"{self.root}/_current/.{name}-{version}")
+        stream = fs.create(fresh, True)
+        stream.write(bytearray(version, "utf-8"))
+        stream.close()
+        jvm, gateway = self.spark.sparkContext._jvm, self.spark.sparkContext._gateway
+        rename = jvm.org.apache.hadoop.fs.Options.Rename
+        how = gateway.new_array(rename, 1)
+        how[0] = rename.OVERWRITE
+        jvm.org.apache.hadoop.fs.FileContext.getFileContext(pointer.toUri(), self._conf).rename(fresh, pointer, how)
+        fs, table = self._fs(self.path(name))
+        for st in fs.listStatus(table):
+            if st.getPath().getName() not in (version, before):
+                fs.delete(st.getPath(), True)
+
+    def _writer(self, df: DataFrame, partition_by: list[str] | None):
+        """A writer; partitioned rows are first brought together by partition, and
+        AQE splits the large ones, so that not every task writes to every day."""
+        if not partition_by:
+            return df.write
+        return df.hint("rebalance", *[F.col(c) for c in partition_by]).write.partitionBy(*partition_by)
+
     # -------------------------------------------------------------- sinks
     def overwrite(self, name: str, df: DataFrame, partition_by: list[str] | None = None) -> None:
-        """SNK2: replace the whole table and its schema."""
-        w = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
-        if partition_by:
-            w = w.partitionBy(*partition_by)
-        w.parquet(self.path(name))
+        """SNK2: replace the whole table and its schema. ``df`` may read the table."""
+        self.commit(name, self.write_version(name, df, partition_by))
+
+    def append(self, name: str, df: DataFrame, partition_by: list[str] | None = None) -> None:
+        """SNK1: add rows."""
+        if not self.exists(name):
+            self.overwrite(name, df, partition_by)
+            return
+        self._writer(df, partition_by).mode("append").parquet(self.data(name))
 
     def overwrite_partitions(self, name: str, df: DataFrame, partition_by: list[str]) -> None:
         """SNK5: only the partitions present in ``df`` are replaced."""
-        df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(
-            self.path(name)
-        )
+        if not self.exists(name):
+            self.overwrite(name, df, partition_by)
+            return
+        self._writer(df, partition_by).mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(
+            self.data(name))
 
     def replace_range(self, name: str, df: DataFrame, col: str, start: dt.date, end: dt.date) -> None:
         """SNK3: rows of days start..end are replaced; a day in the range that
@@ -103,7 +164,7 @@ class TableStore:
         for v in self.partitions(name, col):
             if start.isoformat() <= v <= end.isoformat():
                 self.drop_partition(name, col, v)
-        df.write.mode("append").partitionBy(col).parquet(self.path(name))
+        self.append(name, df, [col])
 
     def drop_before(self, name: str, col: str, earliest: dt.date) -> list[str]:
         """SNK6: retention by date, one partition directory at a time."""
@@ -112,51 +173,31 @@ class TableStore:
             self.drop_partition(name, col, v)
         return gone
 
-    def stage(self, name: str, df: DataFrame, partition_by: list[str] | None = None) -> str:
-        """Write ``df`` to a fresh staging directory next to the tables."""
-        import uuid
-
-        staged = f"{self.root}/_staging/{name}-{uuid.uuid4().hex[:10]}"
-        w = df.write.mode("overwrite")
-        if partition_by:
-            w = w.partitionBy(*partition_by)
-        w.parquet(staged)
-        return staged
-
-    def swap_in(self, staged: str, name: str) -> None:
-        """Make a staged directory the table: remove the old one, rename the
-        staged one into place (a metadata operation, no data copied)."""
-        fs, dst = self._fs(self.path(name))
-        _, src = self._fs(staged)
-        if fs.exists(dst):
-            fs.delete(dst, True)
-        fs.mkdirs(dst.getParent())
-        if not fs.rename(src, dst):
-            raise IOError(f"could not move {staged} to {self.path(name)}")
-
-    def rewrite(self, name: str, df: DataFrame, scratch: str | None = None) -> None:
-        """Replace a table by a frame that reads it: stage first (a table being
-        read cannot be overwritten in place), then swap the staged copy in."""
-        self.swap_in(self.stage(name, df), name)
-
-    def replace_keys(self, name: str, new_rows: DataFrame, key: str, scratch: str) -> None:
-        """SNK4: rows whose ``key`` is among the new keys are replaced; a
-        re-run after a crash gives the same table."""
+    def replace_keys(self, name: str, new_rows: DataFrame, keys: DataFrame, key: str) -> None:
+        """SNK4: rows whose ``key`` is among ``keys`` are replaced by ``new_rows``.
+
+        ``keys`` are all keys that were worked on, those without a row in
+        ``new_rows`` too, so leftovers of a crashed run go. Where the table holds
+        none of them, which is the rule, the new rows are appended."""
         if not self.exists(name):
             self.overwrite(name, new_rows)
             return
-        keys = new_rows.select(key).distinct()
-        kept = self.read(name).join(keys, key, "left_anti")
-        self.rewrite(name, kept.unionByName(new_rows), scratch)
+        old, keys = self.read(name), keys.select(key).distinct()
+        if old.join(keys, key, "left_semi").isEmpty():
+            self.append(name, new_rows)
+        else:
+            self.overwrite(name, old.join(keys, key, "left_anti").unionByName(new_rows))
 
-    def keep_referenced(self, name: str, key: str, referenced: DataFrame, scratch: str) -> None:
+    def keep_referenced(self, name: str, key: str, referenced: DataFrame) -> None:
         """SNK7/JN16: drop rows whose key no longer appears in ``referenced``
-        (a NOT IN over never-NULL keys, written as a semi join)."""
-        kept = self.read(name).join(referenced.select(key).distinct(), key, "left_semi")
-        self.rewrite(name, kept, scratch)
+        (a NOT IN over never-NULL keys); nothing is written if there are none."""
+        rows, keys = self.read(name), referenced.select(key).distinct()
+        if not rows.join(keys, key, "left_anti").isEmpty():
+            self.overwrite(name, rows.join(keys, key, "left_semi"))
 
     def publish(self, staging: str, published: str) -> None:
-        """SNK8: copy the checked staging table over the published one."""
+        """SNK8: the checked staging table becomes the published one, which is
+        readable as it was until the last step."""
         self.overwrite(published, self.read(staging))
 
     def export(self, df: DataFrame, path: str) -> None:

@@ -590,8 +590,7 @@ def orphan_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     store = _two_runs(spark, sf_dir, "orphans")
     store.drop_before(daily.TRIP_SHAPE, "static_date", dt.date(2024, 4, 2))
-    store.keep_referenced(daily.SHAPE_STREETS, "shape_hash", store.read(daily.TRIP_SHAPE),
-                          f"{store.root}/_staging/shape_streets")
+    store.keep_referenced(daily.SHAPE_STREETS, "shape_hash", store.read(daily.TRIP_SHAPE))
     ss = store.read(daily.SHAPE_STREETS).join(_stored_reps(store.read(daily.TRIP_SHAPE)), "shape_hash")
     return ss.select("rep_date", "rep_shape", "way_id", "points", "span_m")
 

@@ -49,37 +49,55 @@ def _columns(member: str, content: bytes, types: dict):
                                                include_missing_columns=True, strings_can_be_null=True))
 
 
-def _decode(releases: DataFrame, member: str, types: dict, schema) -> DataFrame:
-    """One member of every release file as rows of ``schema``, whose first column
-    is the release date and the others ``types``, in order."""
+def decode_releases(releases: DataFrame) -> DataFrame:
+    """Both members of every release file, each file opened once: (member,
+    static_date, shape_id, seq, lat, lon, trip_id), columns of the other member
+    NULL."""
 
     def run(batches):
         import pyarrow as pa
 
+        members = {
+            SHAPES_MEMBER: {"shape_id": pa.string(), "shape_pt_sequence": pa.int32(), "shape_pt_lat": pa.float64(),
+                            "shape_pt_lon": pa.float64()},
+            TRIPS_MEMBER: {"trip_id": pa.string(), "shape_id": pa.string()}}
         for batch in batches:
             for day, content in zip(batch.column(0), batch.column(1)):
-                for part in _columns(member, content.as_py(), types):
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([day.as_py()] * part.num_rows, pa.date32()), *part.columns], names=schema.names)
+                data = content.as_py()
+                for member, types in members.items():
+                    for part in _columns(member, data, types):
+                        n = part.num_rows
+                        held = dict(zip(types, part.columns))
+                        get = lambda c, t: held.get(c, pa.nulls(n, t))  # noqa: E731, B023
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array([member] * n), pa.array([day.as_py()] * n, pa.date32()),
+                             get("shape_id", pa.string()), get("shape_pt_sequence", pa.int32()),
+                             get("shape_pt_lat", pa.float64()), get("shape_pt_lon", pa.float64()),
+                             get("trip_id", pa.string())],
+                            names=["member", "static_date", "shape_id", "seq", "lat", "lon", "trip_id"])
 
-    return releases.select("static_date", "content").mapInArrow(run, schema)
+    return releases.select("static_date", "content").mapInArrow(
+        run, "member string, static_date date, shape_id string, seq int, lat double, lon double, trip_id string")
 
 
-def decode_shapes(releases: DataFrame) -> DataFrame:
-    """Route-line points of every release (SRC9, UDF2): static_date, shape_id, seq, lat, lon."""
-    import pyarrow as pa
+def shape_rows(decoded: DataFrame) -> DataFrame:
+    """Route-line points (SRC9): static_date, shape_id, seq, lat, lon."""
+    return decoded.where(F.col("member") == SHAPES_MEMBER).select(*schemas.SHAPE_POINTS.names)
 
-    return _decode(releases, SHAPES_MEMBER, {
-        "shape_id": pa.string(), "shape_pt_sequence": pa.int32(), "shape_pt_lat": pa.float64(),
-        "shape_pt_lon": pa.float64()}, schemas.SHAPE_POINTS)
 
+def trip_rows(decoded: DataFrame) -> DataFrame:
+    """Trips with their route line (SRC10); a trip without one is dropped."""
+    return decoded.where((F.col("member") == TRIPS_MEMBER) & (F.col("shape_id") != "")).select(*schemas.TRIPS.names)
+
+
+def decode_shapes(releases: DataFrame) -> DataFrame:
+    """Route-line points of every release (SRC9, UDF2)."""
+    return shape_rows(decode_releases(releases))
 
-def decode_trips(releases: DataFrame) -> DataFrame:
-    """Trips with their route line (SRC10, UDF3); a trip without one is dropped."""
-    import pyarrow as pa
 
-    trips = _decode(releases, TRIPS_MEMBER, {"trip_id": pa.string(), "shape_id": pa.string()}, schemas.TRIPS)
-    return trips.where(F.col("shape_id") != "")
+def decode_trips(releases: DataFrame) -> DataFrame:
+    """Trips with their route line of every release (SRC10, UDF3)."""
+    return trip_rows(decode_releases(releases))
 
 
 def pack_releases(points: DataFrame, trips: DataFrame) -> DataFrame:

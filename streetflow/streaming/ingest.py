@@ -51,10 +51,10 @@ def _lander(store: TableStore, table: str, rejects: str | None, decode):
         else:
             landed = None
         fresh = land_if_absent(rows, landed, KEYS)
-        fresh.write.mode("append").partitionBy("date").parquet(store.path(table))
+        store.append(table, fresh, ["date"])
         if rejects is not None and decode is None:
             bad = SN.rejects(parsed).withColumn("batch_id", F.lit(batch_id))
-            bad.write.mode("append").parquet(store.path(rejects))
+            store.append(rejects, bad)
         parsed.unpersist()
 
     return land
