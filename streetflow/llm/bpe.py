@@ -6,8 +6,8 @@ symbol is a transition function over the states of a small automaton, and
 composition of such functions is associative. So the state before every code
 point comes from a block-wise prefix scan of numpy gathers over the composition
 table, and a second table says where a piece begins. The slices between those
-places go through pair merging once each and are then served from a bounded
-cache. Token offsets (in bytes) are kept beside the ids, for decoding a part.
+places go through pair merging once each, many in one step, and are then served
+from a bounded cache. Token offsets (in bytes) are kept beside the ids, for decoding a part.
 """
 
 from __future__ import annotations
@@ -21,6 +21,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -35,8 +36,11 @@ WHITE_SPACE = (0x09, 0x0A, 0x0B, 0x0C, 0x0D, 0x20, 0x85, 0xA0, 0x1680, 0x2000, 0
 
 #: Code points that one step of the scan handles at a time, and rows of text a slice.
 _BLOCK = 64
-_SLICE_CHARS = 1 << 20
-_CACHE = 1 << 19
+_SLICE_CHARS = 1 << 19
+#: Pieces that a task keeps; bytes of pieces that are merged together (longer ones by themselves).
+_CACHE = 1 << 18
+_WIDTHS = (8, 12, 16, 24, 48)
+_WIDTH_OF = [next(w for w in _WIDTHS if n <= w) for n in range(_WIDTHS[-1] + 1)]
 
 
 def _step(state: int, symbol: int) -> tuple[int, bool]:
@@ -171,21 +175,6 @@ def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     return out
 
 
-class _Cache(dict):
-    """Ids of pieces already merged; emptied when it reaches its bound."""
-
-    def __init__(self, ranks: dict[bytes, int]) -> None:
-        self.ranks = ranks
-
-    def __missing__(self, piece: str) -> tuple[int, ...]:
-        ids = tuple(merge(piece.encode(), self.ranks))
-        if len(self) >= _CACHE:
-            self.clear()
-        if len(piece) <= 256:
-            self[piece] = ids
-        return ids
-
-
 @lru_cache(4)
 def load_ranks(path: str) -> dict[bytes, int]:
     """Ranks of a file with a base64 token and its rank on each line."""
@@ -193,18 +182,134 @@ def load_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in (line.split() for line in f if line.strip())}
 
 
+class Merger:
+    """Ids of pieces, many at a time.
+
+    Pieces of one length are the rows of a matrix of token ids. Each step merges
+    the leftmost pair of lowest rank of every row that has one; pairs are looked
+    up in an open-addressing table of (left id, right id) -> id.
+    """
+
+    _NONE = np.int32(2**31 - 1)
+
+    def __init__(self, ranks: dict[bytes, int]) -> None:
+        self.ranks = ranks
+        self.cache: dict[str, tuple[int, ...]] = {}
+        self.byte = np.array([ranks.get(bytes([b]), -1) for b in range(256)], np.int32)
+        pairs = {(ranks[t[:i]] << 32) | ranks[t[i:]]: r for t, r in ranks.items()
+                 for i in range(1, len(t)) if t[:i] in ranks and t[i:] in ranks}
+        key = np.fromiter(pairs.keys(), np.uint64, len(pairs))
+        self.bits = max(4, (4 * len(key)).bit_length())
+        self.keys = np.full(1 << self.bits, 2**64 - 1, np.uint64)
+        self.values = np.full(1 << self.bits, self._NONE, np.int32)
+        value = np.fromiter(pairs.values(), np.int32, len(pairs))
+        slot = self._slot(key)
+        while len(key):
+            free = self.keys[slot] == np.uint64(2**64 - 1)
+            self.keys[slot[free]] = key[free]  # of those that meet, one gets the slot
+            settled = self.keys[slot] == key
+            self.values[slot[settled]] = value[settled]
+            key, value, slot = key[~settled], value[~settled], (slot[~settled] + 1) & (len(self.keys) - 1)
+
+    def _slot(self, key: np.ndarray) -> np.ndarray:
+        with np.errstate(over="ignore"):
+            return ((key * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def lookup(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Id of left + right, or ``_NONE``."""
+        key = (left.astype(np.uint64) << np.uint64(32)) | right.astype(np.uint64)
+        slot = self._slot(key)
+        out = np.full(len(key), self._NONE, np.int32)
+        todo = np.arange(len(key))
+        while len(todo):
+            held = self.keys[slot]
+            out[todo] = np.where(held == key, self.values[slot], out[todo])
+            go = (held != key) & (held != np.uint64(2**64 - 1))
+            todo, key, slot = todo[go], key[go], (slot[go] + 1) & (len(self.keys) - 1)
+        return out
+
+    def merge_rows(self, ids: np.ndarray, count: np.ndarray) -> np.ndarray:
+        """Merges all that can be in each row of a matrix of byte ids, in place;
+        ``count``, the ids of each row, falls; the rest of a row is -1."""
+        n, width = ids.shape
+        rank = np.full((n, width), self._NONE, np.int32)
+        pair = np.arange(width - 1)[None, :] < count[:, None] - 1
+        rank[:, :-1][pair] = self.lookup(ids[:, :-1][pair], ids[:, 1:][pair])
+        rows = np.arange(n)
+        while len(rows):
+            at = rank[rows].argmin(axis=1)
+            best = rank[rows, at]
+            go = best != self._NONE
+            rows, at, best = rows[go], at[go], best[go]
+            if not len(rows):
+                break
+            top = int(count[rows].max()) - 1
+            shift = np.arange(top)[None, :] + (np.arange(top)[None, :] > at[:, None])
+            shift += (rows * width)[:, None]
+            ids[rows, :top] = ids.ravel()[shift]
+            ids[rows, at] = best
+            ids[rows, top] = -1
+            rank[rows, :top] = rank.ravel()[shift]
+            rank[rows, top] = self._NONE
+            count[rows] -= 1
+            for side in (at - 1, at):  # the two pairs that the new token is in
+                ok = (side >= 0) & (side + 1 < count[rows])
+                own = np.full(len(rows), self._NONE, np.int32)
+                x, y = rows[ok], side[ok]
+                own[ok] = self.lookup(ids[x, y], ids[x, y + 1])
+                inside = side >= 0
+                rank[rows[inside], side[inside]] = own[inside]
+
+    def learn(self, pieces: set[str]) -> None:
+        """Adds pieces to the cache."""
+        ranks, cache = self.ranks, self.cache
+        wide: dict[int, tuple[list[str], list[bytes]]] = {w: ([], []) for w in _WIDTHS}
+        for piece in pieces:
+            raw = piece.encode()
+            if raw in ranks:
+                cache[piece] = (ranks[raw],)
+            elif len(raw) > _WIDTHS[-1]:
+                cache[piece] = tuple(merge(raw, ranks))
+            else:
+                names, raws = wide[_WIDTH_OF[len(raw)]]
+                names.append(piece)
+                raws.append(raw)
+        for width, (names, raws) in wide.items():
+            for lo in range(0, len(raws), 1 << 14):
+                part = raws[lo:lo + (1 << 14)]
+                count = np.fromiter(map(len, part), np.int64, len(part))
+                own = np.arange(width)[None, :] < count[:, None]
+                ids = np.full(own.shape, -1, np.int32)
+                ids[own] = self.byte[np.frombuffer(b"".join(part), np.uint8)]
+                self.merge_rows(ids, count)
+                ids, ends = ids[np.arange(width)[None, :] < count[:, None]].tolist(), np.cumsum(count).tolist()
+                cache.update(zip(names[lo:lo + (1 << 14)], [
+                    tuple(ids[a:b]) for a, b in zip([0, *ends], ends, strict=False)], strict=True))
+
+    def encode(self, pieces: list[str]) -> Iterator[tuple[int, ...]]:
+        kinds = set(pieces)
+        new = kinds.difference(self.cache)
+        if len(self.cache) + len(new) > _CACHE:
+            self.cache.clear()
+            new = kinds
+        self.learn(new)
+        return map(self.cache.__getitem__, pieces)
+
+
 @lru_cache(4)
-def _encoder(path: str) -> _Cache:
-    return _Cache(load_ranks(path))
+def _merger(path: str) -> Merger:
+    return Merger(load_ranks(path))
 
 
 @lru_cache(4)
-def _tokens(path: str) -> tuple[dict[int, bytes], np.ndarray]:
+def _tokens(path: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(bytes of all tokens, first byte and length of each id)."""
     ranks = load_ranks(path)
-    size = np.zeros(max(ranks.values(), default=0) + 1, np.int64)
+    tokens = [b""] * (max(ranks.values(), default=-1) + 1)
     for token, i in ranks.items():
-        size[i] = len(token)
-    return {i: t for t, i in ranks.items()}, size
+        tokens[i] = token
+    size = np.array([len(t) for t in tokens], np.int64)
+    return np.frombuffer(b"".join(tokens), np.uint8), np.cumsum(size) - size, size
 
 
 def _texts(column: pa.Array) -> Iterator[tuple[int, list[str]]]:
@@ -222,21 +327,24 @@ def _texts(column: pa.Array) -> Iterator[tuple[int, list[str]]]:
 
 def encode_texts(texts: list[str], path: str) -> list[np.ndarray]:
     """Ids of each text."""
-    cache = _encoder(path)
     lengths = np.array([len(t) for t in texts], np.int64)
     base = np.concatenate([[0], np.cumsum(lengths)])
     joined = "".join(texts)
     points = np.frombuffer(joined.encode("utf-32-le"), np.uint32)
     starts = piece_starts(points, base[:-1][lengths > 0])
     cuts = starts.tolist()
-    cuts.append(len(joined))
+    ids = list(_merger(path).encode([joined[x:y] for x, y in zip(cuts, [*cuts[1:], len(joined)], strict=True)]))
     at = np.searchsorted(starts, base).tolist()
-    out = []
-    for i in range(len(texts)):
-        a, b = at[i], at[i + 1]
-        pieces = [joined[x:y] for x, y in zip(cuts[a:b], cuts[a + 1:b + 1], strict=True)]
-        out.append(np.fromiter(chain.from_iterable(map(cache.__getitem__, pieces)), np.int32))
-    return out
+    return [np.fromiter(chain.from_iterable(ids[a:b]), np.int32) for a, b in zip(at, at[1:], strict=False)]
+
+
+def decode_ids(ids: np.ndarray, path: str) -> np.ndarray:
+    """Bytes of a sequence of ids."""
+    data, first, size = _tokens(path)
+    own = size[ids]
+    ends = np.cumsum(own)
+    total = int(ends[-1]) if len(ends) else 0
+    return data[np.repeat(first[ids] - ends + own, own) + np.arange(total)]
 
 
 def _lists(arrays: list[np.ndarray]) -> pa.ListArray:
@@ -256,7 +364,7 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        size = _tokens(path)[1]
+        size = _tokens(path)[2]
         for batch in batches:
             for lo, texts in _texts(batch.column(1)):
                 ids = encode_texts(texts, path)
@@ -274,12 +382,17 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
     (a text cut inside a code point need not be UTF-8)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        token = _tokens(path)[0].__getitem__
+        size = _tokens(path)[2]
         for batch in batches:
-            for lo in range(0, batch.num_rows, 256):
-                part = batch.slice(lo, 256)
-                data = [b"".join(map(token, x.values.to_pylist() if x.is_valid else ())) for x in part.column(1)]
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(data, pa.binary())],
+            for lo in range(0, batch.num_rows, 128):
+                part = batch.slice(lo, 128)
+                column = part.column(1)
+                ids = column.flatten().to_numpy(zero_copy_only=False)
+                count = np.concatenate([[0], np.cumsum(pc.fill_null(pc.list_value_length(column), 0).to_numpy())])
+                ends = np.concatenate([[0], np.cumsum(size[ids])])[count]
+                data = pa.Array.from_buffers(pa.large_binary(), len(part), [
+                    None, pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(decode_ids(ids, path))])
+                yield pa.RecordBatch.from_arrays([*part.columns, data.cast(pa.binary())],
                                                  names=["doc_id", "ids", "offsets", "decoded"])
 
     return encoded.select("doc_id", "ids", "offsets").mapInArrow(
