@@ -187,15 +187,20 @@ RELS = """(select date '2024-03-27' as static_date, 0 as n union all select date
 SCHED = f"""
 trips as (
  select v.static_date, concat('T', cast(u.user_id as varchar), '_', cast(u.i as varchar)) as trip_id,
-   concat('S', cast(u.user_id % 8 as varchar)) as shape_id
+   case when (u.user_id + 2 * u.i) % 13 = 0 then ''
+     else concat('S', cast(u.user_id % 8 as varchar), '_', cast(u.user_id // 64 as varchar)) end as shape_id
  from (select user_id, unnest(generate_series(0, 2)) as i from (select distinct user_id from events) z) u
  cross join {RELS} v
  where (u.user_id + u.i + v.n) % 6 <> 0
 ),
 shapes as (
- select v.static_date, concat('S', cast(r as varchar)) as shape_id, cast(seq as integer) as seq,
-   41.89002e0 + r*0.001e0 + case when r = 2 and v.n >= 3 then 0.00001e0 else 0e0 end as lat, 12.44e0 + seq*0.01e0 as lon
- from (select r, unnest(generate_series(0, 24)) as seq from (select unnest(generate_series(0, 7)) as r) a) s
+ select v.static_date, concat('S', cast(r as varchar), '_', cast(b as varchar), spare) as shape_id,
+   cast(seq as integer) as seq,
+   41.89002e0 + r*0.001e0 + case when r = 2 and v.n >= 3 then 0.00001e0 else 0e0 end + b*0.000001e0 as lat,
+   12.44e0 + seq*0.01e0 as lon
+ from (select r, b, seq, unnest(['', 'x']) as spare from
+   (select r, b, unnest(generate_series(0, 24)) as seq from
+     (select distinct user_id % 8 as r, user_id // 64 as b from events) l) a) s
  cross join {RELS} v
 ),
 used as (

@@ -74,9 +74,38 @@ def snapshot_time(decoded: DataFrame, on_missing_header: str = "null") -> DataFr
 
 def land_if_absent(new_rows: DataFrame, landed: DataFrame | None, keys=("feed_timestamp", "entity_id")) -> DataFrame:
     """Rows of ``new_rows`` that are not landed yet (SRC5/SRC7): a second copy
-    of a snapshot is dropped, never overwrites the first."""
-    keys = list(keys)
-    fresh = new_rows.dropDuplicates(keys)
-    if landed is None:
-        return fresh
-    return fresh.join(landed.select(*keys).distinct(), keys, "left_anti")
+    of a snapshot is dropped, never overwrites the first.
+
+    ``keys`` are the snapshot's key and, where rows are finer than snapshots,
+    the entity's. Of rows with equal keys the first delivered stays: the least
+    ``delivered`` (if there is such a column), then source file. Rows whose
+    entity is NULL cannot be told apart by key, so they count as a whole: all
+    of the first file that delivers any for a snapshot land, and none if some
+    are landed. Rows whose snapshot key is NULL are never taken for copies.
+    Only rows of snapshots that are landed already are compared by entity.
+    """
+    snapshot, *entity = keys
+    order = [c for c in ("delivered", "source_file") if c in new_rows.columns]
+    first = Window.partitionBy(*keys).orderBy(*(order or keys))
+    told = F.col(snapshot).isNotNull()
+    for k in entity:
+        told &= F.col(k).isNotNull()
+    fresh = new_rows.where(told).withColumn("_copy", F.row_number().over(first)).where("_copy = 1").drop("_copy")
+    untold = None
+    if entity:
+        untold = new_rows.where(F.col(snapshot).isNotNull() & ~told)
+        if "source_file" in new_rows.columns:
+            of = untold.groupBy(F.col(snapshot).alias("_snapshot")).agg(
+                F.min(F.struct(*order))["source_file"].alias("_file"))
+            untold = untold.join(of, (F.col(snapshot) == F.col("_snapshot")) & (F.col("source_file") == F.col("_file")),
+                                 "left_semi")
+    if landed is not None:
+        times = landed.select(snapshot).distinct()
+        again = fresh.join(times, snapshot, "left_semi")
+        known = landed.select(*keys).join(fresh.select(snapshot).distinct(), snapshot, "left_semi").distinct()
+        fresh = fresh.join(times, snapshot, "left_anti").unionByName(again.join(known, list(keys), "left_anti"))
+        if untold is not None:
+            some = landed.where(" or ".join(f"{k} is null" for k in entity)).select(snapshot).distinct()
+            untold = untold.join(some, snapshot, "left_anti")
+    out = fresh if untold is None else fresh.unionByName(untold)
+    return out.unionByName(new_rows.where(F.col(snapshot).isNull())).select(*new_rows.columns)

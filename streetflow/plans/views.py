@@ -12,7 +12,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from streetflow.config import DEFAULT
+from streetflow.config import DEFAULT, DOW_NAMES
 from streetflow.functions.timefns import epoch_s, weekday
 from streetflow.operators import grid as G
 from streetflow.operators import incremental as INC
@@ -428,8 +428,12 @@ def _slot_view(spark, sf_dir):
 
 def map_slot(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
-    v = _slot_view(spark, sf_dir)
-    sel = SV.select_slot(v, F.col("dow_name"), F.col("hour_rome"))
+    speed, view = _map(spark, sf_dir)
+    slot = SV.nearest_slot(speed, NOW_LOCAL).first()  # one row
+    if slot is None:
+        sel = SV.select_slot(view, "", -1)
+    else:
+        sel = SV.select_slot(view, DOW_NAMES[slot["dow"]], int(slot["hour_rome"]))
     return sel.select("way_id", "dow", "hour_rome", "median_speed_kmh", "speed_class", "swatch", "moving_pct")
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -30,7 +31,6 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", os.environ.get("STREETFLOW_DRIVER_MEMORY", "8g"))
-        .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
     )
     if os.environ.get("STREETFLOW_EVENT_LOG"):  # stage timings for profiling, no UI
         spark = spark.config("spark.eventLog.enabled", "true").config("spark.eventLog.dir",
@@ -45,13 +45,17 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names in spark.checkpoint.dir.
 
-    Only when the session has none (local tests) is a fresh local folder set.
+    Only when the session has none and runs on one machine (local tests) is a
+    fresh local folder set; on a cluster its executors would each write to their
+    own disks, so there a missing setting is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get(
         "spark.checkpoint.dir", None)
     if current:
         return current
+    if not re.fullmatch(r"local(\[[^,\]]*(,\s*\d+)?\])?", sc.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     path = tempfile.mkdtemp(prefix="streetflow-ckpt-")
     spark.sparkContext.setCheckpointDir(path)
     return spark.sparkContext.getCheckpointDir()

@@ -15,7 +15,7 @@ without changing any match.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from streetflow import schemas
@@ -191,8 +191,19 @@ def _release_list():
     return F.array(*[F.struct(F.to_date(F.lit(d)).alias("static_date"), F.lit(i).alias("n")) for i, d in enumerate(RELEASES)])
 
 
+def _line_of(user) -> Column:
+    """(r, block) of the route line that a user's trips run on: eight corridors, and
+    a variant of each for every 64 users, so that lines grow with the events."""
+    return F.struct((user % 8).alias("r"), F.floor(user / 64).cast("long").alias("block"))
+
+
+def _line_id(line) -> Column:
+    return F.concat(F.lit("S"), line["r"].cast("string"), F.lit("_"), line["block"].cast("string"))
+
+
 def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Five releases; every trip is missing from some of them."""
+    """Five releases; every trip is missing from some of them, and some trips
+    have no line."""
     users = _ev(spark, sf_dir).select("user_id").distinct()
     u = users.select("user_id", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(2).cast("long"))).alias("i"))
     return (
@@ -201,21 +212,25 @@ def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
         .select(
             "static_date",
             F.concat(F.lit("T"), F.col("user_id").cast("string"), F.lit("_"), F.col("i").cast("string")).alias("trip_id"),
-            F.concat(F.lit("S"), (F.col("user_id") % 8).cast("string")).alias("shape_id"),
+            F.when((F.col("user_id") + 2 * F.col("i")) % 13 == 0, F.lit(""))
+            .otherwise(_line_id(_line_of(F.col("user_id")))).alias("shape_id"),
         )
     )
 
 
-def shapes(spark: SparkSession, sf_dir: str | None = None) -> DataFrame:
-    """Eight route lines of 25 points per release; line S2 moves 1 m from the fourth release on."""
-    pts = spark.range(1).select(F.explode(F.sequence(F.lit(0), F.lit(7))).alias("r")).select(
-        "r", F.explode(F.sequence(F.lit(0), F.lit(24))).alias("seq")
-    )
-    shift = F.when((F.col("r") == 2) & (F.col("n") >= 3), F.lit(0.00001)).otherwise(F.lit(0.0))
-    return pts.select("r", "seq", F.inline(_release_list())).select(
+def shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Route lines of 25 points per release, from the users of the events; lines
+    of corridor 2 move 1 m from the fourth release on. For every line there is
+    one more that no trip uses."""
+    lines = _ev(spark, sf_dir).select(_line_of(F.col("user_id")).alias("line")).distinct()
+    pts = lines.select("line", F.explode(F.sequence(F.lit(0), F.lit(24))).alias("seq"),
+                       ).select("line", "seq", F.explode(F.array(F.lit(""), F.lit("x"))).alias("spare"))
+    r, block = F.col("line.r"), F.col("line.block")
+    shift = F.when((r == 2) & (F.col("n") >= 3), F.lit(0.00001)).otherwise(F.lit(0.0))
+    return pts.select("line", "seq", "spare", F.inline(_release_list())).select(
         "static_date",
-        F.concat(F.lit("S"), F.col("r").cast("string")).alias("shape_id"),
+        F.concat(_line_id(F.col("line")), "spare").alias("shape_id"),
         F.col("seq").cast("int").alias("seq"),
-        (F.lit(41.89002) + F.col("r") * 0.001 + shift).alias("lat"),
+        (F.lit(41.89002) + r * 0.001 + shift + block * 0.000001).alias("lat"),
         (F.lit(12.44) + F.col("seq") * 0.01).alias("lon"),
     )

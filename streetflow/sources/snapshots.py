@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
     ArrayType,
@@ -56,12 +56,31 @@ FEED_MESSAGE = _s(
 
 
 def messages(files: DataFrame) -> DataFrame:
-    """(source_file, line, msg) for every non-empty line of every file."""
-    lines = files.select(
-        F.col("path").alias("source_file"),
-        F.explode(F.split(F.decode("content", "UTF-8"), "\n")).alias("line"),
-    ).where(F.length(F.trim("line")) > 0)
-    return lines.withColumn("msg", F.from_json("line", FEED_MESSAGE, {"mode": "PERMISSIVE"}))
+    """(source_file, delivered, line, msg) for every message of every file.
+
+    A file holds one message a line, or, where no line is a message, one message
+    as a whole (indented, say). ``delivered`` is the file's modification time.
+    Bytes that are no UTF-8 give one row with NULL line and msg, and so do no
+    harm to other files of a batch; empty files and lines give none."""
+    text = F.col("content").cast("string")
+    delivered = F.col("modificationTime") if "modificationTime" in files.columns else F.lit(None).cast("timestamp")
+    parse = lambda x: F.from_json(x, FEED_MESSAGE, {"mode": "PERMISSIVE"})
+    is_message = lambda m: m["header"].isNotNull() | m["entity"].isNotNull()
+    item = lambda x: F.struct(x.alias("line"), parse(x).alias("msg"))
+    read = files.select(F.col("path").alias("source_file"), delivered.alias("delivered"),
+                        F.when(F.is_valid_utf8(text), text).alias("_text"))
+    read = read.where(F.col("_text").isNull() | (F.length(F.trim(F.regexp_replace("_text", r"\s", ""))) > 0))
+    lines = read.withColumn("_lines", F.transform(
+        F.filter(F.split("_text", "\n"), lambda x: F.length(F.trim(x)) > 0), item))
+    by_line = F.coalesce(F.exists("_lines", lambda x: is_message(x["msg"])), F.lit(False))
+    return lines.select("source_file", "delivered", F.inline(
+        F.when(by_line, F.col("_lines")).otherwise(F.array(item(F.col("_text"))))))
+
+
+def _time_of(msg: str) -> Column:
+    """Epoch of a message: its header's, else the newest of its vehicles' (SRC4)."""
+    return F.coalesce(F.col(f"{msg}.header.timestamp"),
+                      F.array_max(F.transform(f"{msg}.entity", lambda e: e["vehicle"]["timestamp"])))
 
 
 def decode_json(files: DataFrame) -> DataFrame:
@@ -72,13 +91,15 @@ def decode_json(files: DataFrame) -> DataFrame:
 
 
 def entities(msgs: DataFrame) -> DataFrame:
-    """Parsed messages -> entity rows (see ``decode_json``)."""
+    """Parsed messages -> entity rows (see ``decode_json``), those of messages
+    without a usable time left out (they are rejects)."""
     msgs = msgs.where(F.col("msg.header").isNotNull() | F.col("msg.entity").isNotNull())
-    ents = msgs.select("source_file", F.col("msg.header.timestamp").alias("_feed_ts"),
-                       F.explode("msg.entity").alias("e")).where(F.col("e.vehicle").isNotNull())
+    ents = msgs.select("source_file", "delivered", _time_of("msg").alias("_feed_ts"),
+                       F.explode("msg.entity").alias("e")).where("e.vehicle is not null and _feed_ts is not null")
     v = "e.vehicle"
     return ents.select(
         "source_file",
+        "delivered",
         F.col("_feed_ts").alias("feed_timestamp"),
         F.col("e.id").alias("entity_id"),
         F.col("e.is_deleted").alias("is_deleted"),
@@ -95,8 +116,8 @@ def entities(msgs: DataFrame) -> DataFrame:
 
 
 def rejects_json(files: DataFrame) -> DataFrame:
-    """Snapshots that cannot be landed (SRC4): malformed text, or no vehicle
-    entity at all. One row per bad message: (source_file, reason)."""
+    """Snapshots that cannot be landed (SRC4): malformed text, no vehicle entity
+    at all, or no usable time. One row per bad message: (source_file, reason)."""
     return rejects(messages(files))
 
 
@@ -105,29 +126,60 @@ def rejects(msgs: DataFrame) -> DataFrame:
     bad = F.col("msg.header").isNull() & F.col("msg.entity").isNull()
     empty = ~F.exists(F.coalesce(F.col("msg.entity"), F.array().cast(FEED_MESSAGE["entity"].dataType)),
                       lambda e: e["vehicle"].isNotNull())
-    return msgs.where(bad | empty).select(
-        "source_file", F.when(bad, F.lit("malformed")).otherwise(F.lit("no vehicles")).alias("reason")
+    return msgs.where(bad | empty | _time_of("msg").isNull()).select(
+        "source_file", F.when(bad, F.lit("malformed")).when(empty, F.lit("no vehicles"))
+        .otherwise(F.lit("no time")).alias("reason")
     )
 
 
+#: Entities that a decoder's task holds at a time.
+_CHUNK = 10_000
+
+
 def decode_with(files: DataFrame, decode: Callable[[bytes], Iterable[dict]]) -> DataFrame:
     """(UDF1) Run a per-file Python decoder (e.g. a protocol-buffer codec) over the
     files in Arrow batches. ``decode(content)`` yields dicts keyed by the
-    ``SNAPSHOT_ENTITY`` field names; missing keys become NULL."""
+    ``SNAPSHOT_ENTITY`` field names; missing keys become NULL. A snapshot without
+    header time takes its newest vehicle time (SRC4). Of a file that the decoder
+    fails on, or that gives no entity or no time, one row comes out, with
+    ``reject`` telling why and all else NULL; elsewhere ``reject`` is NULL.
+    """
     names = [f.name for f in schemas.SNAPSHOT_ENTITY.fields]
-    out_schema = StructType([StructField("source_file", StringType())] + list(schemas.SNAPSHOT_ENTITY.fields))
+    fields = ([StructField("source_file", StringType())] + list(schemas.SNAPSHOT_ENTITY.fields)
+              + [StructField("reject", StringType())])
 
     def run(batches):
         import pandas as pd
 
+        columns = [f.name for f in fields]
+
+        def frame(rows):
+            return pd.DataFrame(rows, columns=columns).astype(object).where(lambda x: x.notna(), None)
+
         for pdf in batches:
-            rows = []
             for path, content in zip(pdf["path"], pdf["content"]):
-                for ent in decode(bytes(content)):
-                    rows.append([path] + [ent.get(n) for n in names])
-            yield pd.DataFrame(rows, columns=["source_file"] + names)
-
-    return files.select("path", "content").mapInPandas(run, out_schema)
+                try:
+                    entities = list(decode(bytes(content)))  # one snapshot, so that a bad file lands nothing
+                except Exception as e:  # noqa: BLE001 - any codec error rejects its file
+                    entities, why = [], f"malformed: {type(e).__name__}"
+                else:
+                    why = "no vehicles"
+                times = [e["vehicle_timestamp"] for e in entities if e.get("vehicle_timestamp") is not None]
+                for e in entities:
+                    if e.get("feed_timestamp") is None:
+                        e["feed_timestamp"] = max(times, default=None)
+                if entities and any(e["feed_timestamp"] is None for e in entities):
+                    entities, why = [], "no time"
+                if not entities:
+                    yield frame([[path] + [None] * len(names) + [why]])
+                for lo in range(0, len(entities), _CHUNK):
+                    yield frame([[path] + [e.get(n) for n in names] + [None] for e in entities[lo:lo + _CHUNK]])
+
+    out = files.select("path", "content").mapInPandas(run, StructType(fields))
+    if "modificationTime" not in files.columns:
+        return out.withColumn("delivered", F.lit(None).cast("timestamp"))
+    times = files.select(F.col("path").alias("source_file"), F.col("modificationTime").alias("delivered"))
+    return out.join(times, "source_file")
 
 
 def to_bronze(decoded: DataFrame) -> DataFrame:
@@ -139,7 +191,8 @@ def to_bronze(decoded: DataFrame) -> DataFrame:
         .withColumn("date", F.to_date("feed_timestamp"))
         .withColumn("ingested_at", F.current_timestamp())
     )
-    return out.select(*[f.name for f in schemas.VEHICLE_POSITIONS.fields])
+    extra = [c for c in ("delivered",) if c in decoded.columns]
+    return out.select(*[f.name for f in schemas.VEHICLE_POSITIONS.fields], *extra)
 
 
 def snapshot_messages(positions: DataFrame) -> DataFrame:

@@ -5,7 +5,8 @@ decodes them, and lands the rows in the bronze table partitioned by UTC feed
 date. ``availableNow`` processes everything pending in bounded micro-batches
 and stops, like a scheduled batch job. Landing is idempotent: a batch drops
 rows whose (feed_timestamp, entity_id) is already in the table, so a batch
-replayed after a failure, or a snapshot delivered twice, lands once.
+replayed after a failure, or a snapshot delivered twice, lands once. Files that
+cannot be landed go to the rejects table, once each, and stop nothing.
 """
 
 from __future__ import annotations
@@ -40,33 +41,34 @@ def _lander(store: TableStore, table: str, rejects: str | None, decode):
         # parsed once, used for the rows, the day lookup and the rejects; lost
         # blocks are recomputed from the batch's files
         if decode is None:
-            parsed = SN.messages(batch).persist()
-            rows = SN.to_bronze(SN.entities(parsed))
+            parsed = SN.messages(batch).select("source_file", "delivered", "msg").persist()
+            rows, bad = SN.to_bronze(SN.entities(parsed)), SN.rejects(parsed)
         else:
-            parsed = SN.to_bronze(decode(batch)).persist()
-            rows = parsed
+            parsed = decode(batch).persist()
+            rows, bad = SN.to_bronze(parsed), None
+            if "reject" in parsed.columns:
+                rows = SN.to_bronze(parsed.where("reject is null"))
+                bad = parsed.where("reject is not null").select("source_file", F.col("reject").alias("reason"))
+        landed = None
         if store.exists(table):
             dates = [r[0] for r in rows.select("date").distinct().collect()]  # days in this batch
             landed = store.read(table).where(F.col("date").isin(dates)).select(*KEYS)
-        else:
-            landed = None
-        fresh = land_if_absent(rows, landed, KEYS)
-        store.append(table, fresh, ["date"])
-        if rejects is not None and decode is None:
-            bad = SN.rejects(parsed).withColumn("batch_id", F.lit(batch_id))
-            store.append(rejects, bad)
+        store.append(table, land_if_absent(rows, landed, KEYS).drop("delivered"), ["date"])
+        if rejects is not None and bad is not None:
+            # a replayed batch replaces its own rejects
+            store.overwrite_partitions(rejects, bad.withColumn("batch_id", F.lit(batch_id)), ["batch_id"])
         parsed.unpersist()
 
     return land
 
 
 def ingest(spark: SparkSession, raw_dir: str, store: TableStore, checkpoint: str, table: str = "bronze_positions",
-           rejects: str | None = "bronze_rejects", glob: str = "*.json", timeout_s: float | None = 3600,
+           rejects: str | None = "bronze_rejects", glob: str = "*.json", timeout_s: float | None = None,
            decoder=None) -> None:
     """Run one ``availableNow`` pass: land every file not seen before, then stop.
 
-    ``decoder(files) -> decoded entities``; JSON by default. Blocks until the
-    pass ends (or ``timeout_s``)."""
+    ``decoder(files) -> decoded entities``, as ``snapshots.decode_with`` gives
+    them; JSON by default. Blocks until the pass ends, or ``timeout_s`` if given."""
     files = snapshot_stream(spark, raw_dir, glob)
     q = (
         files.writeStream.foreachBatch(_lander(store, table, rejects, decoder))

@@ -113,6 +113,79 @@ def test_stream_reads_only_new_files(spark, tmp_path):
     assert b.where(F.col("date") == F.lit(dt.date(2024, 4, 1))).count() == 3
 
 
+def test_ingest_loses_nothing(spark, tmp_path):
+    """Missing ids and header times, an indented file, bad bytes, repeated snapshots, a replayed batch."""
+    raw = tmp_path / "raw"
+    raw.mkdir()
+    store = TableStore(spark, str(tmp_path / "tables"))
+    anonymous = json.loads(_snapshot(1711965600, ["1", "2", "3", "4", "5"]))
+    for e in anonymous["entity"]:
+        del e["id"]
+    (raw / "anonymous.json").write_text(json.dumps(anonymous))
+    for i in range(4):  # no header time: the newest vehicle's counts
+        m = json.loads(_snapshot(1711965700 + i, [f"h{i}"]))
+        del m["header"]["timestamp"]
+        (raw / f"headless{i}.json").write_text(json.dumps(m))
+    (raw / "indented.json").write_text(json.dumps(json.loads(_snapshot(1711965800, ["a", "b"])), indent=2))
+    timeless = json.loads(_snapshot(1711965900, ["t"]))
+    del timeless["header"]["timestamp"], timeless["entity"][0]["vehicle"]["timestamp"]
+    (raw / "timeless.json").write_text(json.dumps(timeless))
+    (raw / "bytes.json").write_bytes(b"\xff\xfe{}\x80")
+    (raw / "blank.json").write_text("\n  \n")
+    ingest(spark, str(raw), store, str(tmp_path / "ck"))
+    b = store.read("bronze_positions")
+    assert b.count() == 5 + 4 + 2 and b.where("feed_timestamp is null or date is null").count() == 0
+    reasons = sorted(tuple(r) for r in store.read("bronze_rejects").selectExpr(
+        "element_at(split(source_file, '/'), -1)", "reason").collect())
+    assert reasons == [("bytes.json", "malformed"), ("timeless.json", "no time")]
+    # the same again under other names, and the whole stream replayed from its start
+    (raw / "anonymous_copy.json").write_text(json.dumps(anonymous))
+    ingest(spark, str(raw), store, str(tmp_path / "ck"))
+    ingest(spark, str(raw), store, str(tmp_path / "ck2"))
+    assert store.read("bronze_positions").count() == 11
+    assert store.read("bronze_rejects").count() == 2
+
+
+def test_first_delivered_wins(spark):
+    from streetflow.operators.positions import land_if_absent
+
+    rows = spark.createDataFrame([(2, "late", "e", 10, "b"), (1, "early", "e", 10, "z"), (3, "n", None, 10, "c"),
+                                  (3, "n", None, 10, "c"), (4, "m", None, 10, "d"), (5, "x", "e", None, "q"),
+                                  (5, "x", "e", None, "q")],
+                                 "delivered int, v string, entity_id string, feed_timestamp int, source_file string")
+    got = sorted(r.v for r in land_if_absent(rows, None).collect())
+    assert got == ["early", "n", "n", "x", "x"]
+    landed = spark.createDataFrame([(10, None)], "feed_timestamp int, entity_id string")
+    assert sorted(r.v for r in land_if_absent(rows, landed).collect()) == ["early", "x", "x"]
+    # one release per day (SRC7): the key is the day alone
+    rel = spark.createDataFrame([(d("2024-01-01"), "b"), (d("2024-01-01"), "a"), (d("2024-01-02"), "c")],
+                                "static_date date, source_file string")
+    got = land_if_absent(rel, rel.where("source_file = 'c'"), ["static_date"]).collect()
+    assert [r.source_file for r in got] == ["a"]
+
+
+def test_decoder_errors_go_to_rejects(spark, tmp_path):
+    from streetflow.sources import snapshots as SN
+
+    raw = tmp_path / "raw"
+    raw.mkdir()
+    (raw / "good.bin").write_bytes(b"e1,1711965600")
+    (raw / "bad.bin").write_bytes(b"\xff")
+    (raw / "none.bin").write_bytes(b"\n")
+
+    def codec(content):
+        for line in content.decode().split():
+            eid, ts = line.split(",")
+            yield {"entity_id": eid, "vehicle_id": "v", "vehicle_timestamp": int(ts)}
+
+    store = TableStore(spark, str(tmp_path / "t"))
+    ingest(spark, str(raw), store, str(tmp_path / "ck"), glob="*.bin", decoder=lambda f: SN.decode_with(f, codec))
+    row = store.read("bronze_positions").first()
+    assert (row.entity_id, row.feed_timestamp.timestamp()) == ("e1", 1711965600)
+    assert sorted(r.reason for r in store.read("bronze_rejects").collect()) == [
+        "malformed: UnicodeDecodeError", "no vehicles"]
+
+
 def test_release_scan_prunes_content(spark, tmp_path):
     import io
     import zipfile
