@@ -16,7 +16,7 @@ from math import log
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from streetflow.llm.graph import staged
+from streetflow.llm.graph import sample_by_hash, staged
 
 # fixed values: the base patterns
 ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -108,10 +108,8 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     null or repeat, each row is scanned by itself. Other columns are ignored.
     """
     found = staged(scan(docs, id_col, text_col, least_token), "scan")
-    values = found.select(F.explode("base.value").alias("value")).distinct().orderBy(
-        F.xxhash64("value"), "value").limit(sample_values)
-    ids = found.where(F.size("base") == 0).select("doc_id").distinct().orderBy(
-        F.xxhash64("doc_id"), "doc_id").limit(sample_docs)
+    values = sample_by_hash(found.select(F.explode("base.value").alias("value")).distinct(), "value", sample_values)
+    ids = sample_by_hash(found.where(F.size("base") == 0).select("doc_id").distinct(), "doc_id", sample_docs)
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).join(
         ids, "doc_id", "left_semi")
     ordinary = texts.select(F.explode(F.regexp_extract_all("text", F.lit(_token(6)), F.lit(0))).alias("value"))

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from streetflow.llm.graph import staged
+from streetflow.llm.graph import sample_by_hash, staged
 from streetflow.llm.textscan import Words, mix, slices
 
 FEATURES = ("log_words", "short", "word_length", "distinct", "top_share", "upper", "symbols", "bangs", "digits",
@@ -169,8 +169,7 @@ def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
         F.col(id_col).cast("long").alias("doc_id")).agg(F.avg(F.col(label_col).cast("double")).alias("y"))
     scanned = staged(_scan(rows).join(known, "doc_id", "left"), "features")
 
-    fitted = scanned.where("y is not null").select("x", "y", F.xxhash64("doc_id").alias("h")).orderBy(
-        "h", "x").limit(sample).toPandas()  # at most `sample` rows of a few numbers
+    fitted = sample_by_hash(scanned.where("y is not null").select("x", "y", "doc_id"), "doc_id", sample).toPandas()
     y = fitted["y"].to_numpy(float)
     if len(y) == 0 or y.min() == y.max():
         flat = F.lit(0.5 if len(y) and y.max() < 0.5 else 1.0)

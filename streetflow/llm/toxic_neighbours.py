@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from streetflow.llm.graph import staged
+from streetflow.llm.graph import sample_by_hash, staged
 
 _WORD = re.compile(r"\w+")
 _STEM = 4
@@ -141,7 +141,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
 
     chosen = None
     for y in (0, 1):
-        part = known.where(F.col("y") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_label)
+        part = sample_by_hash(known.where(F.col("y") == y), "doc_id", per_label)
         chosen = part if chosen is None else chosen.union(part)
     sample = staged(rows.join(chosen, "doc_id").dropDuplicates(["doc_id"]), "examples")
     index, weights, a, b, none = _fit(sample, prior, vocabulary, least_chi2, k)
