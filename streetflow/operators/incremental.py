@@ -9,9 +9,6 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
 from streetflow.config import DEFAULT, Config
 
 
@@ -35,29 +32,3 @@ def day_range(today: dt.date, latest: dt.date | None, rebuild: bool = False,
             return None
         end = min(end, newest_release - dt.timedelta(days=1))
     return (start, end) if start <= end else None
-
-
-def day_range_df(table: DataFrame | None, today: dt.date, rebuild: bool = False,
-                 releases: DataFrame | None = None, date_col: str = "date_rome",
-                 cfg: Config = DEFAULT) -> DataFrame:
-    """The same rule as a one-row DataFrame ``(start_date, end_date)``; zero
-    rows when there is nothing to do. ``releases`` (static_date) turns on the
-    schedule gate."""
-    spark = (table if table is not None else releases).sparkSession
-    earliest = F.lit(today - dt.timedelta(days=cfg.history_days))
-    parts = [spark.range(1).select(F.lit(None).cast("date").alias("_d"), F.lit(None).cast("date").alias("_r"))]
-    if table is not None and not rebuild:
-        parts.append(table.select(F.col(date_col).alias("_d"), F.lit(None).cast("date").alias("_r")))
-    if releases is not None:
-        parts.append(releases.select(F.lit(None).cast("date").alias("_d"), F.col("static_date").alias("_r")))
-    both = parts[0]
-    for p in parts[1:]:
-        both = both.unionByName(p)
-    base = both.agg(F.max("_d").alias("latest"), F.max("_r").alias("newest"))
-    start = F.greatest(F.coalesce(F.date_add("latest", 1), earliest), earliest)
-    end = F.lit(today - dt.timedelta(days=1))
-    if releases is not None:
-        # no release at all -> NULL end -> no row (least() would skip the NULL)
-        end = F.when(F.col("newest").isNotNull(), F.least(end, F.date_sub("newest", 1)))
-    out = base.select(start.alias("start_date"), end.alias("end_date"))
-    return out.where(F.col("start_date") <= F.col("end_date"))

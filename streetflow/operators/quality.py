@@ -118,3 +118,21 @@ def raise_if_failed(check_rows: DataFrame) -> None:
     failed = failures(check_rows)
     if failed:
         raise AssertionError("failed checks: " + "; ".join(failed))
+
+
+def run_report(edges: DataFrame, trip_shape: DataFrame, segments: DataFrame) -> DataFrame:
+    """Row counts, distinct geometries and street kilometres of a run, as
+    (metric, value) (AG17, AG13). Each table is read once."""
+    number = lambda c: c.cast("double")
+    tables = (
+        edges.agg(number(F.count("*")).alias("edges"), F.round(F.sum("length_m") / 1000, 3).alias("street_km"),
+                  number(F.count_distinct("way_id")).alias("ways")),
+        trip_shape.agg(number(F.count_distinct("shape_hash")).alias("geometries"),
+                       number(F.count_distinct("static_date")).alias("releases")),
+        segments.agg(number(F.count("*")).alias("segments")),
+    )
+    out = None
+    for t in tables:
+        rows = t.unpivot([], list(t.columns), "metric", "value")
+        out = rows if out is None else out.unionByName(rows)
+    return out

@@ -259,5 +259,33 @@ def run_daily(spark: SparkSession, store: TableStore, today_local: dt.date, rele
     lines_job(store, releases, points, trips, today_local, full_refresh, cfg, log)
     segment_streets_job(store, today_local, full_refresh, cfg, log)
     gold_job(store, today_local, now_utc, cfg, log=log, enforce_checks=enforce_checks)
+    _report(store, log)
     return log
 
+
+def run_from_files(spark: SparkSession, store: TableStore, today_local: dt.date, now_utc: dt.datetime, raw_dir: str,
+                   static_path: str, ways_path: str | None = None, export_to: str | None = None,
+                   full_refresh: bool = False, raw_glob: str = "*.json", cfg: Config = DEFAULT) -> RunLog:
+    """One run from raw files to publish and export (SRC17): snapshots, schedule
+    zips and, on demand or the first time, a street extract. Any failed check
+    stops it; run again, it goes on where it stopped."""
+    from streetflow.sources.street_extracts import read_ways
+
+    log = RunLog()
+    store.create_schema()
+    if ways_path is not None and (full_refresh or not store.exists(EDGES)):
+        load_streets(store, read_ways(spark, ways_path), cfg)
+    bronze_job(spark, store, raw_dir, now_utc, raw_glob, cfg, log)
+    segments_job(store, today_local, full_refresh, cfg, log)
+    lines_job_from_files(spark, store, static_path, today_local, full_refresh=full_refresh, cfg=cfg, log=log)
+    segment_streets_job(store, today_local, full_refresh, cfg, log)
+    gold_job(store, today_local, now_utc, cfg, export_to, log)
+    _report(store, log)
+    return log
+
+
+def _report(store: TableStore, log: RunLog) -> None:
+    """The run's figures into its log (AG17): a few rows."""
+    rows = QC.run_report(store.read(EDGES), store.read(TRIP_SHAPE), store.read(SEGMENTS)).collect()
+    log.add("report", {r["metric"]: r["value"] for r in rows})
+

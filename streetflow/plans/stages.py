@@ -12,6 +12,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from streetflow.config import DEFAULT, Config
 from streetflow.operators import match as M
@@ -57,7 +58,9 @@ def segment_streets_stage(segs: DataFrame, trip_shape: DataFrame, shape_streets:
     """Version lookup + route-restricted snap for segments with local time."""
     days = segs.select("date_rome").distinct()
     releases = trip_shape.select("static_date").distinct()
-    trip_hashes = M.trip_lookup(M.day_versions(days, releases), trip_shape)
-    needed = trip_hashes.select("shape_hash").distinct()
+    versions = M.day_versions(days, releases)
+    trip_hashes = M.trip_lookup(versions, trip_shape)
+    # lines of the releases in play; the lookup itself is planned once
+    needed = trip_shape.join(F.broadcast(versions.select("static_date").distinct()), "static_date", "left_semi")
     redges = M.route_edges(shape_streets, needed, edges)
-    return M.segment_streets(segs, trip_hashes, redges, cfg)
+    return M.segment_streets(segs, trip_hashes, redges, edges, cfg)

@@ -380,19 +380,25 @@ def checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).select(*CHECK_VIEW)
 
 
+def _days(spark: SparkSession, loaded: DataFrame, today: dt.date, **gate) -> DataFrame:
+    """The day range that the jobs compute, as a row (none when up to date)."""
+    days = INC.day_range(today, loaded.agg(F.max("date_rome")).first()[0], **gate)
+    return spark.createDataFrame([days] if days else [], "start_date date, end_date date")
+
+
 def days_to_process(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Loaded through 2024-03-30, today 2024-04-05."""
     prepare(spark)
     loaded = _segments(spark, sf_dir).where(F.col("date_rome") <= F.lit(dt.date(2024, 3, 30)))
-    return INC.day_range_df(loaded, dt.date(2024, 4, 5))
+    return _days(spark, loaded, dt.date(2024, 4, 5))
 
 
 def days_to_process_gated(spark: SparkSession, sf_dir: str) -> DataFrame:
     """As above, today 2024-04-07, waiting for the next day's schedule."""
     prepare(spark)
     loaded = _segments(spark, sf_dir).where(F.col("date_rome") <= F.lit(dt.date(2024, 3, 30)))
-    releases = _table(spark, sf_dir, "trip_shape").select("static_date")
-    return INC.day_range_df(loaded, dt.date(2024, 4, 7), releases=releases)
+    newest = _table(spark, sf_dir, "trip_shape").agg(F.max("static_date")).first()[0]
+    return _days(spark, loaded, dt.date(2024, 4, 7), newest_release=newest, gated=True)
 
 
 # ----------------------------------------------------------------- serving
@@ -466,24 +472,8 @@ def land_if_absent(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def run_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Row counts, distinct geometries and street kilometres of a run (AG17, AG13)."""
     prepare(spark)
-    e = _edges(spark, sf_dir)
-    lines = _Stored(spark, sf_dir)
-    parts = [
-        e.agg(F.lit("edges").alias("metric"), F.count(F.lit(1)).cast("double").alias("value")),
-        e.agg(F.lit("street_km").alias("metric"), F.round(F.sum("length_m") / 1000, 3).alias("value")),
-        e.agg(F.lit("ways").alias("metric"), F.count_distinct("way_id").cast("double").alias("value")),
-        lines.trip_shape.agg(F.lit("geometries").alias("metric"),
-                         F.count_distinct("shape_hash").cast("double").alias("value")),
-        lines.trip_shape.agg(F.lit("releases").alias("metric"),
-                             F.count_distinct("static_date").cast("double").alias("value")),
-        _segments(spark, sf_dir).agg(F.lit("segments").alias("metric"), F.count(F.lit(1)).cast("double").alias("value")),
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return QC.run_report(_edges(spark, sf_dir), _table(spark, sf_dir, "trip_shape"), _segments(spark, sf_dir))
 
 
 # ------------------------------------------------ streaming, decode, sinks

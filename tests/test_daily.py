@@ -89,3 +89,70 @@ def test_lines_from_release_files(spark, tmp_path):
     assert _rows(a.read(daily.TRIP_SHAPE).select(*cols)) == _rows(b.read(daily.TRIP_SHAPE).select(*cols))
     cols = ["shape_hash", "way_id", "points", "span_m"]
     assert _rows(a.read(daily.SHAPE_STREETS).select(*cols)) == _rows(b.read(daily.SHAPE_STREETS).select(*cols))
+
+
+def test_street_extract_reader(spark, tmp_path):
+    import json
+
+    elements = [
+        {"type": "way", "id": 7, "tags": {"highway": "primary", "name": "A"},
+         "geometry": [{"lat": 41.9, "lon": 12.5}, {"lat": 41.91, "lon": 12.5}]},
+        {"type": "node", "id": 8, "lat": 1.0, "lon": 2.0},
+        {"type": "way", "id": 9, "tags": {"highway": "primary"}},
+        {"type": "way", "id": 10, "geometry": [{"lat": 41.9, "lon": 12.5}]},
+    ]
+    (tmp_path / "tile").mkdir()
+    (tmp_path / "a.json").write_text(json.dumps({"elements": elements}, indent=1))
+    (tmp_path / "tile" / "b.json").write_text(json.dumps({"elements": elements[:1]}))
+    from streetflow.operators import streets as ST
+    from streetflow.sources.street_extracts import read_ways
+
+    ways = read_ways(spark, str(tmp_path))
+    assert sorted(r.way_id for r in ways.collect()) == [7, 7, 10]
+    assert [(r.way_id, r.tags["name"]) for r in ST.select_ways(ways).collect()] == [(7, "A")]
+
+
+def test_empty_street_source_leaves_the_table(spark, tmp_path):
+    store = daily.open_store(spark, str(tmp_path / "t"))
+    store.create_schema()
+    daily.load_streets(store, fx.ways(spark, SF))
+    before = store.read(daily.EDGES).count()
+    with pytest.raises(Exception, match="street ways"):
+        daily.load_streets(store, fx.ways(spark, SF).where("false"))
+    assert store.read(daily.EDGES).count() == before > 0
+
+
+def test_one_run_from_raw_files_to_export(spark, tmp_path):
+    """Snapshots, release zips and a street extract on disk, through to the export and the report;
+    a second run rewrites no line match and opens no zip."""
+    from streetflow.sources import schedule_files as SF_
+
+    raw, static, ways = str(tmp_path / "raw"), tmp_path / "static", str(tmp_path / "ways")
+    SN.snapshot_messages(fx.positions(spark, SF)).write.partitionBy("date", "hour").text(raw)
+    for r in SF_.pack_releases(fx.shapes(spark, SF), fx.trips(spark, SF)).collect():  # test setup only
+        folder = static / f"date={r.static_date.isoformat()}"
+        folder.mkdir(parents=True, exist_ok=True)
+        (folder / f"part-{r.part}.zip").write_bytes(bytes(r.content))
+    elements = fx.ways(spark, SF).selectExpr(
+        "to_json(named_struct('type', 'way', 'id', way_id, 'tags', tags, 'geometry', geometry)) as e").collect()
+    (tmp_path / "ways").mkdir()
+    (tmp_path / "ways" / "extract.json").write_text('{"elements": [\n' + ",\n".join(r.e for r in elements) + "]}")
+    store = daily.open_store(spark, str(tmp_path / "t"))
+    now = fx.positions(spark, SF).agg(F.max("feed_timestamp")).first()[0] + dt.timedelta(minutes=5)
+    cfg = daily.DEFAULT
+    import dataclasses
+
+    cfg = dataclasses.replace(cfg, min_day_share=0.0, min_segments=1)
+    run = lambda: daily.run_from_files(spark, store, dt.date(2024, 4, 6), now, raw, str(static), ways,
+                                       str(tmp_path / "out"), raw_glob="*.txt", cfg=cfg)
+    report = dict(run().steps)["report"]
+    assert report["ways"] > 0 and report["segments"] == store.read(daily.SEGMENTS).count()
+    exported = spark.read.parquet(str(tmp_path / "out" / "street_speed")).count()
+    assert exported == store.read(daily.SPEED).count() > 0
+    lines = _files(tmp_path / "t" / daily.SHAPE_STREETS)
+    assert dict(run().steps)["new releases"] == []
+    assert _files(tmp_path / "t" / daily.SHAPE_STREETS) == lines
+
+
+def _files(folder):
+    return {str(p) for p in folder.rglob("part-*")}

@@ -61,10 +61,8 @@ def test_day_ranges():
     assert INC.day_range(today, d("2024-04-02"), newest_release=None, gated=True) is None
 
 
-def test_day_range_frame(spark):
-    t = spark.createDataFrame([(d("2024-04-02"),)], "date_rome date")
-    rel = spark.createDataFrame([(d("2024-04-04"),)], "static_date date")
-    r = INC.day_range_df(t, d("2024-04-05"), releases=rel).collect()
-    assert [(x.start_date, x.end_date) for x in r] == [(d("2024-04-03"), d("2024-04-03"))]
-    none = spark.createDataFrame([], "static_date date")
-    assert INC.day_range_df(t, d("2024-04-05"), releases=none).count() == 0
+def test_day_range_waits_for_the_schedule():
+    today, latest = d("2024-04-05"), d("2024-04-02")
+    assert INC.day_range(today, latest, newest_release=d("2024-04-04"), gated=True) == (d("2024-04-03"), d("2024-04-03"))
+    assert INC.day_range(today, latest, newest_release=None, gated=True) is None
+    assert INC.day_range(today, latest, newest_release=d("2024-04-03"), gated=True) is None
