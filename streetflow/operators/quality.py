@@ -41,8 +41,8 @@ def freshness(positions: DataFrame, now: dt.datetime, cfg: Config = DEFAULT) ->
         F.lit(False),
         F.col("lag_s"),
         F.lit(lim),
-        F.when(F.col("lag_s").isNull(), F.lit("no snapshots since yesterday"))
-        .otherwise(F.format_string("newest snapshot is %d min old", (F.col("lag_s") / 60).cast("long"))),
+        F.when(F.col("lag_s").isNull(), F.lit("none came since the day before"))
+        .otherwise(F.format_string("the last one came %d minutes before the run", (F.col("lag_s") / 60).cast("long"))),
     ))
 
 
@@ -69,7 +69,7 @@ def day_completeness(segment_streets: DataFrame, yesterday: dt.date, cfg: Config
         skipped,
         F.col("latest"),
         limit,
-        F.format_string("%d segments, usual %s", F.col("latest"), F.col("usual").cast("string")),
+        F.format_string("the day has %d; the median of the days before it is %s", F.col("latest"), F.col("usual").cast("string")),
     ))
 
 
@@ -79,7 +79,7 @@ def street_retention(staging: DataFrame, published: DataFrame | None, cfg: Confi
     if published is None:
         new = staging.agg(F.count_distinct("way_id").alias("streets"))
         return new.select(*_row("street_retention", F.lit(True), F.lit(True), F.col("streets"),
-                                F.lit(None), F.lit("nothing published yet")))
+                                F.lit(None), F.lit("first publish")))
     both = (
         staging.select("way_id", F.lit(True).alias("_new"))
         .unionByName(published.select("way_id", F.lit(False).alias("_new")))
@@ -95,7 +95,7 @@ def street_retention(staging: DataFrame, published: DataFrame | None, cfg: Confi
         F.lit(False),
         F.col("streets"),
         limit,
-        F.format_string("%d streets, published %d", F.col("streets"), F.col("published")),
+        F.format_string("staging holds %d ways, the published table %d", F.col("streets"), F.col("published")),
     ))
 
 

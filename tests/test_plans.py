@@ -35,7 +35,7 @@ def test_segment_matching_has_no_cartesian_or_python(spark):
 
 def test_street_speed_uses_partial_aggregation(spark):
     p = _plan(V.street_speed(spark, SF))
-    assert "partial_percentile_approx" in p or "partial_count" in p
+    assert "partial_percentile_approx" in p and "partial_collect_set" in p and "Expand" not in p
 
 
 def test_entry_smoke(spark):
