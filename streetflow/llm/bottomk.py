@@ -15,9 +15,9 @@
 5. The others are verified by exact Jaccard on the full sets.
 
 No list is expanded into all its pairs. Each member is paired with the list's
-leader; members that are unlike their leader are held against the rest of the
-list inside tasks, by their sketches, and only pairs that pass come out.
-Candidates join documents to families. Where a family's verified links leave
+leader, the one with the fewest values of its own. Where that does not join all
+members of a list to one family, the members outside its largest are held
+against the list inside tasks, by their sketches. Where a family's verified links leave
 several components, the members outside its largest one are held against the
 whole family in the same way, by their full sets. A group of thousands of near copies
 thus costs rows in proportion to its size, and no link between two components
@@ -89,23 +89,23 @@ def _key(s: np.ndarray) -> bytes:
 
 
 _SKETCH = StructType([
-    StructField("doc_id", LongType()), StructField("n_shingles", LongType()), StructField("key", BinaryType()),
+    StructField("doc_id", LongType()), StructField("t", LongType()), StructField("n_shingles", LongType()), StructField("key", BinaryType()),
     StructField("sketch", ArrayType(LongType()))])
 _SET = StructType([StructField("key", BinaryType()), StructField("shingles", BinaryType())])
 
 
 def sketches(docs: DataFrame, length: int, k: int) -> DataFrame:
-    """(doc_id, n_shingles, key, sketch) of each row; ``sketch`` is ascending."""
+    """(doc_id, t, n_shingles, key, sketch) of each row (doc_id, t, text); ``sketch`` is ascending."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n, key, sketch = [], [], []
-            for _, s in shingle_sets(batch.column(1), length):
+            for _, s in shingle_sets(batch.column(2), length):
                 n.append(len(s))
                 key.append(_key(s))
                 sketch.append(as_long(s[:k].copy()))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n, pa.int64()), pa.array(key, pa.binary()),
+                [batch.column(0), batch.column(1), pa.array(n, pa.int64()), pa.array(key, pa.binary()),
                  pa.array(sketch, pa.list_(pa.int64()))], names=_SKETCH.names)
 
     return docs.mapInArrow(run, _SKETCH)
@@ -139,9 +139,10 @@ def _sets_of(ids: DataFrame, reps: DataFrame, docs: DataFrame, length: int) -> D
     return wanted.join(sets, "key").select("id", "shingles")
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, length: int = 2,
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, length: int = 5,
                     percent: int = 80, k: int = 64) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) of each row of ``docs``.
+    """(doc_id, t, n_shingles, component_id, kept) of each row of ``docs``, ``t``
+    being xxhash64 of the text.
 
     Words are runs of anything but ASCII white space, with A-Z lowered. Rows
     link if 100 * |intersection| >= percent * |union| of their shingle sets.
@@ -151,7 +152,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     unless all its rows have none, and never kept. An empty table gives an
     empty result. Other columns are ignored.
     """
-    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    text = F.col(text_col).cast("string")
+    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("t"), text.alias("text"))
     need = need_of(k, percent / 100)
     rows = staged(sketches(docs, length, k), "sketches")
     reps = staged(
@@ -169,8 +171,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         # the rarest: those that no other set has come first, then by_df
         .withColumn("prefix", F.size("by_df") - sure + 1)
         .where("prefix > 0")
-        .select("id", "n", F.explode(F.slice("by_df", 1, F.col("prefix").cast("int"))).alias("x"))
-        .select("id", "n", F.col("x.v").alias("v")),
+        .select("id", "n", (F.least("n", F.lit(k)) - F.size("by_df")).alias("p"),
+                F.explode(F.slice("by_df", 1, F.col("prefix").cast("int"))).alias("x"))
+        .select("id", "n", "p", F.col("x.v").alias("v")),
         "postings")
 
     def alike(pairs: DataFrame) -> DataFrame:
@@ -197,8 +200,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     named = named.join(named.groupBy("part").agg(F.min("rep").alias("component_id")), "part").select(
         "key", "component_id")
     return (
-        rows.select("doc_id", "n_shingles", "key").join(named, "key", "left")
+        rows.select("doc_id", "t", "n_shingles", "key").join(named, "key", "left")
         .withColumn("component_id", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")))
-        .select("doc_id", "n_shingles", "component_id",
+        .select("doc_id", "t", "n_shingles", "component_id",
                 F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)).alias("kept"))
     )

@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from streetflow.llm.graph import cut, staged
+from streetflow.llm.graph import components, cut, staged
 
 Unpack = Callable[[bytes], np.ndarray]
 _PAIR = "a long, b long"
@@ -31,27 +31,33 @@ def small(df: DataFrame, rows: int = SMALL_ROWS) -> DataFrame:
 
 def candidates(listed: DataFrame, percent: int, alike: Callable[[DataFrame], DataFrame], payloads: DataFrame,
                unpack: Unpack, loose: int) -> DataFrame:
-    """Pairs (a, b) from inverted lists (v, id, n), n being the size of a set.
-
-    Every member is paired with its list's leader, and ``alike`` filters those
-    pairs. Members that are unlike their leader (by that, or by size) meet the
-    whole list in blocks inside tasks, where pairs pass whose payloads' sets
-    have ``loose`` percent in common.
+    """Pairs (a, b) from inverted lists (v, id, n, p), n being the size of a set:
+    enough of them that whatever alike members share a list are connected.
+
+    Every member is paired with its list's leader, the member of least p, and
+    ``alike`` filters those pairs. Where a list's members are not all connected
+    then, those outside its largest part are attached to that part, and held
+    against it and each other in blocks inside tasks; pairs whose payloads' sets
+    share ``loose`` percent connect them.
     """
     lead = listed.groupBy("v").agg(
-        F.min_by(F.struct("id", "n"), F.struct(F.xxhash64("id"), "id")).alias("lead"), F.count("*").alias("g"))
-    stars = listed.join(lead.select("v", "g", F.col("lead.id").alias("other"), F.col("lead.n").alias("m")), "v").where(
-        "id <> other").select(
-        "v", "id", "g", F.greatest("id", "other").alias("a"), F.least("id", "other").alias("b"),
-        F.expr(f"100 * least(n, m) >= {percent} * greatest(n, m)").alias("near"))
-    like = staged(alike(stars.where("near").select("a", "b").distinct()), "pairs")
-    unlike = staged(stars.where("g > 2").join(like, ["a", "b"], "left_anti").select(
-        F.col("v").alias("family"), "id"), "unlike")
-    lists = unlike.groupBy("family").agg(F.count("*").alias("r"))
-    members = listed.select(F.col("v").alias("family"), "id").join(lists, "family").join(
-        unlike.withColumn("rest", F.lit(True)), ["family", "id"], "left").select(
-        "family", "id", F.col("id").alias("part"), F.coalesce("rest", F.lit(False)).alias("rest"))
-    return like.union(blocks(members, payloads, unpack, loose).distinct()).distinct()
+        F.min_by(F.struct("id", "n"), F.struct("p", F.xxhash64("id"), "id")).alias("lead"))
+    stars = listed.join(lead.select("v", F.col("lead.id").alias("other"), F.col("lead.n").alias("m")), "v").where(
+        f"id <> other and 100 * least(n, m) >= {percent} * greatest(n, m)").select(
+        F.greatest("id", "other").alias("a"), F.least("id", "other").alias("b")).distinct()
+    like = staged(alike(stars), "pairs")
+    part = components(like, "a", "b").toDF("id", "part")
+    members = listed.select("v", "id").join(part, "id", "left").withColumn("part", F.coalesce("part", "id"))
+    main = members.groupBy("v", "part").agg(F.count("*").alias("c")).groupBy("v").agg(
+        F.max(F.struct("c", "part")).alias("top"), F.sum("c").alias("g"), F.count("*").alias("parts")
+    ).where("parts > 1 and g > 2").select(F.col("v").alias("list"), F.col("top.part").alias("family"))
+    rest = staged(members.join(main, (F.col("v") == F.col("list")) & (F.col("part") != F.col("family"))).select(
+        "family", "id", "part").distinct(), "attached")
+    families = rest.select("family").distinct()
+    own = families.join(part.toDF("member", "family"), "family", "left").select(
+        "family", F.coalesce("member", "family").alias("id"), F.col("family").alias("part"), F.lit(False).alias("rest"))
+    found = blocks(own.union(rest.withColumn("rest", F.lit(True))), payloads, unpack, loose)
+    return like.union(found).distinct()
 
 
 def verified(pairs: DataFrame, payloads: DataFrame, unpack: Unpack, percent: int) -> DataFrame:
@@ -61,8 +67,10 @@ def verified(pairs: DataFrame, payloads: DataFrame, unpack: Unpack, percent: int
         for batch in batches:
             good = []
             for x, y in zip(batch.column(2), batch.column(3), strict=True):
-                p, q = unpack(x.as_py()), unpack(y.as_py())
-                both = len(np.intersect1d(p, q, assume_unique=True))
+                p, q = sorted((unpack(x.as_py()), unpack(y.as_py())), key=len)
+                at = np.searchsorted(q, p)
+                at[at == len(q)] = 0
+                both = int((q[at] == p).sum()) if len(q) else 0
                 good.append(100 * both >= percent * (len(p) + len(q) - both))
             yield batch.select([0, 1]).filter(pa.array(good, pa.bool_()))
 
@@ -82,8 +90,9 @@ def across(members: DataFrame, payloads: DataFrame, unpack: Unpack, percent: int
 
 
 def blocks(members: DataFrame, payloads: DataFrame, unpack: Unpack, percent: int) -> DataFrame:
-    """Links (a, b) of the members with ``rest`` with all members of their family,
-    one for each part that a member links to: (family, id, part, rest) rows.
+    """Links (a, b) of the members with ``rest`` with all members of their family:
+    (family, id, part, rest) rows. Of the links in a block, those that connect
+    its parts come out, not all.
 
     Families are cut in blocks of members and of ``rest``, each pair of which
     is a group of its own; small families share groups. Rows grow with the
@@ -116,15 +125,22 @@ def blocks(members: DataFrame, payloads: DataFrame, unpack: Unpack, percent: int
             sizes = np.array([len(x) for x in held])
             owner = np.repeat(np.arange(len(held)), sizes)
             flat = np.concatenate(held)
+            parent: dict[int, int] = {}
+
+            def root(v: int, parent: dict[int, int] = parent) -> int:
+                while (up := parent.get(v, v)) != v:
+                    parent[v] = parent.get(up, up)
+                    v = up
+                return v
+
             for x in rest:
                 mine = unpack(x["payload"])
                 at = np.minimum(np.searchsorted(mine, flat), len(mine) - 1)
                 both = np.bincount(owner[mine[at] == flat], minlength=len(held))
-                linked = set()
                 for y in np.flatnonzero(100 * both >= percent * (sizes + len(mine) - both)):
-                    part = members[y]["part"]
-                    if part != x["part"] and part not in linked:
-                        linked.add(part)
+                    u, v = root(x["part"]), root(members[y]["part"])
+                    if u != v:
+                        parent[u] = v
                         a.append(max(x["id"], members[y]["id"]))
                         b.append(min(x["id"], members[y]["id"]))
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
