@@ -22,6 +22,13 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def _stars(e: DataFrame) -> bool:
+    """Whether every node a has one edge (a, b), and no b is an a."""
+    ends = e.select(F.col("a").alias("n"), F.lit(1).alias("x"), F.lit(0).alias("y")).union(
+        e.select("b", F.lit(0), F.lit(1)))
+    return ends.groupBy("n").agg(F.sum("x").alias("x"), F.max("y").alias("y")).where("x > 1 or x + y > 1").isEmpty()
+
+
 def components(edges: DataFrame, u: str = "u", v: str = "v") -> DataFrame:
     """(node, component) for every node of an undirected edge list, the
     component being the smallest node reachable.
@@ -37,20 +44,15 @@ def components(edges: DataFrame, u: str = "u", v: str = "v") -> DataFrame:
         .select(F.greatest(u_, v_).alias("a"), F.least(u_, v_).alias("b"))
         .distinct()
     )
-    before = None
-    while True:
+    while not _stars(e):
         # large star: every larger neighbour of a node moves to the node's least neighbour
         both = e.union(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        e1 = both.where("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+        e1 = both.where("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         # small star: every smaller neighbour of a node, and the node, move to the least of them
         low1 = e1.groupBy("a").agg(F.min("b").alias("m"))
         moved = e1.join(low1, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         e = cut(moved.union(low1.select("a", F.col("m").alias("b"))).distinct())
-        state = e.agg(F.count("*").alias("n"), F.sum(F.hash("a", "b").cast("long")).alias("h")).first()
-        if state == before:
-            break
-        before = state
     return e.select(F.col("a").alias("node"), F.col("b").alias("component")).union(
         e.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
 
