@@ -8,7 +8,8 @@ of twice the length (capped at ``words``) formed and counted.
 At the first level not every window is needed: of each run of ``words`` words
 the half window with the smallest hash stands for the run. Equal runs pick
 equal half windows, so no repeat is missed, and a quarter of all positions go
-through the shuffle. Both levels are grouped minima and maxima (summed before
+through the shuffle. Whole copies of a text are told
+by their digests, and skip the second level. Both levels are grouped minima and maxima (summed before
 the shuffle) and a join on the hash, so that a passage that a third of all
 documents share never gathers in one group.
 """
@@ -110,50 +111,41 @@ def _windows_around(docs: DataFrame, words: int, half: int) -> DataFrame:
 
 def _cover(docs: DataFrame, words: int) -> DataFrame:
     """(doc_id, n_words, n_removed, text): words left after removing those that a
-    listed window covers (``spots``: window starts, or null)."""
+    listed window covers (``spots``: window starts, or null), or all those of a ``copy``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out_n, out_removed, out_text = [], [], []
-            texts, spots = batch.column(2), batch.column(3)
-            for r in range(batch.num_rows):
-                t = texts[r].as_py() or ""
-                tokens = _split(t)
-                removed = 0
-                if spots[r].as_py():
-                    step = np.zeros(len(tokens) + 1, np.int64)
-                    at = np.unique(np.asarray(spots[r].values, dtype=np.int64) & ((1 << 40) - 1))
-                    step[at] += 1
-                    step[at + words] -= 1
-                    keep = np.cumsum(step[:-1]) == 0
-                    removed = int(len(keep) - keep.sum())
-                    kept = [x for x, k in zip(tokens, keep, strict=True) if k]
-                else:
+            for lo in range(0, batch.num_rows, 512):
+                part = batch.slice(lo, 512)
+                n, gone, text = [], [], []
+                for t, spots, copy in zip(*part.columns[2:], strict=True):
+                    tokens = (t.as_py() or "").encode().split()  # of bytes, so at ASCII white space
                     kept = tokens
-                out_n.append(len(tokens))
-                out_removed.append(removed)
-                out_text.append(" ".join(kept))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(out_n, pa.int64()), pa.array(out_removed, pa.int64()),
-                 pa.array(out_text, pa.string())], names=["doc_id", "n_words", "n_removed", "text"])
+                    if copy.as_py() and len(tokens) >= words:
+                        kept = []
+                    elif spots.as_py():
+                        step = np.zeros(len(tokens) + 1, np.int64)
+                        at = np.unique(np.asarray(spots.values, dtype=np.int64) & ((1 << 40) - 1))
+                        step[at] += 1
+                        step[at + words] -= 1
+                        kept = [x for x, k in zip(tokens, (np.cumsum(step[:-1]) == 0).tolist(), strict=True) if k]
+                    n.append(len(tokens))
+                    gone.append(len(tokens) - len(kept))
+                    text.append(b" ".join(kept).decode())
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), pa.array(n, pa.int64()), pa.array(gone, pa.int64()), pa.array(text, pa.string())],
+                    names=["doc_id", "n_words", "n_removed", "text"])
 
     return docs.mapInArrow(run, "doc_id long, n_words long, n_removed long, text string")
 
 
-_OTHER = str.maketrans({c: " " for c in "\t\n\v\f\r"})
-
-
-def _split(text: str) -> list[str]:
-    return [x for x in text.translate(_OTHER).split(" ") if x]
-
-
 def _repeated(windows: DataFrame, first_too: bool) -> DataFrame:
     """(doc, spots): places of the windows whose hash other documents have too;
     without ``first_too``, only where a smaller document has it."""
     seen = windows.groupBy("h").agg(F.min("doc").alias("low"), F.max("doc").alias("high")).where("low < high")
     hit = windows.join(seen.select("h", "low"), "h")
     return (hit if first_too else hit.where("doc > low")).groupBy(
-        "doc", F.shiftright("at", 40).alias("variant")).agg(F.collect_set("at").alias("spots"))
+        "doc", F.shiftright("at", 40).cast("int").alias("variant")).agg(F.collect_set("at").alias("spots"))
 
 
 def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *,
@@ -181,11 +173,20 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         rank = F.dense_rank().over(Window.partitionBy("doc_id").orderBy(F.xxhash64("text")))
         docs = docs.select("doc_id", (rank - 1).alias("variant"), "text")
 
-    def with_spots(spots: DataFrame, how: str) -> DataFrame:
-        return docs.join(spots.withColumnRenamed("doc", "doc_id"), ["doc_id", "variant"], how).select(
-            "doc_id", "variant", "text", "spots")
+    def joined(found: DataFrame, how: str, *columns: str) -> DataFrame:
+        return docs.join(found.withColumnRenamed("doc", "doc_id"), ["doc_id", "variant"], how).select(
+            "doc_id", "variant", "text", *columns)
+
+    # a whole copy of a smaller document's text is covered by that one, and covers nothing that it does not
+    named = docs.where("doc_id is not null").select("doc_id", "variant", F.md5("text").alias("digest"))
+    low = named.groupBy("digest").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high")
+    copies = staged(named.join(low, "digest").where("doc_id > low").select(
+        F.col("doc_id").alias("doc"), "variant").distinct(), "copies")
 
     long_enough = docs.where("doc_id is not null")
     spots = _repeated(_half_windows(long_enough, words, half), first_too=True)
-    longer = staged(_windows_around(with_spots(spots, "inner"), words, half), "windows")
-    return _cover(with_spots(_repeated(longer, first_too=False), "left"), words)
+    spots = spots.join(copies, ["doc", "variant"], "left_anti")
+    longer = staged(_windows_around(joined(spots, "inner", "spots"), words, half), "windows")
+    found = _repeated(longer, first_too=False).withColumn("copy", F.lit(False)).unionByName(
+        copies.select("doc", "variant", F.lit(None).cast("array<bigint>").alias("spots"), F.lit(True).alias("copy")))
+    return _cover(joined(found, "left", "spots", "copy"), words)
