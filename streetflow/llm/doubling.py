@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from streetflow.llm.graph import staged
+from streetflow.llm.similar import SMALL_ROWS
 from streetflow.llm.textscan import Words, as_long, mix, slices
 
 _U = np.uint64
@@ -173,9 +174,21 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         rank = F.dense_rank().over(Window.partitionBy("doc_id").orderBy(F.xxhash64("text")))
         docs = docs.select("doc_id", (rank - 1).alias("variant"), "text")
 
-    def joined(found: DataFrame, how: str, *columns: str) -> DataFrame:
-        return docs.join(found.withColumnRenamed("doc", "doc_id"), ["doc_id", "variant"], how).select(
-            "doc_id", "variant", "text", *columns)
+    def joined(found: DataFrame, others_too: bool) -> DataFrame:
+        """Texts with what was found in them (spots, copy). If that is a bounded
+        number of documents, only their texts are shuffled."""
+        found = found.withColumnRenamed("doc", "doc_id")
+        keys, columns = ["doc_id", "variant"], ["doc_id", "variant", "text", "spots", "copy"]
+        if found.count() > SMALL_ROWS:
+            return docs.join(found, keys, "left" if others_too else "inner").select(*columns)
+        ids = F.broadcast(found.select(*keys))
+        out = docs.join(ids, keys, "left_semi").join(found, keys).select(*columns)
+        if others_too:
+            rest = docs.where("doc_id is null").unionByName(
+                docs.where("doc_id is not null").join(ids, keys, "left_anti"))
+            out = out.unionByName(rest.withColumn("spots", F.lit(None).cast("array<bigint>")).withColumn(
+                "copy", F.lit(None).cast("boolean")).select(*columns))
+        return out
 
     # a whole copy of a smaller document's text is covered by that one, and covers nothing that it does not
     named = docs.where("doc_id is not null").select("doc_id", "variant", F.md5("text").alias("digest"))
@@ -184,9 +197,10 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         F.col("doc_id").alias("doc"), "variant").distinct(), "copies")
 
     long_enough = docs.where("doc_id is not null")
-    spots = _repeated(_half_windows(long_enough, words, half), first_too=True)
-    spots = spots.join(copies, ["doc", "variant"], "left_anti")
-    longer = staged(_windows_around(joined(spots, "inner", "spots"), words, half), "windows")
-    found = _repeated(longer, first_too=False).withColumn("copy", F.lit(False)).unionByName(
-        copies.select("doc", "variant", F.lit(None).cast("array<bigint>").alias("spots"), F.lit(True).alias("copy")))
-    return _cover(joined(found, "left", "spots", "copy"), words)
+    spots = staged(_repeated(_half_windows(long_enough, words, half), first_too=True).join(
+        copies, ["doc", "variant"], "left_anti").withColumn("copy", F.lit(False)), "spots")
+    longer = staged(_windows_around(joined(spots, others_too=False), words, half), "windows")
+    found = staged(_repeated(longer, first_too=False).withColumn("copy", F.lit(False)).unionByName(
+        copies.select("doc", "variant", F.lit(None).cast("array<bigint>").alias("spots"), F.lit(True).alias("copy"))),
+        "found")
+    return _cover(joined(found, others_too=True), words)

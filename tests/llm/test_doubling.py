@@ -42,5 +42,13 @@ def test_ties_repeats_and_a_passage_that_all_share(spark):
     assert result(doubling.substring_dedup(docs_of(spark, rows))) == brute(rows, 13)
 
 
+def test_join_by_shuffle_gives_the_same(spark, monkeypatch):
+    rows = [*enumerate(corpus(groups=2)), (None, "a b"), (None, None)]
+    expected = brute(rows, 5)
+    assert result(doubling.substring_dedup(docs_of(spark, rows), words=5)) == expected
+    monkeypatch.setattr(doubling, "SMALL_ROWS", -1)
+    assert result(doubling.substring_dedup(docs_of(spark, rows), words=5)) == expected
+
+
 def test_empty(spark):
     assert doubling.substring_dedup(docs_of(spark, [])).count() == 0
