@@ -38,7 +38,7 @@ WHITE_SPACE = (0x09, 0x0A, 0x0B, 0x0C, 0x0D, 0x20, 0x85, 0xA0, 0x1680, 0x2000, 0
 _BLOCK = 64
 _SLICE_CHARS = 1 << 19
 #: Pieces that a task keeps; bytes of pieces that are merged together (longer ones by themselves).
-_CACHE = 1 << 18
+_CACHE = 1 << 17
 _WIDTHS = (8, 12, 16, 24, 48)
 _WIDTH_OF = [next(w for w in _WIDTHS if n <= w) for n in range(_WIDTHS[-1] + 1)]
 
@@ -372,6 +372,7 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(lo, len(texts)), _lists(ids), _lists(offsets)],
                     names=["doc_id", "ids", "offsets"])
+        _merger(path).cache.clear()  # workers live on and serve other operators
 
     return docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string")).mapInArrow(
         run, "doc_id long, ids array<int>, offsets array<int>")
