@@ -372,7 +372,7 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(lo, len(texts)), _lists(ids), _lists(offsets)],
                     names=["doc_id", "ids", "offsets"])
-        _merger(path).cache.clear()  # workers live on and serve other operators
+        _merger.cache_clear()  # workers live on and serve other operators
 
     return docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string")).mapInArrow(
         run, "doc_id long, ids array<int>, offsets array<int>")
