@@ -1,15 +1,17 @@
 """Toxicity by the nearest labelled examples.
 
-Exact TF-IDF cosine in a space of informative terms (words, and the first four
+Exact TF-IDF cosine over all terms of the examples (words, and the first four
 letters of longer ones), searched through a block-max inverted index: examples
-are cut in blocks, each term knows its largest weight in each block, blocks are
-visited from the highest bound on, and the search ends when no block's bound
-exceeds the k-th cosine found. The neighbours' labels are voted with their
-cosines as weights, and the vote is calibrated by leaving each example out.
+are cut in blocks, each term knows its largest weight in each block it occurs
+in, the blocks of highest bounds are visited first, and then those whose bound
+reaches the k-th cosine found. A term weighs more the better it tells the labels
+apart. The neighbours' labels are voted with their cosines as weights, and the
+vote is calibrated by leaving each example out.
 
 The index holds a bounded sample of the labelled rows, so each task gets the
-whole of it; counts over labelled rows that choose terms and rates cover that
-sample. Every document is then scored by itself, wherever it lies.
+whole of it; chi-squared of terms and the rates of labels cover that sample,
+document frequencies all documents. Every document is then scored by itself,
+wherever it lies.
 """
 
 from __future__ import annotations
@@ -29,6 +31,10 @@ from streetflow.llm.graph import sample_by_hash, staged
 _WORD = re.compile(r"\w+")
 _STEM = 4
 _BLOCK = 32
+#: Blocks visited first, to learn which others can matter.
+_FIRST = 8
+#: Words whose terms are remembered.
+_WORDS = 1 << 18
 
 
 def terms(text: str) -> Counter:
@@ -41,55 +47,120 @@ def terms(text: str) -> Counter:
     return out
 
 
+class Known(dict):
+    """Word -> numbers of its terms in ``place``, the word's own and its stem's."""
+
+    def __init__(self, place: dict[str, int]) -> None:
+        super().__init__()
+        self.place = place
+
+    def __missing__(self, word: str) -> tuple[int, ...]:
+        if len(self) >= _WORDS:
+            self.clear()
+        both = (word, word[:_STEM] + "*") if len(word) > _STEM else (word,)
+        self[word] = found = tuple(self.place[t] for t in both if t in self.place)
+        return found
+
+    def __reduce__(self) -> tuple:
+        return Known, (self.place,)
+
+    def counts(self, text: str) -> dict[int, int]:
+        """Counts of a text's known terms by number: ``terms`` without the others."""
+        out: dict[int, int] = {}
+        for w, n in Counter(_WORD.findall(text.lower())).items():
+            for t in self[w]:
+                out[t] = out.get(t, 0) + n
+        return out
+
+
+def _ranges(start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(numbers from each start to before its end, one after the other; lengths)."""
+    size = end - start
+    return np.arange(size.sum()) + np.repeat(start - np.cumsum(size) + size, size), size
+
+
 class Index:
     """Block-max inverted index of L2-normalised TF-IDF vectors."""
 
-    def __init__(self, vocabulary: dict[str, float], ids: list[int], labels: list[int], texts: list[Counter]) -> None:
-        """``vocabulary``: inverse document frequency of each term; ``texts``: term counts."""
-        self.idf = vocabulary
+    def __init__(self, vocabulary: dict[str, float], ids: list[int], labels: list[int],
+                 texts: list[Counter] | list[dict[int, int]]) -> None:
+        """``vocabulary``: weight of each term; ``texts``: counts by term, or by place in the vocabulary."""
         self.place = {t: i for i, t in enumerate(vocabulary)}
-        vectors = [self.vector(c) for c in texts]
+        self.known = Known(self.place)
+        self.idf = np.fromiter(vocabulary.values(), np.float64, len(vocabulary))
+        vectors = [self.weigh({self.place.get(t, t): n for t, n in c.items()}) for c in texts]
         # neighbours in the index share their heaviest term, which keeps block bounds tight
-        held = sorted((i for i, v in enumerate(vectors) if v), key=lambda i: (max(vectors[i], key=lambda p: p[1])[0], i))
+        held = sorted((i for i, (t, _) in enumerate(vectors) if len(t)),
+                      key=lambda i: (vectors[i][0][np.argmax(vectors[i][1])], i))
         self.ids = np.array([ids[i] for i in held], np.int64)
         self.labels = np.array([labels[i] for i in held], np.float64)
-        n, m = len(held), len(vocabulary)
-        self.blocks = -(-n // _BLOCK)
-        self.bound = np.zeros((m, self.blocks), np.float64)
-        postings: list[list[tuple[int, float]]] = [[] for _ in range(m)]
-        for at, i in enumerate(held):
-            for t, w in vectors[i]:
-                postings[t].append((at, w))
-                self.bound[t, at // _BLOCK] = max(self.bound[t, at // _BLOCK], w)
-        self.docs = [np.array([p[0] for p in x], np.int64) for x in postings]
-        self.weights = [np.array([p[1] for p in x], np.float64) for x in postings]
-        self.without = [i for i, v in enumerate(vectors) if not v]
+        self.blocks = -(-len(held) // _BLOCK)
+        none = (np.zeros(0, np.int64), np.zeros(0))
+        term, weight = (np.concatenate(x) for x in zip(none, *(vectors[i] for i in held), strict=True))
+        doc = np.repeat(np.arange(len(held), dtype=np.int32), [len(vectors[i][0]) for i in held])
+        order = np.argsort(term, kind="stable")
+        term, self.docs, self.weights = term[order], doc[order], weight[order]
+        # postings of term t: from start[t]; its blocks: from first[t], block i's postings from at[i]
+        self.start = np.searchsorted(term, np.arange(len(vocabulary) + 1))
+        block = self.docs // _BLOCK
+        new = np.ones(len(term), bool)
+        new[1:] = (term[1:] != term[:-1]) | (block[1:] != block[:-1])
+        at = np.flatnonzero(new)
+        self.at = np.append(at, len(term))
+        self.first = np.searchsorted(term[at], np.arange(len(vocabulary) + 1))
+        self.block = block[at]
+        self.bound = np.maximum.reduceat(self.weights, at) if len(at) else np.zeros(0)
+        self.without = [i for i, (t, _) in enumerate(vectors) if not len(t)]
+
+    def weigh(self, counts: dict[int, int]) -> tuple[np.ndarray, np.ndarray]:
+        """(terms, weights) of a text in the index's space; empty if no term is known."""
+        t = np.array(sorted(counts), np.int64)
+        w = (1 + np.log(np.array([counts[i] for i in t.tolist()], np.float64))) * self.idf[t]
+        norm = np.sqrt((w * w).sum())
+        return (t, w / norm) if norm else (t[:0], w[:0])
 
     def vector(self, counts: Counter) -> list[tuple[int, float]]:
-        """(term, weight) of a text in the index's space; empty if no term is known."""
-        known = self.idf.keys() & counts.keys()
-        raw = [(self.place[t], (1 + log(counts[t])) * self.idf[t]) for t in sorted(known)]
-        norm = sum(w * w for _, w in raw) ** 0.5
-        return [(t, w / norm) for t, w in raw] if norm else []
+        """(term, weight) of a text, from the counts of all its terms."""
+        t, w = self.weigh({self.place[x]: n for x, n in counts.items() if x in self.place})
+        return list(zip(t.tolist(), w.tolist(), strict=True))
 
     def nearest(self, query: list[tuple[int, float]], k: int, leave: int = -1) -> list[tuple[float, int]]:
         """The k examples of highest cosine above 0, as (cosine, place), ties by place; exact."""
-        if not query or not len(self.ids):
+        return self.search(np.array([t for t, _ in query], np.int64), np.array([w for _, w in query], np.float64), k, leave)
+
+    def search(self, t: np.ndarray, w: np.ndarray, k: int, leave: int = -1) -> list[tuple[float, int]]:
+        """``nearest`` of (terms, weights)."""
+        if not len(t) or not len(self.ids):
             return []
-        bounds = sum(self.bound[t] * w for t, w in query)
-        best: list[tuple[float, int]] = []
-        for b in np.argsort(-bounds, kind="stable"):
-            if bounds[b] <= 0 or (len(best) == k and bounds[b] < best[-1][0] - 1e-12):
-                break
-            lo = b * _BLOCK
-            cosine = np.zeros(_BLOCK)
-            for t, w in query:
-                docs = self.docs[t]
-                x, y = np.searchsorted(docs, (lo, lo + _BLOCK))
-                cosine[docs[x:y] - lo] += w * self.weights[t][x:y]
-            best += [(float(cosine[i]), int(lo + i)) for i in np.flatnonzero(cosine) if lo + i != leave]
-            best = sorted(best, key=lambda p: (-p[0], p[1]))[:k]
-        return best
+        entry, size = _ranges(self.first[t], self.first[t + 1])
+        block, share = self.block[entry], np.repeat(w, size)
+        bounds = np.bincount(block, self.bound[entry] * share, self.blocks)
+
+        def best(chosen: np.ndarray) -> list[tuple[float, int]]:
+            own = chosen[block]
+            e = entry[own]
+            i, n = _ranges(self.at[e], self.at[e + 1])
+            return top(np.bincount(self.docs[i], self.weights[i] * np.repeat(share[own], n), len(self.ids)))
+
+        def top(cosine: np.ndarray) -> list[tuple[float, int]]:
+            if leave >= 0:
+                cosine[leave] = 0
+            least = np.partition(cosine, -k)[-k] if len(cosine) > k else 0.0
+            found = np.flatnonzero((cosine >= least) & (cosine > 0))
+            return sorted(zip(cosine[found].tolist(), found.tolist(), strict=True), key=lambda p: (-p[0], p[1]))[:k]
+
+        chosen = np.zeros(self.blocks, bool)
+        chosen[np.argsort(-bounds, kind="stable")[:_FIRST]] = True
+        found = best(chosen)
+        least = found[-1][0] - 1e-12 if len(found) == k else 0.0
+        chosen |= (bounds >= least) & (bounds > 0)
+        if chosen.sum() <= _FIRST:
+            return found
+        if 2 * chosen.sum() < self.blocks:
+            return best(chosen)
+        lists = [slice(a, b) for a, b in zip(self.start[t].tolist(), self.start[t + 1].tolist(), strict=True)]
+        cosine = np.concatenate([self.weights[x] for x in lists]) * np.repeat(w, self.start[t + 1] - self.start[t])
+        return top(np.bincount(np.concatenate([self.docs[x] for x in lists]), cosine, len(self.ids)))
 
     def vote(self, near: list[tuple[float, int]], prior: float) -> float:
         """Mean label of the neighbours weighted by squared cosine, with one vote for the prior's rate."""
@@ -116,15 +187,14 @@ def held_out_of(doc_id: Column) -> Column:
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", *,
-                   label_col: str = "toxic", per_label: int = 2_000, vocabulary: int = 2_000, least_chi2: float = 20.0,
-                   k: int = 15) -> DataFrame:
+                   label_col: str = "toxic", per_label: int = 2_000, k: int = 15) -> DataFrame:
     """(doc_id, held_out, score, predicted, evidence) of each row of ``docs``.
 
     ``held_out`` rows' labels are never used. Of the others at most
-    ``per_label`` of each label, chosen by hash of the id, make the index; its
-    terms are the ``vocabulary`` ones that tell the labels apart best (chi
-    squared of at least ``least_chi2``). ``score`` is the calibrated
-    probability of label 1, ``evidence`` the nearest examples as
+    ``per_label`` of each label, chosen by hash of the id, make the index, with
+    all their terms. A term weighs its inverse document frequency in ``docs``
+    by the root of 1 + its chi squared between the labels. ``score`` is the
+    calibrated probability of label 1, ``evidence`` the nearest examples as
     array<struct<doc_id, cosine, label>>. Texts without any such term, null and
     empty ones included, score what such examples' labels show. Null labels are
     none; an id whose labels disagree counts as 1. Rows may repeat or lack an
@@ -144,7 +214,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
         part = sample_by_hash(known.where(F.col("y") == y), "doc_id", per_label)
         chosen = part if chosen is None else chosen.union(part)
     sample = staged(rows.join(chosen, "doc_id").dropDuplicates(["doc_id"]), "examples")
-    index, weights, a, b, none = _fit(sample, prior, vocabulary, least_chi2, k)
+    index, weights, a, b, none = _fit(sample, rows, prior, k)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -152,7 +222,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
                 part = batch.slice(lo, 512)
                 scores, evidence = [], []
                 for t in part.column(1):
-                    near = index.nearest(index.vector(terms(t.as_py() or "")), k)
+                    near = index.search(*index.weigh(index.known.counts(t.as_py() or "")), k)
                     scores.append(_sigmoid(a, b, index.vote(near, prior), weights) if near else none)
                     evidence.append([{"doc_id": int(index.ids[i]), "cosine": c, "label": int(index.labels[i])}
                                      for c, i in near])
@@ -172,8 +242,27 @@ def _sigmoid(a: float, b: float, vote: float, shift: float) -> float:
     return 1 / (1 + np.exp(-float(np.clip(a * log(vote / (1 - vote)) + b + shift, -30, 30))))
 
 
-def _fit(sample: DataFrame, prior: float, vocabulary: int, least_chi2: float,
-         k: int) -> tuple[Index, float, float, float, float]:
+def _document_counts(rows: DataFrame, place: dict[str, int]) -> tuple[int, np.ndarray]:
+    """(number of rows, number of rows with each term) of all ``rows``."""
+    known = Known(place)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n = np.zeros(len(place) + 1, np.int64)
+        for batch in batches:
+            n[-1] += batch.num_rows
+            for t in batch.column(0):
+                n[list(known.counts(t.as_py() or ""))] += 1
+        held = np.flatnonzero(n)
+        yield pa.RecordBatch.from_arrays([pa.array(held), pa.array(n[held])], names=["term", "n"])
+
+    # at most one row a term
+    out = rows.select("text").mapInArrow(run, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
+    n = np.zeros(len(place) + 1, np.int64)
+    n[out["term"].to_numpy()] = out["n"].to_numpy()
+    return int(n[-1]), n[:-1]
+
+
+def _fit(sample: DataFrame, rows: DataFrame, prior: float, k: int) -> tuple[Index, float, float, float, float]:
     """(index, shift of the log odds from the sample's rate to the rows', a, b,
     score of texts without terms) from the staged examples."""
 
@@ -188,25 +277,27 @@ def _fit(sample: DataFrame, prior: float, vocabulary: int, least_chi2: float,
     n1, n0 = size.get(1, 0), size.get(0, 0)
     if not n1 or not n0:
         return Index({}, [], [], []), 0.0, 1.0, 0.0, prior if n0 or n1 else 0.5
+    # the terms of a bounded number of texts
     by_term = sample.select("text", "y").mapInArrow(counts, "term string, y int").groupBy("term").agg(
-        F.sum("y").alias("p"), F.count("*").alias("d")).where("d > 1")
-    p, q = F.col("p").cast("double"), (F.col("d") - F.col("p")).cast("double")
+        F.sum("y").alias("p"), F.count("*").alias("d")).orderBy("term").toArrow()
+    d = by_term["d"].to_numpy().astype(np.float64)
+    p = by_term["p"].to_numpy().astype(np.float64)
     n = n1 + n0
-    chi2 = n * (p * (n0 - q) - q * (n1 - p)) ** 2 / (F.col("d") * (n - F.col("d")) * float(n1) * n0)
-    best = by_term.where(F.col("d") < n).withColumn("chi2", chi2).where(F.col("chi2") >= least_chi2).orderBy(
-        F.desc("chi2"), "term").limit(vocabulary).collect()  # at most `vocabulary` rows
-    idf = {r["term"]: log((1 + n) / (1 + r["d"])) + 1 for r in best}
+    chi2 = n * (p * (n0 - d + p) - (d - p) * (n1 - p)) ** 2 / np.maximum(d * (n - d) * n1 * n0, 1.0)
+    place = {t: i for i, t in enumerate(by_term["term"].to_pylist())}
+    n_docs, df = _document_counts(rows, place)
+    weight = (np.log((1 + n_docs) / (1 + df)) + 1) * np.sqrt(1 + chi2)
 
-    examples = _vectors(sample, set(idf))
+    examples = _vectors(sample, place)
     ids, labels = [e[0] for e in examples], [e[1] for e in examples]
-    index = Index(idf, ids, labels, [e[2] for e in examples])
+    index = Index(dict(zip(place, weight.tolist(), strict=True)), ids, labels, [e[2] for e in examples])
     # the sample holds labels in other shares than the rows do
     shift = log(prior / (1 - prior)) - log((n1 + 1) / (n0 + 1))
     place = {int(d): i for i, d in enumerate(index.ids)}
     votes, truth = [], []
     for d, y, c in examples:
-        if d in place and (v := index.vector(c)):
-            near = index.nearest(v, k, leave=place[d])
+        if d in place:
+            near = index.search(*index.weigh(c), k, leave=place[d])
             votes.append(min(max(index.vote(near, prior), 1e-6), 1 - 1e-6))
             truth.append(y)
     a, b = calibrate(np.array(votes), np.array(truth, float))
@@ -217,20 +308,19 @@ def _fit(sample: DataFrame, prior: float, vocabulary: int, least_chi2: float,
     return index, shift, a, b, odds / (1 + odds)
 
 
-def _vectors(sample: DataFrame, known: set[str]) -> list[tuple[int, int, Counter]]:
-    """(doc_id, label, counts of known terms) of every example: a bounded number of short rows."""
+def _vectors(sample: DataFrame, place: dict[str, int]) -> list[tuple[int, int, dict[int, int]]]:
+    """(doc_id, label, counts of terms by number) of every example: a bounded number of texts."""
+    known = Known(place)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = []
-            for t in batch.column(2):
-                c = terms(t.as_py() or "")
-                found.append([(x, c[x]) for x in sorted(known & c.keys())])
+            found = [known.counts(t.as_py() or "") for t in batch.column(2)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array([[x for x, _ in f] for f in found], pa.list_(pa.string())),
-                 pa.array([[n for _, n in f] for f in found], pa.list_(pa.int64()))],
+                [batch.column(0), batch.column(1), pa.array([list(f) for f in found], pa.list_(pa.int64())),
+                 pa.array([list(f.values()) for f in found], pa.list_(pa.int64()))],
                 names=["doc_id", "y", "term", "n"])
 
     out = sample.select("doc_id", "y", "text").mapInArrow(
-        run, "doc_id long, y int, term array<string>, n array<long>").orderBy("doc_id").collect()
-    return [(r["doc_id"], r["y"], Counter(dict(zip(r["term"], r["n"], strict=True)))) for r in out]
+        run, "doc_id long, y int, term array<long>, n array<long>").orderBy("doc_id").toArrow()
+    return [(d, y, dict(zip(t.as_py(), n.as_py(), strict=True)))
+            for d, y, t, n in zip(out["doc_id"].to_pylist(), out["y"].to_pylist(), out["term"], out["n"], strict=True)]

@@ -84,3 +84,25 @@ def test_edge_cases(spark):
     one = T.score_toxicity(docs_of(spark, texts[:5]), lab.where("toxic = 0")).collect()
     assert all(r["score"] < 0.1 and r["predicted"] == 0 for r in one)
     assert T.score_toxicity(docs_of(spark, []), lab).count() == 0
+
+
+def test_wording_of_few_examples_counts(spark):
+    """Toxic words that three examples each have, too few for any of them to stand out."""
+    rng = random.Random(6)
+    texts, labels = [], []
+    for i in range(400):
+        y = int(i % 4 == 0)
+        own = [f"rude{j}x" for j in rng.sample(range(60), 3)] if y else []
+        texts.append(" ".join([*prose(rng, 12, 300), *own]))
+        labels.append((i, 1, y))
+    rows = T.score_toxicity(docs_of(spark, texts), spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+    test = [r for r in rows.collect() if r["held_out"]]
+    assert all(r["evidence"] for r in test)
+    assert np.mean([r["predicted"] == int(r["doc_id"] % 4 == 0) for r in test]) > 0.9
+
+
+def test_document_frequencies_cover_all_documents(spark):
+    texts = ["longer words here", None, "", "longest word, longest", "here and there", "Here"]
+    place = {"here": 0, "long*": 1, "word": 2, "absent": 3}
+    n, df = T._document_counts(docs_of(spark, texts).repartition(3), place)
+    assert n == 6 and df.tolist() == [3, 2, 1, 0]
