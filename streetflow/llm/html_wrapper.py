@@ -302,9 +302,9 @@ def _texts(pages: DataFrame) -> DataFrame:
             rows: set[tuple[str, int, int, int]] = set()
             for host, page, template in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 found = [x for x in placed(page, template) if x[1] >= 0]
-                # pages that open alike are copies, and count once
-                opens = _hash(found[0][0]) if found else 0
-                rows |= {(host, at, _hash(text), opens) for text, at in found}
+                # pages whose texts are all the same are copies, and count once
+                whole = _hash(json.dumps(found))
+                rows |= {(host, at, _hash(text), whole) for text, at in found}
             columns = list(zip(*rows, strict=True)) or [(), (), (), ()]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(columns[0], pa.string()), *[pa.array(c, pa.int64()) for c in columns[1:]]],

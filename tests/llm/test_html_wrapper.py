@@ -95,3 +95,12 @@ def test_edge_cases(spark):
     got = sorted(((r["page_id"] or 0, r["text"][:10]) for r in out))
     assert got == [(0, "b"), (1, "a"), (2, ""), (3, ""), (4, "c"), (4, "c"), (5, "deep"), (6, "word word ")]
     assert H.extract(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_pages_that_open_alike_are_different_pages(spark):
+    """A fixed or categorical first block does not make copies of a host's pages."""
+    rows = [(i, "https://kicker.example/a", page(
+        f"<article><span class=kick>{['News', 'Exclusive'][i % 2]}</span><h1>Head {i}</h1>"
+        "<div><span>Join our list today</span></div></article>")) for i in range(40)]
+    got = run(spark, rows)
+    assert all(got[i] == f"{['News', 'Exclusive'][i % 2]}\nHead {i}" for i in range(40))
