@@ -3,9 +3,10 @@
 Pages become DOM trees, in which runs of siblings of one kind are folded. One
 page of each host is the reference; every page of the host is aligned with it
 by simple tree matching (the largest order-preserving matching of nodes of one
-kind, found by dynamic programming over the children of matched nodes). Texts
-that nearly all pages of a host show at the same matched node are its template;
-what varies is content. Of the content, text stays that lies in the page's
+kind, found by dynamic programming over the children of matched nodes). Nodes
+that the reference lacks are told apart by their kinds below the matched node
+they are in. Texts that nearly all pages of a host show at the same node are its
+template; what varies is content. Of the content, text stays that lies in the page's
 article (or, on pages without one, outside everything that is marked as
 boilerplate).
 """
@@ -263,14 +264,22 @@ def candidates(page: str) -> tuple[list[tuple[str, Node]], Node]:
 
 
 def placed(page: str, template: str) -> list[tuple[str, int]]:
-    """(text, number of the template's slot or -1) of a page's candidates."""
+    """(text, number of the template's slot) of a page's candidates; slots that
+    the template lacks have negative numbers, the same on all pages of a host."""
     found, root = candidates(page)
     place: dict[int, Slot] = {}
     top = Slot("")
     fold([root], top, place)
     place[id(root)] = top
     at = match(top, load(template))
-    return [(t, at.get(id(place[id(n)]), -1) if id(n) in place else -1) for t, n in found]
+    todo = [top]
+    while todo:
+        slot = todo.pop()
+        for c in slot.children:
+            if id(c) not in at:
+                at[id(c)] = -1 - (xxhash.xxh64_intdigest(f"{at[id(slot)]} {c.kind}") >> 1)
+        todo += slot.children
+    return [(t, at[id(place[id(n)])]) for t, n in found]
 
 
 def _hash(text: str) -> int:
@@ -278,7 +287,7 @@ def _hash(text: str) -> int:
 
 
 def _templates(pages: DataFrame) -> DataFrame:
-    """(host, template) from one page of each host."""
+    """(host, template) from one page of each host, with text if it has one."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -289,8 +298,9 @@ def _templates(pages: DataFrame) -> DataFrame:
                 out.append(json.dumps(dump(top)))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.string())], names=["host", "template"])
 
+    bare = F.regexp_replace("html", r"(?is)<(head|script|style|title)\b.*?</\1\s*>|<[^>]*>", "")
     chosen = pages.where("html is not null").groupBy("host").agg(
-        F.min_by("html", F.struct(F.xxhash64("page_id", "url"), "page_id")).alias("html"))
+        F.min_by("html", F.struct(~bare.rlike(r"\S"), F.xxhash64("page_id", "url"), "page_id")).alias("html"))
     return chosen.mapInArrow(run, "host string, template string")
 
 
@@ -301,7 +311,7 @@ def _texts(pages: DataFrame) -> DataFrame:
         for batch in batches:
             rows: set[tuple[str, int, int, int]] = set()
             for host, page, template in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                found = [x for x in placed(page, template) if x[1] >= 0]
+                found = placed(page, template)
                 # pages whose texts are all the same are copies, and count once
                 whole = _hash(json.dumps(found))
                 rows |= {(host, at, _hash(text), whole) for text, at in found}
@@ -353,7 +363,7 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
                     out.append("")
                     continue
                 drop = {(k["slot"], k["text"]) for k in known or ()}
-                found = placed(page, template) if drop else [(t, -1) for t, _ in candidates(page)[0]]
+                found = placed(page, template) if drop else [(t, 0) for t, _ in candidates(page)[0]]
                 out.append("\n".join(t for t, at in found if (at, _hash(t)) not in drop))
             yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(out, pa.string())],
                                              names=["page_id", "url", "text"])

@@ -104,3 +104,18 @@ def test_pages_that_open_alike_are_different_pages(spark):
         "<div><span>Join our list today</span></div></article>")) for i in range(40)]
     got = run(spark, rows)
     assert all(got[i] == f"{['News', 'Exclusive'][i % 2]}\nHead {i}" for i in range(40))
+
+
+def test_blocks_that_the_reference_page_lacks(spark):
+    """A block on other pages is template whichever page is the reference; so are those of a host with stub pages."""
+    promo = "<div class=box><span>Join our list today</span></div>"
+    rows = [(100 * h + i, f"https://h{h}.example/a", page(
+        f"<article><h1>Head {h} {i}</h1>{promo * (i % 4 != 0)}<section><p>Story {h} {i}</p></section></article>"))
+        for h in range(8) for i in range(40)]
+    stubs = ["", " ", "<html></html>", "<p>Error 500</p>"]
+    rows += [(2000 + 100 * h + i, f"https://s{h}.example/a", stubs[h % 4] if i % 2 else page(
+        f"<article><h1>Head {h} {i}</h1>{promo}</article>")) for h in range(8) for i in range(40)]
+    got = run(spark, rows)
+    for h in range(8):
+        assert all(got[100 * h + i] == f"Head {h} {i}\nStory {h} {i}" for i in range(40))
+        assert all(got[2000 + 100 * h + i] == f"Head {h} {i}" for i in range(0, 40, 2))
