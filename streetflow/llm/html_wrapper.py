@@ -19,6 +19,7 @@ import re
 from collections.abc import Iterator
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -46,10 +47,11 @@ CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td
           "tfoot": {"tr", "td", "th", "tbody"}}
 SCOPES = frozenset("table ul ol dl select body html article div section".split())
 
-#: Elements nested deeper hold nothing themselves; what follows their tag belongs to their parent.
-_DEPTH = 200
-#: Pairs of children up to which the largest matching is sought; beyond, children are matched in order.
-_PAIRS = 1 << 20
+#: Elements at which an opening block's search for what it ends stops or finds something.
+BORDERS = SCOPES | {"p"}.union(*CLOSES.values())
+
+#: Pairs of children beyond which the table of their matching is made row by row with arrays.
+_PAIRS = 1 << 10
 
 _TAG = re.compile(
     r"<!--(?:.*?-->|.*\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^\"'>]|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S)
@@ -70,7 +72,16 @@ def parse(page: str) -> Node:
     """DOM tree of a page, however broken; texts are raw."""
     root = Node("")
     stack = [root]
+    places: dict[str, list[int]] = {}  # of the open elements of each tag in the stack
+    borders: list[int] = []
     at = 0
+
+    def close(i: int) -> None:
+        while len(stack) > i:
+            places[stack.pop().tag].pop()
+        while borders and borders[-1] >= i:
+            borders.pop()
+
     while (m := _TAG.search(page, at)) is not None:
         if m.start() > at:
             stack[-1].parts.append(page[at:m.start()])
@@ -79,16 +90,14 @@ def parse(page: str) -> Node:
             continue
         tag = m[2].lower()
         if m[1]:
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i].tag == tag:
-                    del stack[i:]
-                    break
+            if places.get(tag):
+                close(places[tag][-1])
             continue
         if tag in BLOCK:  # a block ends an open paragraph, and items end items of their list
             ends = CLOSES.get(tag, set()) | {"p"}
-            for i in range(len(stack) - 1, 0, -1):
+            for i in reversed(borders.copy() if len(borders) < 8 else _until_scope(stack, borders)):
                 if stack[i].tag in ends:
-                    del stack[i:]
+                    close(i)
                 elif stack[i].tag in SCOPES:
                     break
         node = _element(tag, m[3])
@@ -96,13 +105,24 @@ def parse(page: str) -> Node:
         if tag in RAW:
             end = re.compile(rf"</{tag}\s*>", re.I).search(page, at)
             at = end.end() if end else len(page)
-        elif tag not in VOID and not m[3].endswith("/") and len(stack) < _DEPTH:
+        elif tag not in VOID and not m[3].endswith("/"):
+            places.setdefault(tag, []).append(len(stack))
+            if tag in BORDERS:
+                borders.append(len(stack))
             stack.append(node)
     if at < len(page):
         stack[-1].parts.append(page[at:])
     return root
 
 
+def _until_scope(stack: list[Node], borders: list[int]) -> list[int]:
+    """The last of ``borders`` from the innermost scope on."""
+    n = len(borders) - 1
+    while n > 0 and stack[borders[n]].tag not in SCOPES:
+        n -= 1
+    return borders[n:]
+
+
 def _element(tag: str, attributes: str) -> Node:
     names, marked = [], False
     if attributes:
@@ -127,77 +147,131 @@ class Slot:
 
 def fold(nodes: list[Node], into: Slot, place: dict[int, Slot]) -> None:
     """Adds the folded children of ``nodes`` to ``into``; ``place`` gets the slot of each node by id()."""
-    runs: list[tuple[Slot, list[Node]]] = []
-    for child in (p for n in nodes for p in n.parts if isinstance(p, Node) and p.tag not in RAW and p.tag not in VOID):
-        if not runs or runs[-1][0].kind != child.kind:
-            runs.append((Slot(child.kind), []))
-        runs[-1][1].append(child)
-        place[id(child)] = runs[-1][0]
-    for slot, own in runs:
-        into.children.append(slot)
-        fold(own, slot, place)
+    todo = [(nodes, into)]
+    while todo:
+        nodes, into = todo.pop()
+        runs: list[tuple[list[Node], Slot]] = []
+        for child in (p for n in nodes for p in n.parts if isinstance(p, Node) and p.tag not in RAW and p.tag not in VOID):
+            if not runs or runs[-1][1].kind != child.kind:
+                runs.append(([], Slot(child.kind)))
+            runs[-1][0].append(child)
+            place[id(child)] = runs[-1][1]
+        into.children += [slot for _, slot in runs]
+        todo += runs
 
 
 def dump(slot: Slot) -> list:
-    return [slot.kind, [dump(c) for c in slot.children]]
+    """[kind, number of the parent] of each slot in page order."""
+    out: list[list] = []
+    todo = [(slot, -1)]
+    while todo:
+        slot, parent = todo.pop()
+        todo += [(c, len(out)) for c in reversed(slot.children)]
+        out.append([slot.kind, parent])
+    return out
 
 
 @lru_cache(256)
 def load(template: str) -> Slot:
     """A template's slots, numbered in page order."""
-    number = 0
-
-    def build(item: list) -> Slot:
-        nonlocal number
-        slot = Slot(item[0])
+    slots: list[Slot] = []
+    for number, (kind, parent) in enumerate(json.loads(template)):
+        slot = Slot(kind)
         slot.number = number
-        number += 1
-        slot.children = [build(c) for c in item[1]]
-        return slot
+        if parent >= 0:
+            slots[parent].children.append(slot)
+        slots.append(slot)
+    return slots[0]
 
-    return build(json.loads(template))
+
+def _classes(top: Slot, known: dict[tuple, int], of: dict[int, int]) -> None:
+    """Puts the class of each slot into ``of`` by id(); equal trees have equal classes."""
+    order, todo = [], [top]
+    while todo:
+        order.append(todo.pop())
+        todo += order[-1].children
+    for slot in reversed(order):
+        of[id(slot)] = known.setdefault((slot.kind, tuple(of[id(c)] for c in slot.children)), len(known))
+
+
+def _largest(x: list[int], y: list[int], weight: dict[tuple[int, int], int]) -> tuple[int, list[tuple[int, int]]]:
+    """(weight, pairs of places) of the heaviest order-preserving matching of two lists of classes."""
+    n, m = len(x), len(y)
+    chosen, i, j = [], n, m
+    if n * m <= _PAIRS:
+        table = [[0] * (m + 1) for _ in range(n + 1)]
+        for a, c in enumerate(x):
+            for b, d in enumerate(y):
+                table[a + 1][b + 1] = max(table[a][b + 1], table[a + 1][b], table[a][b] + weight.get((c, d), 0))
+        rows, low, total = table, 0, table[-1][-1]
+    else:
+        kinds, place = np.unique(y, return_inverse=True)
+        of = {c: np.array([weight.get((c, d), 0) for d in kinds.tolist()], np.int64) for c in set(x)}
+
+        def after(row: np.ndarray, c: int) -> np.ndarray:
+            out = np.zeros(m + 1, np.int64)
+            np.maximum.accumulate(np.maximum(row[1:], row[:-1] + of[c][place]), out=out[1:])
+            return out
+
+        # every step-th row is kept, the others are made again on the way back
+        step = int(n ** 0.5) + 1
+        row, kept = np.zeros(m + 1, np.int64), []
+        for a, c in enumerate(x):
+            if a % step == 0:
+                kept.append(row)
+            row = after(row, c)
+        rows, low, total = [row], n, int(row[-1])
+    while i and j:
+        if i - 1 < low:
+            low = (i - 1) // step * step
+            rows = [kept[low // step]]
+            for c in x[low:i]:
+                rows.append(after(rows[-1], c))
+        own, above = rows[i - low], rows[i - 1 - low]
+        if own[j] == above[j]:
+            i -= 1
+        elif own[j] == own[j - 1]:
+            j -= 1
+        else:
+            i, j = i - 1, j - 1
+            chosen.append((i, j))
+    return total, chosen
 
 
 def match(page: Slot, reference: Slot) -> dict[int, int]:
     """Simple tree matching: id() of the page's slots -> number of the matched slot of the reference."""
-    pairs: dict[tuple[int, int], tuple[int, list[tuple[Slot, Slot]]]] = {}
-
-    def weight(a: Slot, b: Slot) -> int:
-        if a.kind != b.kind:
-            return 0
-        if (known := pairs.get((id(a), id(b)))) is not None:
-            return known[0]
-        x, y = a.children, b.children
-        if len(x) * len(y) > _PAIRS:
-            chosen, rest = [], iter(y)
-            for c in x:
-                if (d := next((d for d in rest if weight(c, d)), None)) is None:
-                    break
-                chosen.append((c, d))
-            pairs[id(a), id(b)] = (1 + sum(weight(c, d) for c, d in chosen), chosen)
-            return pairs[id(a), id(b)][0]
-        table = [[0] * (len(y) + 1) for _ in range(len(x) + 1)]
-        for i, c in enumerate(x):
-            for j, d in enumerate(y):
-                table[i + 1][j + 1] = max(table[i][j + 1], table[i + 1][j], table[i][j] + weight(c, d))
-        chosen, i, j = [], len(x), len(y)
-        while i and j:
-            if table[i][j] == table[i - 1][j]:
-                i -= 1
-            elif table[i][j] == table[i][j - 1]:
-                j -= 1
-            else:
-                i, j = i - 1, j - 1
-                chosen.append((x[i], y[j]))
-        pairs[id(a), id(b)] = (1 + table[-1][-1], chosen)
-        return 1 + table[-1][-1]
+    known: dict[tuple, int] = {}
+    of: dict[int, int] = {}
+    _classes(page, known, of)
+    _classes(reference, known, of)
+    weight: dict[tuple[int, int], int] = {}
+    chosen: dict[tuple[int, int], list[tuple[int, int]]] = {}
+    work = [(page, reference)] if page.kind == reference.kind else []
+    while work:
+        a, b = work[-1]
+        key = of[id(a)], of[id(b)]
+        if key in weight:
+            work.pop()
+            continue
+        x, y = [of[id(c)] for c in a.children], [of[id(d)] for d in b.children]
+        kinds: dict[str, list[Slot]] = {}
+        for d in dict(zip(y, b.children, strict=True)).values():
+            kinds.setdefault(d.kind, []).append(d)
+        first = [(c, d) for c in dict(zip(x, a.children, strict=True)).values() for d in kinds.get(c.kind, ())
+                 if (of[id(c)], of[id(d)]) not in weight]
+        if first:
+            work += first
+            continue
+        work.pop()
+        below, chosen[key] = _largest(x, y, weight)
+        weight[key] = 1 + below
 
     out: dict[int, int] = {}
-    todo = [(page, reference)] if weight(page, reference) else []
+    todo = [(page, reference)] if page.kind == reference.kind else []
     while todo:
         a, b = todo.pop()
         out[id(a)] = b.number
-        todo += pairs[id(a), id(b)][1]
+        todo += [(a.children[i], b.children[j]) for i, j in chosen[of[id(a)], of[id(b)]]]
     return out
 
 

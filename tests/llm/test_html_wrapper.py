@@ -119,3 +119,39 @@ def test_blocks_that_the_reference_page_lacks(spark):
     for h in range(8):
         assert all(got[100 * h + i] == f"Head {h} {i}\nStory {h} {i}" for i in range(40))
         assert all(got[2000 + 100 * h + i] == f"Head {h} {i}" for i in range(0, 40, 2))
+
+
+def test_deep_elements_keep_their_marks_and_ends(spark):
+    deep = "<div>" * 300 + "<nav>Menu</nav><p>Deep</p>" + "</div>" * 300
+    html = page(f"<div><article><h1>Head</h1>{deep}<p>After</p></article></div>")
+    assert text_of(html) == "Head\nDeep\nAfter"
+    very = page("<article>" + "<div>" * 20000 + "<aside>x</aside>in" + "</div>" * 20000 + "<p>out</p></article>")
+    assert text_of(very) == "in\nout"
+    rows = [(i, "https://deep.example/", page(f"<article>{'<div>' * 2000}<p>Own {i}</p><b>Join us</b>"
+                                              f"{'</div>' * 2000}</article>")) for i in range(10)]
+    assert run(spark, rows) == {i: f"Own {i}" for i in range(10)}
+
+
+def test_many_children_are_matched_as_largely_as_few(monkeypatch):
+    rng = random.Random(2)
+
+    def slots(n):
+        top = H.Slot("")
+        for _ in range(n):
+            c = H.Slot(rng.choice("abc"))
+            c.children = [H.Slot(rng.choice("de")) for _ in range(rng.randrange(3))]
+            top.children.append(c)
+        return top
+
+    for n, m in ((60, 70), (130, 40)):
+        a, b = slots(n), H.load(H.json.dumps(H.dump(slots(m))))
+        monkeypatch.setattr(H, "_PAIRS", 1 << 30)
+        table = H.match(a, b)
+        monkeypatch.setattr(H, "_PAIRS", 0)
+        assert H.match(a, b) == table
+    monkeypatch.undo()
+    # one more child at the front does not end the matching of a long list
+    body = [k for _ in range(1100) for k in ("p", "h2")]
+    a, b = H.Slot(""), H.Slot("")
+    a.children, b.children = [H.Slot(k) for k in ["x", *body]], [H.Slot(k) for k in body]
+    assert len(H.match(a, H.load(H.json.dumps(H.dump(b))))) == 2201
