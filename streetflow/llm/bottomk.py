@@ -7,8 +7,9 @@
 3. Inverted lists of retained values generate candidates. A pair at the
    threshold shares at least ``need`` retained values but for a chance under
    1e-9, so it also shares one of the ``len(sketch) - need + 1`` rarest values
-   of either; only those are listed. Sets of at most ``k`` shingles are their
-   own sketch, and there the bound is exact.
+   of either; only those are listed. Sets of at most ``100 k / percent``
+   shingles are their own sketch, so those of under ``k``, whose partners have
+   no more, have an exact bound.
 4. The overlap of two sketches within the bottom-k of their union estimates
    their Jaccard similarity; pairs more than 6 standard deviations under the
    threshold go.
@@ -77,8 +78,12 @@ def _unpack(b: bytes) -> np.ndarray:
     return out.view(_U).ravel()
 
 
+#: Flipped, so that hashes keep their order as signed longs.
+_SIGN = _U(1 << 63)
+
+
 def _sketch_set(values: list[int]) -> np.ndarray:
-    return np.array(values, np.int64).view(_U)
+    return np.array(values, np.int64).view(_U) ^ _SIGN
 
 
 def _key(s: np.ndarray) -> bytes:
@@ -94,8 +99,9 @@ _SKETCH = StructType([
 _SET = StructType([StructField("key", BinaryType()), StructField("shingles", BinaryType())])
 
 
-def sketches(docs: DataFrame, length: int, k: int) -> DataFrame:
-    """(doc_id, t, n_shingles, key, sketch) of each row (doc_id, t, text); ``sketch`` is ascending."""
+def sketches(docs: DataFrame, length: int, k: int, wide: int) -> DataFrame:
+    """(doc_id, t, n_shingles, key, sketch) of each row (doc_id, t, text); ``sketch``
+    is ascending: the ``k`` smallest, or the whole set if it has at most ``wide``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -103,7 +109,7 @@ def sketches(docs: DataFrame, length: int, k: int) -> DataFrame:
             for _, s in shingle_sets(batch.column(2), length):
                 n.append(len(s))
                 key.append(_key(s))
-                sketch.append(as_long(s[:k].copy()))
+                sketch.append(as_long(s[:k if len(s) > wide else wide] ^ _SIGN))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(n, pa.int64()), pa.array(key, pa.binary()),
                  pa.array(sketch, pa.list_(pa.int64()))], names=_SKETCH.names)
@@ -155,7 +161,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     text = F.col(text_col).cast("string")
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("t"), text.alias("text"))
     need = need_of(k, percent / 100)
-    rows = staged(sketches(docs, length, k), "sketches")
+    wide = max(k, 100 * k // percent)  # no set of up to k has a larger partner
+    rows = staged(sketches(docs, length, k, wide), "sketches")
     reps = staged(
         rows.where("n_shingles > 0").groupBy("key").agg(
             F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch"))
@@ -171,7 +178,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         # the rarest: those that no other set has come first, then by_df
         .withColumn("prefix", F.size("by_df") - sure + 1)
         .where("prefix > 0")
-        .select("id", "n", (F.least("n", F.lit(k)) - F.size("by_df")).alias("p"),
+        .select("id", "n", (F.when(F.col("n") > wide, k).otherwise(F.col("n")) - F.size("by_df")).alias("p"),
                 F.explode(F.slice("by_df", 1, F.col("prefix").cast("int"))).alias("x"))
         .select("id", "n", "p", F.col("x.v").alias("v")),
         "postings")
@@ -186,7 +193,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         return both.where(shared >= least).select("a", "b")
 
     # sketches that share `need` values, or percent of less, have at least this share of their union
-    loose = min(percent, 100 * need // (2 * k - need))
+    loose = min(percent, 100 * need // (k + wide - need))
     like = staged(candidates(listed, percent, alike, reps.select("id", "sketch"), _sketch_set, loose), "pairs")
     sets = staged(_sets_of(like.select(F.col("a").alias("id")).union(like.select("b")), reps, docs, length), "sets")
     links = staged(verified(like, sets, _unpack, percent), "links")

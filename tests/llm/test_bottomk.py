@@ -50,3 +50,13 @@ def test_edge_cases(spark):
                    ((False, 7), 2, 3, False), ((False, 7), 2, 3, False), ((True, 0), 2, 3, False)]
     assert sum(r["component_id"] is None for r in out) == 1
     assert bottomk.near_duplicates(docs_of(spark, []), length=2).count() == 0
+
+
+def test_pairs_of_sizes_about_the_sketch(spark):
+    """Sets under 64 shingles with partners over 64, at or just under the threshold."""
+    texts = []
+    for at, (small, large) in enumerate([(60, 75), (62, 77), (63, 76), (63, 77), (63, 78), (63, 79), (64, 80), (70, 87), (79, 98)]):
+        for j in range(30):
+            words = [f"w{at}x{j}x{i}" for i in range(large + 1)]
+            texts += [" ".join(words[:small + 1]), " ".join(words)]
+    assert result(bottomk.near_duplicates(docs_of(spark, texts), length=2)) == brute(list(enumerate(texts)), 2)
