@@ -35,7 +35,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the lines that repeat; a document that keeps no text goes."""
-    cleaned = fuzzy_lines.dedup_lines(docs)
+    cleaned = fuzzy_lines.dedup_lines(docs, short_copies=True)
     out = cleaned.where("n_removed = 0 or length(trim(text)) > 0").select("row.*", F.col("text").alias("cleaned"))
     return out.select(*[
         F.col("cleaned").alias("text") if c == "text"

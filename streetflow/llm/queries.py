@@ -78,7 +78,7 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fuzzy_lines.dedup_lines(_table(spark, sf_dir, "documents")).select(
+    return fuzzy_lines.dedup_lines(_table(spark, sf_dir, "documents"), short_copies=True).select(
         "row.doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
 
 
