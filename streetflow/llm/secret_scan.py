@@ -2,8 +2,8 @@
 
 One scan finds the spans of the fixed patterns and the long tokens outside
 them. Two first-order Markov models of characters are then counted, one of
-random strings (a sample of the values that the patterns found) and one of
-ordinary identifiers (words of a sample of documents). A long token whose
+random strings (the distinct values that the patterns found) and one of ordinary
+identifiers (words of the documents in which they found none). A long token whose
 log-likelihood ratio between them passes the threshold becomes a span too.
 Positions come from the lengths of what lies between matches, since
 ``split`` and ``regexp_extract_all`` walk the same matches.
@@ -16,7 +16,7 @@ from math import log
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from streetflow.llm.graph import sample_by_hash, staged
+from streetflow.llm.graph import staged
 
 # fixed values: the base patterns
 ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -53,12 +53,16 @@ def spans_of(text: Column, pattern: str, kind: int, value_group: int = 0, least_
     return F.when(text.rlike(pattern), spans).otherwise(nothing)
 
 
+def base_of(text: Column) -> Column:
+    """Spans of the fixed patterns by start, then kind."""
+    return F.array_sort(F.concat(spans_of(text, ASSIGN, 0, 2, 6), spans_of(text, ACCESS, 1), spans_of(text, HEX, 2)))
+
+
 def scan(docs: DataFrame, id_col: str, text_col: str, least_token: int) -> DataFrame:
     """(doc_id, base, tokens): spans of the fixed patterns by start, then kind,
     and of long tokens that overlap none of them."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    base = F.array_sort(F.concat(spans_of(text, ASSIGN, 0, 2, 6), spans_of(text, ACCESS, 1), spans_of(text, HEX, 2)))
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), base.alias("base"),
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), base_of(text).alias("base"),
                        spans_of(text, _token(least_token), 3).alias("tokens"))
     clear = F.filter("tokens", lambda c: ~F.exists("base", lambda b: (b["start"] < c["end"]) & (b["end"] > c["start"])))
     return rows.select("doc_id", "base", clear.alias("tokens"))
@@ -72,10 +76,12 @@ def _code(text: Column, at: Column) -> Column:
 def pair_counts(strings: DataFrame) -> dict[tuple[int, int], int]:
     """Counts of neighbouring characters (codes) in column ``value``; collected,
     since there are at most (len(ALPHABET) + 1) ** 2 of them."""
-    pairs = strings.where(F.length("value") > 0).select(F.explode(F.transform(
+    # each different string is cut up once
+    counted = strings.where(F.length("value") > 0).groupBy("value").agg(F.count("*").alias("n"))
+    pairs = counted.select("n", F.explode(F.transform(
         F.sequence(F.lit(1), F.length("value")),
         lambda i: F.struct(_code(F.col("value"), i - 1).alias("a"), _code(F.col("value"), i).alias("b")))).alias("p"))
-    return {(r["a"], r["b"]): r["n"] for r in pairs.groupBy("p.a", "p.b").agg(F.count("*").alias("n")).collect()}
+    return {(r["a"], r["b"]): r["n"] for r in pairs.groupBy("p.a", "p.b").agg(F.sum("n").alias("n")).collect()}
 
 
 def ratio_table(random: dict[tuple[int, int], int], ordinary: dict[tuple[int, int], int],
@@ -94,24 +100,21 @@ def ratio_table(random: dict[tuple[int, int], int], ordinary: dict[tuple[int, in
 
 
 def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, least_token: int = 16,
-                 threshold: float = 8.0, sample_values: int = 20_000, sample_docs: int = 2_000) -> DataFrame:
+                 threshold: float = 8.0) -> DataFrame:
     """(doc_id, base, added) of each row: spans as array<struct<start, kind, end,
     value, score>>, by start, then kind (an index into ``KINDS``).
 
     ``base`` are the matches of the fixed patterns. ``added`` are tokens of
     ``least_token`` or more characters that overlap no base span and whose
-    log-likelihood ratio is at least ``threshold``. The models are fitted on a
-    bounded sample: up to ``sample_values`` distinct base values, and the
-    words of six or more letters of up to ``sample_docs`` documents without
-    base spans; both are chosen by hash. Where either sample is empty (so also
-    on an empty table) nothing is added. Null texts have no spans; ids may be
+    log-likelihood ratio is at least ``threshold``. The models are counted on
+    all distinct base values, and on all words of six or more letters of the
+    rows without base spans. Where there are none of either (so also on an
+    empty table) nothing is added. Null texts have no spans; ids may be
     null or repeat, each row is scanned by itself. Other columns are ignored.
     """
     found = staged(scan(docs, id_col, text_col, least_token), "scan")
-    values = sample_by_hash(found.select(F.explode("base.value").alias("value")).distinct(), "value", sample_values)
-    ids = sample_by_hash(found.where(F.size("base") == 0).select("doc_id").distinct(), "doc_id", sample_docs)
-    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).join(
-        ids, "doc_id", "left_semi")
+    values = found.select(F.explode("base.value").alias("value")).distinct()
+    texts = docs.select(F.col(text_col).cast("string").alias("text")).where(F.size(base_of(F.col("text"))) == 0)
     ordinary = texts.select(F.explode(F.regexp_extract_all("text", F.lit(_token(6)), F.lit(0))).alias("value"))
     random_counts, ordinary_counts = pair_counts(values), pair_counts(ordinary)
 

@@ -87,3 +87,14 @@ def test_nothing_to_learn_from(spark):
 def test_native(spark):
     text = secret_scan.scan_secrets(docs_of(spark, texts_with_secrets()))._jdf.queryExecution().toString()
     assert "Python" not in text and "Arrow" not in text
+
+
+def test_models_count_all_documents_and_values(spark, monkeypatch):
+    counted = []
+    whole = secret_scan.ratio_table
+    monkeypatch.setattr(secret_scan, "ratio_table", lambda random, ordinary: counted.append((random, ordinary)) or whole(random, ordinary))
+    texts = ["plainword here" for _ in range(2500)] + [f"password = zq{i:06d}" for i in range(20500)]
+    secret_scan.scan_secrets(docs_of(spark, texts))
+    random, ordinary = counted[0]
+    assert sum(ordinary.values()) == 2500 * len("plainword")
+    assert sum(random.values()) == 20500 * 8
