@@ -8,7 +8,19 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from streetflow.llm import bottomk, bpe, doubling, fuzzy_lines, html_wrapper, projections, secret_scan, site_quality, toxic_neighbours, winnow
+from streetflow.llm import (
+    bottomk,
+    bpe,
+    doubling,
+    fuzzy_lines,
+    hash_ring,
+    html_wrapper,
+    projections,
+    secret_scan,
+    site_quality,
+    toxic_neighbours,
+    winnow,
+)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -82,6 +94,17 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "row.doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op12_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding(_table(spark, sf_dir, "documents"))
+
+
+def sharding(docs: DataFrame, shards: int = 8) -> DataFrame:
+    """Documents on a ring of shards that hold equal numbers of rows."""
+    return hash_ring.assign(docs, hash_ring.Ring(shards)).select(
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_extraction": op1_html_extraction,
     "op2_embedding_dedup": op2_embedding_dedup,
@@ -93,6 +116,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_toxicity": op9_toxicity,
     "op10_line_dedup": op10_line_dedup,
+    "op12_sharding": op12_sharding,
 }
 
 #: DuckDB SQL of the queries that SQL can express.
