@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 import public_tokenizers
@@ -18,6 +19,7 @@ from streetflow.llm import (
     projections,
     secret_scan,
     site_quality,
+    token_alignment,
     toxic_neighbours,
     winnow,
 )
@@ -94,6 +96,22 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "row.doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment(_table(spark, sf_dir, "documents"))
+
+
+def alignment(docs: DataFrame) -> DataFrame:
+    """Figures of the documents' tokens aligned, and digests of their groups."""
+    aligned = token_alignment.align(
+        docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+
+    def digest(links: token_alignment.Links) -> list[str]:
+        return [hashlib.sha256(t.encode()).hexdigest() if t else "" for t in token_alignment.group_texts(links)]
+
+    return token_alignment.link_figures(aligned, token_alignment.pair_counts(aligned), digest).drop("row").withColumnRenamed(
+        "digest", "groups_sha256")
+
+
 def op12_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding(_table(spark, sf_dir, "documents"))
 
@@ -116,6 +134,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_toxicity": op9_toxicity,
     "op10_line_dedup": op10_line_dedup,
+    "op11_token_alignment": op11_token_alignment,
     "op12_sharding": op12_sharding,
 }
 
