@@ -8,11 +8,12 @@ from pyspark.sql import functions as F
 from streetflow.session import checkpoint_dir, scratch_dir
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
+def staged(df: DataFrame, name: str, partition_by: list[str] | None = None, **options: str | int) -> DataFrame:
     """The rows of ``df`` as a Parquet table in the shared checkpoint folder:
-    computed once, with its lineage cut, and readable from every executor."""
+    computed once, with its lineage cut, and readable from every executor.
+    ``options`` are the writer's."""
     path = scratch_dir(df.sparkSession, name)
-    df.write.option("compression", "zstd").parquet(path)
+    df.write.options(**({"compression": "zstd"} | options)).parquet(path, partitionBy=partition_by)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -17,6 +17,7 @@ from streetflow.llm import (
     hash_ring,
     html_wrapper,
     projections,
+    ranked_search,
     secret_scan,
     site_quality,
     token_alignment,
@@ -123,6 +124,11 @@ def sharding(docs: DataFrame, shards: int = 8) -> DataFrame:
         F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")).select(
+        "row.item_id", "rank", "doc_id", "score")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_extraction": op1_html_extraction,
     "op2_embedding_dedup": op2_embedding_dedup,
@@ -136,6 +142,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_line_dedup": op10_line_dedup,
     "op11_token_alignment": op11_token_alignment,
     "op12_sharding": op12_sharding,
+    "op13_ranked_search": op13_ranked_search,
 }
 
 #: DuckDB SQL of the queries that SQL can express.
@@ -215,5 +222,25 @@ r as (select k.doc_id, count(c.p) as n_removed, string_agg(case when c.p is null
 select d.doc_id, cast(len(w) as bigint) as n_words, cast(coalesce(n_removed, 0) as bigint) as n_removed,
        sha256(coalesce(t, '')) as kept_sha256
 from d left join r on r.doc_id = d.doc_id
+""",
+    "op13_ranked_search": r"""
+with d as (
+  select doc_id, row_number() over () as r, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') as w from documents),
+b as (
+  select item_id, row_number() over () as i, unnest(regexp_extract_all(translate(coalesce(text, ''),
+         'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as t from benchmark),
+q as (select item_id, i, t, count(*) as times from b group by all),
+n as (select count(*) as n, cast(sum(len(w)) as bigint) as l from d where len(w) > 0),
+p as (select r, doc_id, t, count(*) as tf, any_value(m) as m
+      from (select r, doc_id, 75 + (25 * cast(len(w) as bigint) * n.n) // n.l as m, unnest(w) as t from d, n where len(w) > 0)
+      where t in (select t from q) group by r, doc_id, t),
+k as (select t, cast(floor(1000 * ln(cast(2 * n.n + 2 as double) / (2 * df + 1))) as bigint) as weight
+      from (select t, count(*) as df from p group by t), n),
+s as (select i, item_id, r, doc_id, cast(sum(times * weight * ((1000000000 * tf) // (1000 * tf + 12 * m))) as bigint) as score
+      from q join k using (t) join p using (t) group by i, item_id, r, doc_id),
+o as (select *, row_number() over (partition by i order by score desc, doc_id, r) as rank from s where score > 0)
+select item_id, cast(rank as int) as rank, doc_id, score from o where rank <= 20
 """,
 }
