@@ -32,6 +32,8 @@ _LINKS = 1 << 20
 _STRIDE = 16
 #: Pairs whose counts are sent to every task; the rarer ones are joined.
 _HEAD = 1 << 18
+#: A writer holds so much of the lists before they go to disk.
+_ROW_GROUP = {"parquet.block.size": 1 << 24}
 
 ALIGNED = "row long, doc_id long, a_ids array<int>, b_ids array<int>, a_first array<int>, a_links array<int>"
 
@@ -210,7 +212,7 @@ def align(docs: DataFrame, a_path: str, b_path: str, id_col: str = "doc_id", tex
                     names=["row", "doc_id", "a_ids", "b_ids", "a_first", "a_links"])
 
     return staged(docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("doc_id"),
-                              F.col(text_col).cast("string").alias("text")).mapInArrow(run, ALIGNED), "aligned")
+                              F.col(text_col).cast("string").alias("text")).mapInArrow(run, ALIGNED), "aligned", **_ROW_GROUP)
 
 
 class Links:
@@ -322,7 +324,7 @@ def link_figures(aligned: DataFrame, pairs: DataFrame, digest: Callable[[Links],
     schema = ("row long, doc_id long, n_a long, n_b long, n_groups long, n_links long, head_best long, head_sum long, "
               "rare array<struct<a: long, b: long, m: long>>, digest string")
     names = [c.split()[0] for c in re.sub("<.*>", "", schema).split(", ")]
-    figures = staged(aligned.mapInArrow(run, schema), "links")
+    figures = staged(aligned.mapInArrow(run, schema), "links", **_ROW_GROUP)
     rare = (
         figures.select("row", F.inline("rare")).join(pairs.where(F.col("n") < least), ["a", "b"])
         .groupBy("row").agg(F.sum(F.expr("if(best, m, 0L)")).alias("rare_best"), F.sum(F.expr("m * n")).alias("rare_sum"))
