@@ -68,8 +68,8 @@ def main() -> None:
     timed("gold", lambda: daily.gold_job(store, today, export_to=store.path("export"), enforce_checks=False))
 
     def serving():
-        speed = spark.read.parquet(store.path("export") + "/street_speed")
-        geo = spark.read.parquet(store.path("export") + "/street_geometry")
+        exported = daily.open_export(spark, store.path("export"))
+        speed, geo = exported.read(daily.SPEED), exported.read(daily.GEOMETRY)
         view = SV.load(speed, geo).cache()
         slot = SV.nearest_slot(speed, dt.datetime(2024, 4, 2, 10)).first()
         if slot is None:

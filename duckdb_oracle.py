@@ -430,18 +430,24 @@ Q["street_retention"] = with_(*ALL, SPEED, RETAIN) + f" select {CHECK_COLS} from
 Q["checks"] = with_(*ALL, SPEED, FRESH, COMPLETE, RETAIN) + f"""
 select {CHECK_COLS} from fresh union all select {CHECK_COLS} from complete union all select {CHECK_COLS} from retain"""
 
-Q["days_to_process"] = with_(POS, CLEAN, DEDUP, SEG) + """
-select start_date, end_date from (
- select greatest(coalesce(cast(max(date_rome) + interval 1 day as date), date '2024-01-06'), date '2024-01-06') as start_date,
-        date '2024-04-04' as end_date
- from seg where date_rome <= date '2024-03-30') a
-where start_date <= end_date"""
-Q["days_to_process_gated"] = with_(*ALL) + """
-select start_date, end_date from (
- select greatest(coalesce(cast(max(date_rome) + interval 1 day as date), date '2024-01-08'), date '2024-01-08') as start_date,
-        least(date '2024-04-06', cast((select max(static_date) from trip_shape) - interval 1 day as date)) as end_date
- from seg where date_rome <= date '2024-03-30') a
-where start_date <= end_date"""
+# days of the history, first to last, that are not loaded, from the earliest loaded on; runs of them
+ISLANDS = """
+loaded_days as (select distinct date_rome as day from seg where {loaded}),
+open_days as (
+ select cast(day as date) as day from unnest(generate_series(timestamp '{first}', cast({last} as timestamp), interval 1 day)) c(day)
+ where cast(day as date) not in (select day from loaded_days)
+   and cast(day as date) >= coalesce((select min(day) from loaded_days), date '{first}')),
+runs as (select day, day - cast(row_number() over (order by day) as integer) as run from open_days)
+"""
+_RUNS = " select min(day) as start_date, max(day) as end_date from runs group by run"
+Q["days_to_process"] = with_(POS, CLEAN, DEDUP, SEG, ISLANDS.format(
+    loaded="date_rome <= date '2024-03-30'", first="2024-01-06", last="date '2024-04-04'")) + _RUNS
+Q["days_to_process_gated"] = with_(*ALL, ISLANDS.format(
+    loaded="date_rome <= date '2024-03-30'", first="2024-01-08",
+    last="least(date '2024-04-06', (select max(static_date) from trip_shape) - 1)")) + _RUNS
+Q["days_with_holes"] = with_(POS, CLEAN, DEDUP, SEG, ISLANDS.format(
+    loaded="date_rome <= date '2024-03-31' and date_rome not in (date '2024-03-28', date '2024-03-29')",
+    first="2024-01-06", last="date '2024-04-04'")) + _RUNS
 
 # ----------------------------------------------------------------- serving
 GEOM = """

@@ -6,12 +6,15 @@ export. Each stage processes only the days / releases / geometries not done
 yet, so re-running a finished day is a no-op and a failed run is repaired by
 running it again.
 
-Table layout under ``store.root``::
+Tables under ``store.root`` (see ``tables`` for their folders)::
 
-    bronze_positions/date=...          vehicle_segments/date_rome=...
-    street_edges/                      trip_shape/static_date=...
-    shape_streets/                     segment_streets/date_rome=...
-    street_speed_staging/  street_speed/  export/street_speed  export/street_geometry
+    bronze_positions by date, landed_snapshots by date (one pointer)
+    vehicle_segments by date_rome      trip_shape by static_date
+    street_edges                       shape_streets
+    segment_streets by date_rome       street_speed, street_geometry (one pointer)
+
+Exports are a store of their own with street_speed and street_geometry under one
+pointer (``open_export``).
 """
 
 from __future__ import annotations
@@ -30,15 +33,15 @@ from streetflow.operators import segments as S
 from streetflow.operators import speed as SP
 from streetflow.operators import streets as ST
 from streetflow.plans import stages
-from streetflow.plans.tables import TableStore
+from streetflow.plans.tables import TableStore, days_of
 
 BRONZE = "bronze_positions"
+LANDED = "landed_snapshots"
 SEGMENTS = "vehicle_segments"
 EDGES = "street_edges"
 TRIP_SHAPE = "trip_shape"
 SHAPE_STREETS = "shape_streets"
 SEGMENT_STREETS = "segment_streets"
-STAGING = "street_speed_staging"
 SPEED = "street_speed"
 GEOMETRY = "street_geometry"
 DECODED = "decoded_releases"
@@ -56,20 +59,28 @@ def table_schemas() -> dict:
 
     return {
         BRONZE: last(SC.VEHICLE_POSITIONS, "date"),
+        LANDED: last(SC.LANDED_SNAPSHOTS, "date"),
         SEGMENTS: last(SC.VEHICLE_SEGMENTS, "date_rome"),
         EDGES: SC.STREET_EDGES,
         TRIP_SHAPE: last(SC.TRIP_SHAPE, "static_date"),
         SHAPE_STREETS: SC.SHAPE_STREETS,
         SEGMENT_STREETS: last(SC.SEGMENT_STREETS, "date_rome"),
-        STAGING: SC.STREET_SPEED,
         SPEED: SC.STREET_SPEED,
         GEOMETRY: SC.STREET_GEOMETRY,
     }
 
 
 def open_store(spark: SparkSession, root: str) -> TableStore:
-    """The job's table store at ``root`` (a folder on shared storage)."""
-    return TableStore(spark, root, table_schemas())
+    """The job's table store at ``root`` (a folder on shared storage). What lands
+    and what is published changes together."""
+    return TableStore(spark, root, table_schemas(), {"landed": (BRONZE, LANDED), "published": (SPEED, GEOMETRY)})
+
+
+def open_export(spark: SparkSession, root: str) -> TableStore:
+    """The exported tables (SNK9, SRC15), which the map reads: one set of files
+    until the next is whole."""
+    return TableStore(spark, root, {SPEED: table_schemas()[SPEED], GEOMETRY: table_schemas()[GEOMETRY]},
+                      {"export": (SPEED, GEOMETRY)})
 
 
 @dataclass
@@ -100,30 +111,34 @@ def load_streets(store: TableStore, ways: DataFrame, cfg: Config = DEFAULT) -> N
     should follow."""
     edges = ST.edges(ST.select_ways(ways, cfg), cfg)
     written = store.write_version(EDGES, edges)
-    ST.require_rows(store.spark.read.parquet(written), "street ways")  # checks the written copy
-    store.commit(EDGES, written)
+    ST.require_rows(store.read_entry(EDGES, written), "street ways")  # checks the written copy
+    store.commit({EDGES: written})
+
+
+Days = list[tuple[dt.date, dt.date]]
+
+
+def _by_days(store: TableStore, table: str, days: Days, rebuild: bool, rows) -> None:
+    """Write ``rows(start, end)`` of each island of days; a rebuild replaces the table."""
+    for start, end in days:
+        if rebuild:
+            store.overwrite(table, rows(start, end), ["date_rome"], days_of(start, end))
+        else:
+            store.replace_range(table, rows(start, end), "date_rome", start, end)
 
 
 def segments_job(store: TableStore, today_local: dt.date, full_refresh: bool = False, cfg: Config = DEFAULT,
-                 log: RunLog | None = None) -> tuple[dt.date, dt.date] | None:
-    """bronze -> vehicle_segments for the complete local days not written yet
-    (INC1, SRC14, SNK3, SNK6)."""
+                 log: RunLog | None = None) -> Days:
+    """bronze -> vehicle_segments for the complete local days not worked on yet,
+    those between others too (INC1, SRC14, SNK3, SNK6)."""
     rebuild = full_refresh or not store.exists(SEGMENTS)
-    latest = None
-    if not rebuild:
-        latest = store.read(SEGMENTS).agg(F.max("date_rome")).first()[0]  # one-row aggregate (SO4, AG2)
-    days = INC.day_range(today_local, latest, rebuild, cfg=cfg)
+    days = INC.islands(store.days(SEGMENTS), INC.span(today_local, cfg=cfg), rebuild)
     if log:
         log.add("segments days", days)
-    if days is None:
-        return None
-    start, end = days
-    segs = S.vehicle_segments(store.read(BRONZE), cfg, start, end)
-    if rebuild:
-        store.overwrite(SEGMENTS, segs, ["date_rome"])
-    else:
-        store.replace_range(SEGMENTS, segs, "date_rome", start, end)
-    store.drop_before(SEGMENTS, "date_rome", today_local - dt.timedelta(days=cfg.history_days))
+    _by_days(store, SEGMENTS, days, rebuild,
+             lambda start, end: S.vehicle_segments(store.read(BRONZE), cfg, start, end))
+    if store.exists(SEGMENTS):
+        store.drop_before(SEGMENTS, "date_rome", today_local - dt.timedelta(days=cfg.history_days))
     return days
 
 
@@ -195,41 +210,40 @@ def lines_job_from_files(spark: SparkSession, store: TableStore, static_path: st
 
 
 def segment_streets_job(store: TableStore, today_local: dt.date, full_refresh: bool = False,
-                        cfg: Config = DEFAULT, log: RunLog | None = None) -> tuple[dt.date, dt.date] | None:
+                        cfg: Config = DEFAULT, log: RunLog | None = None) -> Days:
     """vehicle_segments -> segment_streets, a day only once the next day's
     schedule is known (INC2, JN7-JN13, WN5, WN6, SNK3, SNK6)."""
     if not store.exists(TRIP_SHAPE) or not store.exists(SEGMENTS):
-        return None
+        return []
     rebuild = full_refresh or not store.exists(SEGMENT_STREETS)
-    latest = None if rebuild else store.read(SEGMENT_STREETS).agg(F.max("date_rome")).first()[0]
     newest = store.read(TRIP_SHAPE).agg(F.max("static_date")).first()[0]
-    days = INC.day_range(today_local, latest, rebuild, newest_release=newest, gated=True, cfg=cfg)
+    days = INC.islands(store.days(SEGMENT_STREETS), INC.span(today_local, newest, gated=True, cfg=cfg), rebuild)
     if log:
         log.add("segment_streets days", days)
-    if days is None:
-        return None
-    start, end = days
-    segs = store.read(SEGMENTS).where(F.col("date_rome").between(F.lit(start), F.lit(end)))
-    out = stages.segment_streets_stage(segs, store.read(TRIP_SHAPE), store.read(SHAPE_STREETS), store.read(EDGES),
-                                       cfg)
-    if rebuild:
-        store.overwrite(SEGMENT_STREETS, out, ["date_rome"])
-    else:
-        store.replace_range(SEGMENT_STREETS, out, "date_rome", start, end)
-    store.drop_before(SEGMENT_STREETS, "date_rome", today_local - dt.timedelta(days=cfg.history_days))
+
+    def rows(start: dt.date, end: dt.date) -> DataFrame:
+        segs = store.read(SEGMENTS).where(F.col("date_rome").between(F.lit(start), F.lit(end)))
+        return stages.segment_streets_stage(segs, store.read(TRIP_SHAPE), store.read(SHAPE_STREETS),
+                                            store.read(EDGES), cfg)
+
+    _by_days(store, SEGMENT_STREETS, days, rebuild, rows)
+    if store.exists(SEGMENT_STREETS):
+        store.drop_before(SEGMENT_STREETS, "date_rome", today_local - dt.timedelta(days=cfg.history_days))
     return days
 
 
 def gold_job(store: TableStore, today_local: dt.date, now_utc: dt.datetime | None = None,
              cfg: Config = DEFAULT, export_to: str | None = None, log: RunLog | None = None,
              enforce_checks: bool = True) -> DataFrame:
-    """segment_streets -> staging -> checks -> published street_speed -> exports
-    (AG9, FIL11, DQ1-DQ4, SNK8, SNK9, AG14). Raises, publishing nothing, when a
-    check fails."""
-    store.overwrite(STAGING, SP.street_speed(store.read(SEGMENT_STREETS), cfg))
-    staging = store.read(STAGING)
+    """segment_streets -> staged street_speed -> checks -> published with its
+    geometry -> exports (AG9, FIL11, DQ1-DQ4, SNK8, SNK9, AG14). Raises, publishing
+    nothing, when a check fails. Everything is written before anything changes;
+    then speeds and geometry change in one step, and the exported files, which the
+    map reads, in another: the map has a whole set, old or new, at any time."""
+    staged = {SPEED: store.write_version(SPEED, SP.street_speed(store.read(SEGMENT_STREETS), cfg))}
+    speed = store.read_entry(SPEED, staged[SPEED])
     found = [QC.day_completeness(store.read(SEGMENT_STREETS), today_local - dt.timedelta(days=1), cfg),
-             QC.street_retention(staging, store.read(SPEED) if store.exists(SPEED) else None, cfg)]
+             QC.street_retention(speed, store.read(SPEED) if store.exists(SPEED) else None, cfg)]
     if now_utc is not None and store.exists(BRONZE):
         found.insert(0, QC.freshness(store.read(BRONZE), now_utc, cfg))
     failed = QC.failures(QC.checks(*found))
@@ -237,16 +251,16 @@ def gold_job(store: TableStore, today_local: dt.date, now_utc: dt.datetime | Non
         log.add("failed checks", failed)
     if failed and enforce_checks:
         raise AssertionError("failed checks: " + "; ".join(failed))
-    store.publish(STAGING, SPEED)
-    published = store.read(SPEED)
-    geometry = SP.street_geometry(store.read(EDGES), published)
-    store.overwrite(GEOMETRY, geometry)
+    staged[GEOMETRY] = store.write_version(GEOMETRY, SP.street_geometry(store.read(EDGES), speed))
+    if export_to:
+        out = open_export(store.spark, export_to)
+        exported = {t: out.write_version(t, store.read_entry(t, entry)) for t, entry in staged.items()}
+    store.commit(staged)  # SNK8: both tables in one step
     if export_to:
-        store.export(published, f"{export_to}/street_speed")
-        store.export(store.read(GEOMETRY), f"{export_to}/street_geometry")
+        out.commit(exported)
     if log:
         log.add("published", True)
-    return published
+    return store.read(SPEED)
 
 
 def run_daily(spark: SparkSession, store: TableStore, today_local: dt.date, releases: DataFrame,
@@ -286,6 +300,8 @@ def run_from_files(spark: SparkSession, store: TableStore, today_local: dt.date,
 
 def _report(store: TableStore, log: RunLog) -> None:
     """The run's figures into its log (AG17): a few rows."""
+    for table in table_schemas():
+        store.vacuum(table)
     rows = QC.run_report(store.read(EDGES), store.read(TRIP_SHAPE), store.read(SEGMENTS)).collect()
     log.add("report", {r["metric"]: r["value"] for r in rows})
 

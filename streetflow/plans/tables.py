@@ -1,37 +1,65 @@
 """Table sinks and maintenance on plain Parquet directories (SNK2-SNK10, SRC16).
 
-A table is a folder of versions, ``<root>/<name>/<version>``, and a small
-pointer file, ``<root>/_current/<name>``, that names the current one. A full
-write goes to a fresh version first and moves the pointer last, in one rename:
-until then readers see the old version, so a failed or killed write loses
-nothing. A table exists once a pointer does, whatever markers the committer
-writes. The version before the current one stays for frames that still read
-it; older ones, and leftovers of failed writes, go at the next full write.
-
-Partitioned tables use Hive-style ``col=value`` sub-directories so that date
-predicates become PartitionFilters. Day and partition replaces work inside the
-current version. All data moves through Spark's writer (task-retry safe under
-its commit protocol); the driver only lists, renames and removes directories
-through the Hadoop FileSystem API.
+Data is never changed in place. Every write goes to folders of its own,
+``<root>/<name>[/<col>=<value>]/_v=<version>``, and a small pointer file,
+``<root>/_current/<name>``, names the folders that a table consists of: for each
+value of its partition column the versions that hold its rows. The pointer moves
+last, in one rename. Until then readers see the old table, so a write that fails
+or is killed at any point loses nothing, and a replaced range of days changes as
+a whole. A pointer may name several tables (``sets``), which then change together.
+
+A partition that was written without rows stays in the pointer without versions,
+so a day that has been worked on is told from one that has not (``days``).
+Folders that the last commit took out stay for frames that still read them, and
+go with the next commit; ``vacuum`` removes what failed writes left. A pointer
+has one writer at a time.
+
+All data moves through Spark's writer; the driver only lists, renames and
+removes directories through the Hadoop FileSystem API, and holds a table's list
+of partitions.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import json
 import time
 import uuid
+from dataclasses import asdict, dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
+
+_VERSION = "_v"
+
+
+@dataclass(frozen=True)
+class Entry:
+    """What a pointer says of a table. ``parts``: versions by the partition's
+    directory value, or under "" without a partition column."""
+
+    schema: str
+    by: str | None
+    parts: dict[str, list[str]] = field(default_factory=dict)
+
+    def folders(self, name: str) -> list[str]:
+        return [f"{name}/{self.by}={p}/{_VERSION}={v}" if self.by else f"{name}/{_VERSION}={v}"
+                for p, versions in sorted(self.parts.items()) for v in versions]
+
+    def but(self, parts: dict[str, list[str]]) -> Entry:
+        return Entry(self.schema, self.by, parts)
 
 
 class TableStore:
-    def __init__(self, spark: SparkSession, root: str, schemas: dict | None = None):
+    def __init__(self, spark: SparkSession, root: str, schemas: dict | None = None,
+                 sets: dict[str, tuple[str, ...]] | None = None):
+        """``schemas`` are the tables' declared schemas, ``sets`` the tables that
+        share a pointer, by its name."""
         self.spark = spark
         self.root = root.rstrip("/")
-        # declared schemas: a committed table whose partitions were all
-        # retired still reads as an empty frame of the right shape
         self.schemas = dict(schemas or {})
+        self._pointer = {t: pointer for pointer, tables in (sets or {}).items() for t in tables}
         jvm = spark.sparkContext._jvm
         self._Path = jvm.org.apache.hadoop.fs.Path
         self._conf = spark.sparkContext._jsc.hadoopConfiguration()
@@ -45,26 +73,30 @@ class TableStore:
         p = self._Path(path)
         return p.getFileSystem(self._conf), p
 
-    def _version(self, name: str) -> str | None:
-        fs, p = self._fs(f"{self.root}/_current/{name}")
+    def _load(self, pointer: str) -> dict:
+        """{tables: {name: entry}, retired: [folders]} of a pointer."""
+        fs, p = self._fs(f"{self.root}/_current/{pointer}")
         if not fs.exists(p):
-            return None
+            return {"tables": {}, "retired": []}
         stream = fs.open(p)
         try:
-            return self.spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8").strip()
+            return json.loads(self.spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
         finally:
             stream.close()
 
-    def data(self, name: str) -> str:
-        """Folder of a table's current version."""
-        version = self._version(name)
-        if version is None:
+    def entry(self, name: str) -> Entry | None:
+        """The table as its pointer has it."""
+        held = self._load(self._pointer.get(name, name))["tables"].get(name)
+        return Entry(**held) if held else None
+
+    def _known(self, name: str) -> Entry:
+        if (entry := self.entry(name)) is None:
             raise FileNotFoundError(f"no table {name} under {self.root}")
-        return f"{self.path(name)}/{version}"
+        return entry
 
     def exists(self, name: str) -> bool:
         """SRC16: a table exists once a version of it was committed."""
-        return self._version(name) is not None
+        return self.entry(name) is not None
 
     def create_schema(self) -> None:
         """SNK10: the table root, if absent."""
@@ -72,105 +104,138 @@ class TableStore:
         fs.mkdirs(p)
 
     def read(self, name: str) -> DataFrame:
-        """The current version, by its declared schema where there is one."""
-        data = self.data(name)
-        reader = self.spark.read.option("basePath", data)
-        if name in self.schemas:
-            reader = reader.schema(self.schemas[name])
-        return reader.parquet(data)
+        """The current table, by its declared schema where there is one."""
+        return self.read_entry(name, self._known(name))
+
+    def read_entry(self, name: str, entry: Entry) -> DataFrame:
+        """The rows of an entry, committed or not."""
+        schema = self.schemas.get(name) or StructType.fromJson(json.loads(entry.schema))
+        folders = [self.path(f) for f in entry.folders(name)]
+        if not folders:
+            return self.spark.createDataFrame([], schema)
+        with_version = StructType([*schema.fields, StructField(_VERSION, StringType())])
+        return self.spark.read.option("basePath", self.path(name)).schema(with_version).parquet(*folders).drop(_VERSION)
 
     def partitions(self, name: str, col: str) -> list[str]:
-        """Values of the partition directories of a table (metadata only)."""
-        if not self.exists(name):
-            return []
-        fs, p = self._fs(self.data(name))
-        out = []
-        for st in fs.listStatus(p):
-            n = st.getPath().getName()
-            if st.isDirectory() and n.startswith(col + "="):
-                out.append(n[len(col) + 1:])
-        return sorted(out)
-
-    def drop_partition(self, name: str, col: str, value) -> None:
-        fs, p = self._fs(f"{self.data(name)}/{col}={value}")
-        if fs.exists(p):
-            fs.delete(p, True)
+        """Values of a table's partitions that have rows (metadata only)."""
+        entry = self.entry(name)
+        return sorted(p for p, versions in entry.parts.items() if versions) if entry and entry.by == col else []
+
+    def days(self, name: str) -> DataFrame:
+        """(day) of a table partitioned by days: all that were written, those
+        without rows too (metadata only)."""
+        entry = self.entry(name)
+        rows = [(dt.date.fromisoformat(p),) for p in entry.parts] if entry else []
+        return self.spark.createDataFrame(rows, "day date")
 
     # ----------------------------------------------------------- versions
-    def write_version(self, name: str, df: DataFrame, partition_by: list[str] | None = None) -> str:
-        """Write ``df`` as a new version, not yet current; returns its folder."""
-        version = f"v-{time.time_ns()}-{uuid.uuid4().hex[:8]}"
-        self._writer(df, partition_by).parquet(f"{self.path(name)}/{version}")
-        return f"{self.path(name)}/{version}"
-
-    def commit(self, name: str, folder: str) -> None:
-        """Make a written version the current one, then remove what is older
-        than the one before it."""
-        before, version = self._version(name), folder.rsplit("/", 1)[1]
-        fs, pointer = self._fs(f"{self.root}/_current/{name}")
-        _, fresh = self._fs(f"{self.root}/_current/.{name}-{version}")
+    def write_version(self, name: str, df: DataFrame, partition_by: list[str] | None = None) -> Entry:
+        """Write ``df`` beside the table; the entry makes it the table once it is
+        committed. Partitioned rows are first brought together by partition, and
+        AQE splits the large ones, so that not every task writes to every day."""
+        version = f"{time.time_ns()}-{uuid.uuid4().hex[:8]}"
+        if not partition_by:
+            df.write.parquet(f"{self.path(name)}/{_VERSION}={version}")
+            return Entry(df.schema.json(), None, {"": [version]})
+        (by,) = partition_by
+        schema = StructType([f for f in df.schema.fields if f.name != by] + [df.schema[by]])
+        rows = df.hint("rebalance", F.col(by)).withColumn(_VERSION, F.lit(version))
+        rows.write.partitionBy(by, _VERSION).mode("append").parquet(self.path(name))
+        fs, written = self._fs(f"{self.path(name)}/{by}=*/{_VERSION}={version}")
+        values = [st.getPath().getParent().getName()[len(by) + 1:] for st in fs.globStatus(written) or []]
+        return Entry(schema.json(), by, {v: [version] for v in values})
+
+    def commit(self, entries: dict[str, Entry]) -> None:
+        """Make entries the current tables: those of one pointer in one rename.
+        Then remove what the commit before this one took out."""
+        for pointer in dict.fromkeys(self._pointer.get(n, n) for n in entries):
+            now = self._load(pointer)
+            new = {n: e for n, e in entries.items() if self._pointer.get(n, n) == pointer}
+            old = {n: Entry(**e) for n, e in now["tables"].items() if n in new}
+            gone = {f for n, e in old.items() for f in e.folders(n)} - {f for n, e in new.items() for f in e.folders(n)}
+            tables = now["tables"] | {n: asdict(e) for n, e in new.items()}
+            self._move(pointer, json.dumps({"tables": tables, "retired": sorted(gone)}))
+            for folder in set(now["retired"]) - gone:
+                self._delete(folder)
+
+    def _move(self, pointer: str, text: str) -> None:
+        """Replace a pointer file in one rename."""
+        fs, current = self._fs(f"{self.root}/_current/{pointer}")
+        _, fresh = self._fs(f"{self.root}/_current/.{pointer}-{uuid.uuid4().hex}")
         stream = fs.create(fresh, True)
-        stream.write(bytearray(version, "utf-8"))
+        stream.write(bytearray(text, "utf-8"))
         stream.close()
         jvm, gateway = self.spark.sparkContext._jvm, self.spark.sparkContext._gateway
         rename = jvm.org.apache.hadoop.fs.Options.Rename
         how = gateway.new_array(rename, 1)
         how[0] = rename.OVERWRITE
-        jvm.org.apache.hadoop.fs.FileContext.getFileContext(pointer.toUri(), self._conf).rename(fresh, pointer, how)
-        fs, table = self._fs(self.path(name))
-        for st in fs.listStatus(table):
-            if st.getPath().getName() not in (version, before):
-                fs.delete(st.getPath(), True)
-
-    def _writer(self, df: DataFrame, partition_by: list[str] | None):
-        """A writer; partitioned rows are first brought together by partition, and
-        AQE splits the large ones, so that not every task writes to every day."""
-        if not partition_by:
-            return df.write
-        return df.hint("rebalance", *[F.col(c) for c in partition_by]).write.partitionBy(*partition_by)
+        jvm.org.apache.hadoop.fs.FileContext.getFileContext(current.toUri(), self._conf).rename(fresh, current, how)
+
+    def _delete(self, folder: str) -> None:
+        fs, p = self._fs(self.path(folder))
+        fs.delete(p, True)
+        up = p.getParent()
+        if "=" in up.getName() and not fs.listStatus(up):
+            fs.delete(up, False)
+
+    def vacuum(self, name: str, older_than: dt.timedelta = dt.timedelta(days=1)) -> None:
+        """Remove versions that no pointer names and that are older than any
+        write still under way: what failed or killed writes left."""
+        held = self._load(self._pointer.get(name, name))
+        keep = set(held["retired"]) | {f for n, e in held["tables"].items() for f in Entry(**e).folders(n)}
+        limit = time.time_ns() - int(older_than.total_seconds() * 1e9)
+        for pattern in (f"{_VERSION}=*", f"*=*/{_VERSION}=*"):
+            fs, p = self._fs(f"{self.path(name)}/{pattern}")
+            for st in fs.globStatus(p) or []:
+                folder = st.getPath()
+                up = folder.getParent().getName()
+                own = f"{name}/{up}/{folder.getName()}" if "/" in pattern else f"{name}/{folder.getName()}"
+                if own not in keep and int(folder.getName()[len(_VERSION) + 1:].split("-")[0]) < limit:
+                    self._delete(own)
 
     # -------------------------------------------------------------- sinks
-    def overwrite(self, name: str, df: DataFrame, partition_by: list[str] | None = None) -> None:
-        """SNK2: replace the whole table and its schema. ``df`` may read the table."""
-        self.commit(name, self.write_version(name, df, partition_by))
+    def overwrite(self, name: str, df: DataFrame, partition_by: list[str] | None = None,
+                  worked_on: list[str] | None = None) -> None:
+        """SNK2: replace the whole table and its schema. ``df`` may read the table.
+        ``worked_on`` are partitions to be remembered where they get no rows."""
+        entry = self.write_version(name, df, partition_by)
+        self.commit({name: entry.but(dict.fromkeys(worked_on or [], []) | entry.parts)})
+
+    def appended(self, name: str, df: DataFrame, partition_by: list[str] | None = None) -> Entry:
+        """The table with the rows of ``df``, written but not committed."""
+        new, old = self.write_version(name, df, partition_by), self.entry(name)
+        if old is None:
+            return new
+        return old.but({p: old.parts.get(p, []) + new.parts.get(p, []) for p in old.parts | new.parts})
 
     def append(self, name: str, df: DataFrame, partition_by: list[str] | None = None) -> None:
-        """SNK1: add rows."""
-        if not self.exists(name):
-            self.overwrite(name, df, partition_by)
-            return
-        self._writer(df, partition_by).mode("append").parquet(self.data(name))
+        """SNK1: add rows, all of them or none."""
+        self.commit({name: self.appended(name, df, partition_by)})
+
+    def replaced(self, name: str, df: DataFrame, partition_by: list[str]) -> Entry:
+        """The table with the partitions of ``df`` replaced, written but not committed."""
+        new, old = self.write_version(name, df, partition_by), self.entry(name)
+        return new if old is None else old.but(old.parts | new.parts)
 
     def overwrite_partitions(self, name: str, df: DataFrame, partition_by: list[str]) -> None:
         """SNK5: only the partitions present in ``df`` are replaced."""
-        if not self.exists(name):
-            self.overwrite(name, df, partition_by)
-            return
-        self._writer(df, partition_by).mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(
-            self.data(name))
+        self.commit({name: self.replaced(name, df, partition_by)})
 
     def replace_range(self, name: str, df: DataFrame, col: str, start: dt.date, end: dt.date) -> None:
-        """SNK3: rows of days start..end are replaced; a day in the range that
-        receives no rows ends up empty.
-
-        The range's partition directories are removed, then the new rows are
-        appended in one distributed write, so the input is computed once. If
-        the write fails, the range is missing rather than stale: the day-range
-        rule (latest loaded day + 1) recomputes it on the next run."""
-        df = df.where(F.col(col).between(F.lit(start), F.lit(end)))
-        if not self.exists(name):
-            self.overwrite(name, df, [col])
-            return
-        for v in self.partitions(name, col):
-            if start.isoformat() <= v <= end.isoformat():
-                self.drop_partition(name, col, v)
-        self.append(name, df, [col])
+        """SNK3: rows of days start..end are replaced in one step; a day in the
+        range that receives no rows ends up empty, and is remembered as done. A
+        write that fails leaves the days as they were."""
+        new = self.write_version(name, df.where(F.col(col).between(F.lit(start), F.lit(end))), [col])
+        old = self.entry(name) or new.but({})
+        cleared = {day: [] for day in days_of(start, end)}
+        self.commit({name: old.but(old.parts | cleared | new.parts)})
 
     def drop_before(self, name: str, col: str, earliest: dt.date) -> list[str]:
-        """SNK6: retention by date, one partition directory at a time."""
-        gone = [v for v in self.partitions(name, col) if v < earliest.isoformat()]
-        for v in gone:
-            self.drop_partition(name, col, v)
+        """SNK6: retention by date; metadata only."""
+        entry = self._known(name)
+        gone = sorted(p for p in entry.parts if p < earliest.isoformat()) if entry.by == col else []
+        if gone:
+            self.commit({name: entry.but({p: v for p, v in entry.parts.items() if p not in gone})})
         return gone
 
     def replace_keys(self, name: str, new_rows: DataFrame, keys: DataFrame, key: str) -> None:
@@ -195,11 +260,7 @@ class TableStore:
         if not rows.join(keys, key, "left_anti").isEmpty():
             self.overwrite(name, rows.join(keys, key, "left_semi"))
 
-    def publish(self, staging: str, published: str) -> None:
-        """SNK8: the checked staging table becomes the published one, which is
-        readable as it was until the last step."""
-        self.overwrite(published, self.read(staging))
 
-    def export(self, df: DataFrame, path: str) -> None:
-        """SNK9: distributed Parquet export (no driver collect, no single task)."""
-        df.write.mode("overwrite").parquet(path)
+def days_of(start: dt.date, end: dt.date) -> list[str]:
+    """The days start..end as partition values."""
+    return [(start + dt.timedelta(days=i)).isoformat() for i in range((end - start).days + 1)]

@@ -380,25 +380,30 @@ def checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).select(*CHECK_VIEW)
 
 
-def _days(spark: SparkSession, loaded: DataFrame, today: dt.date, **gate) -> DataFrame:
-    """The day range that the jobs compute, as a row (none when up to date)."""
-    days = INC.day_range(today, loaded.agg(F.max("date_rome")).first()[0], **gate)
-    return spark.createDataFrame([days] if days else [], "start_date date, end_date date")
+def _days_loaded(spark: SparkSession, sf_dir: str, until: dt.date) -> DataFrame:
+    return _segments(spark, sf_dir).where(F.col("date_rome") <= F.lit(until)).select(F.col("date_rome").alias("day"))
 
 
 def days_to_process(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Loaded through 2024-03-30, today 2024-04-05."""
     prepare(spark)
-    loaded = _segments(spark, sf_dir).where(F.col("date_rome") <= F.lit(dt.date(2024, 3, 30)))
-    return _days(spark, loaded, dt.date(2024, 4, 5))
+    return INC.missing_days(_days_loaded(spark, sf_dir, dt.date(2024, 3, 30)), *INC.span(dt.date(2024, 4, 5)))
 
 
 def days_to_process_gated(spark: SparkSession, sf_dir: str) -> DataFrame:
     """As above, today 2024-04-07, waiting for the next day's schedule."""
     prepare(spark)
-    loaded = _segments(spark, sf_dir).where(F.col("date_rome") <= F.lit(dt.date(2024, 3, 30)))
     newest = _table(spark, sf_dir, "trip_shape").agg(F.max("static_date")).first()[0]
-    return _days(spark, loaded, dt.date(2024, 4, 7), newest_release=newest, gated=True)
+    return INC.missing_days(_days_loaded(spark, sf_dir, dt.date(2024, 3, 30)),
+                            *INC.span(dt.date(2024, 4, 7), newest, gated=True))
+
+
+def days_with_holes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As the first, but 2024-03-28 and 2024-03-29 were never written."""
+    prepare(spark)
+    loaded = _days_loaded(spark, sf_dir, dt.date(2024, 3, 31)).where(
+        ~F.col("day").isin(dt.date(2024, 3, 28), dt.date(2024, 3, 29)))
+    return INC.missing_days(loaded, *INC.span(dt.date(2024, 4, 5)))
 
 
 # ----------------------------------------------------------------- serving
@@ -623,6 +628,6 @@ def export(spark: SparkSession, sf_dir: str) -> DataFrame:
     store = _gold_store(spark, sf_dir, "export")
     out = f"{store.root}/export"
     daily.gold_job(store, dt.date(2024, 4, 3), export_to=out)
-    speed = spark.read.parquet(f"{out}/street_speed")
-    geo = spark.read.parquet(f"{out}/street_geometry")
+    exported = daily.open_export(spark, out)
+    speed, geo = exported.read(daily.SPEED), exported.read(daily.GEOMETRY)
     return speed.join(geo.select("way_id", F.size("path").alias("vertices")), "way_id").select(*SPEED_COLS, "vertices")

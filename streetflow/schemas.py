@@ -45,6 +45,9 @@ VEHICLE_POSITIONS = _s(
     ("ingested_at", TimestampType()),
 )
 
+#: One row per snapshot that has landed.
+LANDED_SNAPSHOTS = _s(("feed_timestamp", TimestampType()), ("date", DateType()))
+
 VEHICLE_SEGMENTS = _s(
     ("vehicle_id", StringType()), ("trip_id", StringType()), ("route_id", StringType()),
     ("direction_id", IntegerType()), ("from_ts", TimestampType()), ("to_ts", TimestampType()),

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from streetflow.plans import daily
 from streetflow.plans import views as V
 from streetflow.plans.tables import TableStore
+from streetflow.schemas import SEGMENT_STREETS
 from streetflow.sources import fixtures as fx
 from streetflow.sources import snapshots as SN
 
@@ -147,7 +148,7 @@ def test_one_run_from_raw_files_to_export(spark, tmp_path):
                                        str(tmp_path / "out"), raw_glob="*.txt", cfg=cfg)
     report = dict(run().steps)["report"]
     assert report["ways"] > 0 and report["segments"] == store.read(daily.SEGMENTS).count()
-    exported = spark.read.parquet(str(tmp_path / "out" / "street_speed")).count()
+    exported = daily.open_export(spark, str(tmp_path / "out")).read(daily.SPEED).count()
     assert exported == store.read(daily.SPEED).count() > 0
     lines = _files(tmp_path / "t" / daily.SHAPE_STREETS)
     assert dict(run().steps)["new releases"] == []
@@ -156,3 +157,87 @@ def test_one_run_from_raw_files_to_export(spark, tmp_path):
 
 def _files(folder):
     return {str(p) for p in folder.rglob("part-*")}
+
+
+def _gold_inputs(spark, store):
+    ways = [(i, "S", "primary", 0, 41.9, 12.5 + i / 1000, 41.9, 12.5005 + i / 1000, 40.0) for i in range(4)]
+    store.overwrite(daily.EDGES, spark.createDataFrame(ways, daily.table_schemas()[daily.EDGES]))
+
+    def snapped(kinds, speed):
+        rows = [(dt.date(2024, 4, 2), 1, 8, f"v{k}", "r", w, "S", "primary", speed, 1.0) for w in kinds for k in range(3)]
+        store.overwrite(daily.SEGMENT_STREETS, spark.createDataFrame(rows, SEGMENT_STREETS), ["date_rome"])
+
+    return snapped
+
+
+def test_publish_and_export_fail_whole(spark, tmp_path, monkeypatch):
+    """A failure at any step of publishing leaves the map a whole old set, and speeds
+    and geometry never differ; the next run goes through."""
+    import dataclasses
+
+    store = daily.open_store(spark, str(tmp_path / "t"))
+    store.create_schema()
+    snapped = _gold_inputs(spark, store)
+    cfg = dataclasses.replace(daily.DEFAULT, min_segments=1, min_street_share=0.0)
+    out = str(tmp_path / "out")
+    snapped([0, 1], 20.0)
+    daily.gold_job(store, dt.date(2024, 4, 3), cfg=cfg, export_to=out)
+
+    def sets():
+        shown = daily.open_export(spark, out)
+        return [sorted(r.way_id for r in s.read(t).select("way_id").distinct().collect())
+                for s in (store, shown) for t in (daily.SPEED, daily.GEOMETRY)]
+
+    assert sets() == [[0, 1]] * 4
+    snapped([1, 2, 3], 30.0)
+    real_write, real_move = TableStore.write_version, TableStore._move
+    for step in range(6):  # four writes, two moves of a pointer
+        calls = iter(range(100))
+
+        def failing(real, step=step, calls=calls):
+            def call(self, *args, **kw):
+                if next(calls) == step:
+                    raise OSError("lost")
+                return real(self, *args, **kw)
+            return call
+
+        monkeypatch.setattr(TableStore, "write_version", failing(real_write))
+        monkeypatch.setattr(TableStore, "_move", failing(real_move))
+        with pytest.raises(OSError):
+            daily.gold_job(store, dt.date(2024, 4, 3), cfg=cfg, export_to=out)
+        monkeypatch.undo()
+        speeds, geometry, map_speeds, map_geometry = sets()
+        assert map_speeds == map_geometry == [0, 1] and speeds == geometry
+        assert speeds == ([1, 2, 3] if step == 5 else [0, 1])
+    daily.gold_job(store, dt.date(2024, 4, 3), cfg=cfg, export_to=out)
+    assert sets() == [[1, 2, 3]] * 4
+
+
+def test_task_failure_in_an_export_keeps_the_map(spark, tmp_path):
+    out = daily.open_export(spark, str(tmp_path / "out"))
+    good = spark.range(50).select(F.col("id").alias("way_id"))
+    bad = good.select(F.when(F.col("way_id") == 40, F.raise_error(F.lit("lost"))).otherwise(F.col("way_id")).alias("way_id"))
+    store = TableStore(spark, str(tmp_path / "out"), sets={"export": ("a", "b")})
+    store.commit({t: store.write_version(t, good) for t in ("a", "b")})
+    with pytest.raises(Exception, match="lost"):
+        store.commit({t: store.write_version(t, df) for t, df in (("a", good.limit(1)), ("b", bad))})
+    assert store.read("a").count() == store.read("b").count() == 50
+    assert not out.exists(daily.SPEED)
+
+
+def test_a_missing_middle_day_is_computed_and_an_empty_one_remembered(spark, tmp_path):
+    store = daily.open_store(spark, str(tmp_path / "t"))
+    store.create_schema()
+    store.overwrite(daily.BRONZE, fx.positions(spark, SF), ["date"])
+    today = dt.date(2024, 4, 6)
+    first = daily.segments_job(store, today)
+    assert first == [(dt.date(2024, 1, 7), dt.date(2024, 4, 5))]
+    whole = _rows(store.read(daily.SEGMENTS).select("vehicle_id", "to_ts", "date_rome"))
+    assert daily.segments_job(store, today) == []  # days without rows are known
+    entry = store.entry(daily.SEGMENTS)
+    lost = [p for p, v in sorted(entry.parts.items()) if v][1:3]
+    store.commit({daily.SEGMENTS: entry.but({p: v for p, v in entry.parts.items() if p not in lost})})
+    assert len(_rows(store.read(daily.SEGMENTS))) < len(whole)
+    again = daily.segments_job(store, today)
+    assert [day for s, e in again for day in daily.days_of(s, e)] == lost
+    assert _rows(store.read(daily.SEGMENTS).select("vehicle_id", "to_ts", "date_rome")) == whole

@@ -51,18 +51,32 @@ def test_failures_named_together(spark):
     assert "freshness" in str(e.value) and "street_retention" in str(e.value)
 
 
-def test_day_ranges():
+def _islands(spark, done, days, rebuild=False):
+    return INC.islands(spark.createDataFrame([(d(x),) for x in done], "day date"), days, rebuild)
+
+
+def test_day_ranges(spark):
     today = d("2024-04-05")
-    assert INC.day_range(today, d("2024-04-03")) == (d("2024-04-04"), d("2024-04-04"))
-    assert INC.day_range(today, d("2024-04-04")) is None
-    assert INC.day_range(today, None) == (d("2024-01-06"), d("2024-04-04"))
-    assert INC.day_range(today, d("2024-04-02"), newest_release=d("2024-04-04"), gated=True) == (
-        d("2024-04-03"), d("2024-04-03"))
-    assert INC.day_range(today, d("2024-04-02"), newest_release=None, gated=True) is None
-
-
-def test_day_range_waits_for_the_schedule():
-    today, latest = d("2024-04-05"), d("2024-04-02")
-    assert INC.day_range(today, latest, newest_release=d("2024-04-04"), gated=True) == (d("2024-04-03"), d("2024-04-03"))
-    assert INC.day_range(today, latest, newest_release=None, gated=True) is None
-    assert INC.day_range(today, latest, newest_release=d("2024-04-03"), gated=True) is None
+    last = d("2024-04-04")
+    assert INC.span(today) == (d("2024-01-06"), last)
+    assert _islands(spark, ["2024-04-03"], INC.span(today)) == [(last, last)]
+    assert _islands(spark, ["2024-04-03", "2024-04-04"], INC.span(today)) == []
+    assert _islands(spark, [], INC.span(today)) == [(d("2024-01-06"), last)]
+    assert _islands(spark, ["2024-04-03"], INC.span(today), rebuild=True) == [(d("2024-01-06"), last)]
+    # done days outside the history do not count; nor do days before the first
+    assert _islands(spark, ["2023-12-01", "2024-04-09"], INC.span(today)) == [(d("2024-01-06"), last)]
+
+
+def test_day_range_waits_for_the_schedule(spark):
+    today = d("2024-04-05")
+    days = INC.span(today, newest_release=d("2024-04-04"), gated=True)
+    assert _islands(spark, ["2024-04-02"], days) == [(d("2024-04-03"), d("2024-04-03"))]
+    assert INC.span(today, newest_release=None, gated=True) is None
+    assert _islands(spark, ["2024-04-02"], INC.span(today, newest_release=d("2024-04-03"), gated=True)) == []
+
+
+def test_holes_are_islands_of_their_own(spark):
+    done = ["2024-03-20", "2024-03-23", "2024-03-24", "2024-03-26", "2024-04-03"]
+    assert _islands(spark, done, INC.span(d("2024-04-05"))) == [
+        (d("2024-03-21"), d("2024-03-22")), (d("2024-03-25"), d("2024-03-25")), (d("2024-03-27"), d("2024-04-02")),
+        (d("2024-04-04"), d("2024-04-04"))]

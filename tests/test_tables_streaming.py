@@ -19,6 +19,119 @@ def test_range_replace_clears_empty_day(spark, tmp_store):
     assert got == [(d("2024-01-01"), 1), (d("2024-01-02"), 20)]
 
 
+def test_range_replace_is_whole_or_not_at_all(spark, tmp_path, monkeypatch):
+    """Days 1 to 6; a replace of 3 to 4 fails in a task, before the pointer moves, and while it moves."""
+    import pytest
+
+    from streetflow.operators import incremental as INC
+
+    store = TableStore(spark, str(tmp_path / "t"))
+    days = spark.range(60).select("id", F.expr("date'2024-01-01' + int(id % 6)").alias("day"))
+    store.overwrite("t", days, ["day"])
+    span = d("2024-01-03"), d("2024-01-04")
+    lost = F.when(F.col("id") == 21, F.raise_error(F.lit("lost"))).otherwise(F.col("id") + 100).alias("id")
+
+    def per_day():
+        return sorted((r["day"].day, r["n"], r["m"]) for r in store.read("t").groupBy("day").agg(
+            F.count("*").alias("n"), F.max("id").alias("m")).collect())
+
+    before = per_day()
+    with pytest.raises(Exception, match="lost"):
+        store.replace_range("t", days.select(lost, "day"), "day", *span)
+    assert per_day() == before
+    new = days.where("id < 30").select((F.col("id") + 100).alias("id"), "day")
+    for name in ("commit", "_move"):
+        def failing(*args, **kw):
+            raise OSError("killed")
+        monkeypatch.setattr(store, name, failing)
+        with pytest.raises(OSError):
+            store.replace_range("t", new, "day", *span)
+        monkeypatch.undo()
+        assert per_day() == before
+    held = store.read("t")
+    store.replace_range("t", new.where("day <> date'2024-01-04'"), "day", *span)
+    assert per_day() == [(1, 10, 54), (2, 10, 55), (3, 5, 126), (5, 10, 58), (6, 10, 59)]
+    assert held.count() == 60  # frames that read the old days go on
+    done = store.days("t")
+    assert done.count() == 6 and INC.islands(done, (d("2024-01-01"), d("2024-01-06"))) == []
+    assert store.partitions("t", "day") == ["2024-01-01", "2024-01-02", "2024-01-03", "2024-01-05", "2024-01-06"]
+    # a range that loses all its rows
+    store.replace_range("t", new.where("false"), "day", d("2024-01-01"), d("2024-01-06"))
+    assert store.read("t").count() == 0 and store.read("t").columns == ["id", "day"] and store.days("t").count() == 6
+
+
+def test_appends_are_whole_and_tables_of_a_set_move_together(spark, tmp_path, monkeypatch):
+    import pytest
+
+    store = TableStore(spark, str(tmp_path / "t"), sets={"both": ("a", "b")})
+    rows = spark.range(10).select("id", F.lit("x y/é").alias("part"))
+    store.append("a", rows, ["part"])
+    store.append("b", rows.drop("part"))
+    assert sorted(r[0] for r in store.read("a").select("part").distinct().collect()) == ["x y/é"]
+
+    def failing(*args):
+        raise OSError("killed")
+
+    new = {"a": store.appended("a", rows, ["part"]), "b": store.appended("b", rows.drop("part"))}
+    monkeypatch.setattr(store, "_move", failing)
+    with pytest.raises(OSError):
+        store.commit(new)
+    monkeypatch.undo()
+    assert (store.read("a").count(), store.read("b").count()) == (10, 10)
+    store.commit(new)
+    assert (store.read("a").count(), store.read("b").count()) == (20, 20)
+    assert store.read("a").where("part = 'x y/é'").count() == 20
+    store.append("a", rows.withColumn("part", F.lit(None).cast("string")), ["part"])
+    assert store.read("a").where("part is null").count() == 10
+
+
+def test_a_batch_reads_no_positions_of_landed_days(spark, tmp_path):
+    """Files of the first positions are removed: another batch of that day still lands,
+    since only the narrow table of snapshots is read; a snapshot that comes again needs them."""
+    from streetflow.plans import daily
+
+    raw = tmp_path / "raw"
+    raw.mkdir()
+    store = daily.open_store(spark, str(tmp_path / "t"))
+    for k in range(3):
+        (raw / f"a{k}.json").write_text(_snapshot(1711965600 + k, ["1", "2"]))
+        ingest(spark, str(raw), store, str(tmp_path / "ck"))
+    assert store.read(daily.BRONZE).count() == 6 and store.read(daily.LANDED).count() == 3
+    reads = []
+    real = store.read
+    store.read = lambda name: reads.append(name) or real(name)
+    (raw / "b.json").write_text(_snapshot(1711965700, ["1"]))
+    ingest(spark, str(raw), store, str(tmp_path / "ck"))
+    assert daily.BRONZE not in reads and daily.LANDED in reads
+    (raw / "c.json").write_text(_snapshot(1711965700, ["1", "9"]))  # again, with one more vehicle
+    ingest(spark, str(raw), store, str(tmp_path / "ck"))
+    assert daily.BRONZE in reads
+    assert real(daily.BRONZE).count() == 8 and real(daily.LANDED).count() == 4
+
+
+def test_a_batch_killed_before_its_commit_lands_once(spark, tmp_path):
+    import pytest
+
+    from streetflow.plans import daily
+
+    raw = tmp_path / "raw"
+    raw.mkdir()
+    store = daily.open_store(spark, str(tmp_path / "t"))
+    (raw / "a.json").write_text(_snapshot(1711965600, ["1", "2"]))
+    real = store._move
+
+    def failing(pointer, text):
+        raise OSError("killed")
+
+    store._move = failing
+    with pytest.raises(Exception, match="killed"):
+        ingest(spark, str(raw), store, str(tmp_path / "ck"))
+    assert not store.exists(daily.BRONZE) and not store.exists(daily.LANDED)
+    store._move = real
+    ingest(spark, str(raw), store, str(tmp_path / "ck"))
+    assert store.read(daily.BRONZE).count() == 2 and store.read(daily.LANDED).count() == 1
+
+
 def test_retention_and_orphans(spark, tmp_store):
     ts = spark.createDataFrame([(d("2024-01-01"), "t1", "h1"), (d("2024-01-05"), "t2", "h1"),
                                 (d("2024-01-01"), "t3", "h2")], "static_date date, trip_id string, shape_hash string")
@@ -66,7 +179,12 @@ def test_failed_write_keeps_the_published_table(spark, tmp_path):
     held = store.read("street_speed")
     store.overwrite("street_speed", held.where("way_id < 50"))  # may read what it replaces
     assert store.read("street_speed").count() == 50 and held.count() == 100
-    assert len(list((tmp_path / "t" / "street_speed").iterdir())) == 2
+    # leftovers of the failed and the killed write go once they are old, and what the last commit replaced stays
+    folder = tmp_path / "t" / "street_speed"
+    store.vacuum("street_speed")
+    assert len(list(folder.iterdir())) > 2
+    store.vacuum("street_speed", dt.timedelta(0))
+    assert len(list(folder.iterdir())) == 2 and held.count() == 100
 
 
 def test_existence_does_not_hang_on_success_markers(spark, tmp_path):
