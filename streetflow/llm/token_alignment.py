@@ -20,6 +20,7 @@ from functools import lru_cache
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -27,7 +28,7 @@ from streetflow.llm.graph import staged
 
 #: Code points of text that are aligned at a time, and links that are counted at a time.
 _SLICE_CHARS = 1 << 18
-_LINKS = 1 << 20
+_LINKS = 1 << 19
 #: Every so many tokens of the driving list one is searched from the list's start, the rest from that one.
 _STRIDE = 16
 #: Pairs whose counts are sent to every task; the rarer ones are joined.
@@ -35,7 +36,7 @@ _HEAD = 1 << 18
 #: A writer holds so much of the lists before they go to disk.
 _ROW_GROUP = {"parquet.block.size": 1 << 24}
 
-ALIGNED = "row long, doc_id long, a_ids array<int>, b_ids array<int>, a_first array<int>, a_links array<int>"
+ALIGNED = "row long, doc_id long, a_ids binary, b_ids binary, a_spans binary"
 
 
 # ------------------------------------------------------------------ intersection
@@ -165,11 +166,20 @@ def _encoded(texts: list[str], a: Side, b: Side) -> tuple[list[np.ndarray], list
     return [x for x, _ in pairs], [y for _, y in pairs]
 
 
-def _lists(arrays: list[np.ndarray]) -> pa.ListArray:
-    offsets = np.zeros(len(arrays) + 1, np.int32)
-    np.cumsum([len(x) for x in arrays], out=offsets[1:])
-    flat = np.concatenate(arrays) if arrays else np.zeros(0)
-    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat.astype(np.int32), pa.int32()))
+def _packed(arrays: list[np.ndarray]) -> pa.BinaryArray:
+    """Each array as its 32-bit integers."""
+    ends = np.cumsum([0, *map(len, arrays)]) * 4
+    flat = np.concatenate(arrays).astype("<i4") if arrays else np.zeros(0, "<i4")
+    return pa.Array.from_buffers(pa.large_binary(), len(arrays), [None, pa.py_buffer(ends), pa.py_buffer(flat)]).cast(pa.binary())
+
+
+def _unpacked(column: pa.BinaryArray) -> tuple[np.ndarray, np.ndarray]:
+    """(the integers of all rows, their number in each row)."""
+    column = column.cast(pa.large_binary())
+    _, offsets, data = column.buffers()
+    ends = np.frombuffer(offsets, np.int64, len(column) + 1, column.offset * 8)
+    flat = np.frombuffer(data, np.uint8)[ends[0]:ends[-1]] if data is not None else np.zeros(0, np.uint8)
+    return flat.view("<i4").astype(np.int64), np.diff(ends) // 4
 
 
 def _texts(column: pa.Array) -> Iterator[tuple[int, list[str]]]:
@@ -185,11 +195,11 @@ def _texts(column: pa.Array) -> Iterator[tuple[int, list[str]]]:
 
 
 def align(docs: DataFrame, a_path: str, b_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(row, doc_id, a_ids, b_ids, a_first, a_links) of each row: the ids of the text
-    after a space by the byte-level file ``a_path`` and by the sentencepiece model
-    ``b_path`` (files that every executor has), and for each a token the index of
-    the first b token that it overlaps and the number of them. A group ends with
-    each a token whose last b token is not the next one's first.
+    """(row, doc_id, a_ids, b_ids, a_spans) of each row: the ids of the text after a
+    space by the byte-level file ``a_path`` and by the sentencepiece model ``b_path``
+    (files that every executor has), and for each a token the number of b tokens that
+    it overlaps, below 0 where a group ends with it. The lists are packed as 32-bit
+    integers; ``lists`` unpacks them.
 
     ``row`` numbers the rows. Texts that are null or empty, or that a tokenizer
     changes, have no tokens. Ids may be null or repeat; each row is aligned by
@@ -205,44 +215,57 @@ def align(docs: DataFrame, a_path: str, b_path: str, id_col: str = "doc_id", tex
                 # the lists of a slice are one list: every text's end is an end on both sides
                 first, links = overlaps(np.cumsum(a.size[np.concatenate(a_ids)]), np.cumsum(b.size[np.concatenate(b_ids)]))
                 cut = np.cumsum([len(x) for x in a_ids])[:-1]
-                first = first - np.repeat(np.cumsum([0, *map(len, b_ids[:-1])]), list(map(len, a_ids)))
+                ends = np.append(first[1:], sum(map(len, b_ids))) == first + links
+                spans = np.split(np.where(ends, -links, links), np.cumsum([len(x) for x in a_ids])[:-1])
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(lo, len(texts)), batch.column(1).slice(lo, len(texts)), _lists(a_ids),
-                     _lists(b_ids), _lists(np.split(first, cut)), _lists(np.split(links, cut))],
-                    names=["row", "doc_id", "a_ids", "b_ids", "a_first", "a_links"])
+                    [batch.column(0).slice(lo, len(texts)), batch.column(1).slice(lo, len(texts)), _packed(a_ids),
+                     _packed(b_ids), _packed(spans)], names=["row", "doc_id", "a_ids", "b_ids", "a_spans"])
 
     return staged(docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("doc_id"),
                               F.col(text_col).cast("string").alias("text")).mapInArrow(run, ALIGNED), "aligned", **_ROW_GROUP)
 
 
 class Links:
-    """Links of a batch of aligned rows: positions, ids and rows of both ends, flat."""
+    """Links of a batch of aligned rows: positions, ids and rows of both ends, flat.
+    ``first`` and ``count`` are the range of b tokens of each a token, ``last``
+    whether a group ends with it."""
 
     def __init__(self, batch: pa.RecordBatch) -> None:
-        def column(name: str) -> tuple[np.ndarray, np.ndarray]:
-            x = batch.column(name)
-            return x.flatten().to_numpy().astype(np.int64), np.diff(x.offsets.to_numpy())
-
-        self.a_ids, self.n_a = column("a_ids")
-        self.b_ids, self.n_b = column("b_ids")
-        first, _ = column("a_first")
-        self.count, _ = column("a_links")
-        self.first = first + np.repeat(np.cumsum(self.n_b) - self.n_b, self.n_a)
+        self.a_ids, self.n_a = _unpacked(batch.column("a_ids"))
+        self.b_ids, self.n_b = _unpacked(batch.column("b_ids"))
+        spans, _ = _unpacked(batch.column("a_spans"))
+        self.count, self.last = np.abs(spans), spans < 0
+        # the next token's range begins with this one's last b token, or after it where a group ends
+        step = self.count - 1 + self.last
+        self.first = np.cumsum(step) - step
         self.a = np.repeat(np.arange(len(self.a_ids)), self.count)
         self.b = np.repeat(self.first, self.count) + _within(self.count)
         self.row = np.repeat(np.repeat(np.arange(batch.num_rows), self.n_a), self.count)
         self.key = (self.a_ids[self.a] << 32) | self.b_ids[self.b]
 
-    def a_ends(self) -> np.ndarray:
-        """Whether a group ends with each a token."""
-        after = np.append(self.first[1:], len(self.b_ids))
-        return after == self.first + self.count
+
+def lists(aligned: DataFrame) -> DataFrame:
+    """Aligned rows with plain lists: (row, doc_id, a_ids, b_ids, a_first, a_links),
+    the last two being the first b token that each a token overlaps and their number."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in _parts(batches):
+            x = Links(part)
+            first = x.first - np.repeat(np.cumsum(x.n_b) - x.n_b, x.n_a)
+            yield pa.RecordBatch.from_arrays(
+                [part.column("row"), part.column("doc_id"),
+                 *(pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(n)).astype(np.int32)), pa.array(v, pa.int32()))
+                   for v, n in ((x.a_ids, x.n_a), (x.b_ids, x.n_b), (first, x.n_a), (x.count, x.n_a)))],
+                names=["row", "doc_id", "a_ids", "b_ids", "a_first", "a_links"])
+
+    return aligned.mapInArrow(
+        run, "row long, doc_id long, a_ids array<int>, b_ids array<int>, a_first array<int>, a_links array<int>")
 
 
 def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Slices of a bounded number of tokens; one longer row is its own."""
     for batch in batches:
-        ends = batch.column("a_ids").offsets.to_numpy()
+        ends = np.append(0, np.cumsum(pc.binary_length(batch.column("a_ids")).to_numpy() // 4))
         lo = 0
         while lo < batch.num_rows:
             hi = max(lo + 1, int(np.searchsorted(ends, ends[lo] + _LINKS // 2, "right")) - 1)
@@ -316,7 +339,7 @@ def link_figures(aligned: DataFrame, pairs: DataFrame, digest: Callable[[Links],
             a_row = np.repeat(np.arange(rows), x.n_a)
             yield pa.RecordBatch.from_arrays([
                 part.column("row"), part.column("doc_id"), pa.array(x.n_a.astype(np.int64)), pa.array(x.n_b.astype(np.int64)),
-                pa.array(per(a_row, x.a_ends()).astype(np.int64)), pa.array(np.bincount(x.row, minlength=rows)),
+                pa.array(per(a_row, x.last).astype(np.int64)), pa.array(np.bincount(x.row, minlength=rows)),
                 pa.array(per(x.row[hit], best[at[hit]]).astype(np.int64)), pa.array(total),
                 pa.ListArray.from_arrays(pa.array(offsets), rare),
                 pa.array(digest(x) if digest else [None] * rows, pa.string())], names=names)
@@ -339,7 +362,7 @@ def link_figures(aligned: DataFrame, pairs: DataFrame, digest: Callable[[Links],
 
 def group_texts(x: Links) -> list[str]:
     """``a1,a2|b1;a3|b2,b3`` for each row: decimal ids of the groups, in order."""
-    a_last = x.a_ends()
+    a_last = x.last
     last = np.flatnonzero(a_last)
     b_last = np.zeros(len(x.b_ids), bool)
     b_last[x.first[last] + x.count[last] - 1] = True

@@ -106,6 +106,15 @@ def test_ids_are_those_of_the_library():
     assert ta.byte_level(A_PATH).encode(texts) == expected
 
 
+def test_lists_give_the_overlaps(spark):
+    texts = [t for t in some_texts()[:60]]
+    a, b = ta.byte_level(A_PATH), ta.sentence_pieces(B_PATH)
+    for r in ta.lists(ta.align(docs_of(spark, texts), A_PATH, B_PATH)).collect():
+        a_end, b_end = np.cumsum(a.size[r["a_ids"]]), np.cumsum(b.size[r["b_ids"]])
+        first, links = ta.overlaps(a_end, b_end)
+        assert r["a_first"] == first.tolist() and r["a_links"] == links.tolist()
+
+
 def test_empty_table_and_no_tokens(spark):
     assert rows_of(alignment(docs_of(spark, []))) == []
     assert rows_of(alignment(docs_of(spark, [None, ""]))) == [(i, 0, 0, 0, 0, 0, 0, "") for i in range(2)]
