@@ -131,8 +131,31 @@ blk_w as (
    b % 7 = 2 as bus_ok
  from blk
 ),
-way_v as (select * from grid_v union all select * from blk_v),
-way_t as (select way_id, name, highway, false as bus_ok from grid_w union all select * from blk_w),
+corner_v as (
+ select event_id + 500000000 as way_id, s as vseq,
+   case when s = 0 then 42.0985e0 else 42.1005e0 end + case when event_id % 2 = 0 then 0.0e0 else 0.002e0 end as lat,
+   case when s = 0 then 12.7505e0 else 12.7485e0 end as lon
+ from (select event_id, unnest(generate_series(0, 1)) as s from events where event_id % 150 < 2) c
+),
+way_v as (select * from grid_v union all select * from blk_v union all select * from corner_v),
+way_t as (select way_id, name, highway, false as bus_ok from grid_w union all select * from blk_w
+          union all select distinct way_id, cast(null as varchar), 'trunk', false from corner_v),
+-- pieces of ways, and where along them the box begins and ends
+piece as (
+ select way_id, vseq, lat, lon, lead(lat) over w - lat as dlat, lead(lon) over w - lon as dlon
+ from way_v window w as (partition by way_id order by vseq)
+),
+cut as (
+ select way_id, greatest(0.0e0,
+     case when dlat = 0 then 0.0e0 else least((41.68e0 - lat) / dlat, (42.10e0 - lat) / dlat) end,
+     case when dlon = 0 then 0.0e0 else least((12.20e0 - lon) / dlon, (12.75e0 - lon) / dlon) end) as t_in,
+   least(1.0e0,
+     case when dlat = 0 then 1.0e0 else greatest((41.68e0 - lat) / dlat, (42.10e0 - lat) / dlat) end,
+     case when dlon = 0 then 1.0e0 else greatest((12.20e0 - lon) / dlon, (12.75e0 - lon) / dlon) end) as t_out
+ from piece where dlat is not null
+   and (dlat <> 0 or lat between 41.68e0 and 42.10e0) and (dlon <> 0 or lon between 12.20e0 and 12.75e0)
+),
+crossing as (select distinct way_id from cut where t_in <= t_out),
 sel as (
  select t.way_id, t.name as street, t.highway, count(*) as vertices
  from way_t t join way_v v using (way_id)
@@ -141,6 +164,7 @@ sel as (
     or (t.highway = 'service' and t.bus_ok)
  group by all
  having bool_or(v.lat between 41.68e0 and 42.10e0 and v.lon between 12.20e0 and 12.75e0)
+   or t.way_id in (select way_id from crossing)
 ),
 edge0 as (
  select v.way_id, s.street, s.highway,
@@ -264,6 +288,8 @@ shape_streets as (
 )"""
 
 Q["ways_selected"] = with_(VERT) + " select way_id, street, highway, cast(vertices as integer) as vertices from sel"
+Q["ways_with_vertex"] = with_(VERT) + """ select way_id, street, highway, cast(vertices as integer) as vertices from sel
+where way_id in (select way_id from way_v where lat between 41.68e0 and 42.10e0 and lon between 12.20e0 and 12.75e0)"""
 Q["street_edges"] = with_(VERT) + """
 select way_id, street, highway, seq, from_lat, from_lon, to_lat, to_lon, round(length_m, 6) as length_m from edges"""
 Q["street_length"] = with_(VERT) + " select way_id, round(street_m, 6) as street_m from street_len"
@@ -398,6 +424,19 @@ select distinct p.vehicle_id, p.to_epoch, e.way_id, e.edge_seq as seq, {snap_m}
 from pc p join ecand e on e.cell_lat = p.cl and e.cell_lon = p.cn""".format(
     c_lat=cell("p.lat"), c_lon=cell("p.lon"), snap_m=snap("p.lat", "p.lon"))
 
+# all edges whose box, 25 m wider, holds the point: no grid
+Q["nearest_way_exact"] = with_(POS, CLEAN, DEDUP, SEG, VERT) + """,
+pts as (select vehicle_id, to_epoch, (from_lat + to_lat) / 2 as lat, (from_lon + to_lon) / 2 as lon from seg),
+near as (
+ select p.vehicle_id, p.to_epoch, e.way_id, {snap_m} as snap_m
+ from pts p join edges e
+   on p.lat between least(e.from_lat, e.to_lat) - 0.0003 and greatest(e.from_lat, e.to_lat) + 0.0003
+  and p.lon between least(e.from_lon, e.to_lon) - 0.0004 and greatest(e.from_lon, e.to_lon) + 0.0004
+)
+select vehicle_id, to_epoch, way_id, snap_m from near where snap_m <= 25
+qualify row_number() over (partition by vehicle_id, to_epoch order by snap_m, way_id) = 1""".format(
+    snap_m=snap("p.lat", "p.lon"))
+
 # ------------------------------------------------------------ quality gates
 CHECK_COLS = "check_name, passed, skipped, value, threshold"
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 # Fixed values that must equal the reference's for identical results.
@@ -51,6 +52,9 @@ class Config:
     line_step_m: float = 5.0
     # neighbour ring of the grid join: 1 = the reference's 3x3 search
     grid_ring: int = 1
+    # True: the cells that an edge clips and a ring as wide as max_snap_m, so that
+    # the nearest edge within max_snap_m is always found
+    exact_radius: bool = False
     min_release_share: float = 0.8
     min_segments: int = 20
     min_day_share: float = 0.5
@@ -58,6 +62,9 @@ class Config:
     min_street_share: float = 0.9
     highway_classes: tuple[str, ...] = HIGHWAY_CLASSES
     service_access: tuple[str, ...] = SERVICE_ACCESS
+    # "crossing": ways with a spot in the box, as a map service's box query gives
+    # them; "vertex": only ways with a vertex in it
+    ways_in_box: str = "crossing"
     speed_class_edges: tuple[int, ...] = SPEED_CLASS_EDGES
     # Width of the time buckets that split one vehicle's track across tasks.
     # Must be at least max_gap_s so a segment never spans two non-adjacent buckets.
@@ -66,6 +73,16 @@ class Config:
     def __post_init__(self):
         if self.track_bucket_s < self.max_gap_s:
             raise ValueError("track_bucket_s must be >= max_gap_s")
+        if self.ways_in_box not in ("crossing", "vertex"):
+            raise ValueError("ways_in_box must be 'crossing' or 'vertex'")
+
+    @property
+    def ring(self) -> tuple[int, int]:
+        """Cells that the grid join searches north and south, and east and west."""
+        if not self.exact_radius:
+            return self.grid_ring, self.grid_ring
+        return (math.ceil(self.max_snap_m / (self.grid_deg * self.m_per_lat)),
+                math.ceil(self.max_snap_m / (self.grid_deg * self.m_per_lon)))
 
 
 DEFAULT = Config()

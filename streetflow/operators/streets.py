@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from streetflow.config import DEFAULT, Config
-from streetflow.functions.geo import haversine_m
+from streetflow.functions.geo import crosses_box, haversine_m, in_box
 
 
 def _tag(name: str):
@@ -14,23 +14,30 @@ def _tag(name: str):
     return F.col("tags").getItem(name)
 
 
+def _in_box(geometry, cfg: Config):
+    """Whether a way has a vertex, or by ``ways_in_box`` any spot, in the box."""
+    vertex = F.exists(geometry, lambda p: in_box(p["lat"], p["lon"], cfg))
+    if cfg.ways_in_box == "vertex":
+        return vertex
+    n = F.size(geometry)
+    pieces = F.zip_with(F.slice(geometry, 1, n - 1), F.slice(geometry, 2, n - 1),
+                        lambda a, b: crosses_box(a["lat"], a["lon"], b["lat"], b["lon"], cfg))
+    return F.when(n >= 2, F.exists(pieces, lambda x: x)).otherwise(vertex)
+
+
 def select_ways(ways: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
-    """Ways of the wanted classes with at least one vertex in the box (SRC11, SRC12).
+    """Ways of the wanted classes in the box (SRC11, SRC12): those that have a spot in
+    it, or with ``cfg.ways_in_box = "vertex"`` only those with a vertex in it.
 
     ``service`` roads count only when open to buses (``bus`` or ``psv`` is yes or
-    designated). A way listed twice is kept once. The box test needs a vertex
-    inside; a way crossing the box without one is left out.
+    designated). A way listed twice is kept once.
     """
     hw = _tag("highway")
     bus_ok = _tag("bus").isin(*cfg.service_access) | _tag("psv").isin(*cfg.service_access)
     wanted = hw.isin(*cfg.highway_classes) | ((hw == "service") & F.coalesce(bus_ok, F.lit(False)))
-    inside = F.exists(
-        "geometry",
-        lambda p: p["lat"].between(cfg.lat_min, cfg.lat_max) & p["lon"].between(cfg.lon_min, cfg.lon_max),
-    )
     return (
         ways.where(F.col("geometry").isNotNull() & (F.size("geometry") > 0))
-        .where(wanted & inside)
+        .where(wanted & _in_box(F.col("geometry"), cfg))
         .dropDuplicates(["way_id"])
     )
 

@@ -7,12 +7,14 @@ comparison does not depend on how an engine prints zone-aware values.
 
 from __future__ import annotations
 
+import dataclasses
 import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from streetflow.config import DEFAULT, DOW_NAMES
+from streetflow.functions.geo import midpoint
 from streetflow.functions.timefns import epoch_s, weekday
 from streetflow.operators import grid as G
 from streetflow.operators import incremental as INC
@@ -127,12 +129,20 @@ def _fresh_edges(spark, sf_dir):
     return stages.edges_stage(fx.ways(spark, sf_dir))
 
 
+def _ways_view(ways: DataFrame) -> DataFrame:
+    return ways.select("way_id", F.col("tags")["name"].alias("street"), F.col("tags")["highway"].alias("highway"),
+                       F.size("geometry").alias("vertices"))
+
+
 def ways_selected(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
-    return ST.select_ways(fx.ways(spark, sf_dir)).select(
-        "way_id", F.col("tags")["name"].alias("street"), F.col("tags")["highway"].alias("highway"),
-        F.size("geometry").alias("vertices"),
-    )
+    return _ways_view(ST.select_ways(fx.ways(spark, sf_dir)))
+
+
+def ways_with_vertex(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The other rule: ways that cross the box without a vertex in it do not count."""
+    prepare(spark)
+    return _ways_view(ST.select_ways(fx.ways(spark, sf_dir), dataclasses.replace(DEFAULT, ways_in_box="vertex")))
 
 
 def street_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -310,6 +320,18 @@ def point_edge_distance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return G.candidates(segs, search).select("vehicle_id", "to_epoch", "way_id", F.col("edge_seq").alias("seq"), "snap_m")
 
 
+def nearest_way_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The nearest edge within the snap limit of every segment's midpoint, over the
+    whole network: no edge in reach is missed, as the grid's default search may."""
+    prepare(spark)
+    cfg = dataclasses.replace(DEFAULT, exact_radius=True)
+    mids = _segments(spark, sf_dir).select(
+        "vehicle_id", epoch_s("to_ts").alias("to_epoch"), midpoint("from_lat", "to_lat").alias("lat"),
+        midpoint("from_lon", "to_lon").alias("lon"))
+    found = G.nearest_within(mids, _edges(spark, sf_dir), ["vehicle_id", "to_epoch"], cfg=cfg, hot=G.hot_cells(mids, cfg=cfg))
+    return found.select("vehicle_id", "to_epoch", "way_id", "snap_m")
+
+
 def _segment_streets(spark, sf_dir):
     return _table(spark, sf_dir, "segment_streets")
 
@@ -519,8 +541,6 @@ def decode_schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
 def range_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Segments first built with a 30 s gap limit, then days 2024-03-28..31
     rebuilt with the defaults: the table mixes both, by day."""
-    import dataclasses
-
     from streetflow.plans import daily
 
     prepare(spark)

@@ -102,3 +102,91 @@ def test_span_rule(spark):
                                     "shape_hash string, way_id long, snap_m double, piece_m double")
     lengths = spark.createDataFrame([(1, 12.0), (2, 500.0), (3, 500.0)], "way_id long, street_m double")
     assert sorted(r.way_id for r in M.shape_streets(matched, lengths).collect()) == [1, 3]
+
+
+def test_pieces_that_cross_the_box(spark):
+    """Corner cuts, touching and collinear pieces, one through the box, degenerate ones, missing coordinates."""
+    from streetflow.functions.geo import crosses_box
+
+    s, n, w, e = DEFAULT.lat_min, DEFAULT.lat_max, DEFAULT.lon_min, DEFAULT.lon_max
+    cases = [
+        (True, n - 0.01, e + 0.005, n + 0.005, e - 0.01),    # cuts the north-east corner
+        (False, n + 0.001, e + 0.01, n + 0.011, e - 0.005),  # passes it by
+        (True, s - 1, w - 1, n + 1, e + 1),                  # all through
+        (True, 41.9, w - 1, 41.9, e + 1),
+        (True, n, w - 1, n, e + 1),                          # along the north border
+        (False, n + 1e-9, w - 1, n + 1e-9, e + 1),
+        (True, n, e, n + 1, e + 1),                          # touches the corner with its end
+        (False, n, e + 0.1, n + 0.1, e + 0.2),
+        (True, 41.9, 12.5, 41.9, 12.5),                      # a spot
+        (False, 45.0, 12.5, 45.0, 12.5),
+        (False, 41.0, 12.5, 41.5, 12.5),                     # south of it, straight north
+        (True, 41.9, 12.5, 45.0, 12.5),
+        (False, None, 12.5, 41.9, 12.5),
+    ]
+    df = spark.createDataFrame([(i, *c) for i, c in enumerate(cases)],
+                               "i int, x boolean, a double, b double, c double, d double")
+    for r in df.withColumn("y", crosses_box("a", "b", "c", "d")).withColumn("z", crosses_box("c", "d", "a", "b")).collect():
+        assert r.x == r.y == r.z, r
+
+
+def test_rules_of_ways_in_the_box(spark):
+    n, e = DEFAULT.lat_max, DEFAULT.lon_max
+    tags = {"highway": "primary"}
+    w = ways(spark, [
+        (1, tags, [pt(n - 0.01, e + 0.005), pt(n + 0.005, e - 0.01)]),
+        (2, tags, [pt(45.0, 12.5), pt(45.0, 12.6), pt(41.9, 12.5)]),
+        (3, tags, [pt(45.0, 12.5), pt(45.0, 12.6)]),
+        (4, tags, [pt(41.9, 12.5)]),
+        (5, tags, [pt(45.0, 12.5), pt(45.0, 12.6), pt(41.0, 12.5), pt(41.0, 12.6)]),
+    ])
+    rule = lambda x: sorted(r.way_id for r in ST.select_ways(w, dataclasses.replace(DEFAULT, ways_in_box=x)).collect())
+    assert rule("crossing") == [1, 2, 4, 5]
+    assert rule("vertex") == [2, 4]
+
+
+def _random_edges_and_points(spark, n_points=1500):
+    import random
+
+    rng = random.Random(8)
+    edges = []
+    for i in range(300):
+        lat, lon = 41.9 + rng.random() * 0.004, 12.5 + rng.random() * 0.004
+        size = rng.choice([0, 0.0001, 0.0006, 0.003])
+        edges.append((i, 0, lat, lon, lat + rng.uniform(-size, size) * rng.choice([0, 1]), lon + rng.uniform(-size, size)))
+    points = [(i, 41.9 + rng.random() * 0.004, 12.5 + rng.random() * 0.004) for i in range(n_points)]
+    points += [(10_000 + i, e[2], e[3]) for i, e in enumerate(edges[:50])]
+    return _edge_df(spark, edges), spark.createDataFrame(points, "id long, lat double, lon double")
+
+
+def test_exact_radius_equals_brute_force(spark):
+    edges, points = _random_edges_and_points(spark)
+    from streetflow.functions.geo import point_edge_m
+
+    pairs = points.crossJoin(edges.select("way_id", *G.EDGE_GEOM)).withColumn("snap_m", point_edge_m("lat", "lon", *G.EDGE_GEOM))
+    expected = sorted((r.id, r.way_id) for r in G.nearest(pairs, ["id"]).collect())
+    exact = dataclasses.replace(DEFAULT, exact_radius=True)
+    got = sorted((r.id, r.way_id) for r in G.nearest_within(points, edges, ["id"], cfg=exact).collect())
+    assert got == expected
+    assert exact.ring == (1, 2)
+    # the default search is the approximate one
+    assert len(G.nearest_within(points, edges, ["id"]).collect()) <= len(expected)
+    wide = dataclasses.replace(exact, max_snap_m=80.0)
+    expected = sorted((r.id, r.way_id) for r in G.nearest(pairs, ["id"], wide).collect())
+    assert sorted((r.id, r.way_id) for r in G.nearest_within(points, edges, ["id"], cfg=wide).collect()) == expected
+
+
+def test_a_cell_with_a_third_of_the_points_is_split(spark):
+    edges, points = _random_edges_and_points(spark)
+    one = spark.range(800).select((F.col("id") + 50_000).alias("id"), F.lit(41.9011).alias("lat"), F.lit(12.5011).alias("lon"))
+    points = points.union(one)
+    hot = G.hot_cells(points, share=1 / 20)
+    rows = hot.collect()
+    assert len(rows) == 1 and rows[0].salts >= 7
+    plain = sorted((r.id, r.way_id) for r in G.nearest_within(points, edges, ["id"]).collect())
+    split = sorted((r.id, r.way_id) for r in G.nearest_within(points, edges, ["id"], hot=hot).collect())
+    assert plain == split
+    # rows that meet under one join key: none has more than twice its share
+    pts = points.withColumn("cell_lat", G.grid_cell("lat")).withColumn("cell_lon", G.grid_cell("lon"))
+    salted = G._salted(pts, hot, lambda n: F.pmod(F.xxhash64("id", "lat", "lon"), n).cast("int"))
+    assert salted.groupBy("cell_lat", "cell_lon", "_salt").count().agg(F.max("count")).first()[0] < 2 * points.count() / 20
