@@ -48,7 +48,11 @@ def segments(fixes: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
     speed up to 100 km/h (FIL4-FIL7, SC1, SC6, PRJ1). ``fixes`` are cleaned
     positions, copies included. Output has the ``vehicle_segments`` columns
     except the local date and hour."""
-    paired = pair_fixes(fixes, cfg)
+    return between(pair_fixes(fixes, cfg), cfg)
+
+
+def between(paired: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
+    """Fixes with their previous one -> segments (FIL5-FIL7, SC1, SC6, PRJ1)."""
     duration = epoch_s("vehicle_timestamp") - epoch_s("prev_ts")
     seg = (
         paired.where(F.col("trip_id") == F.col("prev_trip_id"))
