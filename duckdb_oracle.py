@@ -89,6 +89,8 @@ from dedup"""
 
 Q["segments"] = with_(POS, CLEAN, DEDUP, SEG) + f"select {SEG_COLS} from seg"
 
+Q["stream_segments"] = Q["segments"]
+
 Q["segments_local_time"] = with_(POS, CLEAN, DEDUP, SEG) + """
 select vehicle_id, to_epoch, date_rome, hour_rome, cast(isodow(date_rome) - 1 as integer) as dow
 from seg where date_rome between date '2024-03-26' and date '2024-04-03'"""

@@ -529,6 +529,31 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
                     "latitude", "longitude", epoch_s("vehicle_timestamp").alias("vehicle_epoch"), "date")
 
 
+def stream_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The positions as a stream, in no order, and its segments; snapshots of one
+    more vehicle, months later, let the watermark pass all others."""
+    from streetflow import schemas
+    from streetflow.session import scratch_dir
+    from streetflow.streaming.segments import prepare_state, segment_stream
+
+    prepare(spark)
+    prepare_state(spark)
+    src, out, state = (scratch_dir(spark, f"stream-{x}") for x in ("in", "out", "state"))
+    pos = fx.positions(spark, sf_dir).select(*[f.name for f in schemas.VEHICLE_POSITIONS.fields])
+    for months in (0, 3, 6):  # three passes, each going on from the state of the one before
+        later = F.make_interval(months=F.lit(months))
+        moved = {c: F.col(c) + later for c in ("feed_timestamp", "vehicle_timestamp")}
+        arrived = P.clean(pos).limit(1).withColumns(moved).withColumn("vehicle_id", F.lit("later")) if months else pos
+        arrived.write.mode("append").parquet(src)
+        stream = spark.readStream.schema(schemas.VEHICLE_POSITIONS).parquet(src)
+        q = segment_stream(stream, disorder="20 days").writeStream.format("parquet").option(
+            "checkpointLocation", state).option("path", out).trigger(availableNow=True).start()
+        q.awaitTermination()
+        if q.exception() is not None:
+            raise q.exception()
+    return _seg_view(spark.read.parquet(out)).select(*SEG_COLS)
+
+
 def decode_schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Releases packed as zips (one per day), decoded back to trips."""
     from streetflow.sources import schedule_files as SF
