@@ -292,6 +292,7 @@ shape_streets as (
 Q["ways_selected"] = with_(VERT) + " select way_id, street, highway, cast(vertices as integer) as vertices from sel"
 Q["ways_with_vertex"] = with_(VERT) + """ select way_id, street, highway, cast(vertices as integer) as vertices from sel
 where way_id in (select way_id from way_v where lat between 41.68e0 and 42.10e0 and lon between 12.20e0 and 12.75e0)"""
+Q["ways_from_extract"] = Q["ways_selected"]
 Q["street_edges"] = with_(VERT) + """
 select way_id, street, highway, seq, from_lat, from_lon, to_lat, to_lon, round(length_m, 6) as length_m from edges"""
 Q["street_length"] = with_(VERT) + " select way_id, round(street_m, 6) as street_m from street_len"
@@ -333,6 +334,14 @@ acc as (
 )"""
 
 Q["release_acceptance"] = with_(SCHED, REL_FILES.format(loaded="false")) + " select * from acc"
+Q["release_truncated"] = with_(SCHED, REL_FILES.format(loaded="false").replace("rel_files as (", "rel_0 as (", 1).replace(
+    "acc as (", """more as (
+ select * from rel_0 union all
+ select date '2024-04-07' + cast(i as integer), cast(floor(length * share) as bigint)
+ from (select arg_max(length, static_date) as length from rel_0) l,
+   (values (0, 0.5e0), (1, 0.55e0), (2, 1.0e0)) v(i, share)
+),
+acc as (""", 1).replace("from rel_files", "from more")) + " select * from acc"
 Q["version_cutoff"] = with_(SCHED, REL_FILES.format(loaded="false")) + """
 select coalesce(max(static_date) filter (where static_date <= date '2024-06-27' - interval 90 day), min(static_date)) :: date as cutoff
 from acc where accepted"""
@@ -551,6 +560,10 @@ select feed_ts as feed_epoch, entity_id, vehicle_id, trip_id, route_id, lat as l
   vehicle_ts as vehicle_epoch, cast(to_timestamp(feed_ts) as date) as date
 from pos"""
 Q["decode_schedule"] = with_(SCHED) + " select * from trips where shape_id <> ''"
+Q["decode_with_codec"] = Q["stream_ingest"]
+Q["one_release_a_day"] = with_(SCHED) + """
+select static_date, case when static_date <= date '2024-03-30' then trip_id else concat(trip_id, '-again') end as trip_id, shape_id
+from trips where shape_id <> ''"""
 Q["range_replace"] = with_(POS, CLEAN, DEDUP, SEG) + """,
 paired30 as (select * from paired),
 seg30 as (

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from streetflow.config import DEFAULT, Config
@@ -45,31 +45,28 @@ def dedupe(positions: DataFrame) -> DataFrame:
     return positions.withColumn("_copy", F.row_number().over(first_seen)).where(F.col("_copy") == 1).drop("_copy")
 
 
+def snapshot_ts(header: Column, newest: Column, on_missing_header: str = "null") -> Column:
+    """A snapshot's time (SRC4): its header's, or - with ``"max"`` - where it has none
+    the newest of its vehicles'. The one rule for all readers of snapshots."""
+    if on_missing_header not in ("null", "max"):
+        raise ValueError("on_missing_header must be 'null' or 'max'")
+    return F.coalesce(header, newest) if on_missing_header == "max" else header
+
+
 def snapshot_time(decoded: DataFrame, on_missing_header: str = "null") -> DataFrame:
-    """Time of each snapshot file (SRC4): the header time, or - when
-    ``on_missing_header='max'`` - the newest vehicle time in the file.
-    A file with no vehicle or no usable time is ``valid = false``.
+    """Time of each snapshot file by ``snapshot_ts``. A file with no vehicle or no
+    usable time is ``valid = false``.
 
     Input: one row per decoded entity with ``source_file, feed_timestamp,
     vehicle_timestamp`` (timestamps); a file with no entity has one row with a
     NULL ``entity_id``.
     """
     agg = decoded.groupBy("source_file").agg(
-        F.max("feed_timestamp").alias("header_ts"),
-        F.max("vehicle_timestamp").alias("max_vehicle_ts"),
+        snapshot_ts(F.max("feed_timestamp"), F.max("vehicle_timestamp"), on_missing_header).alias("snapshot_ts"),
         F.count("entity_id").alias("entities"),
     )
-    ts = F.col("header_ts")
-    if on_missing_header == "max":
-        ts = F.coalesce(ts, F.col("max_vehicle_ts"))
-    elif on_missing_header != "null":
-        raise ValueError("on_missing_header must be 'null' or 'max'")
-    return agg.select(
-        "source_file",
-        ts.alias("snapshot_ts"),
-        "entities",
-        ((F.col("entities") > 0) & ts.isNotNull()).alias("valid"),
-    )
+    return agg.select("source_file", "snapshot_ts", "entities",
+                      ((F.col("entities") > 0) & F.col("snapshot_ts").isNotNull()).alias("valid"))
 
 
 def land_if_absent(new_rows: DataFrame, landed: DataFrame | None, keys=("feed_timestamp", "entity_id")) -> DataFrame:

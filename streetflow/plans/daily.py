@@ -32,6 +32,7 @@ from streetflow.operators import schedule as SCH
 from streetflow.operators import segments as S
 from streetflow.operators import speed as SP
 from streetflow.operators import streets as ST
+from streetflow.operators.positions import land_if_absent
 from streetflow.plans import stages
 from streetflow.plans.tables import TableStore, days_of
 
@@ -44,6 +45,7 @@ SHAPE_STREETS = "shape_streets"
 SEGMENT_STREETS = "segment_streets"
 SPEED = "street_speed"
 GEOMETRY = "street_geometry"
+RELEASES = "releases"
 DECODED = "decoded_releases"
 
 
@@ -187,17 +189,29 @@ def lines_job(store: TableStore, releases: DataFrame, points: DataFrame, trips:
     return new_dates
 
 
+def land_releases(store: TableStore, files: DataFrame) -> DataFrame:
+    """The landed release files (static_date, length, content) with those of ``files``
+    whose day has none yet (SRC7): a day's release lands once, with all files that
+    deliver it at that time, and is never replaced."""
+    files = files.select("static_date", "length", "content")
+    landed = store.read(RELEASES).select("static_date").distinct() if store.exists(RELEASES) else None
+    days = land_if_absent(files.select("static_date").distinct(), landed, ["static_date"])
+    if landed is None or not days.isEmpty():
+        store.append(RELEASES, files.join(days, "static_date", "left_semi"), ["static_date"])
+    return store.read(RELEASES)
+
+
 def lines_job_from_files(spark: SparkSession, store: TableStore, static_path: str, today: dt.date,
                          glob: str = "*.zip", full_refresh: bool = False, cfg: Config = DEFAULT,
                          log: RunLog | None = None) -> list:
-    """``lines_job`` over release zips in ``date=YYYY-MM-DD`` folders (SRC8-SRC10).
+    """``lines_job`` over release zips in ``date=YYYY-MM-DD`` folders (SRC7-SRC10).
 
-    Acceptance reads file sizes only (the content column is pruned); only the
-    new releases' files are then read and decoded (a partition filter on the
-    release date, applied before the decode)."""
+    Files are landed first, one release a day. Acceptance reads their sizes only
+    (the content column is pruned); only the new releases are then read and
+    decoded (a partition filter on the release date, applied before the decode)."""
     from streetflow.sources import schedule_files as SF
 
-    files = SF.scan_releases(spark, static_path, glob)
+    files = land_releases(store, SF.scan_releases(spark, static_path, glob))
 
     def decoded(new_dates):
         # each file is opened once: both members are decoded and written, and read from there

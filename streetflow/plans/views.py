@@ -145,6 +145,26 @@ def ways_with_vertex(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _ways_view(ST.select_ways(fx.ways(spark, sf_dir), dataclasses.replace(DEFAULT, ways_in_box="vertex")))
 
 
+def ways_from_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ways written as extract documents, one for each partition and 200 ways, and
+    read back from the files (SRC11); nodes and ways without geometry are in them."""
+    from streetflow.session import scratch_dir
+    from streetflow.sources.street_extracts import read_ways
+
+    prepare(spark)
+    ways = fx.ways(spark, sf_dir).withColumn("kind", F.lit("way"))
+    nodes = ways.where("way_id % 10 = 0").select(F.lit("node").alias("kind"), "way_id", "tags", "geometry")
+    bare = ways.where("way_id % 10 = 1").select("kind", (F.col("way_id") + 10**9).alias("way_id"), "tags",
+                                                F.lit(None).cast(ways.schema["geometry"].dataType).alias("geometry"))
+    elements = ways.unionByName(nodes).unionByName(bare).select(
+        F.struct(F.col("kind").alias("type"), F.col("way_id").alias("id"), "tags", "geometry").alias("e"),
+        F.spark_partition_id().alias("p"), F.floor(F.monotonically_increasing_id() / 200).alias("tile"))
+    path = scratch_dir(spark, "extracts")
+    elements.groupBy("p", "tile").agg(F.to_json(F.struct(F.collect_list("e").alias("elements"))).alias("value")).select(
+        "value", F.concat_ws("-", "p", "tile").alias("tile")).write.partitionBy("tile").text(path)
+    return _ways_view(ST.select_ways(read_ways(spark, path, "*.txt")))
+
+
 def street_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     """JVM and C-library sine/cosine may differ in the last bit, so the view
     shows haversine lengths to the micrometre."""
@@ -184,6 +204,18 @@ def release_acceptance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return SCH.release_acceptance(release_files(spark, sf_dir))
 
 
+def release_truncated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three more releases: one cut to half the size of the last, one a tenth larger
+    than that, which is held against it though it was rejected, and a whole one."""
+    prepare(spark)
+    files = release_files(spark, sf_dir)
+    last = files.agg(F.max_by("length", "static_date").alias("length"))
+    more = last.select(F.inline(F.array(*[
+        F.struct(F.lit(dt.date(2024, 4, day)).alias("static_date"), F.floor(F.col("length") * share).cast("long").alias("length"))
+        for day, share in ((7, 0.5), (8, 0.55), (9, 1.0))])))
+    return SCH.release_acceptance(files.unionByName(more))
+
+
 def version_cutoff(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     return SCH.version_cutoff(SCH.release_acceptance(release_files(spark, sf_dir)), TODAY)
@@ -524,7 +556,10 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = store.path("raw")
     SN.snapshot_messages(fx.positions(spark, sf_dir)).write.partitionBy("date", "hour").text(raw)
     ingest(spark, raw, store, store.path("_checkpoint"), glob="*.txt")
-    b = store.read("bronze_positions")
+    return _bronze_view(store.read("bronze_positions"))
+
+
+def _bronze_view(b: DataFrame) -> DataFrame:
     return b.select(epoch_s("feed_timestamp").alias("feed_epoch"), "entity_id", "vehicle_id", "trip_id", "route_id",
                     "latitude", "longitude", epoch_s("vehicle_timestamp").alias("vehicle_epoch"), "date")
 
@@ -554,6 +589,45 @@ def stream_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _seg_view(spark.read.parquet(out)).select(*SEG_COLS)
 
 
+def decode_with_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same snapshot files decoded by a Python codec in Arrow batches (UDF1)."""
+    import json
+
+    from streetflow.session import scratch_dir
+    from streetflow.sources import snapshots as SN
+
+    def codec(content: bytes):
+        for line in content.decode().splitlines():
+            message = json.loads(line)
+            for e in message["entity"]:
+                v = e["vehicle"]
+                yield {"feed_timestamp": message["header"]["timestamp"], "entity_id": e["id"],
+                       "vehicle_id": v["vehicle"]["id"], "trip_id": v["trip"].get("trip_id"),
+                       "route_id": v["trip"].get("route_id"), "latitude": v["position"]["latitude"],
+                       "longitude": v["position"]["longitude"], "vehicle_timestamp": v["timestamp"]}
+
+    prepare(spark)
+    raw = scratch_dir(spark, "codec")
+    SN.snapshot_messages(fx.positions(spark, sf_dir)).write.partitionBy("date", "hour").text(raw)
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.txt").load(raw)
+    return _bronze_view(SN.to_bronze(SN.decode_with(files, codec).where("reject is null")))
+
+
+def one_release_a_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Releases through 2024-03-30 land, then all are delivered again with other trips:
+    of the days that have a release the first stays. Trips as decoded from what landed."""
+    from streetflow.plans import daily
+    from streetflow.sources import schedule_files as SF
+
+    prepare(spark)
+    store = _store(spark, "releases")
+    points, trips = fx.shapes(spark, sf_dir), fx.trips(spark, sf_dir)
+    first = F.col("static_date") <= F.lit(dt.date(2024, 3, 30))
+    daily.land_releases(store, SF.pack_releases(points.where(first), trips.where(first)))
+    again = trips.withColumn("trip_id", F.concat("trip_id", F.lit("-again")))
+    return SF.decode_trips(daily.land_releases(store, SF.pack_releases(points, again)))
+
+
 def decode_schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Releases packed as zips (one per day), decoded back to trips."""
     from streetflow.sources import schedule_files as SF

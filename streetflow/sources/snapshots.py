@@ -27,6 +27,7 @@ from pyspark.sql.types import (
 )
 
 from streetflow import schemas
+from streetflow.operators.positions import snapshot_ts
 
 
 def _s(*fields):
@@ -77,24 +78,24 @@ def messages(files: DataFrame) -> DataFrame:
         F.when(by_line, F.col("_lines")).otherwise(F.array(item(F.col("_text"))))))
 
 
-def _time_of(msg: str) -> Column:
-    """Epoch of a message: its header's, else the newest of its vehicles' (SRC4)."""
-    return F.coalesce(F.col(f"{msg}.header.timestamp"),
-                      F.array_max(F.transform(f"{msg}.entity", lambda e: e["vehicle"]["timestamp"])))
+def _time_of(msg: str, on_missing_header: str) -> Column:
+    """Epoch of a message (SRC4)."""
+    return snapshot_ts(F.col(f"{msg}.header.timestamp"),
+                       F.array_max(F.transform(f"{msg}.entity", lambda e: e["vehicle"]["timestamp"])), on_missing_header)
 
 
-def decode_json(files: DataFrame) -> DataFrame:
+def decode_json(files: DataFrame, on_missing_header: str = "null") -> DataFrame:
     """Binary files (path, content) -> one row per vehicle entity in the
     ``SNAPSHOT_ENTITY`` columns plus ``source_file`` (SRC2). Entities without a
     vehicle are skipped; unset fields stay NULL."""
-    return entities(messages(files))
+    return entities(messages(files), on_missing_header)
 
 
-def entities(msgs: DataFrame) -> DataFrame:
+def entities(msgs: DataFrame, on_missing_header: str = "null") -> DataFrame:
     """Parsed messages -> entity rows (see ``decode_json``), those of messages
     without a usable time left out (they are rejects)."""
     msgs = msgs.where(F.col("msg.header").isNotNull() | F.col("msg.entity").isNotNull())
-    ents = msgs.select("source_file", "delivered", _time_of("msg").alias("_feed_ts"),
+    ents = msgs.select("source_file", "delivered", _time_of("msg", on_missing_header).alias("_feed_ts"),
                        F.explode("msg.entity").alias("e")).where("e.vehicle is not null and _feed_ts is not null")
     v = "e.vehicle"
     return ents.select(
@@ -115,18 +116,18 @@ def entities(msgs: DataFrame) -> DataFrame:
     )
 
 
-def rejects_json(files: DataFrame) -> DataFrame:
+def rejects_json(files: DataFrame, on_missing_header: str = "null") -> DataFrame:
     """Snapshots that cannot be landed (SRC4): malformed text, no vehicle entity
     at all, or no usable time. One row per bad message: (source_file, reason)."""
-    return rejects(messages(files))
+    return rejects(messages(files), on_missing_header)
 
 
-def rejects(msgs: DataFrame) -> DataFrame:
+def rejects(msgs: DataFrame, on_missing_header: str = "null") -> DataFrame:
     """Parsed messages -> rejected ones (see ``rejects_json``)."""
     bad = F.col("msg.header").isNull() & F.col("msg.entity").isNull()
     empty = ~F.exists(F.coalesce(F.col("msg.entity"), F.array().cast(FEED_MESSAGE["entity"].dataType)),
                       lambda e: e["vehicle"].isNotNull())
-    return msgs.where(bad | empty | _time_of("msg").isNull()).select(
+    return msgs.where(bad | empty | _time_of("msg", on_missing_header).isNull()).select(
         "source_file", F.when(bad, F.lit("malformed")).when(empty, F.lit("no vehicles"))
         .otherwise(F.lit("no time")).alias("reason")
     )
@@ -136,11 +137,12 @@ def rejects(msgs: DataFrame) -> DataFrame:
 _CHUNK = 10_000
 
 
-def decode_with(files: DataFrame, decode: Callable[[bytes], Iterable[dict]]) -> DataFrame:
+def decode_with(files: DataFrame, decode: Callable[[bytes], Iterable[dict]], on_missing_header: str = "null") -> DataFrame:
     """(UDF1) Run a per-file Python decoder (e.g. a protocol-buffer codec) over the
     files in Arrow batches. ``decode(content)`` yields dicts keyed by the
-    ``SNAPSHOT_ENTITY`` field names; missing keys become NULL. A snapshot without
-    header time takes its newest vehicle time (SRC4). Of a file that the decoder
+    ``SNAPSHOT_ENTITY`` field names; missing keys become NULL. With
+    ``on_missing_header="max"`` a snapshot without header time takes its newest
+    vehicle time (SRC4). Of a file that the decoder
     fails on, or that gives no entity or no time, one row comes out, with
     ``reject`` telling why and all else NULL; elsewhere ``reject`` is NULL.
     """
@@ -165,10 +167,10 @@ def decode_with(files: DataFrame, decode: Callable[[bytes], Iterable[dict]]) ->
                 else:
                     why = "no vehicles"
                 times = [e["vehicle_timestamp"] for e in entities if e.get("vehicle_timestamp") is not None]
-                for e in entities:
+                for e in entities if on_missing_header == "max" else ():
                     if e.get("feed_timestamp") is None:
                         e["feed_timestamp"] = max(times, default=None)
-                if entities and any(e["feed_timestamp"] is None for e in entities):
+                if entities and any(e.get("feed_timestamp") is None for e in entities):
                     entities, why = [], "no time"
                 if not entities:
                     yield frame([[path] + [None] * len(names) + [why]])

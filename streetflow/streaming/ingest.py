@@ -57,13 +57,15 @@ def _landed(store: TableStore, table: str, snapshots: str, rows: DataFrame) -> D
     return landed.select(*KEYS)
 
 
-def _lander(store: TableStore, table: str, snapshots: str, rejects: str | None, decode):
+def _lander(store: TableStore, table: str, snapshots: str, rejects: str | None, decode,
+            on_missing_header: str):
     def land(batch: DataFrame, batch_id: int) -> None:
         # parsed once, used for the rows, the day lookup and the rejects; lost
         # blocks are recomputed from the batch's files
         if decode is None:
             parsed = SN.messages(batch).select("source_file", "delivered", "msg").persist()
-            rows, bad = SN.to_bronze(SN.entities(parsed)), SN.rejects(parsed)
+            rows = SN.to_bronze(SN.entities(parsed, on_missing_header))
+            bad = SN.rejects(parsed, on_missing_header)
         else:
             parsed = decode(batch).persist()
             rows, bad = SN.to_bronze(parsed), None
@@ -87,14 +89,16 @@ def _lander(store: TableStore, table: str, snapshots: str, rejects: str | None,
 
 def ingest(spark: SparkSession, raw_dir: str, store: TableStore, checkpoint: str, table: str = "bronze_positions",
            rejects: str | None = "bronze_rejects", glob: str = "*.json", timeout_s: float | None = None,
-           decoder=None, snapshots: str = "landed_snapshots") -> None:
+           decoder=None, snapshots: str = "landed_snapshots", on_missing_header: str = "null") -> None:
     """Run one ``availableNow`` pass: land every file not seen before, then stop.
 
     ``decoder(files) -> decoded entities``, as ``snapshots.decode_with`` gives
-    them; JSON by default. Blocks until the pass ends, or ``timeout_s`` if given."""
+    them; JSON by default, where a snapshot without header time is rejected, or, with
+    ``on_missing_header="max"``, takes its newest vehicle's. Blocks until the pass
+    ends, or ``timeout_s`` if given."""
     files = snapshot_stream(spark, raw_dir, glob)
     q = (
-        files.writeStream.foreachBatch(_lander(store, table, snapshots, rejects, decoder))
+        files.writeStream.foreachBatch(_lander(store, table, snapshots, rejects, decoder, on_missing_header))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

@@ -92,6 +92,21 @@ def test_lines_from_release_files(spark, tmp_path):
     assert _rows(a.read(daily.SHAPE_STREETS).select(*cols)) == _rows(b.read(daily.SHAPE_STREETS).select(*cols))
 
 
+def test_one_release_a_day(spark, tmp_path):
+    """All files that first deliver a day's release land; a later delivery changes nothing."""
+    store = daily.open_store(spark, str(tmp_path / "t"))
+    schema = "static_date date, length long, content binary"
+    day1, day2 = dt.date(2024, 4, 1), dt.date(2024, 4, 2)
+    daily.land_releases(store, spark.createDataFrame([(day1, 2, b"ab"), (day1, 1, b"c")], schema))
+    daily.land_releases(store, spark.createDataFrame([(day1, 3, b"xyz"), (day2, 1, b"d")], schema))
+    before = store.entry(daily.RELEASES)
+    got = daily.land_releases(store, spark.createDataFrame([(day2, 2, b"zz")], schema))
+    assert sorted((r.static_date, bytes(r.content)) for r in got.collect()) == [(day1, b"ab"), (day1, b"c"), (day2, b"d")]
+    assert store.entry(daily.RELEASES) == before
+    empty = daily.open_store(spark, str(tmp_path / "e"))
+    assert daily.land_releases(empty, spark.createDataFrame([], schema)).count() == 0
+
+
 def test_street_extract_reader(spark, tmp_path):
     import json
 

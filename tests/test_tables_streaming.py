@@ -250,7 +250,12 @@ def test_ingest_loses_nothing(spark, tmp_path):
     (raw / "timeless.json").write_text(json.dumps(timeless))
     (raw / "bytes.json").write_bytes(b"\xff\xfe{}\x80")
     (raw / "blank.json").write_text("\n  \n")
-    ingest(spark, str(raw), store, str(tmp_path / "ck"))
+    strict = TableStore(spark, str(tmp_path / "strict"))
+    ingest(spark, str(raw), strict, str(tmp_path / "ck0"))  # header times only
+    assert strict.read("bronze_positions").count() == 5 + 2
+    assert strict.read("bronze_rejects").where("reason = 'no time'").count() == 5
+    land = lambda ck: ingest(spark, str(raw), store, str(tmp_path / ck), on_missing_header="max")
+    land("ck")
     b = store.read("bronze_positions")
     assert b.count() == 5 + 4 + 2 and b.where("feed_timestamp is null or date is null").count() == 0
     reasons = sorted(tuple(r) for r in store.read("bronze_rejects").selectExpr(
@@ -258,8 +263,8 @@ def test_ingest_loses_nothing(spark, tmp_path):
     assert reasons == [("bytes.json", "malformed"), ("timeless.json", "no time")]
     # the same again under other names, and the whole stream replayed from its start
     (raw / "anonymous_copy.json").write_text(json.dumps(anonymous))
-    ingest(spark, str(raw), store, str(tmp_path / "ck"))
-    ingest(spark, str(raw), store, str(tmp_path / "ck2"))
+    land("ck")
+    land("ck2")
     assert store.read("bronze_positions").count() == 11
     assert store.read("bronze_rejects").count() == 2
 
@@ -297,7 +302,7 @@ def test_decoder_errors_go_to_rejects(spark, tmp_path):
             yield {"entity_id": eid, "vehicle_id": "v", "vehicle_timestamp": int(ts)}
 
     store = TableStore(spark, str(tmp_path / "t"))
-    ingest(spark, str(raw), store, str(tmp_path / "ck"), glob="*.bin", decoder=lambda f: SN.decode_with(f, codec))
+    ingest(spark, str(raw), store, str(tmp_path / "ck"), glob="*.bin", decoder=lambda f: SN.decode_with(f, codec, "max"))
     row = store.read("bronze_positions").first()
     assert (row.entity_id, row.feed_timestamp.timestamp()) == ("e1", 1711965600)
     assert sorted(r.reason for r in store.read("bronze_rejects").collect()) == [
