@@ -6,7 +6,7 @@ import os
 import re
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def prepare(spark: SparkSession) -> SparkSession:
@@ -61,6 +61,12 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir()
 
 
+def spread(df: DataFrame, *cols: str) -> DataFrame:
+    """Rows that are few and small but expand, dealt to as many tasks as shuffles
+    have: AQE goes by their size as they are and would give them to one."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *cols)
+
+
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh directory under the shared checkpoint folder for staged tables."""
     import uuid
