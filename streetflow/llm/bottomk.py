@@ -64,18 +64,12 @@ def shingle_sets(column: pa.Array, length: int) -> Iterator[tuple[int, np.ndarra
             yield lo + r, s
 
 
-#: Bytes of a hash that a full set carries to its verification (the high ones, so order holds).
-_KEPT = 5
-
-
 def _pack(s: np.ndarray) -> bytes:
-    return s.view(np.uint8).reshape(-1, 8)[:, 8 - _KEPT:].tobytes()
+    return s.tobytes()
 
 
 def _unpack(b: bytes) -> np.ndarray:
-    out = np.zeros((len(b) // _KEPT, 8), np.uint8)
-    out[:, 8 - _KEPT:] = np.frombuffer(b, np.uint8).reshape(-1, _KEPT)
-    return out.view(_U).ravel()
+    return np.frombuffer(b, _U)
 
 
 #: Flipped, so that hashes keep their order as signed longs.
