@@ -38,19 +38,28 @@ def spans_of(text: Column, pattern: str, kind: int, value_group: int = 0, least_
     points, end exclusive."""
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     value = found if value_group == 0 else F.regexp_extract_all(text, F.lit(pattern), F.lit(value_group))
-    both = F.arrays_zip(F.split(text, pattern).alias("gap"), found.alias("found"), value.alias("value"))
+    before = F.zip_with(F.slice(F.split(text, pattern), 1, F.size(found)), found, lambda gap, m: F.length(gap) + F.length(m))
+    ends = running(before, "x + y")
+    spans = F.transform(
+        F.arrays_zip(ends.alias("end"), found.alias("found"), value.alias("value")),
+        lambda x: F.struct((x["end"] - F.length(x["found"])).alias("start"), F.lit(kind).alias("kind"),
+                           x["end"].alias("end"), x["value"].alias("value")))
+    nothing = F.array().cast("array<struct<start:int,kind:int,end:int,value:string>>")
+    return F.when(text.rlike(pattern), F.filter(spans, lambda x: F.length(x["value"]) >= least_value)).otherwise(nothing)
 
-    def add(acc: Column, x: Column) -> Column:
-        start = acc["at"] + F.length(x["gap"])
-        end = start + F.coalesce(F.length(x["found"]), F.lit(0))
-        one = F.array(F.struct(start.alias("start"), F.lit(kind).alias("kind"), end.alias("end"),
-                               x["value"].alias("value")))
-        good = x["found"].isNotNull() & (F.length(x["value"]) >= least_value)
-        return F.struct(end.alias("at"), F.when(good, F.concat(acc["out"], one)).otherwise(acc["out"]).alias("out"))
 
-    nothing = F.array().cast("array<struct<start:int,kind:int,end:int,value:string>>")
-    spans = F.aggregate(both, F.struct(F.lit(0).alias("at"), nothing.alias("out")), add, lambda acc: acc["out"])
-    return F.when(text.rlike(pattern), spans).otherwise(nothing)
+def running(values: Column, both: str) -> Column:
+    """The array whose element i is elements 0 to i of ``values`` put together by an
+    associative ``both`` of x and y. Each step puts together neighbours twice as far
+    apart, so the work is n log n and no array is grown element by element."""
+    steps = F.sequence(F.lit(0), F.ceil(F.log2(F.greatest(F.size(values), F.lit(1)))).cast("int"))
+
+    def step(acc: Column, k: Column) -> Column:
+        return F.transform(acc, lambda x, i: F.when(i < F.pow(2, k), x).otherwise(
+            put(F.get(acc, (i - F.pow(2, k)).cast("int")), x)))
+
+    put = {"x + y": lambda x, y: x + y, "greatest(x, y)": F.greatest, "least(x, y)": F.least}[both]
+    return F.aggregate(steps, values, step)
 
 
 def base_of(text: Column) -> Column:
@@ -64,8 +73,16 @@ def scan(docs: DataFrame, id_col: str, text_col: str, least_token: int) -> DataF
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), base_of(text).alias("base"),
                        spans_of(text, _token(least_token), 3).alias("tokens"))
-    clear = F.filter("tokens", lambda c: ~F.exists("base", lambda b: (b["start"] < c["end"]) & (b["end"] > c["start"])))
-    return rows.select("doc_id", "base", clear.alias("tokens"))
+    # all by their start; a token is clear of the base spans that begin before it if the latest end of
+    # those is not behind its start, and of the others if the earliest start of those is not before its end
+    items = F.array_sort(F.concat("base", "tokens"))
+    own = rows.select("doc_id", "base", items.alias("items")).withColumn(
+        "end", running(F.transform("items", lambda x: F.when(x["kind"] < 3, x["end"]).otherwise(F.lit(-1))), "greatest(x, y)")
+    ).withColumn("start", F.reverse(running(F.reverse(F.transform(
+        "items", lambda x: F.when(x["kind"] < 3, x["start"]).otherwise(F.lit(2**31 - 1)))), "least(x, y)")))
+    clear = F.transform(F.filter(F.arrays_zip("items", "end", "start"), lambda x: (x["items"]["kind"] == 3) & (
+        x["end"] <= x["items"]["start"]) & (x["start"] >= x["items"]["end"])), lambda x: x["items"])
+    return own.select("doc_id", "base", clear.alias("tokens"))
 
 
 def _code(text: Column, at: Column) -> Column:

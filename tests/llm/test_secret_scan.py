@@ -98,3 +98,19 @@ def test_models_count_all_documents_and_values(spark, monkeypatch):
     random, ordinary = counted[0]
     assert sum(ordinary.values()) == 2500 * len("plainword")
     assert sum(random.values()) == 20500 * 8
+
+
+def test_many_matches_in_one_text(spark):
+    """Work grows about as the matches: 100,000 in one text, half of them assignments and half long tokens."""
+    import time
+
+    from helpers_llm import docs_of
+
+    text = "\n".join(f"token = abcdef{i} Zq8{i:017d}" for i in range(50_000))
+    t = time.time()
+    row = secret_scan.scan(docs_of(spark, [text]), "doc_id", "text", 20).selectExpr(
+        "size(base) as b", "size(tokens) as t", "base[49999].end as e", "tokens[49999].start as s").first()
+    assert (row.b, row.t) == (50_000, 50_000)
+    last = text.rindex("\n") + 1
+    assert (row.e, row.s) == (text.rindex(" "), text.rindex("Zq8")) and row.e > last
+    assert time.time() - t < 30
