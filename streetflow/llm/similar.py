@@ -19,14 +19,18 @@ Unpack = Callable[[bytes], np.ndarray]
 _PAIR = "a long, b long"
 #: Rows of a table of a few longs that may be broadcast.
 SMALL_ROWS = 500_000
+#: Elements of its lists.
+SMALL_ITEMS = 2_000_000
 #: Members, and members outside the largest component, of one block of a family.
 _MEMBERS, _REST = 1024, 256
 
 
-def small(df: DataFrame, rows: int = SMALL_ROWS) -> DataFrame:
+def small(df: DataFrame, rows: int = SMALL_ROWS, lists: str | None = None) -> DataFrame:
     """A staged table of narrow rows, marked for broadcast if it has at most
-    ``rows`` of them; beyond that the join shuffles."""
-    return F.broadcast(df) if df.count() <= rows else df
+    ``rows`` of them, and its column ``lists`` at most ``SMALL_ITEMS`` elements of a few
+    numbers in all; beyond that the join shuffles."""
+    n = df.agg(F.count("*").alias("n"), F.sum(F.size(lists) if lists else F.lit(0)).alias("items")).first()
+    return F.broadcast(df) if n["n"] <= rows and (n["items"] or 0) <= SMALL_ITEMS else df
 
 
 def candidates(listed: DataFrame, percent: int, alike: Callable[[DataFrame], DataFrame], payloads: DataFrame,
