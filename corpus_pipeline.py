@@ -27,14 +27,21 @@ def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
                      & F.xxhash64(docs["text"].cast("string")).eqNullSafe(F.col("gone_t")), "left_anti")
 
 
+def _small_batches(spark: SparkSession) -> None:
+    """Documents that a Python worker and the JVM hold at a time (Arrow's default is 10,000)."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier accepts."""
+    _small_batches(spark)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     return _without(docs, site_quality.classify(docs, labels).where("not kept"))
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the lines that repeat; a document that keeps no text goes."""
+    _small_batches(spark)
     cleaned = fuzzy_lines.dedup_lines(docs, short_copies=True)
     out = cleaned.where("n_removed = 0 or length(trim(text)) > 0").select("row.*", F.col("text").alias("cleaned"))
     return out.select(*[
@@ -44,6 +51,7 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, that with the smallest id, of each group of near duplicates."""
+    _small_batches(spark)
     found = staged(bottomk.near_duplicates(docs), "groups")
     same = found.where("doc_id is not null").groupBy("doc_id", "t").agg(F.count("*").alias("n"))
     if not same.where("n > 1").isEmpty():  # rows given twice
@@ -59,6 +67,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each document, with their digest and that of what they decode to."""
+    _small_batches(spark)
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
     return bpe.decode(bpe.encode(docs, path), path).select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids",
