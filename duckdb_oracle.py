@@ -415,6 +415,9 @@ street_speed as (
  having count(*) >= 20
 )"""
 Q["street_speed"] = with_(*ALL, SPEED) + " select * from street_speed"
+Q["speed_by_increments"] = with_(*ALL, SPEED.replace(
+    "from seg_streets group by", "from seg_streets where date_rome > (select min(date_rome) from seg_streets) group by")
+) + " select * from street_speed"
 Q["street_geometry"] = with_(*ALL, SPEED) + """
 select way_id, cast(seq as integer) as vertex, from_lon as lon, from_lat as lat
 from edges where way_id in (select way_id from street_speed)

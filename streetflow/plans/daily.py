@@ -11,7 +11,7 @@ Tables under ``store.root`` (see ``tables`` for their folders)::
     bronze_positions by date, landed_snapshots by date (one pointer)
     vehicle_segments by date_rome      trip_shape by static_date
     street_edges                       shape_streets
-    segment_streets by date_rome       street_speed, street_geometry (one pointer)
+    segment_streets by date_rome       street_speed by dow, street_geometry (one pointer)
 
 Exports are a store of their own with street_speed and street_geometry under one
 pointer (``open_export``).
@@ -34,7 +34,7 @@ from streetflow.operators import speed as SP
 from streetflow.operators import streets as ST
 from streetflow.operators.positions import land_if_absent
 from streetflow.plans import stages
-from streetflow.plans.tables import TableStore, days_of
+from streetflow.plans.tables import Entry, TableStore, days_of
 
 BRONZE = "bronze_positions"
 LANDED = "landed_snapshots"
@@ -67,7 +67,7 @@ def table_schemas() -> dict:
         TRIP_SHAPE: last(SC.TRIP_SHAPE, "static_date"),
         SHAPE_STREETS: SC.SHAPE_STREETS,
         SEGMENT_STREETS: last(SC.SEGMENT_STREETS, "date_rome"),
-        SPEED: SC.STREET_SPEED,
+        SPEED: last(SC.STREET_SPEED, "dow"),
         GEOMETRY: SC.STREET_GEOMETRY,
     }
 
@@ -85,6 +85,29 @@ def open_export(spark: SparkSession, root: str) -> TableStore:
                       {"export": (SPEED, GEOMETRY)})
 
 
+def _speed_by_weekdays(store: TableStore, cfg: Config, full_refresh: bool) -> Entry:
+    """street_speed as a written, uncommitted table (AG9), by weekday: a row of it
+    has one weekday, and so has a day, so days that came, went or changed since the
+    published table was made touch their weekdays only. Those are aggregated again
+    from all their days, a seventh of the history for a new day; the files of the
+    others stay as they are."""
+    days = {day: versions for day, versions in store.entry(SEGMENT_STREETS).parts.items() if versions}
+    sources = {"days": days, "config": repr(cfg)}
+    old = store.entry(SPEED)
+    weekday_of = lambda day: dt.date.fromisoformat(day).weekday()
+    if old is None or full_refresh or old.sources.get("config") != sources["config"]:
+        touched = set(range(7))
+    else:
+        then = old.sources["days"]
+        touched = {weekday_of(day) for day in days | then if days.get(day) != then.get(day)}
+    if old is not None and not touched:
+        return old
+    of = [dt.date.fromisoformat(day) for day in days if weekday_of(day) in touched]
+    rows = SP.street_speed(store.read(SEGMENT_STREETS).where(F.col("date_rome").isin(of)), cfg)
+    new = store.write_version(SPEED, rows, ["dow"])
+    return new.but((old.parts if old else {}) | {str(dow): [] for dow in touched} | new.parts, sources)
+
+
 @dataclass
 class RunLog:
     steps: list = field(default_factory=list)
@@ -248,13 +271,13 @@ def segment_streets_job(store: TableStore, today_local: dt.date, full_refresh: b
 
 def gold_job(store: TableStore, today_local: dt.date, now_utc: dt.datetime | None = None,
              cfg: Config = DEFAULT, export_to: str | None = None, log: RunLog | None = None,
-             enforce_checks: bool = True) -> DataFrame:
+             enforce_checks: bool = True, full_refresh: bool = False) -> DataFrame:
     """segment_streets -> staged street_speed -> checks -> published with its
     geometry -> exports (AG9, FIL11, DQ1-DQ4, SNK8, SNK9, AG14). Raises, publishing
     nothing, when a check fails. Everything is written before anything changes;
     then speeds and geometry change in one step, and the exported files, which the
     map reads, in another: the map has a whole set, old or new, at any time."""
-    staged = {SPEED: store.write_version(SPEED, SP.street_speed(store.read(SEGMENT_STREETS), cfg))}
+    staged = {SPEED: _speed_by_weekdays(store, cfg, full_refresh)}
     speed = store.read_entry(SPEED, staged[SPEED])
     found = [QC.day_completeness(store.read(SEGMENT_STREETS), today_local - dt.timedelta(days=1), cfg),
              QC.street_retention(speed, store.read(SPEED) if store.exists(SPEED) else None, cfg)]
@@ -286,7 +309,7 @@ def run_daily(spark: SparkSession, store: TableStore, today_local: dt.date, rele
     segments_job(store, today_local, full_refresh, cfg, log)
     lines_job(store, releases, points, trips, today_local, full_refresh, cfg, log)
     segment_streets_job(store, today_local, full_refresh, cfg, log)
-    gold_job(store, today_local, now_utc, cfg, log=log, enforce_checks=enforce_checks)
+    gold_job(store, today_local, now_utc, cfg, log=log, enforce_checks=enforce_checks, full_refresh=full_refresh)
     _report(store, log)
     return log
 
@@ -307,7 +330,7 @@ def run_from_files(spark: SparkSession, store: TableStore, today_local: dt.date,
     segments_job(store, today_local, full_refresh, cfg, log)
     lines_job_from_files(spark, store, static_path, today_local, full_refresh=full_refresh, cfg=cfg, log=log)
     segment_streets_job(store, today_local, full_refresh, cfg, log)
-    gold_job(store, today_local, now_utc, cfg, export_to, log)
+    gold_job(store, today_local, now_utc, cfg, export_to, log, full_refresh=full_refresh)
     _report(store, log)
     return log
 

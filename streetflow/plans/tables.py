@@ -37,18 +37,20 @@ _VERSION = "_v"
 @dataclass(frozen=True)
 class Entry:
     """What a pointer says of a table. ``parts``: versions by the partition's
-    directory value, or under "" without a partition column."""
+    directory value, or under "" without a partition column. ``sources``: what the
+    table was derived from, for a job that derives it by parts."""
 
     schema: str
     by: str | None
     parts: dict[str, list[str]] = field(default_factory=dict)
+    sources: dict = field(default_factory=dict)
 
     def folders(self, name: str) -> list[str]:
         return [f"{name}/{self.by}={p}/{_VERSION}={v}" if self.by else f"{name}/{_VERSION}={v}"
                 for p, versions in sorted(self.parts.items()) for v in versions]
 
-    def but(self, parts: dict[str, list[str]]) -> Entry:
-        return Entry(self.schema, self.by, parts)
+    def but(self, parts: dict[str, list[str]], sources: dict | None = None) -> Entry:
+        return Entry(self.schema, self.by, parts, self.sources if sources is None else sources)
 
 
 class TableStore:
