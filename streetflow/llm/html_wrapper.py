@@ -37,11 +37,19 @@ BLOCK = frozenset(
 NEVER = frozenset(
     "head script style textarea title noscript iframe noembed noframes xmp template nav footer aside form button select "
     "option input dialog menu svg canvas object audio video map math".split())
-MARKED = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|banner|sponsor\w*|promo\w*|popup|modal|nav\w*|menu\w*|breadcrumbs?|sidebar\w*|"
-    r"footer|masthead|site-header|page-header|cookies?|consent|notices?|alert|gdpr|newsletter|subscri\w*|comments?|"
-    r"respond|replies|share|sharing|social|related|recommend\w*|pagination|pager|toolbar|login|search\w*|widget|"
-    r"complementary|contentinfo|navigation|skip-link)(?:$|[\s_-])", re.I)
+#: Words that name boilerplate where a class, id or role is one, or begins or ends with one ("nav", "site-footer",
+#: "cookie-banner"), and first words of names that tell a state or a look ("has-sidebar", "text-banner").
+MARKED = frozenset(
+    "ad ads advert adverts advertisement advertising banner banners sponsor sponsored sponsors promo promos promotion "
+    "popup modal nav navbar navigation navlinks menu menus menubar breadcrumb breadcrumbs sidebar sidebars footer "
+    "masthead cookie cookies consent notice notices alert gdpr newsletter subscribe subscription comment comments "
+    "respond replies share sharing social related recommended recommendations pagination pager toolbar login search "
+    "searchbox searchform widget widgets complementary contentinfo".split())
+MARKED_WHOLE = frozenset("site-header page-header skip-link".split())
+STATES = frozenset("has with without no not is js text bg color col row theme layout page body open closed on off show hide "
+                   "enabled disabled".split())
+#: Elements whose id names a group, not a place in the text.
+GROUPS = frozenset("div ul ol dl table td span".split())
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
           "th": {"td", "th"}, "option": {"option"}, "thead": {"tr", "td", "th"}, "tbody": {"tr", "td", "th", "thead"},
           "tfoot": {"tr", "td", "th", "tbody"}}
@@ -55,7 +63,7 @@ _PAIRS = 1 << 10
 
 _TAG = re.compile(
     r"<!--(?:.*?-->|.*\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^\"'>]|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S)
-_ATTRIBUTE = re.compile(r"\b(class|id|role|hidden)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
+_ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 
 
 class Node:
@@ -123,17 +131,25 @@ def _until_scope(stack: list[Node], borders: list[int]) -> list[int]:
     return borders[n:]
 
 
+def _marks(token: str) -> bool:
+    """Whether a class, id or role names boilerplate."""
+    words = re.split(r"[-_]+", token)
+    if len(words) > 1 and (words[0] in STATES or words[-1] in STATES):
+        return False
+    return token in MARKED_WHOLE or words[0] in MARKED or words[-1] in MARKED
+
+
 def _element(tag: str, attributes: str) -> Node:
     names, marked = [], False
     if attributes:
         for name, *values in _ATTRIBUTE.findall(attributes):
-            value = "".join(values)
-            if name.lower() == "hidden":
+            name, tokens = name.lower(), "".join(values).lower().split()
+            if name == "hidden":
                 marked = True
-            else:
-                marked |= MARKED.search(value) is not None
-                names += re.sub(r"\d+", "", value).lower().split()
-    return Node(tag, ".".join([tag, *sorted(set(names))]), marked and tag not in ("html", "body", "article", "main"))
+            elif name in ("class", "id", "role"):
+                marked |= (name != "id" or tag in GROUPS) and any(map(_marks, tokens))
+                names += re.sub(r"\d+", "", " ".join(tokens)).split()
+    return Node(tag, ".".join([tag, *sorted(set(names))]), marked and tag not in ("html", "body", "main"))
 
 
 class Slot:
@@ -275,9 +291,10 @@ def match(page: Slot, reference: Slot) -> dict[int, int]:
     return out
 
 
-def blocks(root: Node) -> list[tuple[str, Node, Node | None, bool, float]]:
+def blocks(root: Node, lenient: bool = False) -> list[tuple[str, Node, Node | None, bool, float]]:
     """(text, element, article, whether boilerplate by its marks, share in links)
-    of each run of text between block borders, in page order."""
+    of each run of text between block borders, in page order. ``lenient``: what
+    stands above an article does not mark it."""
     out: list[tuple[str, Node, Node | None, bool, float]] = []
     held: list[str] = []
     linked = 0
@@ -310,6 +327,8 @@ def blocks(root: Node) -> list[tuple[str, Node, Node | None, bool, float]]:
         edge = part.tag in BLOCK or part.tag == "" or part.tag in NEVER
         # a header is the page's unless it is an article's own
         bad = bad or part.tag in NEVER or part.marked or (part.tag == "header" and article is None)
+        if lenient and part.tag == "article" and not part.marked and article is None:
+            bad = False
         if part.tag in ("article", "main") and not bad and (article is None or article.tag == "main"):
             article = part
         if edge:
@@ -323,17 +342,19 @@ def blocks(root: Node) -> list[tuple[str, Node, Node | None, bool, float]]:
 
 
 def candidates(page: str) -> tuple[list[tuple[str, Node]], Node]:
-    """Content by marks alone: (text, element) of the article's blocks, or of all
-    that are not boilerplate where there is no article; and the tree."""
+    """Content by marks alone: (text, element) of the blocks of the page's articles, or
+    of all that are not boilerplate where there is no article; and the tree. Articles
+    that lie only inside marked elements (a theme's "comments-enabled" box, a form
+    around the page) count where there are no others."""
     root = parse(page)
     found = [b for b in blocks(root) if not b[3]]
-    size: dict[int, int] = {}
-    for text, _, article, _, _ in found:
-        if article is not None:
-            size[id(article)] = size.get(id(article), 0) + len(text)
-    if size:
-        best = max(size, key=lambda k: size[k])
-        return [(t, n) for t, n, article, _, _ in found if article is not None and id(article) == best], root
+    inside = [b for b in found if b[2] is not None]
+    if not inside:
+        inside = [b for b in blocks(root, lenient=True) if not b[3] and b[2] is not None]
+    if any(b[2].tag == "article" for b in inside):  # not what else the page's main part holds
+        inside = [b for b in inside if b[2].tag == "article"]
+    if inside:
+        return [(t, n) for t, n, _, _, _ in inside], root
     return [(t, n) for t, n, _, _, links in found if links <= 0.5], root
 
 

@@ -155,3 +155,24 @@ def test_many_children_are_matched_as_largely_as_few(monkeypatch):
     a, b = H.Slot(""), H.Slot("")
     a.children, b.children = [H.Slot(k) for k in ["x", *body]], [H.Slot(k) for k in body]
     assert len(H.match(a, H.load(H.json.dumps(H.dump(b))))) == 2201
+
+
+def test_marks_are_tokens_of_class_id_and_role():
+    """Neither other attributes nor parts of words nor places in the text mark boilerplate."""
+    for attributes in ('style="overflow:hidden"', 'aria-hidden="false"', 'title="the hidden cost"', 'data-id="related"',
+                       'class="text-navy"', 'class="navy"', 'data-hidden="x"', 'title="class=nav"'):
+        assert text_of(f"<article><h1>T</h1><p {attributes}>Body text.</p></article>") == "T\nBody text.", attributes
+    assert text_of('<article><h2 id="related-work">R</h2><section id="search"><p>S.</p></section></article>') == "R\nS."
+    for attributes in ('class="nav"', 'class="x top-nav"', 'id="cookie-banner"', "role=navigation", "hidden", 'CLASS="Ad"'):
+        assert text_of(f"<article><p>Body.</p><div {attributes}>Away.</div></article>") == "Body.", attributes
+
+
+def test_articles_inside_marked_elements_and_several():
+    for around in ('<div class="content has-sidebar">%s</div>', '<div class="post comments-open">%s</div>',
+                   "<form>%s</form>", '<div class="widget">%s</div>'):
+        page = "<body><nav>Menu</nav>" + around % "<article><p>Text.</p><form>Send</form></article>" + "<footer>F</footer></body>"
+        assert text_of(page) == "Text.", around
+    assert text_of("<article><p>A.</p></article><article><p>B is longer.</p></article>") == "A.\nB is longer."
+    assert text_of("<article><p>A.</p></article><aside><article><p>Teaser.</p></article></aside>") == "A."
+    assert text_of('<article><p>A.</p></article><div class="comments"><article><p>I think.</p></article></div>') == "A."
+    assert text_of("<main><p>Lead.</p><article><p>A.</p></article></main>") == "A."
