@@ -29,8 +29,8 @@ from streetflow.llm.graph import staged
 
 #: Different texts of items, and bytes of them, that are searched at a time.
 _ITEMS, _ITEM_BYTES = 256, 1 << 22
-#: Documents, and bytes of them, of a slice (a longer document is a slice by itself).
-_DOCS, _DOC_BYTES = 2048, 1 << 22
+#: Documents of a slice, which also has no more bytes than ``textscan.slices`` gives (a longer document is its own).
+_DOCS = 2048
 #: Shares of the postings up to which each owner's terms go, rarest first.
 _OWNERS = (0.05, 0.2, 0.5, 1.0)
 
