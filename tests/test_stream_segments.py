@@ -67,3 +67,76 @@ def test_later_than_the_disorder_is_dropped(spark, tmp_path):
     got, _ = _run(spark, [first, ahead, late, end], tmp_path, "streamed_late")
     assert _rows(got) == _rows(S.vehicle_segments(positions(spark, first)))
     assert got.where(F.col("to_ts") == F.timestamp_seconds(F.lit(T0 + 15))).count() == 0
+
+
+class _Store:
+    """A handle, a map state and a value state in one, which counts calls."""
+
+    def __init__(self):
+        self.calls, self.map, self.value, self.timers = 0, {}, None, set()
+
+    def getMapState(self, *_):  # noqa: N802
+        return self
+
+    def getValueState(self, *_):  # noqa: N802
+        store = self
+
+        class Value:
+            exists = staticmethod(lambda: store._call(store.value is not None))
+            get = staticmethod(lambda: store._call(store.value))
+
+            @staticmethod
+            def update(v):
+                store.value = store._call(v)
+
+            @staticmethod
+            def clear():
+                store.value = store._call(None)
+
+        return Value
+
+    def _call(self, out=None):
+        self.calls += 1
+        return out
+
+    def containsKey(self, k):  # noqa: N802
+        return self._call(k in self.map)
+
+    def getValue(self, k):  # noqa: N802
+        return self._call(self.map.get(k))
+
+    def updateValue(self, k, v):  # noqa: N802
+        self.map[k] = self._call(v)
+
+    def removeKey(self, k):  # noqa: N802
+        self._call(self.map.pop(k))
+
+    def keys(self):
+        return iter(self._call(list(self.map)))
+
+    def iterator(self):
+        return iter(self._call(list(self.map.items())))
+
+    def registerTimer(self, at):  # noqa: N802
+        self._call(self.timers.add(at))
+
+
+def test_state_calls_do_not_grow_with_fixes():
+    """A vehicle's 2,000 fixes of an hour, each twice: a few calls to the state, and all pairs."""
+    from types import SimpleNamespace
+
+    from streetflow.config import DEFAULT
+    from streetflow.streaming import segments as SS
+
+    store, pair = _Store(), SS.PairFixes(DEFAULT)
+    pair.init(store)
+    rows = [dict(vehicle_s=T0 + k, feed=T0 + k + copy, entity_id=None, source_file="s", latitude=41.9 + k / 1e6,
+                 longitude=12.5, trip_id="A", route_id="R", direction_id=None) for k in range(2000) for copy in (1, 0)]
+    at = lambda s: SimpleNamespace(getCurrentWatermarkInMs=lambda: s * 1000)
+    assert list(pair.handleInputRows(("V",), iter(rows), at(0))) == []
+    first = list(pair.handleExpiredTimer(("V",), at(T0 + 1000 + DEFAULT.max_staleness_s + 1), None))
+    assert [r.vehicle_s for r in first] == list(range(T0 + 1, T0 + 1001))
+    rest = list(pair.handleExpiredTimer(("V",), at(T0 + 10**5), None))
+    assert [r.vehicle_s for r in rest] == list(range(T0 + 1001, T0 + 2000))
+    assert all(r.vehicle_s - r.prev_s == 1 and abs(r.latitude - r.prev_lat - 1e-6) < 1e-9 for r in first + rest)
+    assert not store.map and store.calls < 40
