@@ -190,3 +190,25 @@ def test_a_cell_with_a_third_of_the_points_is_split(spark):
     pts = points.withColumn("cell_lat", G.grid_cell("lat")).withColumn("cell_lon", G.grid_cell("lon"))
     salted = G._salted(pts, hot, lambda n: F.pmod(F.xxhash64("id", "lat", "lon"), n).cast("int"))
     assert salted.groupBy("cell_lat", "cell_lon", "_salt").count().agg(F.max("count")).first()[0] < 2 * points.count() / 20
+
+
+def test_an_edge_is_a_row_of_each_tile(spark):
+    """A 415 m edge has dozens of cells with their ring, and a few tiles; its rows are
+    shuffled once before the join, and the pairs are those that share a cell."""
+    edges, points = _random_edges_and_points(spark)
+    long = _edge_df(spark, [(1, 0, 41.9, 12.5, 41.9, 12.505)])
+    assert G.neighbour_cells(G.edge_cells(long.select("way_id", "seq", *G.EDGE_GEOM, "length_m"))).distinct().count() > 50
+    assert G.searchable_edges(long).count() <= 8
+    assert G.searchable_edges(long)._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+    for cfg in (DEFAULT, dataclasses.replace(DEFAULT, exact_radius=True)):
+        cells = G.neighbour_cells(G.edge_cells(edges.select("way_id", "seq", *G.EDGE_GEOM, "length_m"), cfg), cfg)
+        at = points.withColumn("cell_lat", G.grid_cell("lat")).withColumn("cell_lon", G.grid_cell("lon"))
+        expected = sorted(map(tuple, at.join(cells, ["cell_lat", "cell_lon"]).select("id", "way_id").distinct().collect()))
+        for hot in (None, G.hot_tiles(points, share=1 / 20), G.hot_cells(points, share=1 / 200)):
+            got = G.candidates(points, G.searchable_edges(edges, cfg=cfg), cfg=cfg, hot=hot).select("id", "way_id")
+            assert sorted(map(tuple, got.collect())) == expected
+    south = G.nearest_within(points.withColumn("lat", -F.col("lat")).withColumn("lon", -F.col("lon")), edges.select(
+        "way_id", "seq", *[(-F.col(c)).alias(c) for c in G.EDGE_GEOM], "length_m"), ["id"],
+        cfg=dataclasses.replace(DEFAULT, exact_radius=True), prune=True)
+    north = G.nearest_within(points, edges, ["id"], cfg=dataclasses.replace(DEFAULT, exact_radius=True))
+    assert sorted((r.id, r.way_id) for r in south.collect()) == sorted((r.id, r.way_id) for r in north.collect())
