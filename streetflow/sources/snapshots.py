@@ -11,7 +11,8 @@ stays distributed over the files.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+import itertools
+from collections.abc import Callable, Iterable, Iterator
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -135,6 +136,50 @@ def rejects(msgs: DataFrame, on_missing_header: str = "null") -> DataFrame:
 
 #: Entities that a decoder's task holds at a time.
 _CHUNK = 10_000
+#: Bytes of a file's decoded entities that stay in memory until the file is through.
+_SPOOL = 8 << 20
+
+
+def _decoded(content: bytes, decode: Callable[[bytes], Iterable[dict]], names: list[str],
+             on_missing_header: str) -> Iterator[list[list]]:
+    """Rows of one snapshot file in chunks, each of ``names`` and the reason of a
+    reject. Nothing comes out before the whole file is through, so that a bad file lands
+    nothing; until then its rows wait on the task's disk, not in its memory."""
+    import pickle
+    import tempfile
+
+    feed, vehicle = names.index("feed_timestamp"), names.index("vehicle_timestamp")
+    chunks, newest, missing = 0, None, False
+    reject = lambda why: [[*[None] * len(names), why]]
+    with tempfile.SpooledTemporaryFile(max_size=_SPOOL) as spool:
+        entities = None
+        while True:
+            try:
+                entities = iter(decode(content)) if entities is None else entities
+                some = list(itertools.islice(entities, _CHUNK))
+            except Exception as e:  # noqa: BLE001 - any codec error rejects its file
+                yield reject(f"malformed: {type(e).__name__}")
+                return
+            if not some:
+                break
+            rows = [[e.get(n) for n in names] + [None] for e in some]
+            del some
+            newest = max((t for t in (newest, *(r[vehicle] for r in rows)) if t is not None), default=None)
+            missing = missing or any(r[feed] is None for r in rows)
+            pickle.dump(rows, spool, protocol=pickle.HIGHEST_PROTOCOL)
+            chunks += 1
+            del rows
+        stand_in = newest if on_missing_header == "max" else None
+        if not chunks or (missing and stand_in is None):
+            yield reject("no time" if chunks else "no vehicles")
+            return
+        spool.seek(0)
+        for _ in range(chunks):
+            rows = pickle.load(spool)
+            for r in rows if missing else ():
+                if r[feed] is None:
+                    r[feed] = stand_in
+            yield rows
 
 
 def decode_with(files: DataFrame, decode: Callable[[bytes], Iterable[dict]], on_missing_header: str = "null") -> DataFrame:
@@ -145,6 +190,8 @@ def decode_with(files: DataFrame, decode: Callable[[bytes], Iterable[dict]], on_
     vehicle time (SRC4). Of a file that the decoder
     fails on, or that gives no entity or no time, one row comes out, with
     ``reject`` telling why and all else NULL; elsewhere ``reject`` is NULL.
+    A task holds the contents of a batch of files and ``_CHUNK`` decoded entities,
+    if the decoder yields them one by one.
     """
     names = [f.name for f in schemas.SNAPSHOT_ENTITY.fields]
     fields = ([StructField("source_file", StringType())] + list(schemas.SNAPSHOT_ENTITY.fields)
@@ -160,22 +207,8 @@ def decode_with(files: DataFrame, decode: Callable[[bytes], Iterable[dict]], on_
 
         for pdf in batches:
             for path, content in zip(pdf["path"], pdf["content"]):
-                try:
-                    entities = list(decode(bytes(content)))  # one snapshot, so that a bad file lands nothing
-                except Exception as e:  # noqa: BLE001 - any codec error rejects its file
-                    entities, why = [], f"malformed: {type(e).__name__}"
-                else:
-                    why = "no vehicles"
-                times = [e["vehicle_timestamp"] for e in entities if e.get("vehicle_timestamp") is not None]
-                for e in entities if on_missing_header == "max" else ():
-                    if e.get("feed_timestamp") is None:
-                        e["feed_timestamp"] = max(times, default=None)
-                if entities and any(e.get("feed_timestamp") is None for e in entities):
-                    entities, why = [], "no time"
-                if not entities:
-                    yield frame([[path] + [None] * len(names) + [why]])
-                for lo in range(0, len(entities), _CHUNK):
-                    yield frame([[path] + [e.get(n) for n in names] + [None] for e in entities[lo:lo + _CHUNK]])
+                for rows in _decoded(bytes(content), decode, names, on_missing_header):
+                    yield frame([[path, *r] for r in rows])
 
     out = files.select("path", "content").mapInPandas(run, StructType(fields))
     if "modificationTime" not in files.columns:

@@ -373,3 +373,39 @@ def test_scratch_goes_under_the_session_checkpoint_dir(spark):
     base = spark.sparkContext.getCheckpointDir()
     assert base and checkpoint_dir(spark) == base
     assert scratch_dir(spark, "x").startswith(base.rstrip("/") + "/x-")
+
+
+def test_decoder_holds_a_chunk_of_a_file(monkeypatch):
+    """Of 5,000 entities of a file, never more than two chunks are alive; a file that goes
+    bad at its end, or lacks a time, gives its reject alone."""
+    from streetflow import schemas
+    from streetflow.sources import snapshots as SN
+
+    alive, most = [0], [0]
+
+    class Entity(dict):
+        def __init__(self, **kw):
+            super().__init__(**kw)
+            alive[0] += 1
+            most[0] = max(most[0], alive[0])
+
+        def __del__(self):
+            alive[0] -= 1
+
+    def codec(content):
+        for i in range(5000):
+            yield Entity(feed_timestamp=None if content == b"late" and i == 4999 else 1000, vehicle_timestamp=i,
+                         entity_id=f"e{i}")
+        if content == b"bad":
+            raise ValueError
+
+    monkeypatch.setattr(SN, "_CHUNK", 100)
+    monkeypatch.setattr(SN, "_SPOOL", 1000)
+    names = [f.name for f in schemas.SNAPSHOT_ENTITY.fields]
+    of = lambda content, rule="null": [r for rows in SN._decoded(content, codec, names, rule) for r in rows]
+    good = of(b"good")
+    assert [r[names.index("entity_id")] for r in good] == [f"e{i}" for i in range(5000)]
+    assert {r[-1] for r in good} == {None} and most[0] <= 200
+    assert [r[-1] for r in of(b"bad")] == ["malformed: ValueError"]
+    assert [r[-1] for r in of(b"late")] == ["no time"]
+    assert of(b"late", "max")[-1][names.index("feed_timestamp")] == 4999
