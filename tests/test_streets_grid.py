@@ -212,3 +212,52 @@ def test_an_edge_is_a_row_of_each_tile(spark):
         cfg=dataclasses.replace(DEFAULT, exact_radius=True), prune=True)
     north = G.nearest_within(points, edges, ["id"], cfg=dataclasses.replace(DEFAULT, exact_radius=True))
     assert sorted((r.id, r.way_id) for r in south.collect()) == sorted((r.id, r.way_id) for r in north.collect())
+
+
+def test_edges_of_many_lines_are_expanded_once(spark):
+    """Tiles belong to an edge, not to a line and an edge; what meets is as before."""
+    edges, points = _random_edges_and_points(spark, 300)
+    lines = spark.range(40).select(F.col("id").alias("line")).union(spark.sql("select cast(null as long)"))
+    of_lines = edges.crossJoin(lines).where("way_id % 3 = line % 3 or line is null")
+    twice = G.searchable_edges(of_lines.unionByName(of_lines), ["line"])
+    own = [*G.EDGE_GEOM, "way_id", "edge_seq", "tile_lat", "tile_lon", "reach"]
+    expected = G.searchable_edges(edges).crossJoin(lines).where("way_id % 3 = line % 3 or line is null").select("line", *own)
+    got = twice.select("line", *own)
+    assert got.count() == expected.count() and got.exceptAll(expected).isEmpty()
+    before = "line#"  # the rows that expand carry no line
+    plan = twice._jdf.queryExecution().optimizedPlan().toString()
+    assert all(before not in row for row in plan.splitlines() if "Generate" in row)
+
+
+def test_edges_away_from_all_points_are_not_expanded(spark):
+    edges, points = _random_edges_and_points(spark, 300)
+    away = _edge_df(spark, [(1000 + i, 0, 42.0 + i / 1000, 12.6, 42.0 + i / 1000, 12.605) for i in range(40)])
+    for cfg in (DEFAULT, dataclasses.replace(DEFAULT, exact_radius=True, max_snap_m=300.0)):
+        few = points.where("id < 5")
+        near = G._by_tile(few, "lat", "lon", cfg).select("tile_lat", "tile_lon").distinct()
+        own = edges.unionByName(away).select("way_id", F.col("seq").alias("edge_seq"), *G.EDGE_GEOM, "length_m")
+        assert G._passing(own, near, cfg).where("way_id >= 1000").isEmpty()
+        plain = G.searchable_edges(edges.unionByName(away), cfg=cfg).join(near, ["tile_lat", "tile_lon"], "left_semi")
+        pruned = G.searchable_edges(edges.unionByName(away), cfg=cfg, near=near)
+        assert not plain.isEmpty() and plain.count() == pruned.count()
+        assert plain.exceptAll(pruned.select(*plain.columns)).isEmpty()
+
+
+def test_tiles_of_lines_hold_all_samples(spark):
+    """The build side of the lines' match comes from their gaps, without samples."""
+    import random
+
+    from streetflow.operators import match as M
+
+    rng = random.Random(3)
+    edges, _ = _random_edges_and_points(spark, 10)
+    rows = [(f"h{k}", i, 41.9 + rng.random() * 0.004, 12.5 + rng.random() * 0.004) for k in range(6) for i in range(5)]
+    rows += [("still", 0, 41.901, 12.501), ("still", 1, 41.901, 12.501), ("one", 0, 41.902, 12.502)]
+    lines = spark.createDataFrame(rows, "shape_hash string, seq int, lat double, lon double")
+    samples = M.resample(lines)
+    found = M.line_nearest_way(samples, edges, search=M.line_search(lines, edges))
+    plain = M.line_nearest_way(samples, edges)
+    assert plain.count() > 0 and sorted(map(str, found.collect())) == sorted(
+        map(str, plain.select(*found.columns).collect()))
+    tiles = G._by_tile(samples, "lat", "lon", DEFAULT).select("tile_lat", "tile_lon")
+    assert tiles.join(G.tiles_along(M._gaps(lines)), ["tile_lat", "tile_lon"], "left_anti").isEmpty()
