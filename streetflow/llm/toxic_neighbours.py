@@ -1,10 +1,12 @@
 """Toxicity by the nearest labelled examples.
 
 Exact TF-IDF cosine over all terms of the examples (words, and the first four
-letters of longer ones), searched through a block-max inverted index: examples
-are cut in blocks, each term knows its largest weight in each block it occurs
-in, the blocks of highest bounds are visited first, and then those whose bound
-reaches the k-th cosine found. A term weighs more the better it tells the labels
+letters of longer ones), searched through a block-max inverted index, many texts
+at a time: the longest lists are rows of a matrix, so that one product in single
+precision and the short lists' postings bound the cosines with all examples; the
+largest bounds of blocks of examples tell which blocks can hold the nearest, and
+the examples there whose bound reaches the k-th get their cosine in double
+precision from their own terms. A term weighs more the better it tells the labels
 apart. The neighbours' labels are voted with their cosines as weights, and the
 vote is calibrated by leaving each example out.
 
@@ -18,7 +20,9 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
+from functools import cached_property
+from itertools import chain
 from math import log
 
 import numpy as np
@@ -31,10 +35,12 @@ from streetflow.llm.graph import sample_by_hash, staged
 _WORD = re.compile(r"\w+")
 _STEM = 4
 _BLOCK = 32
-#: Blocks visited first, to learn which others can matter.
-_FIRST = 8
-#: Words whose terms are remembered.
-_WORDS = 1 << 18
+#: Lists held as rows of a matrix at most, and the least length of one.
+_ROWS, _LONG = 1024, 64
+#: Texts searched at a time.
+_QUERIES = 128
+#: Words whose terms are remembered, and words counted at a time.
+_WORDS, _CHUNK = 1 << 18, 1 << 17
 
 
 def terms(text: str) -> Counter:
@@ -48,29 +54,52 @@ def terms(text: str) -> Counter:
 
 
 class Known(dict):
-    """Word -> numbers of its terms in ``place``, the word's own and its stem's."""
+    """Word -> its number in ``both``, which has the numbers of its terms in
+    ``place``, the word's own and its stem's (-1: none)."""
 
     def __init__(self, place: dict[str, int]) -> None:
         super().__init__()
         self.place = place
+        self.both = np.empty((1 << 10, 2), np.int64)
 
-    def __missing__(self, word: str) -> tuple[int, ...]:
-        if len(self) >= _WORDS:
-            self.clear()
-        both = (word, word[:_STEM] + "*") if len(word) > _STEM else (word,)
-        self[word] = found = tuple(self.place[t] for t in both if t in self.place)
-        return found
+    def __missing__(self, word: str) -> int:
+        n = len(self)
+        if n == len(self.both):
+            self.both = np.concatenate([self.both, np.empty_like(self.both)])
+        self.both[n] = self.place.get(word, -1), self.place.get(word[:_STEM] + "*", -1) if len(word) > _STEM else -1
+        self[word] = n
+        return n
 
     def __reduce__(self) -> tuple:
         return Known, (self.place,)
 
+    def _counted(self, words: list[list[str]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        if len(self) > _WORDS:
+            self.clear()
+        size = [len(w) for w in words]
+        number = np.fromiter(map(self.__getitem__, chain.from_iterable(words)), np.int64, sum(size))
+        span = max(1, len(self.place))
+        row = np.repeat(np.arange(len(words)) * span, size)
+        at = self.both[number]
+        pair, n = np.unique((at + row[:, None])[at >= 0], return_counts=True)
+        return pair // span, pair % span, n
+
+    def batch(self, texts: Sequence[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(rows, terms, counts) of the texts' known terms, by row and term: ``terms`` without the others."""
+        out, words, lo, total = [], [], 0, 0
+        for i, text in enumerate(texts, 1):
+            words.append(_WORD.findall((text or "").lower()))
+            total += len(words[-1])
+            if total >= _CHUNK or i == len(texts):
+                row, term, n = self._counted(words)
+                out.append((row + lo, term, n))
+                words, lo, total = [], i, 0
+        return tuple(np.concatenate(x) for x in zip(*out, strict=True)) if out else (np.zeros(0, np.int64),) * 3
+
     def counts(self, text: str) -> dict[int, int]:
-        """Counts of a text's known terms by number: ``terms`` without the others."""
-        out: dict[int, int] = {}
-        for w, n in Counter(_WORD.findall(text.lower())).items():
-            for t in self[w]:
-                out[t] = out.get(t, 0) + n
-        return out
+        """Counts of a text's known terms by number."""
+        _, term, n = self.batch([text])
+        return dict(zip(term.tolist(), n.tolist(), strict=True))
 
 
 def _ranges(start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -97,21 +126,34 @@ class Index:
         self.blocks = -(-len(held) // _BLOCK)
         none = (np.zeros(0, np.int64), np.zeros(0))
         term, weight = (np.concatenate(x) for x in zip(none, *(vectors[i] for i in held), strict=True))
-        doc = np.repeat(np.arange(len(held), dtype=np.int32), [len(vectors[i][0]) for i in held])
-        order = np.argsort(term, kind="stable")
-        term, self.docs, self.weights = term[order], doc[order], weight[order]
-        # postings of term t: from start[t]; its blocks: from first[t], block i's postings from at[i]
-        self.start = np.searchsorted(term, np.arange(len(vocabulary) + 1))
-        block = self.docs // _BLOCK
-        new = np.ones(len(term), bool)
-        new[1:] = (term[1:] != term[:-1]) | (block[1:] != block[:-1])
-        at = np.flatnonzero(new)
-        self.at = np.append(at, len(term))
-        self.first = np.searchsorted(term[at], np.arange(len(vocabulary) + 1))
-        self.block = block[at]
-        self.bound = np.maximum.reduceat(self.weights, at) if len(at) else np.zeros(0)
+        size = np.array([len(vectors[i][0]) for i in held], np.int64)
+        # terms of example i: from own[i]
+        self.own, self.term, self.weight = np.concatenate([[0], np.cumsum(size)]), term.astype(np.int32), weight
+        length = np.bincount(term, minlength=len(vocabulary))
+        longest = np.argsort(-length, kind="stable")[:_ROWS]
+        longest = longest[length[longest] >= _LONG]
+        # row of a term in the matrix, or -1; postings of the others: from start[t]
+        self.row = np.full(len(vocabulary), -1, np.int32)
+        self.row[longest] = np.arange(len(longest))
+        self.rows = len(longest)
+        short = np.flatnonzero(self.row[term] < 0)
+        short = short[np.argsort(term[short], kind="stable")]
+        self.start = np.searchsorted(term[short], np.arange(len(vocabulary) + 1))
+        self.docs, self.weights = np.repeat(np.arange(len(held), dtype=np.int32), size)[short], weight[short]
         self.without = [i for i, (t, _) in enumerate(vectors) if not len(t)]
 
+    def __getstate__(self) -> dict:
+        return {k: v for k, v in self.__dict__.items() if k != "matrix"}
+
+    @cached_property
+    def matrix(self) -> np.ndarray:
+        """Weights of the longest lists, a row each, in single precision."""
+        out = np.zeros((self.rows, self.blocks * _BLOCK), np.float32)
+        doc = np.repeat(np.arange(len(self.ids)), np.diff(self.own))
+        row = self.row[self.term]
+        out[row[row >= 0], doc[row >= 0]] = self.weight[row >= 0]
+        return out
+
     def weigh(self, counts: dict[int, int]) -> tuple[np.ndarray, np.ndarray]:
         """(terms, weights) of a text in the index's space; empty if no term is known."""
         t = np.array(sorted(counts), np.int64)
@@ -130,37 +172,66 @@ class Index:
 
     def search(self, t: np.ndarray, w: np.ndarray, k: int, leave: int = -1) -> list[tuple[float, int]]:
         """``nearest`` of (terms, weights)."""
+        return self.search_all(np.zeros(len(t), np.int64), t, w, 1, k, [leave])[0]
+
+    def weigh_all(self, row: np.ndarray, t: np.ndarray, n: np.ndarray, texts: int) -> np.ndarray:
+        """Weights of the terms of several texts: (rows, terms, counts) as of ``Known.batch``."""
+        w = (1 + np.log(n)) * self.idf[t]
+        return w / np.sqrt(np.bincount(row, w * w, texts))[row]
+
+    def search_all(self, row: np.ndarray, t: np.ndarray, w: np.ndarray, texts: int, k: int,
+                   leave: Sequence[int] | None = None) -> list[list[tuple[float, int]]]:
+        """``nearest`` of each of ``texts`` texts: (rows, terms, weights) by row."""
+        out = []
+        for lo in range(0, texts, _QUERIES):
+            n = min(_QUERIES, texts - lo)
+            a, b = np.searchsorted(row, [lo, lo + n])
+            out += self._search(row[a:b] - lo, t[a:b], w[a:b], n, k, None if leave is None else leave[lo:lo + n])
+        return out
+
+    def _search(self, row: np.ndarray, t: np.ndarray, w: np.ndarray, texts: int, k: int,
+                leave: Sequence[int] | None) -> list[list[tuple[float, int]]]:
         if not len(t) or not len(self.ids):
-            return []
-        entry, size = _ranges(self.first[t], self.first[t + 1])
-        block, share = self.block[entry], np.repeat(w, size)
-        bounds = np.bincount(block, self.bound[entry] * share, self.blocks)
-
-        def best(chosen: np.ndarray) -> list[tuple[float, int]]:
-            own = chosen[block]
-            e = entry[own]
-            i, n = _ranges(self.at[e], self.at[e + 1])
-            return top(np.bincount(self.docs[i], self.weights[i] * np.repeat(share[own], n), len(self.ids)))
-
-        def top(cosine: np.ndarray) -> list[tuple[float, int]]:
-            if leave >= 0:
-                cosine[leave] = 0
-            least = np.partition(cosine, -k)[-k] if len(cosine) > k else 0.0
-            found = np.flatnonzero((cosine >= least) & (cosine > 0))
-            return sorted(zip(cosine[found].tolist(), found.tolist(), strict=True), key=lambda p: (-p[0], p[1]))[:k]
-
-        chosen = np.zeros(self.blocks, bool)
-        chosen[np.argsort(-bounds, kind="stable")[:_FIRST]] = True
-        found = best(chosen)
-        least = found[-1][0] - 1e-12 if len(found) == k else 0.0
-        chosen |= (bounds >= least) & (bounds > 0)
-        if chosen.sum() <= _FIRST:
-            return found
-        if 2 * chosen.sum() < self.blocks:
-            return best(chosen)
-        lists = [slice(a, b) for a, b in zip(self.start[t].tolist(), self.start[t + 1].tolist(), strict=True)]
-        cosine = np.concatenate([self.weights[x] for x in lists]) * np.repeat(w, self.start[t + 1] - self.start[t])
-        return top(np.bincount(np.concatenate([self.docs[x] for x in lists]), cosine, len(self.ids)))
+            return [[] for _ in range(texts)]
+        width = self.blocks * _BLOCK
+        column = self.row[t]
+        long = column >= 0
+        query = np.zeros((texts, self.rows), np.float32)
+        query[row[long], column[long]] = w[long]
+        i, size = _ranges(self.start[t[~long]], self.start[t[~long] + 1])
+        near = np.bincount(np.repeat(row[~long] * width, size) + self.docs[i],
+                           self.weights[i] * np.repeat(w[~long], size), texts * width).reshape(texts, width)
+        near += query @ self.matrix
+        for j, x in enumerate(leave or ()):
+            if x >= 0:
+                near[j, x] = 0
+        near = near.reshape(texts, self.blocks, _BLOCK)
+        tops = near.max(axis=2)
+        kth = np.partition(tops, -k, axis=1)[:, -k] if self.blocks > k else np.zeros(texts)
+        # at most twice what rounding takes from a sum of products that is at most 1; sums without a term stay 0
+        slack = 2 * (self.rows + 4) * 2.0 ** -24
+        ends = np.searchsorted(row, np.arange(texts + 1))
+        dense = np.zeros(len(self.idf))
+        out = []
+        for j in range(texts):
+            # k blocks reach kth, so the k nearest by their bounds are in blocks that do
+            inside = near[j, tops[j] >= kth[j]].ravel()
+            least = max(np.partition(inside, -k)[-k] - slack, 0.0) if len(inside) > k else 0.0
+            blocks = np.flatnonzero((tops[j] >= least) & (tops[j] > 0))
+            held = near[j, blocks]
+            block, place = np.nonzero((held >= least) & (held > 0))
+            found = blocks[block] * _BLOCK + place
+            spans = [slice(x, y) for x, y in zip(self.own[found].tolist(), self.own[found + 1].tolist(), strict=True)]
+            if not spans:
+                out.append([])
+                continue
+            mine = slice(ends[j], ends[j + 1])
+            dense[t[mine]] = w[mine]
+            share = dense[np.concatenate([self.term[x] for x in spans])] * np.concatenate([self.weight[x] for x in spans])
+            cosine = np.add.reduceat(share, np.cumsum([0] + [x.stop - x.start for x in spans[:-1]]))
+            dense[t[mine]] = 0
+            out.append(sorted(zip(cosine.tolist(), found.tolist(), strict=True), key=lambda p: (-p[0], p[1]))[:k])
+        return out
 
     def vote(self, near: list[tuple[float, int]], prior: float) -> float:
         """Mean label of the neighbours weighted by squared cosine, with one vote for the prior's rate."""
@@ -221,8 +292,8 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
             for lo in range(0, batch.num_rows, 512):
                 part = batch.slice(lo, 512)
                 scores, evidence = [], []
-                for t in part.column(1):
-                    near = index.search(*index.weigh(index.known.counts(t.as_py() or "")), k)
+                row, t, n = index.known.batch(part.column(1).to_pylist())
+                for near in index.search_all(row, t, index.weigh_all(row, t, n, part.num_rows), part.num_rows, k):
                     scores.append(_sigmoid(a, b, index.vote(near, prior), weights) if near else none)
                     evidence.append([{"doc_id": int(index.ids[i]), "cosine": c, "label": int(index.labels[i])}
                                      for c, i in near])
@@ -250,8 +321,8 @@ def _document_counts(rows: DataFrame, place: dict[str, int]) -> tuple[int, np.nd
         n = np.zeros(len(place) + 1, np.int64)
         for batch in batches:
             n[-1] += batch.num_rows
-            for t in batch.column(0):
-                n[list(known.counts(t.as_py() or ""))] += 1
+            for lo in range(0, batch.num_rows, 512):
+                n[:-1] += np.bincount(known.batch(batch.column(0).slice(lo, 512).to_pylist())[1], minlength=len(place))
         held = np.flatnonzero(n)
         yield pa.RecordBatch.from_arrays([pa.array(held), pa.array(n[held])], names=["term", "n"])
 
@@ -295,11 +366,16 @@ def _fit(sample: DataFrame, rows: DataFrame, prior: float, k: int) -> tuple[Inde
     shift = log(prior / (1 - prior)) - log((n1 + 1) / (n0 + 1))
     place = {int(d): i for i, d in enumerate(index.ids)}
     votes, truth = [], []
-    for d, y, c in examples:
-        if d in place:
-            near = index.search(*index.weigh(c), k, leave=place[d])
+    held = [e for e in examples if e[0] in place]
+    vectors = [index.weigh(c) for _, _, c in held]
+    for lo in range(0, len(held), _QUERIES):
+        part = vectors[lo:lo + _QUERIES]
+        row = np.repeat(np.arange(len(part)), [len(t) for t, _ in part])
+        t, w = (np.concatenate(x) for x in zip(*part, strict=True))
+        leave = [place[e[0]] for e in held[lo:lo + _QUERIES]]
+        for e, near in zip(held[lo:], index.search_all(row, t, w, len(part), k, leave)):
             votes.append(min(max(index.vote(near, prior), 1e-6), 1 - 1e-6))
-            truth.append(y)
+            truth.append(e[1])
     a, b = calibrate(np.array(votes), np.array(truth, float))
     z1 = sum(labels[i] for i in index.without)
     z0 = len(index.without) - z1

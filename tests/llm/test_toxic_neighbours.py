@@ -106,3 +106,49 @@ def test_document_frequencies_cover_all_documents(spark):
     place = {"here": 0, "long*": 1, "word": 2, "absent": 3}
     n, df = T._document_counts(docs_of(spark, texts).repartition(3), place)
     assert n == 6 and df.tolist() == [3, 2, 1, 0]
+
+
+def test_search_of_many_texts_is_exact():
+    """Long lists, short lists, texts without terms, equal examples and more texts than one step takes."""
+    rng = random.Random(7)
+    names = [f"w{i}" for i in range(40)] + [f"rare{i}" for i in range(3000)]
+    idf = {t: 0.5 + rng.random() * 4 for t in names}
+
+    def text():
+        common = rng.sample(names[:40], rng.randrange(0, 30))
+        return Counter({t: rng.randrange(1, 5) for t in common + rng.sample(names, rng.randrange(0, 20))})
+
+    texts = [text() for _ in range(900)]
+    texts += texts[:100]
+    index = T.Index(idf, list(range(1000)), [0] * 1000, texts)
+    assert index.rows == 40
+    dense = np.zeros((len(index.ids), len(names)))
+    for at, i in enumerate(index.ids):
+        for t, w in index.vector(texts[i]):
+            dense[at, t] = w
+    queries = [Counter() if i % 50 == 0 else text() for i in range(150)] + [texts[i] for i in range(0, 900, 3)]
+    words = [" ".join(x for t, n in q.items() for x in [t] * n) for q in queries]
+    row, t, n = index.known.batch(words)
+    leave = [-1 if i % 2 else i % len(index.ids) for i in range(len(queries))]
+    found = index.search_all(row, t, index.weigh_all(row, t, n, len(queries)), len(queries), 15, leave)
+    assert len(found) == len(queries)
+    for j, near in enumerate(found):
+        q = np.zeros(len(names))
+        for at, w in index.vector(Counter(words[j].split())):
+            q[at] = w
+        cosine = dense @ q
+        if leave[j] >= 0:
+            cosine[leave[j]] = 0
+        best = sorted(((round(c, 9), -i) for i, c in enumerate(cosine) if c > 0), reverse=True)[:15]
+        assert [round(c, 9) for c, _ in near] == [c for c, _ in best]
+        assert all(abs(cosine[i] - c) < 1e-9 for c, i in near) and len({i for _, i in near}) == len(near)
+
+
+def test_known_terms_of_many_texts():
+    texts = ["Longer words, longer", None, "", "wordy here WORD", "here " * 5]
+    known = T.Known({"longer": 0, "long*": 1, "word": 2, "word*": 3, "here": 4})
+    row, term, n = known.batch(texts)
+    got = [{} for _ in texts]
+    for r, t, c in zip(row.tolist(), term.tolist(), n.tolist(), strict=True):
+        got[r][t] = c
+    assert got == [{known.place[t]: c for t, c in T.terms(x or "").items() if t in known.place} for x in texts]
