@@ -19,6 +19,7 @@ wherever it lies.
 from __future__ import annotations
 
 import re
+from array import array
 from collections import Counter
 from collections.abc import Iterator, Sequence
 from functools import cached_property
@@ -33,6 +34,7 @@ from pyspark.sql import functions as F
 from streetflow.llm.graph import sample_by_hash, staged
 
 _WORD = re.compile(r"\w+")
+_ASCII_GAPS = str.maketrans({chr(i): " " for i in range(128) if not _WORD.match(chr(i))})
 _STEM = 4
 _BLOCK = 32
 #: Lists held as rows of a matrix at most, and the least length of one.
@@ -43,9 +45,15 @@ _QUERIES = 128
 _WORDS, _CHUNK = 1 << 18, 1 << 17
 
 
+def words_of(text: str) -> list[str]:
+    """A text's words, lowered; in ASCII the matches of ``_WORD`` are what other characters leave."""
+    text = text.lower()
+    return text.translate(_ASCII_GAPS).split() if text.isascii() else _WORD.findall(text)
+
+
 def terms(text: str) -> Counter:
     """Counts of a text's words, lowered, and of their stems (``word*``)."""
-    words = Counter(_WORD.findall(text.lower()))
+    words = Counter(words_of(text))
     out = Counter(words)
     for w, n in words.items():
         if len(w) > _STEM:
@@ -60,14 +68,12 @@ class Known(dict):
     def __init__(self, place: dict[str, int]) -> None:
         super().__init__()
         self.place = place
-        self.both = np.empty((1 << 10, 2), np.int64)
+        self.both = array("q")
 
     def __missing__(self, word: str) -> int:
-        n = len(self)
-        if n == len(self.both):
-            self.both = np.concatenate([self.both, np.empty_like(self.both)])
-        self.both[n] = self.place.get(word, -1), self.place.get(word[:_STEM] + "*", -1) if len(word) > _STEM else -1
-        self[word] = n
+        self[word] = n = len(self)
+        self.both.append(self.place.get(word, -1))
+        self.both.append(self.place.get(word[:_STEM] + "*", -1) if len(word) > _STEM else -1)
         return n
 
     def __reduce__(self) -> tuple:
@@ -76,11 +82,12 @@ class Known(dict):
     def _counted(self, words: list[list[str]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         if len(self) > _WORDS:
             self.clear()
+            self.both = array("q")
         size = [len(w) for w in words]
         number = np.fromiter(map(self.__getitem__, chain.from_iterable(words)), np.int64, sum(size))
         span = max(1, len(self.place))
         row = np.repeat(np.arange(len(words)) * span, size)
-        at = self.both[number]
+        at = np.frombuffer(self.both, np.int64).reshape(-1, 2)[number]
         pair, n = np.unique((at + row[:, None])[at >= 0], return_counts=True)
         return pair // span, pair % span, n
 
@@ -88,7 +95,7 @@ class Known(dict):
         """(rows, terms, counts) of the texts' known terms, by row and term: ``terms`` without the others."""
         out, words, lo, total = [], [], 0, 0
         for i, text in enumerate(texts, 1):
-            words.append(_WORD.findall((text or "").lower()))
+            words.append(words_of(text or ""))
             total += len(words[-1])
             if total >= _CHUNK or i == len(texts):
                 row, term, n = self._counted(words)
@@ -291,15 +298,20 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
         for batch in batches:
             for lo in range(0, batch.num_rows, 512):
                 part = batch.slice(lo, 512)
-                scores, evidence = [], []
+                scores, places, cosines, ends = [], [], [], [0]
                 row, t, n = index.known.batch(part.column(1).to_pylist())
                 for near in index.search_all(row, t, index.weigh_all(row, t, n, part.num_rows), part.num_rows, k):
                     scores.append(_sigmoid(a, b, index.vote(near, prior), weights) if near else none)
-                    evidence.append([{"doc_id": int(index.ids[i]), "cosine": c, "label": int(index.labels[i])}
-                                     for c, i in near])
-                kind = pa.list_(pa.struct([("doc_id", pa.int64()), ("cosine", pa.float64()), ("label", pa.int32())]))
+                    places += [i for _, i in near]
+                    cosines += [c for c, _ in near]
+                    ends.append(len(places))
+                at = np.array(places, np.int64)
+                evidence = pa.StructArray.from_arrays(
+                    [pa.array(index.ids[at]), pa.array(cosines, pa.float64()), pa.array(index.labels[at].astype(np.int32))],
+                    names=["doc_id", "cosine", "label"])
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(scores, pa.float64()), pa.array(evidence, kind)],
+                    [part.column(0), pa.array(scores, pa.float64()),
+                     pa.ListArray.from_arrays(pa.array(ends, pa.int32()), evidence)],
                     names=["doc_id", "score", "evidence"])
 
     scored = rows.mapInArrow(

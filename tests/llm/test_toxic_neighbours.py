@@ -146,6 +146,8 @@ def test_search_of_many_texts_is_exact():
 
 def test_known_terms_of_many_texts():
     texts = ["Longer words, longer", None, "", "wordy here WORD", "here " * 5]
+    texts += ["tab\there_2 caf\u00e9 \u212aelvin", "a\x1fb\x00c\x7fd-e", "\u00a0here\u2003word"]
+    assert [T.words_of(x or "") for x in texts] == [T._WORD.findall((x or "").lower()) for x in texts]
     known = T.Known({"longer": 0, "long*": 1, "word": 2, "word*": 3, "here": 4})
     row, term, n = known.batch(texts)
     got = [{} for _ in texts]
