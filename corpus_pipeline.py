@@ -32,8 +32,15 @@ def _small_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
 
 
+def _drop_shuffles(spark: SparkSession) -> None:
+    """Shuffle files go when the execution that wrote them ends; a stage has very many
+    shuffles, and else they stay until the driver happens to collect its garbage."""
+    spark.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier accepts."""
+    _drop_shuffles(spark)
     _small_batches(spark)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     return _without(docs, site_quality.classify(docs, labels).where("not kept"))
@@ -41,6 +48,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the lines that repeat; a document that keeps no text goes."""
+    _drop_shuffles(spark)
     _small_batches(spark)
     cleaned = fuzzy_lines.dedup_lines(docs, short_copies=True)
     out = cleaned.where("n_removed = 0 or length(trim(text)) > 0").select("row.*", F.col("text").alias("cleaned"))
@@ -51,6 +59,7 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, that with the smallest id, of each group of near duplicates."""
+    _drop_shuffles(spark)
     _small_batches(spark)
     found = staged(bottomk.near_duplicates(docs), "groups")
     same = found.where("doc_id is not null").groupBy("doc_id", "t").agg(F.count("*").alias("n"))
@@ -61,6 +70,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no window of a benchmark item."""
+    _drop_shuffles(spark)
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     return _without(docs, winnow.decontaminate(docs, items).where("n_hit > 0"))
 

@@ -1,5 +1,6 @@
 import hashlib
 import random
+import time
 
 import corpus_pipeline as C
 import public_tokenizers
@@ -90,3 +91,20 @@ def test_edge_cases_pass_every_stage(spark, tmp_path):
     for _, stage in C.STAGES:
         empty = stage(spark, empty, str(tmp_path))
         assert empty.count() == 0
+
+
+def test_shuffle_files_go_with_the_execution(spark, tmp_path):
+    def shuffles():
+        blocks = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllBlocks()
+        return {x for x in blocks.mkString(" ").split() if x.startswith("shuffle_")}
+
+    spark.conf.unset("spark.sql.classic.shuffleDependency.fileCleanup.enabled")
+    docs = docs_of(spark, ["A line that is long enough, and held by both.\none", "A line that is long enough, and held by both.\ntwo"])
+    before = shuffles()
+    for stage in (C.lines, C.near_duplicates):
+        out = stage(spark, docs, "")
+        out.write.parquet(f"{tmp_path}/{stage.__name__}")
+    until = time.time() + 20  # files are removed in the background
+    while shuffles() - before and time.time() < until:
+        time.sleep(0.2)
+    assert not shuffles() - before
