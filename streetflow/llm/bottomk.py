@@ -68,16 +68,16 @@ def _pack(s: np.ndarray) -> bytes:
     return s.tobytes()
 
 
-def _unpack(b: bytes) -> np.ndarray:
-    return np.frombuffer(b, _U)
+def _unpack(sets: pa.Array) -> list[np.ndarray]:
+    return [np.frombuffer(b.as_buffer(), _U) for b in sets]
 
 
 #: Flipped, so that hashes keep their order as signed longs.
 _SIGN = _U(1 << 63)
 
 
-def _sketch_set(values: list[int]) -> np.ndarray:
-    return np.array(values, np.int64).view(_U) ^ _SIGN
+def _sketch_set(sketches: pa.Array) -> list[np.ndarray]:
+    return [v.values.to_numpy().view(_U) ^ _SIGN for v in sketches]
 
 
 def _key(s: np.ndarray) -> bytes:
