@@ -7,28 +7,39 @@ tables are made, so that a pair at the threshold meets in some cell but for a
 chance of ``miss``, while a cell holds few unrelated vectors. Both numbers
 follow from the number of vectors alone.
 
-Inside a cell, each pair that met in no earlier table counts its query-centred
-window collisions over many single projections (``|p - q| <= reach``). The
-count that a pair at the threshold passes but for a chance of about 1e-6
-decides which pairs have their exact cosine taken. So no pair is looked at
-twice, and tasks put out link counts and spanning edges, not pairs.
+Inside a cell, pairs that a product of matrices in single precision leaves within
+reach count their query-centred window collisions over many single projections
+(``|p - q| <= reach``). The count that a pair at the threshold passes but for a
+chance of about 1e-6 decides which pairs have their exact cosine taken. A link
+counts in the first table that its pair meets in, and tasks put out link counts
+and spanning edges, not pairs.
+
+The number of tables grows with that of vectors. So tables go in passes, each of
+which writes every vector at most as often as ``_PASS_BYTES`` allow, once at
+least, and its shuffle files go before the next: disk does not follow the tables.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 from math import ceil, erf, exp, log, pi, sqrt
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from streetflow.llm.graph import components, staged
+from streetflow.llm.similar import small
 
 WIDTH = 2.4
 _CELL = 512  # members of a cell's block
 _COUNTED = 64  # single projections whose collisions are counted
+_PASS_BYTES = 1 << 28  # vectors that a pass writes to its tables' cells, if one table has no more
+_SLACK = 1e-4  # above what rounding to single precision moves a cosine
+_EARLIER = 8  # earlier tables in which pairs are looked for at once
 
 
 def meeting(width: float, sd: float) -> float:
@@ -55,32 +66,62 @@ def _units(vectors: np.ndarray) -> np.ndarray:
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
 
-def _cells(vectors: DataFrame, depth: int, tables: int) -> DataFrame:
-    """(id, w, x, keys, packed): rows of ``vectors`` (id, w, embedding) with the vector's
-    bytes (doubles) and its cell in each table."""
+def _keys(units: np.ndarray, depth: int, tables: range, total: int) -> np.ndarray:
+    """Cells of unit vectors in ``tables`` of ``total``."""
+    dims = units.shape[1]
+    part = slice(tables.start * depth, tables.stop * depth)
+    shift, directions = _windows(dims, depth * total)
+    place = np.floor((units @ directions[:, part] + shift[part]) / WIDTH).astype(np.int64).view(np.uint64).reshape(
+        len(units), len(tables), depth)
+    h = np.full((len(units), len(tables)), dims, np.uint64)
+    with np.errstate(over="ignore"):
+        for j in range(depth):
+            h = (h + place[:, :, j]) * np.uint64(0x9E3779B97F4A7C15)
+            h ^= h >> np.uint64(29)
+    return (h >> np.uint64(32)).astype(np.uint32).view(np.int32)
+
+
+@lru_cache(8)
+def _windows(dims: int, count: int) -> tuple[np.ndarray, np.ndarray]:
+    return np.random.default_rng([7, dims]).uniform(0, WIDTH, count), _directions(dims, count, 1)
+
+
+def _vectors(column: pa.Array) -> list[np.ndarray]:
+    values, ends = column.flatten().to_numpy(zero_copy_only=False), np.cumsum(pc.list_value_length(column).to_numpy())
+    return np.split(values.astype(np.float64), ends[:-1]) if len(column) else []
+
+
+def _cells(vectors: DataFrame, depth: int, tables: range, total: int, bare: bool = False) -> DataFrame:
+    """(id, w, x, t, key): rows of ``vectors`` (id, w, embedding), for each of ``tables``, with
+    the vector's bytes (floats if they hold it exactly and else doubles, told apart by
+    a last byte; ``bare`` leaves them out) and its cell."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = [np.array(v.as_py(), np.float64) for v in batch.column(2)]
-            keys: list = [None] * len(rows)
-            for dims in {len(r) for r in rows}:
-                at = [i for i, r in enumerate(rows) if len(r) == dims]
-                shift = np.random.default_rng([7, dims]).uniform(0, WIDTH, depth * tables)
-                place = np.floor((_units(np.stack([rows[i] for i in at])) @ _directions(dims, depth * tables, 1)
-                                  + shift) / WIDTH).astype(np.int64).view(np.uint64).reshape(len(at), tables, depth)
-                h = np.full((len(at), tables), dims, np.uint64)
-                with np.errstate(over="ignore"):
-                    for j in range(depth):
-                        h = (h + place[:, :, j]) * np.uint64(0x9E3779B97F4A7C15)
-                        h ^= h >> np.uint64(29)
-                for i, own in zip(at, (h >> np.uint64(32)).astype(np.uint32).view(np.int32), strict=True):
-                    keys[i] = own
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array([r.tobytes() for r in rows], pa.binary()),
-                 pa.array(keys, pa.list_(pa.int32())), pa.array([k.tobytes() for k in keys], pa.binary())],
-                names=["id", "w", "x", "keys", "packed"])
+        for whole in batches:
+            for lo in range(0, whole.num_rows, 512):
+                batch = whole.slice(lo, 512)
+                rows = _vectors(batch.column(2))
+                keys = np.zeros((len(rows), len(tables)), np.int32)
+                for dims in {len(r) for r in rows}:
+                    at = [i for i, r in enumerate(rows) if len(r) == dims]
+                    keys[at] = _keys(_units(np.stack([rows[i] for i in at])), depth, tables, total)
+                x = pa.nulls(len(rows), pa.binary()) if bare else pa.array([_bytes(r) for r in rows], pa.binary())
+                for n, t in enumerate(tables):
+                    yield pa.RecordBatch.from_arrays(
+                        [batch.column(0), batch.column(1), x, pa.array(np.full(len(rows), t, np.int32)),
+                         pa.array(keys[:, n])], names=["id", "w", "x", "t", "key"])
+
+    return vectors.mapInArrow(run, "id long, w long, x binary, t int, key int")
+
+
+def _bytes(v: np.ndarray) -> bytes:
+    with np.errstate(over="ignore"):
+        short = v.astype(np.float32)
+    return short.tobytes() + b"f" if (short == v).all() else v.tobytes() + b"d"
 
-    return vectors.mapInArrow(run, "id long, w long, x binary, keys array<int>, packed binary")
+
+def _vector(b: bytes) -> np.ndarray:
+    return np.frombuffer(b, np.float32 if b[-1:] == b"f" else np.float64, (len(b) - 1) // (4 if b[-1:] == b"f" else 8))
 
 
 def _least_count(threshold: float, reach: float) -> int:
@@ -91,40 +132,38 @@ def _least_count(threshold: float, reach: float) -> int:
 class _Found:
     """Links of the cells of a task: counts by id, and edges that span what is linked."""
 
-    def __init__(self, threshold: float) -> None:
+    def __init__(self, threshold: float, depth: int, total: int) -> None:
         self.threshold, self.reach = threshold, sqrt(2 - 2 * threshold)
+        self.depth, self.total = depth, total
         self.least = _least_count(threshold, self.reach)
         self.links: dict[int, int] = {}
         self.edges: list[tuple[int, int]] = []
 
     def cell(self, table: int, rows: list[tuple]) -> None:
-        """rows: (side, id, w, x, keys); pairs within a cell, or between the sides 0 and 1 of two blocks."""
+        """rows: (side, id, w, x); pairs within a cell, or between the sides 0 and 1 of two blocks."""
         if len(rows) < 2:
             return
         by_dims: dict[int, list[tuple]] = {}
         for r in rows:
-            by_dims.setdefault(len(r[3]), []).append(r)
+            v = _vector(r[3])
+            by_dims.setdefault(len(v), []).append((*r[:3], v))
         for group in by_dims.values():
             sides = np.array([r[0] for r in group])
             ids = np.array([r[1] for r in group], np.int64)
             w = [r[2] for r in group]
-            x = _units(np.stack([np.frombuffer(r[3], np.float64) for r in group]))
-            keys = np.stack([np.frombuffer(r[4], np.int32) for r in group])
-            if sides.any():
-                a, b = np.flatnonzero(sides == 0), np.flatnonzero(sides == 1)
-                new = np.ones((len(a), len(b)), bool)
-            else:
-                a = b = np.arange(len(group))
-                new = np.triu(np.ones((len(a), len(a)), bool), 1)
-            for t in range(table):  # pairs that met before are another cell's
-                if not new.any():
-                    break
-                new &= keys[a, t][:, None] != keys[b, t][None, :]
-            i, j = np.nonzero(new)
+            x = _units(np.stack([r[3] for r in group]))
+            a, b = (np.flatnonzero(sides == 0), np.flatnonzero(sides == 1)) if sides.any() else [np.arange(len(group))] * 2
+            short = x.astype(np.float32)
+            close = short[a] @ short[b].T >= self.threshold - _SLACK
+            if not sides.any():
+                close = np.triu(close, 1)
+            i, j = np.nonzero(close)
             if not len(i):
                 continue
             i, j = a[i], b[j]
-            p = x @ _directions(x.shape[1], _COUNTED, 2)
+            some = np.unique(np.concatenate([i, j]))
+            p = np.zeros((len(x), _COUNTED))
+            p[some] = x[some] @ _directions(x.shape[1], _COUNTED, 2)
             parent = list(range(len(group)))
 
             def root(v: int, parent: list[int] = parent) -> int:
@@ -133,17 +172,27 @@ class _Found:
                     v = parent[v]
                 return v
 
+            found = []
             for lo in range(0, len(i), 1 << 14):
                 y, z = i[lo:lo + (1 << 14)], j[lo:lo + (1 << 14)]
                 passed = (np.abs(p[y] - p[z]) <= self.reach).sum(axis=1) >= self.least
                 y, z = y[passed], z[passed]
                 good = (x[y] * x[z]).sum(axis=1) >= self.threshold
-                for u, v in zip(y[good].tolist(), z[good].tolist(), strict=True):
-                    self.links[int(ids[u])] = self.links.get(int(ids[u]), 0) + w[v]
-                    self.links[int(ids[v])] = self.links.get(int(ids[v]), 0) + w[u]
-                    if (ru := root(u)) != (rv := root(v)):
-                        parent[ru] = rv
-                        self.edges.append((int(ids[u]), int(ids[v])))
+                found.append((y[good], z[good]))
+            y, z = (np.concatenate(side) for side in zip(*found, strict=True))
+            for lo in range(0, table, _EARLIER):  # pairs that met before are another cell's
+                if not len(y):
+                    break
+                some, place = np.unique(np.concatenate([y, z]), return_inverse=True)
+                keys = _keys(x[some], self.depth, range(lo, min(lo + _EARLIER, table)), self.total)
+                new = (keys[place[:len(y)]] != keys[place[len(y):]]).all(axis=1)
+                y, z = y[new], z[new]
+            for u, v in zip(y.tolist(), z.tolist(), strict=True):
+                self.links[int(ids[u])] = self.links.get(int(ids[u]), 0) + w[v]
+                self.links[int(ids[v])] = self.links.get(int(ids[v]), 0) + w[u]
+                if (ru := root(u)) != (rv := root(v)):
+                    parent[ru] = rv
+                    self.edges.append((int(ids[u]), int(ids[v])))
 
     def batches(self) -> Iterator[pa.RecordBatch]:
         """(a, b, n): an edge (n null), or a count of links of a (b null)."""
@@ -158,11 +207,11 @@ class _Found:
                 names=["a", "b", "n"])
 
 
-def _compare(cells: DataFrame, threshold: float) -> DataFrame:
+def _compare(cells: DataFrame, threshold: float, depth: int, total: int) -> DataFrame:
     """Streams cells, sorted, through ``_Found``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found, rows, at = _Found(threshold), [], None
+        found, rows, at = _Found(threshold, depth, total), [], None
         for batch in batches:
             columns = [c.to_pylist() for c in batch.columns]
             for table, key, p, q, *row in zip(*columns, strict=True):
@@ -180,6 +229,24 @@ def _compare(cells: DataFrame, threshold: float) -> DataFrame:
     return cells.mapInArrow(run, "a long, b long, n long")
 
 
+def _pass(kinds: DataFrame, threshold: float, depth: int, tables: range, total: int) -> DataFrame:
+    """Links (a, b, n) of the pairs that meet first in one of ``tables``."""
+    vectors = kinds.select("id", "w", "embedding")
+    # cells beyond a block are cut in blocks, and pairs of blocks compared
+    crowded = staged(_cells(vectors, depth, tables, total, bare=True).groupBy("t", "key").agg(
+        F.count("*").alias("g")).where(F.col("g") > _CELL).select(
+        "t", "key", F.ceil(F.col("g") / _CELL).cast("int").alias("nb")), "crowded")
+    own = F.pmod(F.xxhash64("id"), F.col("nb")).cast("int")
+    blocks = _cells(vectors, depth, tables, total).join(small(crowded), ["t", "key"], "left").withColumn(
+        "nb", F.coalesce("nb", F.lit(1))).withColumn("own", own).withColumn(
+        "other", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
+    blocks = blocks.select(
+        "t", "key", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"),
+        (F.col("own") > F.col("other")).cast("int").alias("side"), "id", "w", "x")
+    return staged(_compare(blocks.repartition("t", "key", "p", "q").sortWithinPartitions("t", "key", "p", "q"),
+                           threshold, depth, total), "links")
+
+
 def _usable(v: Column) -> Column:
     """Whether a vector has a direction."""
     number = lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))
@@ -202,25 +269,18 @@ def near_vectors(embeddings: DataFrame, id_col: str = "vec_id", vector_col: str
     rows = embeddings.select(F.col(id_col).cast("long").alias("vec_id"),
                              F.col(vector_col).cast("array<double>").alias("embedding"))
     rows = rows.select("vec_id", F.when(_usable(F.col("embedding")), F.col("embedding")).alias("embedding"))
+    # shuffle files go when the execution that wrote them ends, and with it each pass
+    embeddings.sparkSession.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
     # -0.0 and 0.0 are one value here as in grouping
     kinds = staged(rows.where("embedding is not null").groupBy("embedding").agg(
         F.min("vec_id").alias("first"), F.count("*").alias("w")).withColumn("id", F.monotonically_increasing_id()), "kinds")
-    depth, tables = shape_of(kinds.count(), threshold)
-    cells = staged(_cells(kinds.select("id", "w", "embedding"), depth, tables), "cells")
-
-    # cells beyond a block are cut in blocks, and pairs of blocks compared
-    entries = cells.select("id", "w", "x", "packed", F.posexplode("keys").alias("t", "key"))
-    crowded = staged(cells.select(F.posexplode("keys").alias("t", "key")).groupBy("t", "key").agg(
-        F.count("*").alias("g")).where("g > 1").select("t", "key", F.ceil(F.col("g") / _CELL).cast("int").alias("nb")),
-        "crowded")
-    own = F.pmod(F.xxhash64("id"), F.col("nb")).cast("int")
-    blocks = entries.join(crowded, ["t", "key"]).withColumn("own", own).withColumn(
-        "other", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
-    blocks = blocks.select(
-        "t", "key", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"),
-        (F.col("own") > F.col("other")).cast("int").alias("side"), "id", "w", "x", "packed")
-    found = staged(_compare(
-        blocks.repartition("t", "key", "p", "q").sortWithinPartitions("t", "key", "p", "q"), threshold), "links")
+    size = kinds.agg(F.count("*").alias("n"), F.sum(8 * F.size("embedding") + 24).alias("bytes")).first()
+    depth, tables = shape_of(size["n"], threshold)
+    each = max(1, min(tables, _PASS_BYTES // max(1, size["bytes"] or 0)))
+    found = None
+    for lo in range(0, tables, each):
+        links = _pass(kinds, threshold, depth, range(lo, min(lo + each, tables)), tables)
+        found = links if found is None else found.union(links)
 
     part = components(found.where("b is not null"), "a", "b").toDF("id", "part")
     count = found.where("n is not null").groupBy(F.col("a").alias("id")).agg(F.sum("n").alias("n"))

@@ -70,3 +70,14 @@ def test_parameters():
     rng = np.random.default_rng(0)  # the formula against a simulation
     d, u = rng.standard_normal(200_000) * 0.7, rng.uniform(0, 2.4, 200_000)
     assert abs(np.mean(np.floor((u + d) / 2.4) == 0) - projections.meeting(2.4, 0.7)) < 0.005
+
+
+def test_tables_in_passes_of_one_give_the_same_rows(spark, monkeypatch):
+    """The disk that cells take does not follow the number of tables."""
+    rng = np.random.default_rng(9)
+    rows = list(enumerate(vectors(rng, 20, 6, 0.25) + vectors(rng, 100, 1, 0) + vectors(rng, 5, 3, 0.2, dims=7)))
+    passes = []
+    monkeypatch.setattr(projections, "_PASS_BYTES", 1)
+    monkeypatch.setattr(projections, "_pass", lambda *a, f=projections._pass: passes.append(a[3]) or f(*a))
+    assert run(spark, rows) == brute(rows)
+    assert [len(p) for p in passes] == [1] * projections.shape_of(len(rows), 0.9)[1]
